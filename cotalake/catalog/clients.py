@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from cotalake.catalog import sql
 from cotalake.catalog.registry import query
-from cotalake.functions import numbers
 from cotalake.operators import relationship as rel
 from cotalake.plans import bindings
 
@@ -66,14 +65,14 @@ def flow_volatility(spark, sf_dir):
 _RISK_KEYS = "sk_cliente, sk_data"
 
 
-@query("client_risk_score", f"WITH {sql.RISK} SELECT {_RISK_KEYS}, round(score_risco, 4) AS score_risco FROM risco")
+@query("client_risk_score", f"WITH {sql.RISK} SELECT {_RISK_KEYS}, score_risco FROM risco")
 def client_risk_score(spark, sf_dir):
-    return _risk(spark, sf_dir).select("sk_cliente", "sk_data", F.round("score_risco", 4).alias("score_risco"))
+    return _risk(spark, sf_dir).select("sk_cliente", "sk_data", "score_risco")
 
 
-@query("churn_probability", f"WITH {sql.RISK} SELECT {_RISK_KEYS}, round(prob_churn, 4) AS prob_churn FROM risco")
+@query("churn_probability", f"WITH {sql.RISK} SELECT {_RISK_KEYS}, prob_churn FROM risco")
 def churn_probability(spark, sf_dir):
-    return _risk(spark, sf_dir).select("sk_cliente", "sk_data", F.round("prob_churn", 4).alias("prob_churn"))
+    return _risk(spark, sf_dir).select("sk_cliente", "sk_data", "prob_churn")
 
 
 @query("client_risk_level", f"WITH {sql.RISK} SELECT {_RISK_KEYS}, nivel_risco FROM risco")
@@ -94,11 +93,10 @@ def dominant_risk_reason(spark, sf_dir):
 @query(
     "value_at_risk_clients",
     f"""WITH {sql.RISK} SELECT sk_data, count(*) FILTER (WHERE score_risco >= 45) AS clientes_em_risco,
-    round(coalesce(sum(CASE WHEN score_risco >= 45 THEN valor_em_risco END), 0), 1) AS valor_sob_risco FROM risco GROUP BY 1""",
+    CAST(coalesce(sum(CASE WHEN score_risco >= 45 THEN CAST(valor_em_risco AS DECIMAL(19,2)) END), 0) AS DOUBLE) AS valor_sob_risco FROM risco GROUP BY 1""",
 )
 def value_at_risk_clients(spark, sf_dir):
-    daily = rel.value_at_risk_clients(_risk(spark, sf_dir))
-    return daily.withColumn("valor_sob_risco", F.round("valor_sob_risco", 1))
+    return rel.value_at_risk_clients(_risk(spark, sf_dir))
 
 
 @query(
@@ -106,7 +104,7 @@ def value_at_risk_clients(spark, sf_dir):
     f"""WITH {sql.RISK} SELECT sk_data AS data_referencia, coalesce(c_mktsegment, 'sem_segmento') AS segmento,
     count(DISTINCT sk_cliente) AS total_clientes, count(*) FILTER (WHERE score_risco >= 45) AS clientes_em_risco,
     count(*) FILTER (WHERE nivel_risco = 'critico') AS clientes_criticos,
-    round(coalesce(sum(CASE WHEN score_risco >= 45 THEN valor_em_risco END), 0), 1) AS valor_sob_risco,
+    CAST(coalesce(sum(CASE WHEN score_risco >= 45 THEN CAST(valor_em_risco AS DECIMAL(19,2)) END), 0) AS DOUBLE) AS valor_sob_risco,
     round(avg(prob_churn) * 100, 2) AS churn_estimado_pct, round(avg(score_risco), 3) AS risco_medio
     FROM risco LEFT JOIN customer ON c_custkey = sk_cliente GROUP BY 1, 2""",
 )
@@ -114,7 +112,6 @@ def relationship_summary(spark, sf_dir):
     summary = rel.relationship_summary(_risk(spark, sf_dir), bindings.segments(spark, sf_dir))
     return summary.withColumns(
         {
-            "valor_sob_risco": F.round("valor_sob_risco", 1),
             "churn_estimado_pct": F.round("churn_estimado_pct", 2),
             "risco_medio": F.round("risco_medio", 3),
         }
@@ -138,9 +135,8 @@ def risk_weekly_trend(spark, sf_dir):
 
 @query(
     "top_clients_at_risk",
-    f"""WITH {sql.RISK} SELECT sk_cliente, sk_data, round(score_risco, 4) AS score_risco, nivel_risco, round(valor_em_risco, 1) AS valor_em_risco
+    f"""WITH {sql.RISK} SELECT sk_cliente, sk_data, score_risco, nivel_risco, valor_em_risco
     FROM risco WHERE sk_data = (SELECT max(sk_data) FROM risco) ORDER BY risco.valor_em_risco DESC, sk_cliente LIMIT 20""",
 )
 def top_clients_at_risk(spark, sf_dir):
-    top = rel.top_clients_at_risk(_risk(spark, sf_dir), 20)
-    return top.withColumns({"score_risco": F.round("score_risco", 4), "valor_em_risco": F.round("valor_em_risco", 1)})
+    return rel.top_clients_at_risk(_risk(spark, sf_dir), 20)

@@ -339,9 +339,9 @@ def dim_fundo_scd2(spark, sf_dir):
     "holding_valuation",
     """WITH h AS (SELECT o_custkey AS cliente, l_partkey AS ativo, sum(CAST(l_quantity AS DECIMAL(17,3))) AS q
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL),
-    p AS (SELECT l_partkey AS ativo, arg_max(l_extendedprice / l_quantity,
+    p AS (SELECT l_partkey AS ativo, arg_max(l_extendedprice,
       epoch_us(l_shipdate) + l_orderkey * 10 + l_linenumber) AS preco FROM lineitem GROUP BY 1)
-    SELECT cliente, count(*) AS ativos, CAST(sum(CAST(round(CAST(q AS DOUBLE) * preco, 2) AS DECIMAL(19,2))) AS DOUBLE) AS valor_carteira
+    SELECT cliente, count(*) AS ativos, CAST(sum(CAST(q AS DECIMAL(17,3)) * CAST(preco AS DECIMAL(19,2))) AS DOUBLE) AS valor_carteira
     FROM h JOIN p USING (ativo) GROUP BY 1""",
 )
 def holding_valuation(spark, sf_dir):
@@ -350,11 +350,11 @@ def holding_valuation(spark, sf_dir):
     holdings = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         "cliente", F.col("l_partkey").alias("ativo"), F.col("l_quantity").alias("quantidade")
     )
-    seconds = F.unix_date(F.col("l_shipdate").cast("date")).cast("long") * F.lit(86_400_000_000)
+    micros = F.unix_date(F.col("l_shipdate").cast("date")).cast("long") * F.lit(86_400_000_000)
     prices = lines.select(
         F.col("l_partkey").alias("ativo"),
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("preco"),
-        (seconds + F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("momento"),
+        F.col("l_extendedprice").alias("preco"),
+        (micros + F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("momento"),
     )
     return joins.holding_valuation(holdings, prices)
 

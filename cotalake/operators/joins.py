@@ -62,7 +62,7 @@ def holding_valuation(holdings: DataFrame, prices: DataFrame) -> DataFrame:
     """
     held = holdings.groupBy("cliente", "ativo").agg(F.sum(F.col("quantidade").cast("decimal(17,3)")).alias("quantidade"))
     latest = prices.groupBy("ativo").agg(F.max_by("preco", "momento").alias("preco"))
-    value = F.round(F.col("quantidade").cast("double") * F.col("preco"), 2).cast("decimal(19,2)")
+    value = F.col("quantidade").cast("decimal(17,3)") * F.col("preco").cast("decimal(19,2)")
     return (
         held.join(latest, "ativo")
         .groupBy("cliente")

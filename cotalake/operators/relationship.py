@@ -215,8 +215,8 @@ def relationship_summary(risk: DataFrame, segments: DataFrame) -> DataFrame:
             F.coalesce(numbers.money_sum(F.when(at_risk, F.col("valor_em_risco"))), F.lit(0.0)).alias(
                 "valor_sob_risco"
             ),
-            F.round(F.avg("prob_churn") * 100, 4).alias("churn_estimado_pct"),
-            F.round(F.avg("score_risco"), 4).alias("risco_medio"),
+            (F.avg("prob_churn") * 100).alias("churn_estimado_pct"),
+            F.avg("score_risco").alias("risco_medio"),
         )
     )
 
@@ -227,7 +227,7 @@ def risk_distribution(risk: DataFrame) -> DataFrame:
 
 def risk_weekly_trend(risk: DataFrame) -> DataFrame:
     week = F.date_trunc("week", F.col("data").cast("timestamp_ntz")).cast("date")
-    return risk.groupBy(dates.date_key(week).alias("semana")).agg(F.round(F.avg("score_risco"), 4).alias("risco_medio"))
+    return risk.groupBy(dates.date_key(week).alias("semana")).agg(F.avg("score_risco").alias("risco_medio"))
 
 
 def top_clients_at_risk(risk: DataFrame, n: int = 20) -> DataFrame:

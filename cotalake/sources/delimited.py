@@ -25,9 +25,14 @@ def _text_columns(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
+def _or_null(name: str, texts: Sequence[str] = tuple(schemas.NA_TEXTS)) -> Column:
+    value = F.col(f"`{name}`")
+    return F.when(~value.isin(list(texts)), value).alias(name)
+
+
 def missing_to_null(df: DataFrame, texts: Sequence[str] = tuple(schemas.NA_TEXTS)) -> DataFrame:
     """The texts a delimited reader takes as missing become null."""
-    return df.select(*[F.when(~F.col(f"`{c}`").isin(list(texts)), F.col(f"`{c}`")).alias(c) for c in df.columns])
+    return df.select(*[_or_null(c, texts) for c in df.columns])
 
 
 def scan_delimited(
@@ -108,8 +113,7 @@ def scan_tolerant(
     """Every row, with the raw line in ``_linha_invalida`` where it has more fields than the header.
 
     Short rows are padded with nulls and count as good. The permissive reader
-    flags both kinds; only flagged lines are parsed once more, with one spare
-    column, to tell them apart.
+    flags both kinds; only flagged lines have their fields counted.
     """
     schema = _text_columns(names).add(BROKEN, T.StringType())
     rows = (
@@ -117,12 +121,10 @@ def scan_tolerant(
         .options(header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=BROKEN, **_quoting(sep, encoding))
         .csv(path if isinstance(path, str) else list(path))
     )
-    spare = ", ".join(f"c{i} string" for i in range(len(names) + 1))
-    # A sentinel for missing values keeps an empty spare field distinct from an absent one.
-    options = {"sep": sep, "quote": '"', "escape": '"', "nullValue": "\x02", "mode": "PERMISSIVE"}
-    too_long = F.from_csv(F.col(BROKEN), spare, options)[f"c{len(names)}"].isNotNull()
-    cleaned = missing_to_null(rows.select(*names, BROKEN))
-    return cleaned.select(*names, F.when(too_long, F.col(BROKEN)).alias(BROKEN))
+    # A doubled quote inside a quoted field ends one quoted stretch and begins the next.
+    unquoted = F.regexp_replace(BROKEN, '"[^"]*"', "")
+    fields = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(sep), F.lit(""))) + 1
+    return rows.select(*[_or_null(c) for c in names], F.when(fields > len(names), F.col(BROKEN)).alias(BROKEN))
 
 
 def good_rows(scanned: DataFrame) -> DataFrame:

@@ -12,13 +12,18 @@ from cotalake.functions import text
 CNPJ = "cnpj_fundo_classe_norm"
 
 
-def join_fact_dim(fact: DataFrame, dim: DataFrame, key: str = CNPJ, bring: Sequence[str] = ("sk_fundo",)) -> DataFrame:
+def join_fact_dim(
+    fact: DataFrame, dim: DataFrame, key: str = CNPJ, bring: Sequence[str] = ("sk_fundo",), unique_fund_key: bool = False
+) -> DataFrame:
     """Bring dimension columns to the fact; rows without a match go.
 
-    No hint: Spark broadcasts a dimension whose size it knows to be small and
-    otherwise shuffles, splitting a hot key (adaptive skew join).
+    By default Spark decides: it broadcasts a dimension whose size it knows to
+    be small and otherwise shuffles, splitting a hot key (adaptive skew join).
+    ``unique_fund_key`` states that ``dim`` holds each ``sk_fundo`` once, hence
+    at most 1,000,000 rows; then it is broadcast and the fact is not shuffled.
     """
-    return fact.join(dim.select(key, *bring), key, "inner")
+    side = dim.select(key, *bring)
+    return fact.join(F.broadcast(side) if unique_fund_key else side, key, "inner")
 
 
 def unmatched_report(fact: DataFrame, dim: DataFrame, key: str = CNPJ) -> DataFrame:

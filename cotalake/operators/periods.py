@@ -72,12 +72,12 @@ def agg_fundo_periodo(
 def with_age(fact: DataFrame) -> DataFrame:
     """Adds ``data`` and ``idade_dias``: days from the row to its fund's last date.
 
-    The last dates are one small row per fund; Spark broadcasts them when their
-    measured size allows and otherwise joins by shuffle with skew handling.
+    The last dates have one row (a long and an int) per ``sk_fundo``, which lies
+    in [0, 1,000,000): that bounds the broadcast, and the fact is not shuffled.
     """
     dated = fact.withColumn("data", dates.key_to_date(F.col("sk_data")))
     last = fact.groupBy("sk_fundo").agg(F.max("sk_data").alias("data_referencia"))
-    joined = dated.join(last, "sk_fundo")
+    joined = dated.join(F.broadcast(last), "sk_fundo")
     return joined.withColumn("idade_dias", F.datediff(dates.key_to_date(F.col("data_referencia")), F.col("data")))
 
 

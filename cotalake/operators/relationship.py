@@ -116,8 +116,9 @@ def client_risk(history: DataFrame, keys: Sequence[str] = ("sk_cliente",)) -> Da
     """Score, churn probability, level, value at risk, trend and main reason per client and day.
 
     Terms are standardized against all clients of the same day. The statistics
-    are one row per day, from one aggregation with map-side combine, joined
-    back; there is no window over all clients.
+    come from one aggregation with map-side combine and hold one row per
+    calendar day, which bounds their broadcast; there is no window over all
+    clients.
     """
     change = F.col("variacao_saldo_30d_pct")
     drop = F.when(change.isNotNull() & (change < 0), F.least(-change, F.lit(1.0))).otherwise(F.lit(0.0))
@@ -136,7 +137,8 @@ def client_risk(history: DataFrame, keys: Sequence[str] = ("sk_cliente",)) -> Da
             for n, f in (("avg", F.avg), ("dev", F.stddev_pop))
         ]
     )
-    joined = terms.join(statistics.withColumnRenamed("data", "_data"), F.col("data") == F.col("_data"))
+    by_day = F.broadcast(statistics.withColumnRenamed("data", "_data"))
+    joined = terms.join(by_day, F.col("data") == F.col("_data"))
     for term in WEIGHTS:
         clean_dev = F.when(F.col(f"_dev_{term}") > 1e-9, F.col(f"_dev_{term}")).otherwise(F.lit(0.0))
         joined = joined.withColumn(f"_dev_{term}", clean_dev)
@@ -201,7 +203,11 @@ def value_at_risk_clients(risk: DataFrame) -> DataFrame:
 
 
 def relationship_summary(risk: DataFrame, segments: DataFrame) -> DataFrame:
-    """Per reference date and segment. ``segments``: sk_cliente, segmento."""
+    """Per reference date and segment. ``segments``: sk_cliente, segmento, one row per client.
+
+    The risk table has one row per client and day, so counting rows counts
+    clients and every measure is combined before the shuffle.
+    """
     at_risk = F.col("score_risco") >= AT_RISK_FROM
     return (
         risk.join(segments, "sk_cliente", "left")
@@ -209,7 +215,7 @@ def relationship_summary(risk: DataFrame, segments: DataFrame) -> DataFrame:
             F.col("sk_data").alias("data_referencia"), F.coalesce("segmento", F.lit("sem_segmento")).alias("segmento")
         )
         .agg(
-            F.countDistinct("sk_cliente").alias("total_clientes"),
+            F.count(F.lit(1)).alias("total_clientes"),
             F.count_if(at_risk).alias("clientes_em_risco"),
             F.count_if(F.col("nivel_risco") == "critico").alias("clientes_criticos"),
             F.coalesce(numbers.money_sum(F.when(at_risk, F.col("valor_em_risco"))), F.lit(0.0)).alias(

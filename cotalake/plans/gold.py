@@ -148,12 +148,13 @@ def fct_fundo_diario(
     max_chunk_rows: int = ordered.MAX_CHUNK_ROWS,
     history: DataFrame | None = None,
 ) -> DataFrame:
-    """Daily fact. ``one_row_per_day`` promises at most one report row per fund and day.
+    """Daily fact. ``dim`` holds each ``sk_fundo`` once, as :func:`dim_fundo` returns it.
 
+    ``one_row_per_day`` promises at most one report row per fund and day.
     Without that promise, rows of one fund and day are ordered by their values
     and a large fund is spread over many tasks.
     """
-    rows = joins.join_fact_dim(report_rows(report, variant), dim)
+    rows = joins.join_fact_dim(report_rows(report, variant), dim, unique_fund_key=True)
     if one_row_per_day:
         changed = ordered.padded_change(rows, "sk_fundo", "data", VARIATIONS)
     else:

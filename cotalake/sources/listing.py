@@ -67,19 +67,16 @@ def find_links(
 
     Pages unfold row by row with no shuffle. Folder links and other suffixes go.
     """
-    groups = F.arrays_zip(
-        F.regexp_extract_all(html, F.lit(pattern), 1).alias("href"),
-        F.regexp_extract_all(html, F.lit(pattern), 2).alias("quando"),
-    )
-    found = pages.select(F.col(page).alias("pagina"), F.col(base).alias("_base"), F.posexplode(groups).alias("posicao", "_link"))
-    href = F.col("_link.href")
-    linked = found.filter(~href.endswith("/")).select(
+    entries = F.posexplode(F.regexp_extract_all(html, F.lit(pattern), 0)).alias("posicao", "_entry")
+    found = pages.select(F.col(page).alias("pagina"), F.col(base).alias("_base"), entries)
+    # Only the short entry is matched a second time, not the page.
+    href = F.regexp_extract("_entry", pattern, 1)
+    when = F.regexp_replace(F.regexp_extract("_entry", pattern, 2), r"\s+", " ")
+    linked = found.withColumn("_href", href).filter(~F.endswith("_href", F.lit("/"))).select(
         "pagina",
         "posicao",
-        join_url(F.col("_base"), href).alias("url"),
-        F.try_to_timestamp(
-            F.initcap(F.regexp_replace(F.col("_link.quando"), r"\s+", " ")), F.lit("dd-MMM-yyyy HH:mm")
-        ).alias("modificado"),
+        join_url(F.col("_base"), F.col("_href")).alias("url"),
+        F.try_to_timestamp(F.initcap(when), F.lit("dd-MMM-yyyy HH:mm")).alias("modificado"),
     )
     path = url_path(F.col("url"))
     wanted = F.lit(False)

@@ -20,7 +20,7 @@ def _months(silver: DataFrame, months: list[int]) -> DataFrame:
 
 def month_summary(report: DataFrame, dim: DataFrame) -> DataFrame:
     """(sk_fundo, ano_mes, last known values): what later months need to know of a month."""
-    rows = joins.join_fact_dim(gold.report_rows(report), dim)
+    rows = joins.join_fact_dim(gold.report_rows(report), dim, unique_fund_key=True)
     tie = text.row_order(joins.CNPJ, "patrimonio_liquido_dia", "captacao_dia", "resgate_dia", "cotistas_dia")
     ordered_rows = rows.withColumn("_order", ordered.chunk_order(F.col("data"), tie))
     return ordered_rows.groupBy("sk_fundo", F.trunc("data", "month").alias("_month")).agg(

@@ -41,16 +41,11 @@ def days_without_movement(spark, sf_dir):
 )
 def balance_change_30d(spark, sf_dir):
     """The events span 30 days, so a 7-day change is shown beside the 30-day one."""
-    month = rel.with_history(_position(spark, sf_dir))
-    week = rel.with_history(
-        month.select("sk_cliente", "data", "sk_data", "aporte_dia", "resgate_dia", "saldo_dia",
-                     F.col("variacao_saldo_30d_pct").alias("mes")),
-        days=7,
-    )
-    return week.select(
-        "sk_cliente", "sk_data", F.col("mes").alias("variacao_saldo_30d_pct"),
-        F.col("variacao_saldo_30d_pct").alias("variacao_saldo_7d_pct"),
+    month = rel.with_history(_position(spark, sf_dir)).select(
+        "sk_cliente", "data", "sk_data", "aporte_dia", "resgate_dia", "saldo_dia", F.col("variacao_saldo_30d_pct").alias("mes")
     )
+    week = rel.with_history(month, days=7).withColumnRenamed("variacao_saldo_30d_pct", "variacao_saldo_7d_pct")
+    return week.select("sk_cliente", "sk_data", F.col("mes").alias("variacao_saldo_30d_pct"), "variacao_saldo_7d_pct")
 
 
 @query(

@@ -168,7 +168,7 @@ _RAW_TIE = ["l_orderkey", "l_linenumber", "l_partkey"]
 _RAW_SQL = f"""
 bruto AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_shipdate AS DATE) AS dia, l_quantity, l_extendedprice,
   CASE WHEN l_returnflag <> 'R' THEN l_quantity END AS pl, CAST(l_linenumber AS DOUBLE) AS cot,
-  l_extendedprice / l_quantity AS cota, {sql.row_order(*_RAW_TIE)} AS tie FROM lineitem),
+  l_extendedprice / l_quantity AS cota, {sql.number_order(*_RAW_TIE)} AS tie FROM lineitem),
 cheio AS (SELECT *, last_value({{c}} IGNORE NULLS) OVER (PARTITION BY l_suppkey ORDER BY dia, tie
   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS f FROM bruto),
 anterior AS (SELECT *, lag(f) OVER (PARTITION BY l_suppkey ORDER BY dia, tie) AS a FROM cheio)
@@ -181,7 +181,7 @@ def _raw_change(spark, sf_dir, value, out: str, scale: float):
         "l_suppkey",
         F.col("l_shipdate").cast("date").alias("data"),
         value.alias("_valor"),
-        text.row_order(*_RAW_TIE).alias("_tie"),
+        text.number_order(*_RAW_TIE).alias("_tie"),
     )
     changed = ordered.padded_change_split(rows, "l_suppkey", "data", "_tie", {"_valor": out}, scale)
     return changed.select(*_RAW_TIE, "l_suppkey", gold.dates.date_key(F.col("data")).alias("sk_data"), out)

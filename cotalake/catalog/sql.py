@@ -12,9 +12,11 @@ def hash_key(text: str) -> str:
     return remainder
 
 
-def row_order(*columns: str) -> str:
-    parts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in columns)
-    return f"CAST('0x' || substr(md5(concat_ws('|', {parts})), 1, 8) AS BIGINT)"
+def number_order(*columns: str) -> str:
+    mixed = "CAST(0 AS BIGINT)"
+    for c in columns:
+        mixed = f"(({mixed} * 1000003 + {c} % 2147483648) % 2147483648)"
+    return f"(({mixed} * 2654435761) % 4294967296)"
 
 
 def date_key(day: str) -> str:

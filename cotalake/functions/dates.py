@@ -12,12 +12,8 @@ def date_key(day: Column) -> Column:
 
 
 def key_to_date(key: Column) -> Column:
-    """``YYYYMMDD`` back to a date; an impossible key becomes null. Arithmetic only, no text."""
-    year = F.floor(key / F.lit(10000)).cast("int")
-    month = F.floor(key / F.lit(100)).cast("int") % F.lit(100)
-    day = key % F.lit(100)
-    first = F.when(month.between(1, 12), F.make_date(year, F.when(month.between(1, 12), month), F.lit(1)))
-    return F.when((day >= 1) & (day <= F.dayofmonth(F.last_day(first))), F.date_add(first, (day - 1).cast("int")))
+    """``YYYYMMDD`` back to a date; an impossible key becomes null."""
+    return F.try_to_date(key.cast("string"), "yyyyMMdd")
 
 
 def month_key(key: Column) -> Column:

@@ -26,16 +26,15 @@ BEFORE_ALL = -(1 << 62)
 
 
 def _change(df: DataFrame, window, values: Mapping[str, str], scale: float) -> DataFrame:
+    """Window columns first, arithmetic after: each window function is evaluated once."""
     upto = window.rowsBetween(Window.unboundedPreceding, 0)
     before = window.rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumns(
-        {
-            out: ratio_change(
-                F.last(value, ignorenulls=True).over(upto), F.last(value, ignorenulls=True).over(before), scale
-            )
-            for value, out in values.items()
-        }
-    )
+    found = {}
+    for value in values:
+        found[f"_now_{value}"] = F.last(value, ignorenulls=True).over(upto)
+        found[f"_was_{value}"] = F.last(value, ignorenulls=True).over(before)
+    changes = {out: ratio_change(F.col(f"_now_{v}"), F.col(f"_was_{v}"), scale) for v, out in values.items()}
+    return df.withColumns(found).withColumns(changes).drop(*found)
 
 
 def padded_change(

@@ -69,20 +69,38 @@ def agg_fundo_periodo(
     return expand_periods(scored, periods).select(*first, *[c for c in scored.columns if c not in first])
 
 
-def with_age(fact: DataFrame) -> DataFrame:
-    """Adds ``data`` and ``idade_dias``: days from the row to its fund's last date.
+def _cut(days: int) -> str:
+    return f"_corte_{int(days)}"
 
-    The last dates have one row (a long and an int) per ``sk_fundo``, which lies
-    in [0, 1,000,000): that bounds the broadcast, and the fact is not shuffled.
+
+def with_cutoffs(fact: DataFrame, periods: Sequence[int]) -> DataFrame:
+    """Rows of the longest period, with ``data_referencia`` and each period's cut-off key.
+
+    A row is within N days of its fund's last date if its key exceeds the
+    fund's N-day cut-off. The cut-offs are worked out per fund, so that rows
+    only compare integers. They hold one row per ``sk_fundo``, which lies in
+    [0, 1,000,000): that bounds the broadcast, and the fact is not shuffled.
+    The lowest cut-off of all prunes the months of a partitioned fact.
     """
-    dated = fact.withColumn("data", dates.key_to_date(F.col("sk_data")))
-    last = fact.groupBy("sk_fundo").agg(F.max("sk_data").alias("data_referencia"))
-    joined = dated.join(F.broadcast(last), "sk_fundo")
-    return joined.withColumn("idade_dias", F.datediff(dates.key_to_date(F.col("data_referencia")), F.col("data")))
+    # The explicit null filter makes both uses of this aggregate the same plan, so that it runs once.
+    last = (
+        fact.filter(F.col("sk_fundo").isNotNull())
+        .groupBy("sk_fundo")
+        .agg(F.max("sk_data").alias("data_referencia"))
+        .withColumn("_reference", dates.key_to_date(F.col("data_referencia")))
+        .withColumns({_cut(p): dates.date_key(F.date_sub("_reference", int(p))) for p in periods})
+        .drop("_reference")
+    )
+    longest = _cut(max(periods))
+    lowest = last.agg(F.min(longest)).scalar()
+    recent = fact.filter(F.col("sk_data") > lowest)
+    if "ano_mes" in fact.columns:
+        recent = recent.filter(F.col("ano_mes") >= F.floor(lowest / F.lit(100)).cast("int"))
+    return recent.join(F.broadcast(last), "sk_fundo").filter(F.col("sk_data") > F.col(longest))
 
 
 def _within(days: int, value: Column) -> Column:
-    return F.when(F.col("idade_dias") < F.lit(int(days)), value)
+    return F.when(F.col("sk_data") > F.col(_cut(days)), value)
 
 
 def _per_period(df: DataFrame, keys: Sequence[str], columns: dict[str, dict[int, Column]], periods) -> DataFrame:
@@ -105,7 +123,7 @@ def kpi_trailing_period(fact: DataFrame, periods: Sequence[int] = tuple(schemas.
         "resgate_dia": "resgate_periodo",
         "fluxo_liquido_dia": "fluxo_liquido_periodo",
     }
-    recent = with_age(fact).filter(F.col("idade_dias") < F.lit(max(periods)))
+    recent = with_cutoffs(fact, periods)
     sums = [
         F.coalesce(numbers.money_sum(_within(p, F.col(source))), F.lit(0.0)).alias(f"{name}_{p}")
         for source, name in names.items()
@@ -118,7 +136,7 @@ def kpi_trailing_period(fact: DataFrame, periods: Sequence[int] = tuple(schemas.
 
 def _first_last(fact: DataFrame, value: str, periods: Sequence[int]) -> DataFrame:
     """First and last known value of each fund within each period."""
-    recent = with_age(fact).filter(F.col("idade_dias") < F.lit(max(periods)))
+    recent = with_cutoffs(fact, periods)
     known = F.when(F.col(value).isNotNull(), F.col("sk_data"))
     aggregates = []
     for p in periods:
@@ -158,19 +176,34 @@ def daily_totals(fact: DataFrame) -> DataFrame:
 
 
 def rolling_daily_kpi(fact: DataFrame, periods: Sequence[int] = tuple(schemas.PERIODS)) -> DataFrame:
-    """Trailing sums for every fund and day. One shuffle by fund serves all periods."""
+    """Trailing sums for every fund and day. One shuffle by fund serves all periods.
+
+    A window's sum is the running total minus the running total before the
+    window. Both are exact cents, and both frames only grow, so the work per
+    row does not depend on the length of the period.
+    """
     daily = daily_totals(fact).withColumn("_day", F.unix_date(dates.key_to_date(F.col("sk_data"))))
     ordered = Window.partitionBy("sk_fundo").orderBy("_day")
-    sums = {
-        f"{name}_{p}d": F.sum(source).over(ordered.rangeBetween(-(int(p) - 1), 0)).cast("double")
-        for p in periods
-        for source, name in (
-            ("captacao_dia", "captacao"),
-            ("resgate_dia", "resgate"),
-            ("fluxo_liquido_dia", "fluxo_liquido"),
-        )
+    upto = ordered.rowsBetween(Window.unboundedPreceding, 0)
+    sources = {"captacao_dia": "captacao", "resgate_dia": "resgate", "fluxo_liquido_dia": "fluxo_liquido"}
+    zero = F.lit(0).cast("decimal(29,2)")
+    running = {}
+    for source, name in sources.items():
+        running[f"_sum_{name}"] = F.coalesce(F.sum(source).over(upto), zero)
+        running[f"_n_{name}"] = F.count(source).over(upto)
+    totals = daily.withColumns(running).withColumn("_total", F.struct(*running))
+    earlier = {
+        f"_before_{p}": F.last("_total").over(ordered.rangeBetween(Window.unboundedPreceding, -int(p))) for p in periods
     }
-    return daily.select("sk_fundo", "sk_data", *[column.alias(name) for name, column in sums.items()])
+    compared = totals.withColumns(earlier)
+
+    def trailing(name: str, p: int) -> Column:
+        before = F.col(f"_before_{p}")
+        present = F.col(f"_n_{name}") > F.coalesce(before[f"_n_{name}"], F.lit(0))
+        change = F.col(f"_sum_{name}") - F.coalesce(before[f"_sum_{name}"], zero)
+        return F.when(present, change.cast("double")).alias(f"{name}_{p}d")
+
+    return compared.select("sk_fundo", "sk_data", *[trailing(name, p) for p in periods for name in sources.values()])
 
 
 def rank_funds(kpis: DataFrame, levels: DataFrame) -> DataFrame:
@@ -188,7 +221,7 @@ def rank_funds(kpis: DataFrame, levels: DataFrame) -> DataFrame:
 
 def period_profile(fact: DataFrame, periods: Sequence[int] = tuple(schemas.PERIODS)) -> DataFrame:
     """Equity statistics, first and last holders, first and last date and mean return per period."""
-    recent = with_age(fact).filter(F.col("idade_dias") < F.lit(max(periods)))
+    recent = with_cutoffs(fact, periods)
     equity, holders, change = (
         F.col("patrimonio_liquido_dia"),
         F.col("cotistas_dia"),

@@ -90,18 +90,23 @@ def with_history(position: DataFrame, keys: Sequence[str] = ("sk_cliente",), day
     ordered = Window.partitionBy(*keys).orderBy("data")
     last_days = ordered.rowsBetween(-(days - 1), 0)
     net = (F.col("aporte_dia") - F.col("resgate_dia")).cast("double")
-    inflow, redemption = F.sum("aporte_dia").over(last_days), F.sum("resgate_dia").over(last_days)
-    earlier = F.lag(F.col("saldo_dia").cast("double"), days).over(ordered)
-    gross = inflow + redemption
-    return position.withColumns(
+    looked_up = position.withColumns(
         {
-            "variacao_saldo_30d_pct": numbers.ratio_change(F.col("saldo_dia").cast("double"), earlier),
-            "resgates_30d_pct": F.when(
-                gross > 0, redemption.cast("double") / F.when(gross > 0, gross.cast("double"))
-            ).otherwise(F.lit(0.0)),
+            "_earlier": F.lag(F.col("saldo_dia").cast("double"), days).over(ordered),
+            "_gross": F.sum(F.col("aporte_dia") + F.col("resgate_dia")).over(last_days).cast("double"),
+            "_redeemed": F.sum("resgate_dia").over(last_days).cast("double"),
             "volatilidade_fluxo": F.stddev_samp(net).over(last_days),
+            "_day_number": F.row_number().over(ordered),
         }
     )
+    return looked_up.withColumns(
+        {
+            "variacao_saldo_30d_pct": numbers.ratio_change(F.col("saldo_dia").cast("double"), F.col("_earlier")),
+            "resgates_30d_pct": F.when(
+                F.col("_gross") > 0, F.col("_redeemed") / F.when(F.col("_gross") > 0, F.col("_gross"))
+            ).otherwise(F.lit(0.0)),
+        }
+    ).drop("_earlier", "_gross", "_redeemed")
 
 
 def _z(term: str) -> Column:
@@ -122,11 +127,10 @@ def client_risk(history: DataFrame, keys: Sequence[str] = ("sk_cliente",)) -> Da
     """
     change = F.col("variacao_saldo_30d_pct")
     drop = F.when(change.isNotNull() & (change < 0), F.least(-change, F.lit(1.0))).otherwise(F.lit(0.0))
-    since_start = F.row_number().over(Window.partitionBy(*keys).orderBy("data"))
     terms = history.withColumns(
         {
             "queda_saldo_30d_pct": drop,
-            "inatividade_dias": F.coalesce(F.col("dias_sem_movimentacao"), since_start).cast("double"),
+            "inatividade_dias": F.coalesce("dias_sem_movimentacao", "_day_number").cast("double"),
             "volatilidade_fluxo": F.coalesce(F.col("volatilidade_fluxo"), F.lit(0.0)),
         }
     )

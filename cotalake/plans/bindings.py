@@ -34,17 +34,16 @@ def report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items summed to one report row per supplier and day."""
+    """Line items summed to one report row per supplier and day, in whole cents."""
     returned = F.col("l_returnflag") == "R"
-    price = F.col("l_extendedprice").cast("decimal(19,2)")
-    zero = F.lit(0).cast("decimal(19,2)")
+    cents = F.rint(F.col("l_extendedprice") * 100).cast("long")
     return (
         table(spark, sf_dir, "lineitem")
         .groupBy("l_suppkey", F.col("l_shipdate").cast("date").alias("DT_COMPTC"))
         .agg(
-            F.sum(F.col("l_quantity").cast("decimal(19,2)")).cast("double").alias("VL_PATRIM_LIQ"),
-            F.sum(F.when(~returned, price).otherwise(zero)).cast("double").alias("CAPTC_DIA"),
-            F.sum(F.when(returned, price).otherwise(zero)).cast("double").alias("RESG_DIA"),
+            (F.sum(F.rint(F.col("l_quantity") * 100).cast("long")) / 100).alias("VL_PATRIM_LIQ"),
+            (F.sum(F.when(~returned, cents).otherwise(F.lit(0))) / 100).alias("CAPTC_DIA"),
+            (F.sum(F.when(returned, cents).otherwise(F.lit(0))) / 100).alias("RESG_DIA"),
             F.countDistinct("l_orderkey").cast("double").alias("NR_COTST"),
         )
         .withColumn("CNPJ_FUNDO_CLASSE", F.lpad(F.col("l_suppkey").cast("string"), 9, "0"))

@@ -104,7 +104,11 @@ def dim_fundo_full(classes: DataFrame, funds: DataFrame, attributes: Sequence[st
 
 
 def report_rows(report: DataFrame, variant: str = "local") -> DataFrame:
-    """Daily report under standard names, typed, rows without CNPJ or date dropped."""
+    """Daily report under standard names, typed, rows without CNPJ or date dropped.
+
+    A CNPJ without digits is left as an empty text, which no dimension row has:
+    the join drops it and the report of unmatched rows shows it.
+    """
     names = report.columns
     cloud = variant == "cloud"
     cnpj = resolve_column(names, schemas.REPORT_CNPJ_CLOUD if cloud else schemas.REPORT_CNPJ)
@@ -126,12 +130,11 @@ def report_rows(report: DataFrame, variant: str = "local") -> DataFrame:
         value = F.col(f"`{source}`")
         return numbers.to_number(value) if types[source] == "string" else value.cast("double")
 
-    rows = report.select(
+    return report.filter(F.col(f"`{cnpj}`").isNotNull() & parsed.isNotNull()).select(
         text.normalize_cnpj(F.col(f"`{cnpj}`")).alias(CNPJ),
         parsed.alias("data"),
         *[number(source).alias(name) for name, source in picks.items()],
     )
-    return cleaning.drop_critical_nulls(rows, [CNPJ, "data"]).filter(F.length(CNPJ) > 0)
 
 
 VARIATIONS = {

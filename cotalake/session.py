@@ -19,6 +19,9 @@ def build_session(app: str = "cotalake", cores: str = "*", shuffle_partitions: i
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.adaptive.enabled", "true")
+        # Small data on one machine: smaller writer tasks, no call-site capture per expression.
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16m")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for name, value in conf.items():
         builder = builder.config(name.replace("__", "."), value)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cotalake.catalog import sql
 from cotalake.catalog.registry import query
+from cotalake.functions import dates
 from cotalake.operators import relationship as rel
 from cotalake.plans import bindings
 
@@ -134,4 +135,5 @@ def risk_weekly_trend(spark, sf_dir):
     FROM risco WHERE sk_data = (SELECT max(sk_data) FROM risco) ORDER BY risco.valor_em_risco DESC, sk_cliente LIMIT 20""",
 )
 def top_clients_at_risk(spark, sf_dir):
-    return rel.top_clients_at_risk(_risk(spark, sf_dir), 20)
+    last = bindings.movements(spark, sf_dir).agg(dates.date_key(F.max("data").cast("date"))).scalar()
+    return rel.top_clients_at_risk(_risk(spark, sf_dir), 20, last)

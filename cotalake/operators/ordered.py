@@ -21,7 +21,6 @@ from cotalake.functions.numbers import ratio_change
 
 MAX_CHUNK_ROWS = 1_000_000
 MAX_SPLIT_MONTHS = 100_000
-SLICE_BITS = 24
 BEFORE_ALL = -(1 << 62)
 
 
@@ -53,26 +52,29 @@ def mark_chunks(df: DataFrame, key: str, day: str, tie: str, max_rows: int = MAX
     """Add ``_chunk_day``, ``_chunk_slice`` and ``_order``.
 
     A month with more rows than ``max_rows`` and than 1/100,000 of the table is
-    cut by day and by the leading bits of the tie number. There are fewer than
-    100,000 such months by definition, which bounds the broadcast.
+    cut by day and by the leading bits of the tie number, as many of them as
+    its size calls for, even if all its rows fall on one day. There are fewer
+    than 100,000 such months by definition, which bounds the broadcast.
     """
     month = F.trunc(F.col(day), "month")
     sizes = df.groupBy(F.col(key).alias("_key"), month.alias("_month")).agg(F.count(F.lit(1)).alias("_n"))
     share = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0)) / F.lit(MAX_SPLIT_MONTHS)).scalar()
+    slice_bits = F.least(F.ceil(F.log2(F.col("_n") * 8 / F.lit(max_rows))), F.lit(20))
     large = sizes.filter((F.col("_n") > F.lit(max_rows)) & (F.col("_n") > share)).select(
-        "_key", "_month", F.lit(True).alias("_large")
+        "_key", "_month", (F.lit(32) - slice_bits).cast("int").alias("_shift")
     )
     marked = df.withColumn("_day_month", month).join(
         F.broadcast(large), (F.col(key) == F.col("_key")) & (F.col("_day_month") == F.col("_month")), "left"
     )
-    split = F.coalesce(F.col("_large"), F.lit(False))
+    split = F.col("_shift").isNotNull()
+    leading = F.call_function("shiftright", F.col(tie), F.col("_shift"))
     return marked.withColumns(
         {
             "_chunk_day": F.when(split, F.col(day)).otherwise(F.col("_day_month")),
-            "_chunk_slice": F.when(split, F.shiftright(F.col(tie), SLICE_BITS)).otherwise(F.lit(0).cast("long")),
+            "_chunk_slice": F.when(split, leading).otherwise(F.lit(0).cast("long")),
             "_order": chunk_order(F.col(day), F.col(tie)),
         }
-    ).drop("_key", "_month", "_large", "_day_month")
+    ).drop("_key", "_month", "_shift", "_day_month")
 
 
 def chunk_summary(marked: DataFrame, key: str, values: Mapping[str, str]) -> DataFrame:

@@ -240,9 +240,12 @@ def risk_weekly_trend(risk: DataFrame) -> DataFrame:
     return risk.groupBy(dates.date_key(week).alias("semana")).agg(F.avg("score_risco").alias("risco_medio"))
 
 
-def top_clients_at_risk(risk: DataFrame, n: int = 20) -> DataFrame:
-    """Top N by value at risk on the last day; a top-N sort, not a full sort."""
-    last = risk.agg(F.max("sk_data")).scalar()
+def top_clients_at_risk(risk: DataFrame, n: int = 20, day: Column | None = None) -> DataFrame:
+    """Top N by value at risk on ``day`` (default: the last one); a top-N sort, not a full sort.
+
+    Pass the day key where it is known: finding the last day reads the risk table once more.
+    """
+    last = risk.agg(F.max("sk_data")).scalar() if day is None else day
     return (
         risk.filter(F.col("sk_data") == last)
         .select("sk_cliente", "sk_data", "score_risco", "nivel_risco", "valor_em_risco")

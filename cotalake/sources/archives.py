@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cotalake.sources import delimited
+
 LINES = "arquivo string, membro string, linha_no bigint, texto string, tipo string, erro string"
 COLUMNS = [c.split()[0] for c in LINES.split(", ")]
 BATCH_LINES = 20_000
@@ -20,34 +22,43 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
 
 
 def _open_archive(name: str, content: bytes, encoding: str) -> Iterator[pd.DataFrame]:
-    """Lines in batches, so that memory does not grow with the member."""
+    """Lines in batches, so that memory does not grow with the member.
+
+    Every member is checked before the first line goes out: a damaged archive
+    yields its error row and nothing else.
+    """
     try:
-        with zipfile.ZipFile(io.BytesIO(content)) as archive:
-            members = [m for m in archive.infolist() if not m.is_dir()]
-            for member in members:
-                if not member.filename.lower().endswith(".csv"):
-                    yield _frame([(name, member.filename, None, None, "ignorado", None)])
-                    continue
-                rows: list[tuple] = []
-                with archive.open(member) as raw:
-                    for number, line in enumerate(io.TextIOWrapper(raw, encoding=encoding, newline="\n")):
-                        rows.append((name, member.filename, number, line.rstrip("\r\n"), "linha", None))
-                        if len(rows) == BATCH_LINES:
-                            yield _frame(rows)
-                            rows = []
-                if rows:
-                    yield _frame(rows)
-            yield _frame([(name, None, None, None, "arquivo", None)])
+        archive = zipfile.ZipFile(io.BytesIO(content))
+        damaged = archive.testzip()
+        if damaged is not None:
+            raise zipfile.BadZipFile(f"damaged member {damaged}")
     except Exception as problem:  # a bad archive is reported, the others go on
         yield _frame([(name, None, None, None, "erro", f"{type(problem).__name__}: {problem}")])
+        return
+    with archive:
+        for member in archive.infolist():
+            if member.is_dir():
+                continue
+            if not member.filename.lower().endswith(".csv"):
+                yield _frame([(name, member.filename, None, None, "ignorado", None)])
+                continue
+            rows: list[tuple] = []
+            with archive.open(member) as raw:
+                for number, line in enumerate(io.TextIOWrapper(raw, encoding=encoding, newline="\n")):
+                    rows.append((name, member.filename, number, line.rstrip("\r\n"), "linha", None))
+                    if len(rows) == BATCH_LINES:
+                        yield _frame(rows)
+                        rows = []
+            if rows:
+                yield _frame(rows)
+    yield _frame([(name, None, None, None, "arquivo", None)])
 
 
 def expand_archives(archives: DataFrame, name: str = "path", content: str = "content", encoding: str = "latin-1") -> DataFrame:
     """One row per line of every CSV member, plus marker rows in ``tipo``.
 
     ``linha``: a line; ``ignorado``: a member that is not CSV; ``arquivo``: an
-    archive read to its end; ``erro``: one that could not be. Lines of an
-    archive that broke half-way are to be excluded with :func:`csv_lines`.
+    archive that was read; ``erro``: one that could not be.
     """
 
     def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -69,11 +80,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
 
 def csv_lines(expanded: DataFrame) -> DataFrame:
-    """Lines of archives that were read to their end."""
-    failed = expanded.filter("tipo = 'erro'").select("arquivo").distinct()
-    return expanded.filter("tipo = 'linha'").join(failed, "arquivo", "left_anti").select(
-        "arquivo", "membro", "linha_no", "texto"
-    )
+    return expanded.filter("tipo = 'linha'").select("arquivo", "membro", "linha_no", "texto")
 
 
 def archive_counters(expanded: DataFrame) -> DataFrame:
@@ -83,3 +90,28 @@ def archive_counters(expanded: DataFrame) -> DataFrame:
         F.count_if(F.col("tipo") == "erro").alias("arquivos_invalidos"),
         F.count_if(F.col("tipo") == "ignorado").alias("membros_ignorados"),
     )
+
+
+def member_table(lines: DataFrame, term: str, file_name_as: str | None = None) -> DataFrame | None:
+    """The members whose name contains ``term`` as one all-string table, or None without any.
+
+    Line 0 of a member is its header, and the members of one header are parsed
+    together. The driver sees the header lines only, one per member.
+    """
+    chosen = lines.filter(F.contains(F.lower("membro"), F.lit(term.lower())))
+    groups: dict[tuple[str, str], list[str]] = {}
+    headers = chosen.filter("linha_no = 0").select(
+        "membro", "texto", delimited.separator_of(F.col("texto")).alias("separador")
+    )
+    for row in headers.distinct().collect():
+        groups.setdefault((row["texto"], row["separador"]), []).append(row["membro"])
+    table: DataFrame | None = None
+    for (header, sep), members in sorted(groups.items()):
+        rows = chosen.filter(F.col("membro").isin(members) & (F.col("linha_no") > 0) & (F.length("texto") > 0))
+        part = delimited.parse_lines(rows, "texto", delimited.header_names(header, sep), sep, "membro")
+        if file_name_as:
+            part = part.withColumnRenamed("membro", file_name_as)
+        else:
+            part = part.drop("membro")
+        table = part if table is None else table.unionByName(part, allowMissingColumns=True)
+    return table

@@ -30,22 +30,22 @@ def _or_null(name: str, texts: Sequence[str] = tuple(schemas.NA_TEXTS)) -> Colum
     return F.when(~value.isin(list(texts)), value).alias(name)
 
 
-def missing_to_null(df: DataFrame, texts: Sequence[str] = tuple(schemas.NA_TEXTS)) -> DataFrame:
-    """The texts a delimited reader takes as missing become null."""
-    return df.select(*[_or_null(c, texts) for c in df.columns])
-
-
 def scan_delimited(
     spark: SparkSession, path: str | Sequence[str], sep: str = ";", encoding: str = LATIN1,
-    names: Sequence[str] | None = None, skip_unreadable: bool = False,
+    names: Sequence[str] | None = None, skip_unreadable: bool = False, file_name_as: str | None = None,
 ) -> DataFrame:
-    """All-string scan of files with one common header. No inference pass over the data."""
+    """All-string scan of files with one common header. No inference pass over the data.
+
+    ``file_name_as`` adds the name of the file each row came from.
+    """
     reader = spark.read.options(
         header=True, ignoreCorruptFiles=skip_unreadable, ignoreMissingFiles=skip_unreadable, **_quoting(sep, encoding)
     )
     if names is not None:
         reader = reader.schema(_text_columns(names))
-    return missing_to_null(reader.csv(path if isinstance(path, str) else list(path)))
+    scanned = reader.csv(path if isinstance(path, str) else list(path))
+    origin = [F.col("_metadata.file_name").alias(file_name_as)] if file_name_as else []
+    return scanned.select(*[_or_null(c) for c in scanned.columns], *origin)
 
 
 def first_lines(spark: SparkSession, path: str | Sequence[str], encoding: str = LATIN1) -> DataFrame:
@@ -88,7 +88,8 @@ def header_names(line: str, sep: str) -> list[str]:
 
 
 def scan_union_by_name(
-    spark: SparkSession, path: str | Sequence[str], encoding: str = LATIN1, skip_unreadable: bool = True
+    spark: SparkSession, path: str | Sequence[str], encoding: str = LATIN1, skip_unreadable: bool = True,
+    file_name_as: str | None = None,
 ) -> DataFrame:
     """Files with their own separators and column orders, appended by column name.
 
@@ -96,17 +97,25 @@ def scan_union_by_name(
     Spark file scan does; no data row passes through it.
     """
     groups: dict[tuple[str, str], list[str]] = {}
-    for row in sniff_separator(spark, path, encoding).toLocalIterator():
+    for row in sniff_separator(spark, path, encoding).collect():
         groups.setdefault((row["linha"], row["separador"]), []).append(row["arquivo"])
     if not groups:
         raise FileNotFoundError(f"no readable file under {path}")
     union: DataFrame | None = None
     for (line, sep), files in sorted(groups.items()):
-        part = scan_delimited(spark, files, sep, encoding, header_names(line, sep), skip_unreadable)
+        part = scan_delimited(spark, files, sep, encoding, header_names(line, sep), skip_unreadable, file_name_as)
         union = part if union is None else union.unionByName(part, allowMissingColumns=True)
     return union
 
 
+def parse_lines(lines: DataFrame, text: str, names: Sequence[str], sep: str, *keep: str) -> DataFrame:
+    """Whole lines to all-string columns; ``keep`` columns pass through."""
+    places = [f"_c{i}" for i in range(len(names))]
+    fields = F.from_csv(F.col(text), ", ".join(f"{c} string" for c in places), {"sep": sep, "quote": '"', "escape": '"'})
+    split = lines.select(*keep, fields.alias("_fields")).select(*keep, *[F.col(f"_fields.{c}") for c in places])
+    return split.toDF(*keep, *names).select(*keep, *[_or_null(n) for n in names])
+
+
 def scan_tolerant(
     spark: SparkSession, path: str | Sequence[str], names: Sequence[str], sep: str = ";", encoding: str = LATIN1
 ) -> DataFrame:

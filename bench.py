@@ -1,6 +1,6 @@
 """Headline queries at one scale; prints one JSON line.
 
-Each query is run once to warm up and then BENCH_RUNS times (default 3); the
+Each query is run once to warm up and then BENCH_RUNS times (default 2); the
 median counts. ``gold_*`` queries read a materialized fact, as a dashboard
 does; the others start from the supplied tables. Results go to the no-op sink,
 so every row and column is computed.
@@ -54,7 +54,7 @@ FROM_GOLD = {
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = build_session("bench", cpus, int(cpus) if cpus.isdigit() else 8)
     spark.sparkContext.setLogLevel("ERROR")
 

@@ -147,6 +147,33 @@ def dim_fundo_full(spark, sf_dir):
     return gold.dim_fundo_full(classes, funds, ["gestor", "administrador", "forma_condominio"])
 
 
+@query(
+    "dim_cliente_simulado",
+    """WITH c AS (SELECT *, DATE '2026-04-19' - CAST(8000 + floor(c_acctbal) AS INTEGER) AS n FROM customer),
+    i AS (SELECT *, date_diff('day', n, DATE '2026-04-19') / 365.25 AS a FROM c)
+    SELECT c_custkey AS sk_cliente, 'CLI_' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS id_cliente, c_name AS nome_cliente,
+    n AS data_nascimento, CASE WHEN a > 20 AND a <= 30 THEN '21-30' WHEN a > 30 AND a <= 40 THEN '31-40'
+    WHEN a > 40 AND a <= 50 THEN '41-50' WHEN a > 50 AND a <= 60 THEN '51-60' WHEN a > 60 AND a <= 100 THEN '60+' END AS faixa_etaria,
+    c_mktsegment AS segmento, greatest(5000.0, c_acctbal) AS renda_estimada,
+    CASE WHEN c_acctbal >= 0 THEN 'ativo' ELSE 'inativo' END AS status_cliente, CAST(NULL AS VARCHAR) AS uf FROM i""",
+)
+def dim_cliente_simulado(spark, sf_dir):
+    """Customers as clients, born as many days before the reference date as their balance says."""
+    reference = F.lit("2026-04-19").cast("date")
+    clients = bindings.table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("sk_cliente"),
+        F.col("c_name").alias("nome_cliente"),
+        F.date_sub(reference, (F.floor("c_acctbal") + 8000).cast("int")).alias("data_nascimento"),
+        F.col("c_mktsegment").alias("segmento"),
+        F.col("c_acctbal").alias("renda_estimada"),
+        F.when(F.col("c_acctbal") >= 0, "ativo").otherwise("inativo").alias("status_cliente"),
+    )
+    return gold.dim_cliente(clients, reference, 5000).select(
+        "sk_cliente", "id_cliente", "nome_cliente", "data_nascimento", "faixa_etaria", "segmento", "renda_estimada",
+        "status_cliente", "uf",
+    )
+
+
 @query("fct_fundo_diario", f"WITH {sql.FACT} SELECT * FROM fct")
 def fct_fundo_diario(spark, sf_dir):
     return bindings.fact(spark, sf_dir)

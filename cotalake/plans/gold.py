@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cotalake import schemas
 from cotalake.functions import dates, numbers, text
-from cotalake.operators import cleaning, joins, ordered
+from cotalake.operators import cleaning, joins, ordered, relationship
 from cotalake.operators.resolve import (
     Wanted,
     project_adaptive,
@@ -103,6 +103,33 @@ def dim_fundo_full(classes: DataFrame, funds: DataFrame, attributes: Sequence[st
     )
 
 
+CLIENT_COLUMNS = {
+    "perfil_risco": "string", "segmento": "string", "uf": "string", "cidade": "string", "renda_estimada": "double",
+    "patrimonio_estimado": "double", "data_inicio_relacionamento": "date", "canal_origem": "string", "status_cliente": "string",
+}
+
+
+def dim_cliente(clients: DataFrame, reference: Column, minimum_income: float = 20_000) -> DataFrame:
+    """Client dimension: business id, age band on the reference date, income not below the minimum.
+
+    ``clients`` brings sk_cliente, nome_cliente, data_nascimento and any of the
+    remaining columns; those it lacks become null.
+    """
+    rest = [
+        (F.col(name).cast(kind) if name in clients.columns else F.lit(None).cast(kind)).alias(name)
+        for name, kind in CLIENT_COLUMNS.items()
+    ]
+    shaped = clients.select(
+        "sk_cliente",
+        text.business_id(F.col("sk_cliente")).alias("id_cliente"),
+        "nome_cliente",
+        "data_nascimento",
+        relationship.age_band(dates.age_in_years(F.col("data_nascimento"), reference)).alias("faixa_etaria"),
+        *rest,
+    )
+    return shaped.withColumn("renda_estimada", numbers.floor_value(F.col("renda_estimada"), minimum_income))
+
+
 def report_rows(report: DataFrame, variant: str = "local") -> DataFrame:
     """Daily report under standard names, typed, rows without CNPJ or date dropped.
 

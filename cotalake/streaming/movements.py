@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,26 +48,22 @@ def _append_new(batch: DataFrame, path: str) -> None:
     days = [r["dia"] for r in unique.select("dia").distinct().collect()]
     if not days:
         return
-    fresh = unique
-    try:
-        known = spark.read.schema(unique.schema).parquet(path)
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        known = None  # first batch: the table does not exist yet
-    if known is not None:
-        same_day = F.col("dia").isin([d for d in days if d is not None])
-        held = known.filter(same_day | F.col("dia").isNull() if None in days else same_day)
-        match = None
-        for name in unique.columns:
-            equal = F.col(f"a.{name}").eqNullSafe(F.col(f"b.{name}"))
-            match = equal if match is None else match & equal
-        fresh = unique.alias("a").join(held.alias("b"), match, "left_anti")
+    same_day = F.col("dia").isin([d for d in days if d is not None])
+    held = spark.read.schema(unique.schema).parquet(path).filter(
+        same_day | F.col("dia").isNull() if None in days else same_day
+    )
+    match = None
+    for name in unique.columns:
+        equal = F.col(f"a.{name}").eqNullSafe(F.col(f"b.{name}"))
+        match = equal if match is None else match & equal
+    fresh = unique.alias("a").join(held.alias("b"), match, "left_anti")
     fresh.hint("rebalance", "dia").write.mode("append").partitionBy("dia").parquet(path)
 
 
 def ledger_ingest(spark: SparkSession, landing: str, path: str, checkpoint: str, files_per_batch: int | None = None) -> None:
     """Land every distinct movement once in a table partitioned by day."""
+    empty = spark.createDataFrame([], MOVEMENT).withColumn("dia", F.col("data").cast("date"))
+    empty.write.mode("ignore").partitionBy("dia").parquet(path)
     writer = read_movements(spark, landing, files_per_batch).writeStream.foreachBatch(
         lambda batch, _id: _append_new(batch, path)
     )

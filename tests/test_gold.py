@@ -251,3 +251,13 @@ def test_month_filter_prunes(spark, tmp_path):
     assert [r["v"] for r in filtered.collect()] == [2]
     plan = filtered._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ano_mes" in plan
+
+
+def test_client_dimension(spark):
+    clients = spark.createDataFrame(
+        [(7, "Ana", dt.date(1990, 1, 1), 100.0)], "sk_cliente bigint, nome_cliente string, data_nascimento date, renda_estimada double"
+    )
+    got = gold.dim_cliente(clients, F.lit("2024-01-01").cast("date"))
+    assert len(got.columns) == 14
+    r = got.first()
+    assert (r["id_cliente"], r["faixa_etaria"], r["renda_estimada"], r["uf"]) == ("CLI_0000007", "31-40", 20000.0, None)

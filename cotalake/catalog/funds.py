@@ -321,13 +321,12 @@ def rolling_daily_kpi(spark, sf_dir):
 
 @query(
     "rank_funds",
-    f"""WITH {_TRAILING.replace('periodos AS', 'periodos0 AS').replace('JOIN periodos ', 'JOIN periodos0 ')},
-    {sql.TOTALS.strip().split('periodos AS')[0].rstrip().rstrip(',')},
-    nivel AS (SELECT sk_fundo, least(100.0, greatest(0.0, abs(vp) * 0.5 + abs(vc) * 0.5)) AS s FROM totais
-              WHERE vp IS NOT NULL AND vc IS NOT NULL)
+    f"""WITH {_TRAILING},
+    nivel AS (SELECT sk_fundo, abs(avg(variacao_pl_dia_pct)) * 0.5 + abs(avg(variacao_cotistas_dia_pct)) * 0.5 AS s
+              FROM fct GROUP BY 1)
     SELECT k.periodo, k.sk_fundo, k.fluxo_liquido_periodo,
       CAST(rank() OVER (PARTITION BY k.periodo ORDER BY k.fluxo_liquido_periodo DESC) AS INTEGER) AS posicao,
-      {'CASE WHEN s > 0 AND s <= 25 THEN ' + repr('baixo') + ' WHEN s > 25 AND s <= 50 THEN ' + repr('medio') + ' WHEN s > 50 THEN ' + repr('alto') + ' END'} AS nivel_risco_fundo
+      CASE WHEN s > 0 AND s <= 25 THEN 'baixo' WHEN s > 25 AND s <= 50 THEN 'medio' WHEN s > 50 THEN 'alto' END AS nivel_risco_fundo
     FROM kpi k LEFT JOIN nivel n USING (sk_fundo)""",
 )
 def rank_funds(spark, sf_dir):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cotalake.catalog import sql
 from cotalake.catalog.registry import query
 from cotalake.functions import dates, numbers, text
-from cotalake.operators import cleaning, periods, relationship
+from cotalake.operators import cleaning, periods, quality, relationship
 from cotalake.operators.resolve import (
     Wanted,
     column_mapping_report as mapping_report,
@@ -291,6 +291,28 @@ def coerce_daily_report(spark, sf_dir):
     return typed.select("o_orderkey", dates.date_key(F.col("DT_COMPTC")).alias("sk_data"), "VL_PATRIM_LIQ", "CAPTC_DIA")
 
 
+_LOSSES = """CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END AS nulo,
+    CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS vazio,
+    CASE WHEN o_orderstatus <> 'P' AND o_orderpriority = '5-LOW' THEN 1 ELSE 0 END AS data_ruim"""
+
+
+@query(
+    "report_losses",
+    f"""SELECT count(*) AS registros, CAST(sum(nulo) AS BIGINT) AS sem_cnpj, CAST(sum(vazio) AS BIGINT) AS cnpj_sem_digitos,
+    CAST(sum(data_ruim) AS BIGINT) AS data_invalida, CAST(sum(1 - nulo - vazio - data_ruim) AS BIGINT) AS aproveitados
+    FROM (SELECT {_LOSSES} FROM orders)""",
+)
+def report_losses(spark, sf_dir):
+    """Orders as report rows: P without a tax id, some F with one that has no digits, 5-LOW with a broken date."""
+    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
+    blank = (status == "F") & (priority == "1-URGENT")
+    report = bindings.table(spark, sf_dir, "orders").select(
+        F.when(blank, "--").when(status != "P", F.col("o_custkey").cast("string")).alias("CNPJ_FUNDO_CLASSE"),
+        F.when(priority == "5-LOW", "ontem").otherwise(F.col("o_orderdate").cast("date").cast("string")).alias("DT_COMPTC"),
+    )
+    return quality.report_losses(report)
+
+
 # ---- scalar expressions ----
 
 
@@ -335,7 +357,7 @@ def net_flow(spark, sf_dir):
 
 @query(
     "source_flag",
-    f"WITH {sql.FACT} SELECT flag_base_real, count(*) AS registros FROM fct GROUP BY 1 UNION ALL SELECT false, 0 WHERE 1 = 0",
+    f"WITH {sql.FACT} SELECT flag_base_real, count(*) AS registros FROM fct GROUP BY 1",
 )
 def source_flag(spark, sf_dir):
     return bindings.fact(spark, sf_dir).groupBy("flag_base_real").agg(F.count(F.lit(1)).alias("registros"))

@@ -53,9 +53,13 @@ def stream_ledger_ingest(spark, sf_dir):
 )
 def stream_daily_flow(spark, sf_dir):
     """Days the watermark has closed; the last ones stay open."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     landing, path, checkpoint = _land_movements(spark, sf_dir), scratch_path(spark, "flow"), scratch_path(spark, "ckpt")
-    movements.daily_flow_table(spark, landing, path, checkpoint)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "UTC")  # a day is a UTC day
+    try:
+        movements.daily_flow_table(spark, landing, path, checkpoint)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
     flows = spark.read.parquet(path)
     return flows.select(
         bindings.gold.dates.date_key(F.col("dia")).alias("sk_data"), "fk_classe", "aplicacao", "resgate", "liquido", "movimentos"

@@ -7,7 +7,10 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cotalake import schemas
+from cotalake.functions import dates, text
 from cotalake.functions.numbers import missing
+from cotalake.operators.resolve import resolve_column
 
 
 def violations(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
@@ -101,3 +104,21 @@ def dq_simulation_rules(positions: DataFrame, risk: DataFrame, equity: DataFrame
             )
         )
     )
+
+
+def report_losses(report: DataFrame) -> DataFrame:
+    """What the fact builder will not use of a daily report, each row under its first reason, in one pass."""
+    cnpj = F.col(f"`{resolve_column(report.columns, schemas.REPORT_CNPJ_CLOUD)}`")
+    name = resolve_column(report.columns, schemas.REPORT_DATE)
+    day = F.col(f"`{name}`")
+    parsed = dates.parse_report_date(day) if dict(report.dtypes)[name] == "string" else day.cast("date")
+    reason = (
+        F.when(cnpj.isNull(), "sem_cnpj")
+        .when(F.length(text.normalize_cnpj(cnpj)) == 0, "cnpj_sem_digitos")
+        .when(parsed.isNull(), "data_invalida")
+        .otherwise("aproveitados")
+    )
+    kinds = ("sem_cnpj", "cnpj_sem_digitos", "data_invalida", "aproveitados")
+    return report.select(reason.alias("_reason")).agg(
+        F.count(F.lit(1)).alias("registros"), *[F.count_if(F.col("_reason") == k).alias(k) for k in kinds]
+    )

@@ -33,13 +33,16 @@ def _or_null(name: str, texts: Sequence[str] = tuple(schemas.NA_TEXTS)) -> Colum
 def scan_delimited(
     spark: SparkSession, path: str | Sequence[str], sep: str = ";", encoding: str = LATIN1,
     names: Sequence[str] | None = None, skip_unreadable: bool = False, file_name_as: str | None = None,
+    multiline: bool = False,
 ) -> DataFrame:
     """All-string scan of files with one common header. No inference pass over the data.
 
     ``file_name_as`` adds the name of the file each row came from.
+    ``multiline`` allows line breaks inside quoted fields, but then a file
+    cannot be split and is read by one task; leave it off for large files.
     """
     reader = spark.read.options(
-        header=True, ignoreCorruptFiles=skip_unreadable, ignoreMissingFiles=skip_unreadable, **_quoting(sep, encoding)
+        header=True, multiLine=multiline, ignoreCorruptFiles=skip_unreadable, ignoreMissingFiles=skip_unreadable, **_quoting(sep, encoding)
     )
     if names is not None:
         reader = reader.schema(_text_columns(names))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cotalake.functions import numbers
+from cotalake.operators.joins import redemption_alert
 from cotalake.schemas import MOVEMENT
 
 
@@ -102,3 +103,9 @@ def daily_flow_table(
 ) -> None:
     flows = daily_flow(read_movements(spark, landing, files_per_batch), keys)
     run_available(flows.writeStream.format("parquet").outputMode("append").option("path", path), checkpoint)
+
+
+def flow_alerts(flows: DataFrame, equity: DataFrame, thresholds: DataFrame) -> DataFrame:
+    """Redemption alerts on daily flows, streamed or not. ``equity``: classe, patrimonio_liquido_dia."""
+    daily = flows.select(F.col("fk_classe").alias("classe"), "dia", F.col("resgate").alias("resgate_dia"))
+    return redemption_alert(daily.join(equity, "classe"), thresholds)

@@ -13,6 +13,12 @@ from cotalake.sinks import writers
 from cotalake.sources import archives, delimited, listing, objects
 
 
+def test_line_breaks_inside_fields(spark, tmp_path, rows):
+    df = spark.createDataFrame([("a\nb", "1"), ("c", "2")], "t string, v string")
+    writers.sink_csv(df, str(tmp_path / "x"))
+    assert rows(delimited.scan_delimited(spark, str(tmp_path / "x"), encoding="UTF-8", multiline=True)) == rows(df)
+
+
 @pytest.mark.parametrize("line, sep", [("A;B", ";"), ("A,B", ","), ("A", ","), ("A;B,C", ","), ("", ","), (None, ",")])
 def test_separator(spark, line, sep):
     df = spark.createDataFrame([(line,)], "l string")

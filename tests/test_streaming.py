@@ -62,6 +62,20 @@ def test_daily_flow_of_a_table_equals_the_stream(spark, feed, rows):
     assert rows(streamed, *batch.columns) == rows(batch)
 
 
+def test_alerts_on_the_stream(spark, feed, rows):
+    landing, drop, out, checkpoint = feed
+    drop("1,7,1,R,30.00,2024-01-01 10:00:00", "1,8,1,R,10.00,2024-01-01 10:00:00", "1,7,1,R,1.00,2024-01-03 10:00:00")
+    equity = spark.createDataFrame([(7, 100.0), (8, 100.0)], "classe bigint, patrimonio_liquido_dia double")
+    limits = spark.createDataFrame(
+        [(7, "ALTA_RESGATE_PORCENTAGEM", "0.20"), (8, "ALTA_RESGATE_PORCENTAGEM", "0.20")],
+        "fk_registro_classe bigint, nome string, valor string",
+    )
+    alerts = movements.flow_alerts(movements.daily_flow(movements.read_movements(spark, landing)), equity, limits)
+    movements.run_available(alerts.writeStream.format("parquet").outputMode("append").option("path", out), checkpoint)
+    got = rows(spark.read.parquet(out), "classe", "dia", "proporcao_resgate", "limite")
+    assert got == [(7, dt.date(2024, 1, 1), 0.3, 0.2)]
+
+
 REPORT = "CNPJ_FUNDO_CLASSE string, DT_COMPTC date, VL_PATRIM_LIQ double, CAPTC_DIA double, RESG_DIA double, NR_COTST double"
 
 

@@ -134,6 +134,22 @@ def test_sinks_round_trip(spark, tmp_path, rows):
     assert spark.read.parquet(str(tmp_path / "m")).count() == 1
 
 
+def test_large_month_is_written_by_several_tasks(spark, tmp_path):
+    """A third of all rows in one month, and far more of it than one task should write."""
+    df = spark.range(400_000).select(
+        F.when(F.col("id") % 3 == 0, 20240101).otherwise((202402 + F.col("id") % 10).cast("int") * 100 + 1).cast("int").alias("sk_data"),
+        F.sha2(F.col("id").cast("string"), 256).alias("t"),
+    )
+    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
+    try:
+        writers.sink_partitioned_month(df, str(tmp_path / "m"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
+    files = list((tmp_path / "m" / "ano_mes=202401").glob("*.parquet"))
+    assert len(files) > 1 and spark.read.parquet(str(tmp_path / "m")).count() == 400_000
+
+
 def test_each_file_is_cleaned_apart(spark, tmp_path, rows):
     for name in ("inf_1", "inf_2"):
         (tmp_path / f"{name}.csv").write_text("A;B\n1; x\n1;x \n")

@@ -49,20 +49,23 @@ def allocate(leaves: DataFrame, budget: Column, weights: Mapping[str, Mapping[st
             children = children.join(shares, parents)  # noqa: F821  the level above
         else:
             children = children.withColumn("budget", budget.cast(_WIDE))
-        # By how soon a child is full: those before it have taken all they can.
-        order = Window.partitionBy(*parents).orderBy((F.col("cap") / F.col("w")).cast("double"), level)
-        before = order.rowsBetween(Window.unboundedPreceding, -1)
-        after = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-        group = Window.partitionBy(*parents)
+        # By how soon a child is full: those before it have taken all they can. Sums before a child come from one window.
         nothing = F.lit(0).cast(_WIDE)
-        children = children.withColumn("left", F.greatest(F.col("budget") - F.coalesce(F.sum("cap").over(before).cast(_WIDE), nothing), nothing))
-        children = children.withColumn("shared", F.sum("w").over(after).cast(_WIDE))
-        children = children.withColumn("full", (F.col("cap") * F.col("shared")).cast(_WIDE) <= (F.col("left") * F.col("w")).cast(_WIDE))
-        rest = F.col("budget") - F.coalesce(F.sum(F.when(F.col("full"), F.col("cap"))).over(group).cast(_WIDE), nothing)
-        open_weight = F.sum(F.when(~F.col("full"), F.col("w"))).over(group).cast(_WIDE)
-        children = children.withColumn("rest", F.greatest(rest, nothing).cast(_WIDE)).withColumn("open", open_weight)
+        group = Window.partitionBy(*parents)
+        before = group.orderBy((F.col("cap") / F.col("w")).cast("double"), level).rowsBetween(Window.unboundedPreceding, -1)
+        children = children.withColumns({
+            "left": F.greatest(F.col("budget") - F.coalesce(F.sum("cap").over(before).cast(_WIDE), nothing), nothing),
+            "passed": F.coalesce(F.sum("w").over(before).cast(_WIDE), nothing),
+            "all": F.sum("w").over(group).cast(_WIDE),
+        })
+        full = (F.col("cap") * (F.col("all") - F.col("passed"))).cast(_WIDE) <= (F.col("left") * F.col("w")).cast(_WIDE)
+        children = children.withColumn("full", full)
+        children = children.withColumns({
+            "rest": F.greatest(F.col("budget") - F.coalesce(F.sum(F.when(F.col("full"), F.col("cap"))).over(group).cast(_WIDE), nothing), nothing).cast(_WIDE),
+            "open": F.sum(F.when(~F.col("full"), F.col("w"))).over(group).cast(_WIDE),
+        })
         share = F.when(F.col("full"), F.col("cap").cast("long")).otherwise(F.expr("(rest * w) div open"))
-        shares = children.select(*path, share.cast(_WIDE).alias("budget"))
+        shares = written(children.select(*path, share.cast(_WIDE).alias("budget")), "mix_shares")
         parents = path
     return leaves.join(shares.withColumnRenamed("budget", "allocation"), list(LEVELS)).withColumn("allocation", F.col("allocation").cast("long"))
 
@@ -90,6 +93,7 @@ def mix(
     ).where("n_tokens > 0")
     counted = written(counted, "mix_tokens")
     leaves = counted.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("once")).withColumn("capacity", F.col("once") * F.lit(max_epochs))
+    leaves = written(leaves, "mix_leaves")
     total = leaves.agg(F.coalesce(F.sum("once"), F.lit(0))).first()[0]
     budget = total * budget_share[0] // budget_share[1]
     plan = allocate(leaves, F.lit(budget), weights or {})
@@ -97,21 +101,25 @@ def mix(
     plan = written(plan.where("whole > 0 or part > 0"), "mix_plan")
 
     rows = counted.join(plan, list(LEVELS))
-    out = ["doc_id", *LEVELS, "n_tokens", "epoch", "taken"]
-    whole = rows.where("whole > 0").withColumn("epoch", F.explode(F.sequence(F.lit(1).cast("long"), F.col("whole")))).withColumn("taken", F.col("n_tokens")).select(*out)
-
-    key = F.md5(F.concat_ws("|", F.lit(seed), F.col("epoch"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
-    last = rows.where("part > 0").withColumn("epoch", F.col("whole") + 1).withColumn("key", key).withColumn("range", F.substring("key", 1, RANGE_DIGITS))
-    sums = last.groupBy(*LEVELS, "range").agg(F.sum("n_tokens").alias("here"), F.first("part").alias("limit"))
+    key = F.md5(F.concat_ws("|", F.lit(seed), F.col("whole") + 1, F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
+    rows = rows.withColumn("key", F.when(F.col("part") > 0, key)).withColumn("range", F.substring("key", 1, RANGE_DIGITS))
+    sums = rows.where("part > 0").groupBy(*LEVELS, "range").agg(F.sum("n_tokens").alias("here"), F.first("part").alias("limit"))
     running = Window.partitionBy(*LEVELS).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("before", F.coalesce(F.sum("here").over(running), F.lit(0))).where("before < limit")
-    sums = sums.select(*LEVELS, "range", "before", (F.col("before") + F.col("here") <= F.col("limit")).alias("inside"))
-    near = last.join(sums, [*LEVELS, "range"])
-    inside = near.where("inside").withColumn("taken", F.col("n_tokens")).select(*out)
+    sums = written(sums.select(*LEVELS, "range", "before", (F.col("before") + F.col("here") <= F.col("limit")).alias("inside")), "mix_ranges")
+
+    # Epochs taken whole, and the last one where the document's range lies before the cut.
+    taken = rows.join(sums.where("inside").select(*LEVELS, "range", "inside"), [*LEVELS, "range"], "left")
+    last = F.when(F.col("inside"), F.array(F.col("whole") + 1)).otherwise(F.array().cast("array<bigint>"))
+    epochs = F.concat(F.when(F.col("whole") > 0, F.sequence(F.lit(1).cast("long"), F.col("whole"))).otherwise(F.array().cast("array<bigint>")), last)
+    out = ["doc_id", *LEVELS, "n_tokens", "epoch", "taken"]
+    taken = taken.withColumn("epoch", F.explode(epochs)).withColumn("taken", F.col("n_tokens")).select(*out)
+    # The range at the cut, one for each leaf, is sorted.
     within = Window.partitionBy(*LEVELS, "range").orderBy("key", "doc_id", "n_tokens").rowsBetween(Window.unboundedPreceding, -1)
-    cut = near.where("not inside").withColumn("start", F.col("before") + F.coalesce(F.sum("n_tokens").over(within), F.lit(0)))
-    cut = cut.where("start < part").withColumn("taken", F.least(F.col("n_tokens"), F.col("part") - F.col("start"))).select(*out)
-    return whole.unionByName(inside).unionByName(cut)
+    cut = rows.join(sums.where("not inside").select(*LEVELS, "range", "before"), [*LEVELS, "range"])
+    cut = cut.withColumn("start", F.col("before") + F.coalesce(F.sum("n_tokens").over(within), F.lit(0))).where("start < part")
+    cut = cut.withColumns({"epoch": F.col("whole") + 1, "taken": F.least(F.col("n_tokens"), F.col("part") - F.col("start"))}).select(*out)
+    return taken.unionByName(cut)
 
 
 WEIGHTS = {"domain": {"d0": 4, "d1": 3, "d2": 2, "d3": 1}, "lang": {"en": 4, "de": 2, "fr": 2, "es": 2}}

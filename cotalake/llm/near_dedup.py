@@ -5,9 +5,10 @@ minimum only its low ``BITS`` bits are kept, packed into words, and bit counts o
 similarity, corrected for chance agreement. Candidates whose estimate is far below the threshold are left out (six standard
 errors); the others are confirmed on their full shingle sets, and links are joined into components.
 
-Equal sets are one node from the start. Within a bucket, all nodes are first compared with one pivot. Whatever still belongs to
-different components after that is compared by more pivots, until every pair in every bucket is either in one component or has
-been compared: no bucket is capped, and a large group of copies costs one comparison per member.
+Equal sets are one node from the start. Within a bucket, all nodes are first compared with one pivot, so a large group of copies
+costs one comparison per member. Buckets that still hold several components are finished exactly: small ones by comparing nodes
+of different components; the nodes of larger ones by prefix filtering: two sets as similar as asked share one of their rarest
+shingles, so only nodes with a rare shingle in common are compared. No bucket is capped and no pair of a bucket is left open.
 
 Defined results: null and empty texts, and texts of white space, have no shingles, are linked with nothing and are kept. Rows of
 one id are one document, linked by each row's set. A row with null id takes no part: no component, kept. Empty tables give an
@@ -16,11 +17,11 @@ empty result. Other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cotalake.llm import text as T
@@ -32,10 +33,8 @@ BITS = 2
 PACKED = HASHES * BITS // 64
 #: Candidates below this estimate are left out: 0.8 less six standard errors of the estimate.
 LEAST_ESTIMATE = 0.55
-#: Buckets of at most so many nodes are compared all with all at once.
+#: In buckets of at most so many nodes, those of different components are compared directly.
 SMALL = 12
-#: Pivots that a larger bucket uses in each further round.
-PIVOTS = 8
 SEED = 6
 
 _random = np.random.default_rng(SEED)
@@ -116,6 +115,33 @@ def estimate(a: str, b: str) -> Column:
     return ((1.0 - differ / float(HASHES)) - chance) / (1.0 - chance)
 
 
+def _alike(a: str, b: str, percent: int) -> Column:
+    """Whether sets of these sizes can be as similar as asked."""
+    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+
+
+def _open_pair(together: Column, percent: int) -> Column:
+    """A join condition: nodes x and y belong to different components and may be a link; only such pairs leave the join."""
+    apart = (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component"))
+    return together & apart & _alike("x.n", "y.n", percent) & (estimate("x.bits", "y.bits") >= LEAST_ESTIMATE)
+
+
+def _rare_shingles(many: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The rarest shingles of each node and their places, so many that two sets as similar as asked must share one of them.
+
+    Rarity is counted among these nodes. Shingles that only one node holds come first and pair with nothing. If the first shingle
+    that two nodes share stands at places i and j, they share no more than what follows it on either side; the join that uses
+    these rows asks for that as well.
+    """
+    cells = sets.join(many.select("node"), "node", "left_semi").select("node", F.explode("items").alias("item"))
+    often = cells.groupBy("item").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    order = Window.partitionBy("node").orderBy("often", "item")
+    held = cells.join(often, "item").withColumns({"place": F.row_number().over(order), "held": F.count(F.lit(1)).over(Window.partitionBy("node"))})
+    held = held.join(many, "node").withColumn("place", F.col("n") - F.col("held") + F.col("place"))
+    places = F.col("n") - F.floor(F.col("n") * percent / 100) + 1
+    return written(held.where(F.col("place") <= places).select("item", "place", "node", "component", "n", "bits"), "near_rare")
+
+
 def components(links: DataFrame, label: str = "components") -> DataFrame:
     """(node, component) of all nodes of the links (a, b): the smallest node reachable.
 
@@ -151,76 +177,60 @@ def near_duplicates(docs: DataFrame, width: int, text: str = "text", percent: in
     signature = usable.join(nodes.select("node", "n", "f1", "f2"), ["n", "f1", "f2"]).where("doc_id = node")
     signature = written(signature.groupBy("node", "n", "f1", "f2").agg(*[F.min(p).alias(p) for p in packed], F.min("bands").alias("bands")), "near_nodes")
     cells = signature.select("node", F.explode("bands").alias("bucket"))
-    buckets = cells.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    buckets = cells.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = written(cells.join(buckets, "bucket"), "near_members")
+    # The pivot is the member with most company in all its buckets: the text that the others are copies of, if there is one.
+    company = members.groupBy("node").agg(F.sum("size").alias("company"))
+    pivots = members.join(company, "node").groupBy("bucket").agg(F.max(F.struct("company", "node"))["node"].alias("pivot"))
+    members = written(members.join(pivots, "bucket"), "near_members")
 
     same_id = usable.join(nodes, ["n", "f1", "f2"]).select("node", "doc_id").distinct()
     several = same_id.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b")
     by_id = same_id.join(several.select("doc_id", "a"), "doc_id").where("node <> a").select("a", F.col("node").alias("b"))
 
+    repeated = bool(usable.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k")).where("k > 1").limit(1).count())
+
+    # The shingles of all nodes that share a bucket, read again from their texts; the only time that texts are shuffled.
+    wanted = written(members.select("node").distinct().join(nodes, "node"), "near_wanted")
+    ids = wanted.select(F.col("node").alias("doc_id")).distinct().hint("merge")
+    sets = _sets(rows.join(ids, "doc_id", "left_semi"), width, text)
+    if repeated:
+        # A node's id may have other rows; its set is the one of the node's size and sum.
+        total = F.aggregate("items", F.lit(0).cast("decimal(38,0)"), lambda s, x: (s + x).cast("decimal(38,0)"))
+        sets = sets.withColumns({"n": F.size("items").cast("long"), "f1": _wrapped(total)}).join(wanted.select("node", "n", "f1"), ["node", "n", "f1"])
+        sets = sets.dropDuplicates(["node"]).select("node", "items")
+    sets = written(sets, "near_sets")
+
     def confirmed(pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) of nodes that are links."""
         bits = signature.select("node", "n", F.struct(*packed).alias("bits"))
         pairs = pairs.distinct().join(bits.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bits").alias("x")), "a")
         pairs = pairs.join(bits.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("y")), "b")
-        likely = (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent) & (estimate("x", "y") >= LEAST_ESTIMATE)
-        pairs = written(pairs.where(likely).select("a", "b", "na", "nb"), "near_pairs")
-        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-        # A node's id may have other rows; the set that counts is the one of the node's size and sums.
-        wanted = written(wanted.join(nodes, "node"), "near_wanted")
-        texts = rows.join(wanted.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
-        sets = _sets(texts, width, text)
-        if repeated:
-            sets = sets.withColumn("n", F.size("items").cast("long")).withColumn("f1", F.aggregate("items", F.lit(0).cast("decimal(38,0)"), lambda s, x: (s + x).cast("decimal(38,0)")))
-            sets = sets.withColumn("f1", _wrapped(F.col("f1"))).join(wanted.select("node", "n", "f1"), ["node", "n", "f1"]).dropDuplicates(["node"]).select("node", "items")
-        sets = written(sets, "near_sets")
+        pairs = written(pairs.where(_alike("na", "nb", percent) & (estimate("x", "y") >= LEAST_ESTIMATE)).select("a", "b", "na", "nb"), "near_pairs")
         both = pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("left")), "a")
         both = both.join(sets.select(F.col("node").alias("b"), F.col("items").alias("right")), "b")
         shared = F.size(F.array_intersect("left", "right"))
         return written(both.where(shared * 100 >= (F.col("na") + F.col("nb") - shared) * percent).select("a", "b"), "near_links")
 
-    repeated = bool(usable.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k")).where("k > 1").limit(1).count())
-    links = confirmed(members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")))
+    links = confirmed(members.where("node <> pivot").select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")))
     if repeated:
         links = written(links.unionByName(by_id), "near_links")
     joined = components(links)
 
-    done = None  # per larger bucket and pivot class, the last pivot used
-    while True:
-        now = members.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        mixed = now.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
-        now = written(now.join(mixed, "bucket"), "near_open")
-        if not now.limit(1).count():
-            break
-        if done is None:
-            few = now.where(F.col("size") <= SMALL)
-            pairs = few.alias("x").join(few.alias("y"), "bucket").where("x.node < y.node and x.component <> y.component and x.node <> x.pivot")
-            pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        large = now.where(F.col("size") > SMALL)
-        # Pivots come from outside the bucket's largest component: pairs within that one need no comparison.
-        main = large.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("k"))
-        main = main.groupBy("bucket").agg(F.max(F.struct("k", "component"))["component"].alias("main"))
-        outside = large.join(main, "bucket").where("component <> main").withColumn("class", F.pmod(F.xxhash64("node"), F.lit(PIVOTS)))
-        if done is not None:
-            outside = outside.join(done, ["bucket", "class"], "left").where("last is null or node > last")
-        turn = written(outside.groupBy("bucket", "class").agg(F.min("node").alias("turn")), "near_turn")
-        more = large.join(turn, "bucket").join(joined.select(F.col("node").alias("turn"), F.col("component").alias("own")), "turn", "left")
-        more = more.where("node <> turn and component <> coalesce(own, turn)").select(F.least("node", "turn").alias("a"), F.greatest("node", "turn").alias("b"))
-        pairs = more if done is not None else pairs.union(more)
-        left = turn.limit(1).count()
-        if not left and done is not None:
-            break
-        found = confirmed(pairs)
-        if found.limit(1).count():
-            links = written(links.unionByName(found), "near_links")
-            joined = components(links)
-        if not left:
-            break
-        if done is None:
-            done = turn.select("bucket", "class", F.col("turn").alias("last"))
-        else:
-            done = done.withColumnRenamed("last", "was").join(turn, ["bucket", "class"], "full").select("bucket", "class", F.coalesce("turn", "was").alias("last"))
-        done = written(done, "near_done")
+    now = members.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = now.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
+    now = written(now.join(mixed, "bucket").join(signature.select("node", "n", F.struct(*packed).alias("bits")), "node"), "near_open")
+    if now.limit(1).count():
+        few = now.where(F.col("size") <= SMALL).select("bucket", "node", "component", "n", "bits")
+        small = few.alias("x").join(few.alias("y"), _open_pair(F.col("x.bucket") == F.col("y.bucket"), percent))
+        many = now.where(F.col("size") > SMALL).groupBy("node").agg(F.first("component").alias("component"), F.first("n").alias("n"), F.first("bits").alias("bits"))
+        rare = _rare_shingles(written(many, "near_many"), sets, percent)
+        within = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place")) + 1
+        enough = within * 100 >= (F.col("x.n") + F.col("y.n") - within) * percent
+        large = rare.alias("x").join(rare.alias("y"), _open_pair(F.col("x.item") == F.col("y.item"), percent) & enough)
+        more = [p.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")) for p in (small, large)]
+        links = written(links.unionByName(confirmed(more[0].unionByName(more[1]))), "near_links")
+        joined = components(links)
 
     belongs = nodes.join(joined, "node", "left").select("n", "f1", "f2", F.coalesce("component", "node").alias("component"))
     out = signed.select("doc_id", "n", "f1", "f2").join(belongs, ["n", "f1", "f2"], "left")

@@ -240,9 +240,9 @@ def near_duplicates(docs: DataFrame, width: int, text: str = "text", percent: in
 
 def _wrapped(total: Column) -> Column:
     """A sum of longs as it overflows in 64 bits."""
-    span = F.lit(1 << 64).cast("decimal(38,0)")
+    span = F.lit(str(1 << 64)).cast("decimal(38,0)")
     rest = F.pmod(total, span)
-    return F.when(rest >= F.lit(1 << 63).cast("decimal(38,0)"), rest - span).otherwise(rest).cast("long")
+    return F.when(rest >= F.lit(str(1 << 63)).cast("decimal(38,0)"), rest - span).otherwise(rest).cast("long")
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:

@@ -11,9 +11,22 @@ from cotalake.session import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    text_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows that Spark hands to a Python worker at once. Texts are long: 10,000 of them, Spark's default, are held several times over.
+BATCH_ROWS = 1_000
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to ``BATCH_ROWS``; smaller settings of the user stay."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read back, so that later steps neither recompute nor depend on executors."""
     spark = df.sparkSession

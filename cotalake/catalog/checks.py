@@ -58,16 +58,15 @@ def dq_status(spark, sf_dir):
     f"""WITH {sql.RISK}, ultimo AS (SELECT * FROM risco WHERE sk_data = (SELECT max(sk_data) FROM risco))
     SELECT 'saldo_negativo' AS regra, count(*) AS registros, count(*) FILTER (WHERE saldo_dia < 0) AS violacoes FROM pos
     UNION ALL SELECT 'churn_fora_0_1', count(*), 0 FROM risco
-    UNION ALL SELECT 'posicao_acima_do_pl', count(*), count(*) FILTER (WHERE p.s > coalesce(c_acctbal, -1e18) * 2) FROM (
-      SELECT sk_cliente, sum(CAST(saldo_dia AS DECIMAL(19,2))) AS s FROM pos GROUP BY 1) p LEFT JOIN customer ON c_custkey = sk_cliente""",
+    UNION ALL SELECT 'posicao_longe_do_pl', count(*), count(*) FILTER (WHERE c_acctbal IS NULL OR abs(CAST(p.s AS DOUBLE) - c_acctbal * 2.0) > 0.5 * abs(c_acctbal * 2.0)) FROM (
+      SELECT sk_cliente, sk_data, sum(CAST(saldo_dia AS DECIMAL(19,2))) AS s FROM pos GROUP BY ALL) p LEFT JOIN customer ON c_custkey = sk_cliente""",
 )
 def dq_simulation_rules(spark, sf_dir):
-    """Balances per user against twice the account balance of the customer with that number."""
+    """Balances per user and day against twice the account balance of the customer with that number."""
     moves = bindings.movements(spark, sf_dir).withColumnRenamed("fk_cliente", "sk_cliente")
     position = rel.client_daily_position(moves)
     risk = rel.client_risk(rel.with_history(position))
-    equity = bindings.table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("sk_fundo"), F.col("c_acctbal").alias("patrimonio")
-    )
-    held = position.select(F.col("sk_cliente").alias("sk_fundo"), "saldo_dia")
-    return quality.dq_simulation_rules(held, risk, equity, scale=2.0)
+    held = position.select(F.col("sk_cliente").alias("sk_fundo"), "sk_data", "saldo_dia")
+    balance = bindings.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("sk_fundo"), F.col("c_acctbal").alias("patrimonio"))
+    equity = held.select("sk_fundo", "sk_data").distinct().join(balance, "sk_fundo")
+    return quality.dq_simulation_rules(held, risk, equity, scale=2.0, tolerance=0.5)

@@ -156,10 +156,10 @@ def top1_latest(spark, sf_dir):
 
 @query("single_file_by_pattern", "SELECT 'registro_classe' AS arquivo, count(*) AS registros FROM orders WHERE o_orderstatus = 'O'")
 def single_file_by_pattern(spark, sf_dir):
-    """Two registries land; the one asked for is found by name and read."""
+    """Three registries land, one for each status; the one asked for is found by name and read."""
     path = scratch_path(spark, "single")
     orders = orders_as_text(spark, sf_dir)
-    for status, name in (("F", "registro_fundo"), ("O", "registro_classe")):
+    for status, name in (("F", "registro_fundo"), ("O", "registro_classe"), ("P", "registro_subclasse")):
         writers.sink_csv(orders.filter(F.col("o_orderstatus") == status), f"{path}/{name}")
     found = objects.single_file_by_pattern(spark, path, "registro_classe").first()["caminho"]
     folder = found.rsplit("/", 1)[0]

@@ -78,20 +78,28 @@ def holding_valuation(holdings: DataFrame, prices: DataFrame) -> DataFrame:
 def redemption_alert(
     daily: DataFrame, thresholds: DataFrame, name: str = "ALTA_RESGATE_PORCENTAGEM"
 ) -> DataFrame:
-    """Days on which redemption / net assets of a class exceeds the stored threshold.
+    """Days on which redemption / net assets of a class or subclass exceeds the stored threshold.
 
-    The threshold is text; one that is not a number raises no alert.
+    A threshold with ``fk_registro_subclasse`` holds for that subclass of ``daily`` only, one without for the whole class where
+    the subclass has none of its own; of several for the same the lowest counts, so a day gives one alert. The threshold is
+    text; one that is not a number raises no alert.
     """
+    sub = F.col("fk_registro_subclasse") if "fk_registro_subclasse" in thresholds.columns else F.lit(None)
     limit = thresholds.filter(F.col("nome") == F.lit(name)).select(
-        F.col("fk_registro_classe").alias("classe"), F.col("valor").try_cast("double").alias("limite")
+        F.col("fk_registro_classe").alias("classe"), sub.cast("string").alias("_sub"), F.col("valor").try_cast("double").alias("limite")
     )
+    limit = limit.filter("limite is not null").groupBy("classe", "_sub").agg(F.min("limite").alias("limite"))
     ratio = F.when(F.col("patrimonio_liquido_dia") > 0, F.col("resgate_dia") / F.col("patrimonio_liquido_dia"))
-    return (
-        daily.withColumn("proporcao_resgate", ratio)
-        .filter(F.col("proporcao_resgate").isNotNull())
-        .join(limit.filter("limite is not null"), "classe")
-        .filter(F.col("proporcao_resgate") > F.col("limite"))
-    )
+    rows = daily.withColumn("proporcao_resgate", ratio).filter(F.col("proporcao_resgate").isNotNull())
+    whole = limit.filter("_sub is null").select("classe", F.col("limite").alias("_limite_classe"))
+    rows = rows.join(whole, "classe", "left")
+    if "subclasse" in daily.columns:
+        own = limit.filter("_sub is not null").select("classe", "_sub", F.col("limite").alias("_limite_subclasse"))
+        rows = rows.withColumn("_sub", F.col("subclasse").cast("string")).join(own, ["classe", "_sub"], "left").drop("_sub")
+    else:
+        rows = rows.withColumn("_limite_subclasse", F.lit(None).cast("double"))
+    rows = rows.withColumn("limite", F.coalesce("_limite_subclasse", "_limite_classe")).drop("_limite_subclasse", "_limite_classe")
+    return rows.filter(F.col("proporcao_resgate") > F.col("limite"))
 
 
 def latest_by_pattern(

@@ -85,22 +85,26 @@ def dq_status(checks: DataFrame) -> DataFrame:
     )
 
 
-def dq_simulation_rules(positions: DataFrame, risk: DataFrame, equity: DataFrame, scale: float = 1.0) -> DataFrame:
-    """No negative balance; churn within [0, 1]; positions per fund not above scaled net assets.
-
-    ``positions``: sk_fundo, saldo_dia. ``risk``: prob_churn. ``equity``:
-    sk_fundo, patrimonio. Positions are summed per fund before the join.
+def dq_simulation_rules(
+    positions: DataFrame, risk: DataFrame, equity: DataFrame, scale: float = 1.0, tolerance: float = 0.0
+) -> DataFrame:
+    """No negative balance; churn within [0, 1]; positions of a fund and day close to its scaled net assets.
+
+    ``positions``: sk_fundo, sk_data, saldo_dia. ``risk``: prob_churn. ``equity``: sk_fundo, sk_data, patrimonio. A fund's day
+    breaks the third rule if its balances differ from ``scale`` times its net assets by more than ``tolerance`` of that;
+    a day without net assets breaks it as well. Positions are summed per fund and day before the join.
     """
-    churn = F.col("prob_churn")
-    held = positions.groupBy("sk_fundo").agg(F.sum(F.col("saldo_dia").cast("decimal(19,2)")).alias("saldo"))
-    compared = held.join(equity.select("sk_fundo", "patrimonio"), "sk_fundo", "left")
+    churn, key = F.col("prob_churn"), ["sk_fundo", "sk_data"]
+    held = positions.groupBy(*key).agg(F.sum(F.col("saldo_dia").cast("decimal(19,2)")).alias("saldo"))
+    compared = held.join(equity.select(*key, "patrimonio"), key, "left")
+    due = F.col("patrimonio") * F.lit(float(scale))
     return (
         violations(positions, {"saldo_negativo": F.col("saldo_dia") < 0})
         .unionByName(violations(risk, {"churn_fora_0_1": missing(churn) | (churn < 0) | (churn > 1)}))
         .unionByName(
             violations(
                 compared,
-                {"posicao_acima_do_pl": F.col("saldo").cast("double") > F.col("patrimonio") * F.lit(float(scale))},
+                {"posicao_longe_do_pl": F.abs(F.col("saldo").cast("double") - due) > F.lit(float(tolerance)) * F.abs(due)},
             )
         )
     )

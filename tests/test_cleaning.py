@@ -133,14 +133,25 @@ def test_score_range_and_status(spark):
 
 
 def test_simulation_rules(spark, rows):
-    positions = spark.createDataFrame([(1, 10.0), (1, -1.0), (2, 5.0)], "sk_fundo bigint, saldo_dia double")
+    positions = spark.createDataFrame(
+        [(1, 20240101, 9.0), (1, 20240101, -1.0), (1, 20240102, 8.0), (2, 20240101, 5.0), (3, 20240101, 7.0)],
+        "sk_fundo bigint, sk_data int, saldo_dia double",
+    )
     risk = spark.createDataFrame([(0.0,), (1.0,), (1.1,), (None,)], "prob_churn double")
-    equity = spark.createDataFrame([(1, 4.0), (2, 5.0)], "sk_fundo bigint, patrimonio double")
+    equity = spark.createDataFrame([(1, 20240101, 4.0), (1, 20240102, 4.0), (2, 20240101, 5.0)], "sk_fundo bigint, sk_data int, patrimonio double")
     assert rows(quality.dq_simulation_rules(positions, risk, equity, 2.0)) == [
-        ("churn_fora_0_1", 4, 2), ("posicao_acima_do_pl", 2, 1), ("saldo_negativo", 3, 1),
+        ("churn_fora_0_1", 4, 2), ("posicao_longe_do_pl", 4, 2), ("saldo_negativo", 5, 1),
     ]
 
 
+def test_balances_are_compared_day_by_day(spark, rows):
+    positions = spark.createDataFrame([(1, 20240101, 60.0), (1, 20240102, 60.0), (1, 20240103, 120.0)], "sk_fundo bigint, sk_data int, saldo_dia double")
+    risk = spark.createDataFrame([(0.5,)], "prob_churn double")
+    equity = spark.createDataFrame([(1, d, 100.0) for d in (20240101, 20240102, 20240103)], "sk_fundo bigint, sk_data int, patrimonio double")
+    assert ("posicao_longe_do_pl", 3, 0) in rows(quality.dq_simulation_rules(positions, risk, equity, tolerance=0.4))
+    assert ("posicao_longe_do_pl", 3, 2) in rows(quality.dq_simulation_rules(positions, risk, equity, tolerance=0.3))
+
+
 # ---- joins and lookups ----
 
 
@@ -205,3 +216,15 @@ def test_row_and_month_counts(spark, rows):
     assert rows(cleaning.row_counts(df)) == [("a", 2), ("b", 1)]
     assert rows(cleaning.month_counts(df)) == [(202401, 2), (202402, 1)]
 
+
+def test_alert_prefers_the_threshold_of_the_subclass(spark, rows):
+    daily = spark.createDataFrame(
+        [(1, 1, 100.0, 25.0), (1, 2, 100.0, 25.0), (1, 3, 100.0, 25.0), (2, None, 100.0, 25.0)],
+        "classe bigint, subclasse bigint, patrimonio_liquido_dia double, resgate_dia double",
+    )
+    name = "ALTA_RESGATE_PORCENTAGEM"
+    limits = spark.createDataFrame(
+        [(1, 1, name, "0.20"), (1, 2, name, "0.30"), (1, None, name, "0.10"), (1, None, name, "0.15"), (2, 7, name, "0.01")],
+        "fk_registro_classe bigint, fk_registro_subclasse bigint, nome string, valor string",
+    )
+    assert rows(joins.redemption_alert(daily, limits), "classe", "subclasse", "limite") == [(1, 1, 0.2), (1, 3, 0.1)]

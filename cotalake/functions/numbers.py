@@ -32,8 +32,29 @@ def money(value: Column) -> Column:
     return value.cast("decimal(19,2)")
 
 
+#: From here on a double has no cents left, and an exact sum of any number of rows would not fit.
+EXACT_BELOW = 1e21
+
+
+def exact(value: Column) -> Column:
+    """A finite amount with six places; null for what :func:`beyond` holds."""
+    return F.when(F.abs(value) < EXACT_BELOW, value.cast("decimal(28,6)"))
+
+
+def beyond(value: Column) -> Column:
+    """Infinite amounts and those too large for :func:`exact`; NaN counts as missing, as null does."""
+    return F.when((F.abs(value) >= EXACT_BELOW) & ~F.isnan(value), value.cast("double"))
+
+
+def total(exact_sum: Column, beyond_sum: Column) -> Column:
+    """The two sums as one number; null if neither had a value."""
+    number = exact_sum.cast("double")
+    return F.when(beyond_sum.isNull(), number).otherwise(beyond_sum + F.coalesce(number, F.lit(0.0)))
+
+
 def money_sum(value: Column) -> Column:
-    return F.sum(money(value)).cast("double")
+    """Sum that does not depend on task order, loses no part of a cent and keeps infinity."""
+    return total(F.sum(exact(value)), F.sum(beyond(value)))
 
 
 def missing(value: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cotalake.functions import text
+from cotalake.functions import numbers, text
 
 CNPJ = "cnpj_fundo_classe_norm"
 
@@ -48,12 +48,14 @@ def summary_by_segment(fact: DataFrame, dim: DataFrame, key: str, segment: str,
     The measure is summed per key before the join, so the join sees one row per
     key and a hot key costs nothing extra.
     """
-    measure = F.col(value).cast("decimal(19,2)")
-    per_key = fact.groupBy(key).agg(F.count(value).alias("_n"), F.sum(measure).alias("_total"))
+    measure = F.col(value)
+    per_key = fact.groupBy(key).agg(
+        F.count(value).alias("_n"), F.sum(numbers.exact(measure)).alias("_exact"), F.sum(numbers.beyond(measure)).alias("_beyond")
+    )
     return (
         per_key.join(dim.select(key, segment), key)
         .groupBy(segment)
-        .agg(F.sum("_n").alias("quantidade"), F.sum("_total").cast("double").alias("soma"))
+        .agg(F.sum("_n").alias("quantidade"), numbers.total(F.sum("_exact"), F.sum("_beyond")).alias("soma"))
         .withColumn("media", F.col("soma") / F.col("quantidade"))
     )
 

@@ -78,8 +78,7 @@ def with_cutoffs(fact: DataFrame, periods: Sequence[int]) -> DataFrame:
 
     A row is within N days of its fund's last date if its key exceeds the
     fund's N-day cut-off. The cut-offs are worked out per fund, so that rows
-    only compare integers. They hold one row per ``sk_fundo``, which lies in
-    [0, 1,000,000): that bounds the broadcast, and the fact is not shuffled.
+    only compare integers. They hold one row per fund; Spark broadcasts them if their size allows it.
     The lowest cut-off of all prunes the months of a partitioned fact.
     """
     # The explicit null filter makes both uses of this aggregate the same plan, so that it runs once.
@@ -96,7 +95,7 @@ def with_cutoffs(fact: DataFrame, periods: Sequence[int]) -> DataFrame:
     recent = fact.filter(F.col("sk_data") > lowest)
     if "ano_mes" in fact.columns:
         recent = recent.filter(F.col("ano_mes") >= F.floor(lowest / F.lit(100)).cast("int"))
-    return recent.join(F.broadcast(last), "sk_fundo").filter(F.col("sk_data") > F.col(longest))
+    return recent.join(last, "sk_fundo").filter(F.col("sk_data") > F.col(longest))
 
 
 def _within(days: int, value: Column) -> Column:
@@ -167,11 +166,15 @@ def kpi_var_cotistas(fact: DataFrame, periods: Sequence[int] = tuple(schemas.PER
 
 
 def daily_totals(fact: DataFrame) -> DataFrame:
-    """One row per fund and day. Bounds every later per-fund window by the calendar."""
+    """One row per fund and day, which bounds every later per-fund window by the calendar.
+
+    Sums of finite amounts, and how many amounts were plus or minus infinity (or too large to sum exactly).
+    """
+    flows = ("captacao_dia", "resgate_dia", "fluxo_liquido_dia")
     return fact.groupBy("sk_fundo", "sk_data").agg(
-        F.sum(numbers.money(F.col("captacao_dia"))).alias("captacao_dia"),
-        F.sum(numbers.money(F.col("resgate_dia"))).alias("resgate_dia"),
-        F.sum(numbers.money(F.col("fluxo_liquido_dia"))).alias("fluxo_liquido_dia"),
+        *[F.sum(numbers.exact(F.col(c))).alias(c) for c in flows],
+        *[F.count_if(numbers.beyond(F.col(c)) > 0).alias(f"{c}_acima") for c in flows],
+        *[F.count_if(numbers.beyond(F.col(c)) < 0).alias(f"{c}_abaixo") for c in flows],
     )
 
 
@@ -179,18 +182,21 @@ def rolling_daily_kpi(fact: DataFrame, periods: Sequence[int] = tuple(schemas.PE
     """Trailing sums for every fund and day. One shuffle by fund serves all periods.
 
     A window's sum is the running total minus the running total before the
-    window. Both are exact cents, and both frames only grow, so the work per
-    row does not depend on the length of the period.
+    window. Both are exact, and both frames only grow, so the work per
+    row does not depend on the length of the period. Infinite amounts are
+    counted, not added, so that they leave the window again; one of each sign gives NaN.
     """
     daily = daily_totals(fact).withColumn("_day", F.unix_date(dates.key_to_date(F.col("sk_data"))))
     ordered = Window.partitionBy("sk_fundo").orderBy("_day")
     upto = ordered.rowsBetween(Window.unboundedPreceding, 0)
     sources = {"captacao_dia": "captacao", "resgate_dia": "resgate", "fluxo_liquido_dia": "fluxo_liquido"}
-    zero = F.lit(0).cast("decimal(29,2)")
+    zero = F.lit(0).cast("decimal(38,6)")
     running = {}
     for source, name in sources.items():
         running[f"_sum_{name}"] = F.coalesce(F.sum(source).over(upto), zero)
         running[f"_n_{name}"] = F.count(source).over(upto)
+        running[f"_up_{name}"] = F.sum(f"{source}_acima").over(upto)
+        running[f"_down_{name}"] = F.sum(f"{source}_abaixo").over(upto)
     totals = daily.withColumns(running).withColumn("_total", F.struct(*running))
     earlier = {
         f"_before_{p}": F.last("_total").over(ordered.rangeBetween(Window.unboundedPreceding, -int(p))) for p in periods
@@ -199,9 +205,18 @@ def rolling_daily_kpi(fact: DataFrame, periods: Sequence[int] = tuple(schemas.PE
 
     def trailing(name: str, p: int) -> Column:
         before = F.col(f"_before_{p}")
-        present = F.col(f"_n_{name}") > F.coalesce(before[f"_n_{name}"], F.lit(0))
+
+        def more(count: str) -> Column:
+            return F.col(f"{count}{name}") > F.coalesce(before[f"{count}{name}"], F.lit(0))
+
         change = F.col(f"_sum_{name}") - F.coalesce(before[f"_sum_{name}"], zero)
-        return F.when(present, change.cast("double")).alias(f"{name}_{p}d")
+        return (
+            F.when(more("_up_") & more("_down_"), F.lit(float("nan")))
+            .when(more("_up_"), F.lit(numbers.INFINITY))
+            .when(more("_down_"), F.lit(-numbers.INFINITY))
+            .when(more("_n_"), change.cast("double"))
+            .alias(f"{name}_{p}d")
+        )
 
     return compared.select("sk_fundo", "sk_data", *[trailing(name, p) for p in periods for name in sources.values()])
 
@@ -229,7 +244,7 @@ def period_profile(fact: DataFrame, periods: Sequence[int] = tuple(schemas.PERIO
     )
     known = F.when(holders.isNotNull(), F.col("sk_data"))
     shapes = {
-        "pl_medio": lambda p: F.avg(_within(p, numbers.money(equity))).cast("double"),
+        "pl_medio": lambda p: numbers.money_sum(_within(p, equity)) / F.nullif(F.count(_within(p, equity)), F.lit(0)),
         "pl_maximo": lambda p: F.max(_within(p, equity)),
         "pl_minimo": lambda p: F.min(_within(p, equity)),
         "cotistas_inicial": lambda p: F.min_by(holders, _within(p, known)),

@@ -261,3 +261,16 @@ def test_client_dimension(spark):
     assert len(got.columns) == 14
     r = got.first()
     assert (r["id_cliente"], r["faixa_etaria"], r["renda_estimada"], r["uf"]) == ("CLI_0000007", "31-40", 20000.0, None)
+
+
+def test_sums_keep_infinity_and_parts_of_a_cent(spark, rows):
+    inf = float("inf")
+    data = [(20240101, 1, inf, 0.004), (20240102, 1, 2.0, 0.004), (20240115, 1, 3.5001, None), (20240116, 1, None, -inf)]
+    fact = spark.createDataFrame(data, "sk_data int, sk_fundo bigint, captacao_dia double, resgate_dia double").withColumns(
+        {"fluxo_liquido_dia": F.col("captacao_dia") - F.col("resgate_dia"), "variacao_pl_dia_pct": F.lit(1.0)}
+    ).withColumn("variacao_cotistas_dia_pct", F.lit(1.0))
+    trailing = rows(periods.kpi_trailing_period(fact, [7, 30]), "periodo", "captacao_periodo", "resgate_periodo")
+    assert trailing == [(30, inf, -inf), (7, 3.5001, -inf)]
+    assert periods.agg_fundo_periodo(fact, [7]).first()["captacao_periodo"] == inf
+    rolling = rows(periods.rolling_daily_kpi(fact, [7]), "sk_data", "captacao_7d", "resgate_7d")
+    assert rolling == [(20240101, inf, 0.004), (20240102, inf, 0.008), (20240115, 3.5001, None), (20240116, 3.5001, -inf)]

@@ -24,29 +24,45 @@ def _doubles(df, *columns: str):
     return df.withColumns({c: F.col(c).cast("double") for c in columns})
 
 
-@query("client_daily_position", f"WITH {sql.POSITION} SELECT sk_cliente, sk_data, aporte_dia, resgate_dia, saldo_dia FROM pos")
+_FUND_KEYS = ["sk_cliente", "sk_fundo"]
+
+
+def _fund_position(spark, sf_dir):
+    """Positions per client and fund; the class of a movement is its fund."""
+    moves = bindings.movements(spark, sf_dir).withColumnsRenamed({"fk_cliente": "sk_cliente", "fk_classe": "sk_fundo"})
+    return rel.client_daily_position(moves, _FUND_KEYS)
+
+
+@query(
+    "client_daily_position",
+    f"""WITH {sql.FUND_POSITION} SELECT sk_cliente, sk_fundo, sk_data, aporte_dia, resgate_dia, saldo_dia, valor_investido,
+    false AS flag_base_real FROM pos""",
+)
 def client_daily_position(spark, sf_dir):
-    position = _position(spark, sf_dir).select("sk_cliente", "sk_data", "aporte_dia", "resgate_dia", "saldo_dia")
-    return _doubles(position, "aporte_dia", "resgate_dia", "saldo_dia")
+    amounts = ["aporte_dia", "resgate_dia", "saldo_dia", "valor_investido"]
+    position = _fund_position(spark, sf_dir).select(*_FUND_KEYS, "sk_data", *amounts, "flag_base_real")
+    return _doubles(position, *amounts)
 
 
-@query("days_without_movement", f"WITH {sql.POSITION} SELECT sk_cliente, sk_data, dias_sem_movimentacao FROM pos")
+@query("days_without_movement", f"WITH {sql.FUND_POSITION} SELECT sk_cliente, sk_fundo, sk_data, dias_sem_movimentacao FROM pos")
 def days_without_movement(spark, sf_dir):
-    return _position(spark, sf_dir).select("sk_cliente", "sk_data", "dias_sem_movimentacao")
+    return _fund_position(spark, sf_dir).select(*_FUND_KEYS, "sk_data", "dias_sem_movimentacao")
 
 
 @query(
     "balance_change_30d",
-    f"""WITH {sql.HISTORY} SELECT sk_cliente, sk_data, {sql.ratio('saldo_dia', 'saldo_30')} AS variacao_saldo_30d_pct,
-    {sql.ratio('saldo_dia', 'saldo_7')} AS variacao_saldo_7d_pct FROM hist""",
+    f"""WITH {sql.FUND_POSITION}, antes AS (SELECT *, lag(saldo_dia, 30) OVER c AS saldo_30, lag(saldo_dia, 7) OVER c AS saldo_7
+      FROM pos WINDOW c AS (PARTITION BY sk_cliente, sk_fundo ORDER BY dia))
+    SELECT sk_cliente, sk_fundo, sk_data, {sql.ratio('saldo_dia', 'saldo_30')} AS variacao_saldo_30d_pct,
+    {sql.ratio('saldo_dia', 'saldo_7')} AS variacao_saldo_7d_pct FROM antes""",
 )
 def balance_change_30d(spark, sf_dir):
     """The events span 30 days, so a 7-day change is shown beside the 30-day one."""
-    month = rel.with_history(_position(spark, sf_dir)).select(
-        "sk_cliente", "data", "sk_data", "aporte_dia", "resgate_dia", "saldo_dia", F.col("variacao_saldo_30d_pct").alias("mes")
+    month = rel.with_history(_fund_position(spark, sf_dir), _FUND_KEYS).select(
+        *_FUND_KEYS, "data", "sk_data", "aporte_dia", "resgate_dia", "saldo_dia", F.col("variacao_saldo_30d_pct").alias("mes")
     )
-    week = rel.with_history(month, days=7).withColumnRenamed("variacao_saldo_30d_pct", "variacao_saldo_7d_pct")
-    return week.select("sk_cliente", "sk_data", F.col("mes").alias("variacao_saldo_30d_pct"), "variacao_saldo_7d_pct")
+    week = rel.with_history(month, _FUND_KEYS, days=7).withColumnRenamed("variacao_saldo_30d_pct", "variacao_saldo_7d_pct")
+    return week.select(*_FUND_KEYS, "sk_data", F.col("mes").alias("variacao_saldo_30d_pct"), "variacao_saldo_7d_pct")
 
 
 @query(

@@ -179,6 +179,12 @@ def fct_fundo_diario(spark, sf_dir):
     return bindings.fact(spark, sf_dir)
 
 
+@query("fct_fundo_diario_wide", f"WITH {sql.FACT_WIDE} SELECT * FROM fct")
+def fct_fundo_diario_wide(spark, sf_dir):
+    """Under the wide key no supplier loses its rows."""
+    return bindings.fact(spark, sf_dir, key="wide")
+
+
 @query("sort_fund_date", f"WITH {sql.FACT} SELECT sk_fundo, sk_data, patrimonio_liquido_dia FROM fct ORDER BY 1, 2")
 def sort_fund_date(spark, sf_dir):
     return (

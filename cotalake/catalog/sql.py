@@ -12,6 +12,10 @@ def hash_key(text: str) -> str:
     return remainder
 
 
+def wide_key(text: str) -> str:
+    return f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)"
+
+
 def number_order(*columns: str) -> str:
     mixed = "CAST(0 AS BIGINT)"
     for c in columns:
@@ -51,6 +55,11 @@ dim AS (
       SELECT {hash_key("regexp_replace(s_name, '[^0-9]', '', 'g')")} AS sk_fundo,
              regexp_replace(s_name, '[^0-9]', '', 'g') AS cnpj, s_name AS nome FROM supplier)) WHERE rn = 1)"""
 
+DIM_WIDE = f"""
+dim AS (
+  SELECT {wide_key("cnpj")} AS sk_fundo, cnpj, min(nome) AS nome
+  FROM (SELECT regexp_replace(s_name, '[^0-9]', '', 'g') AS cnpj, s_name AS nome FROM supplier) GROUP BY cnpj)"""
+
 _FILLED = (
     "last_value({c} IGNORE NULLS) OVER (PARTITION BY sk_fundo ORDER BY dia "
     "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
@@ -70,6 +79,8 @@ fct AS (
          ({ratio('cot_f', 'cot_a')}) * 100 AS variacao_cotistas_dia_pct, true AS flag_base_real
   FROM anterior)"""
 
+FACT_WIDE = FACT.replace(DIM, DIM_WIDE)
+
 TOTALS = """
 totais AS (
   SELECT sk_fundo, CAST(sum(CAST(captacao_dia AS DECIMAL(19,2))) AS DOUBLE) AS captacao_periodo,
@@ -130,6 +141,24 @@ pos AS (
               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), dia) AS INTEGER) AS dias_sem_movimentacao
   FROM denso)"""
 
+FUND_POSITION = f"""{MOVEMENTS},
+fluxo AS (
+  SELECT sk_cliente, classe AS sk_fundo, CAST(ts AS DATE) AS dia, sum(CASE WHEN nat = 'A' THEN valor ELSE 0 END) AS aporte,
+         sum(CASE WHEN nat = 'R' THEN valor ELSE 0 END) AS resgate FROM mov GROUP BY ALL),
+calendario AS (
+  SELECT CAST(unnest(generate_series((SELECT min(dia) FROM fluxo), (SELECT max(dia) FROM fluxo), INTERVAL 1 DAY)) AS DATE) AS dia),
+denso AS (
+  SELECT c.sk_cliente, c.sk_fundo, k.dia, coalesce(f.aporte, 0) AS aporte, coalesce(f.resgate, 0) AS resgate,
+         CASE WHEN f.dia IS NOT NULL THEN k.dia END AS mov_dia
+  FROM (SELECT DISTINCT sk_cliente, classe AS sk_fundo FROM mov) c CROSS JOIN calendario k
+  LEFT JOIN fluxo f ON f.sk_cliente IS NOT DISTINCT FROM c.sk_cliente AND f.sk_fundo IS NOT DISTINCT FROM c.sk_fundo AND f.dia = k.dia),
+pos AS (
+  SELECT sk_cliente, sk_fundo, dia, {date_key('dia')} AS sk_data, CAST(aporte AS DOUBLE) AS aporte_dia,
+         CAST(resgate AS DOUBLE) AS resgate_dia, CAST(sum(aporte - resgate) OVER j AS DOUBLE) AS saldo_dia,
+         CAST(sum(aporte) OVER j AS DOUBLE) AS valor_investido,
+         CAST(date_diff('day', last_value(mov_dia IGNORE NULLS) OVER j, dia) AS INTEGER) AS dias_sem_movimentacao
+  FROM denso WINDOW j AS (PARTITION BY sk_cliente, sk_fundo ORDER BY dia ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+
 HISTORY = f"""{POSITION},
 hist AS (
   SELECT *, lag(saldo_dia, 30) OVER c AS saldo_30, lag(saldo_dia, 7) OVER c AS saldo_7,

@@ -46,7 +46,7 @@ def daily_flows(movements: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def client_daily_position(movements: DataFrame, keys: Sequence[str] = ("sk_cliente",)) -> DataFrame:
-    """One row per key and calendar day with flows, running balance and last movement.
+    """One row per key and calendar day with flows, applications so far, running balance and last movement.
 
     The calendar is the movements' own date range. Windows run over days with
     movements only; each of those rows then unfolds, in place, into the quiet
@@ -58,16 +58,17 @@ def client_daily_position(movements: DataFrame, keys: Sequence[str] = ("sk_clien
     last_day = span.agg(F.max("d")).scalar()
     ordered = Window.partitionBy(*keys).orderBy("dia")
     balance = F.sum(F.col("aporte_dia") - F.col("resgate_dia")).over(ordered.rowsBetween(Window.unboundedPreceding, 0))
+    invested = F.sum("aporte_dia").over(ordered.rowsBetween(Window.unboundedPreceding, 0))
     until = F.date_sub(F.coalesce(F.lead("dia").over(ordered), F.date_add(last_day, 1)), 1)
     moved = flows.withColumns(
-        {"saldo_dia": balance, "_until": until, "_place": F.row_number().over(ordered)}
+        {"saldo_dia": balance, "valor_investido": invested, "_until": until, "_place": F.row_number().over(ordered)}
     )
     own_days = F.sequence(F.col("dia"), F.col("_until"))
     quiet_start = F.when(
         (F.col("_place") == 1) & (F.col("dia") > first_day), F.sequence(first_day, F.date_sub(F.col("dia"), 1))
     ).otherwise(F.array().cast("array<date>"))
     day = F.explode(F.concat(quiet_start, own_days)).alias("data")
-    unfolded = moved.select(*keys, "dia", "aporte_dia", "resgate_dia", "saldo_dia", day)
+    unfolded = moved.select(*keys, "dia", "aporte_dia", "resgate_dia", "saldo_dia", "valor_investido", day)
     before, same = F.col("data") < F.col("dia"), F.col("data") == F.col("dia")
     zero = F.lit(0).cast("decimal(19,2)")
     return unfolded.select(
@@ -77,7 +78,9 @@ def client_daily_position(movements: DataFrame, keys: Sequence[str] = ("sk_clien
         F.when(same, F.col("aporte_dia")).otherwise(zero).alias("aporte_dia"),
         F.when(same, F.col("resgate_dia")).otherwise(zero).alias("resgate_dia"),
         F.when(before, zero).otherwise(F.col("saldo_dia")).alias("saldo_dia"),
+        F.when(before, zero).otherwise(F.col("valor_investido")).alias("valor_investido"),
         F.when(~before, F.datediff("data", "dia")).alias("dias_sem_movimentacao"),
+        F.lit(False).alias("flag_base_real"),
     )
 
 
@@ -163,6 +166,7 @@ def client_risk(history: DataFrame, keys: Sequence[str] = ("sk_cliente",)) -> Da
         "data",
         "sk_data",
         "saldo_dia",
+        F.lit(False).alias("flag_base_real"),
         F.col("dias_sem_movimentacao").alias("ultimo_mov_dias"),
         *[F.col(t) for t in WEIGHTS],
         score.alias("score_risco"),

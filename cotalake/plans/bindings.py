@@ -51,14 +51,14 @@ def daily_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def dim_fundo(spark: SparkSession, sf_dir: str, variant: str = "local") -> DataFrame:
-    return gold.dim_fundo(class_registry(spark, sf_dir), variant)
+def dim_fundo(spark: SparkSession, sf_dir: str, variant: str = "local", key: str = "parity") -> DataFrame:
+    return gold.dim_fundo(class_registry(spark, sf_dir), variant, key=key)
 
 
-def fact(spark: SparkSession, sf_dir: str, variant: str = "local") -> DataFrame:
+def fact(spark: SparkSession, sf_dir: str, variant: str = "local", key: str = "parity") -> DataFrame:
     """Daily fact; the report above has one row per fund and day."""
     return gold.fct_fundo_diario(
-        daily_report(spark, sf_dir), dim_fundo(spark, sf_dir), variant, one_row_per_day=True
+        daily_report(spark, sf_dir), dim_fundo(spark, sf_dir, key=key), variant, one_row_per_day=True, key=key
     )
 
 

@@ -72,18 +72,25 @@ def class_columns(variant: str = "local") -> list[Wanted]:
     return wanted
 
 
-def dim_fundo(registry: DataFrame, variant: str = "local", order: Sequence[str] = ()) -> DataFrame:
+KEYS = {"parity": text.hash_key, "wide": text.wide_key}
+
+
+def dim_fundo(
+    registry: DataFrame, variant: str = "local", order: Sequence[str] = (), key: str = "parity"
+) -> DataFrame:
     """One row per surrogate key: the first CNPJ in ``order`` (default: by CNPJ) keeps it.
 
-    Blank CNPJs get no row; ``registry`` columns that are absent are left out.
+    The ``parity`` key has a million values, so CNPJs that share one lose their row but for the first. The ``wide`` key
+    has 60 bits and the dimension one row per CNPJ; none is lost. Blank CNPJs get no row; ``registry`` columns that are
+    absent are left out.
     """
     wanted = class_columns(variant)
     chosen = project_adaptive(registry, wanted, fill_absent=False)
     cnpj = chosen.columns[0]
     keyed = chosen.withColumn(CNPJ, text.normalize_cnpj(F.col(cnpj))).filter(F.length(CNPJ) > 0)
-    keyed = keyed.withColumn("sk_fundo", text.hash_key(F.col(CNPJ)))
+    keyed = keyed.withColumn("sk_fundo", KEYS[key](F.col(CNPJ)))
     rest = list(order) or [CNPJ, *chosen.columns]
-    unique = cleaning.distinct_by_key(keyed, ["sk_fundo"], rest)
+    unique = cleaning.distinct_by_key(keyed, ["sk_fundo" if key == "parity" else CNPJ], rest)
     return unique.select("sk_fundo", CNPJ, *chosen.columns)
 
 
@@ -177,14 +184,15 @@ def fct_fundo_diario(
     one_row_per_day: bool = False,
     max_chunk_rows: int = ordered.MAX_CHUNK_ROWS,
     history: DataFrame | None = None,
+    key: str = "parity",
 ) -> DataFrame:
-    """Daily fact. ``dim`` holds each ``sk_fundo`` once, as :func:`dim_fundo` returns it.
+    """Daily fact. ``dim`` is what :func:`dim_fundo` returns for this ``key``; one of parity keys is bounded and broadcast.
 
     ``one_row_per_day`` promises at most one report row per fund and day.
     Without that promise, rows of one fund and day are ordered by their values
     and a large fund is spread over many tasks.
     """
-    rows = joins.join_fact_dim(report_rows(report, variant), dim, unique_fund_key=True)
+    rows = joins.join_fact_dim(report_rows(report, variant), dim, unique_fund_key=key == "parity")
     if one_row_per_day:
         changed = ordered.padded_change(rows, "sk_fundo", "data", VARIATIONS)
     else:

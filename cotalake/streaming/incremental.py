@@ -18,9 +18,9 @@ def _months(silver: DataFrame, months: list[int]) -> DataFrame:
     return silver.filter(F.col("ano_mes").isin(months)).drop("ano_mes")
 
 
-def month_summary(report: DataFrame, dim: DataFrame) -> DataFrame:
+def month_summary(report: DataFrame, dim: DataFrame, key: str = "parity") -> DataFrame:
     """(sk_fundo, ano_mes, last known values): what later months need to know of a month."""
-    rows = joins.join_fact_dim(gold.report_rows(report), dim, unique_fund_key=True)
+    rows = joins.join_fact_dim(gold.report_rows(report), dim, unique_fund_key=key == "parity")
     tie = text.row_order(joins.CNPJ, "patrimonio_liquido_dia", "captacao_dia", "resgate_dia", "cotistas_dia")
     ordered_rows = rows.withColumn("_order", ordered.chunk_order(F.col("data"), tie))
     return ordered_rows.groupBy("sk_fundo", F.trunc("data", "month").alias("_month")).agg(
@@ -45,11 +45,12 @@ def affected_months(summary: DataFrame, touched: list[int]) -> list[int]:
 
 
 def refresh_fact(
-    spark: SparkSession, silver: DataFrame, touched: list[int], dim: DataFrame, gold_path: str, summary_path: str
+    spark: SparkSession, silver: DataFrame, touched: list[int], dim: DataFrame, gold_path: str, summary_path: str,
+    key: str = "parity",
 ) -> None:
     """Rewrite exactly the months whose fact rows can differ. Repeating a refresh changes nothing."""
     sink_partitioned_month(
-        month_summary(_months(silver, touched), dim), summary_path, key="_key", only_touched=True
+        month_summary(_months(silver, touched), dim, key), summary_path, key="_key", only_touched=True
     )
     summary = spark.read.parquet(summary_path)
     months = affected_months(summary, touched)
@@ -59,12 +60,13 @@ def refresh_fact(
         F.lit(0).cast("long").alias("_chunk_slice"),
         *VALUES,
     )
-    fact = gold.fct_fundo_diario(_months(silver, months), dim, history=history)
+    fact = gold.fct_fundo_diario(_months(silver, months), dim, history=history, key=key)
     sink_partitioned_month(fact, gold_path, only_touched=True)
 
 
 def incremental_gold(
-    spark: SparkSession, silver_path: str, dim: DataFrame, gold_path: str, summary_path: str, checkpoint: str
+    spark: SparkSession, silver_path: str, dim: DataFrame, gold_path: str, summary_path: str, checkpoint: str,
+    key: str = "parity",
 ) -> None:
     """Follow the silver folder: new files mark their months, which are then rebuilt from silver."""
     schema = spark.read.parquet(silver_path).schema
@@ -74,6 +76,6 @@ def incremental_gold(
         touched = sorted(r["ano_mes"] for r in batch.distinct().collect())
         if touched:
             silver = spark.read.schema(schema).parquet(silver_path)
-            refresh_fact(spark, silver, touched, dim, gold_path, summary_path)
+            refresh_fact(spark, silver, touched, dim, gold_path, summary_path, key)
 
     run_available(arrivals.writeStream.foreachBatch(rebuild), checkpoint)

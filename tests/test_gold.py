@@ -274,3 +274,15 @@ def test_sums_keep_infinity_and_parts_of_a_cent(spark, rows):
     assert periods.agg_fundo_periodo(fact, [7]).first()["captacao_periodo"] == inf
     rolling = rows(periods.rolling_daily_kpi(fact, [7]), "sk_data", "captacao_7d", "resgate_7d")
     assert rolling == [(20240101, inf, 0.004), (20240102, inf, 0.008), (20240115, 3.5001, None), (20240116, 3.5001, -inf)]
+
+
+def test_wide_key_keeps_every_fund(spark):
+    """Of 20,000 CNPJs, some share a parity key; under the wide key none loses its row."""
+    cnpjs = spark.range(20_000).select(F.lpad(F.col("id").cast("string"), 14, "0").alias("CNPJ_FUNDO_CLASSE"))
+    dim = gold.dim_fundo(cnpjs, key="wide")
+    assert gold.dim_fundo(cnpjs).count() < 20_000
+    assert (dim.count(), dim.select("sk_fundo").distinct().count()) == (20_000, 20_000)
+    report = cnpjs.select(
+        "*", F.lit(dt.date(2024, 1, 2)).alias("DT_COMPTC"), *[F.lit(1.0).alias(c) for c in ("VL_PATRIM_LIQ", "CAPTC_DIA", "RESG_DIA", "NR_COTST")]
+    )
+    assert gold.fct_fundo_diario(report, dim, one_row_per_day=True, key="wide").count() == 20_000

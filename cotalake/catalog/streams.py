@@ -15,25 +15,27 @@ from cotalake.streaming import incremental, movements
 
 
 def _land_movements(spark, sf_dir) -> str:
-    """Every movement of the events table, as the feed's CSV files, twice over."""
+    """Every movement of the events table, as the feed's CSV files."""
     landing = scratch_path(spark, "landing")
     moves = bindings.movements(spark, sf_dir).withColumn("data", F.date_format("data", "yyyy-MM-dd HH:mm:ss"))
     writers.sink_csv(moves.select(*MOVEMENT.fieldNames()), landing, sep=",")
     return landing
 
 
-_FEED = f"""WITH {sql.MOVEMENTS} SELECT DISTINCT sk_cliente AS fk_cliente, classe AS fk_classe, classe AS fk_subclasse,
-    nat AS natureza_operacao, CAST(valor AS DOUBLE) AS valor, strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS momento FROM mov"""
+_FEED = f"""WITH {sql.MOVEMENTS} SELECT sk_cliente AS fk_cliente, classe AS fk_classe, classe AS fk_subclasse,
+    nat AS natureza_operacao, CAST(valor AS DOUBLE) AS valor, strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS momento
+    FROM mov, (SELECT unnest([1, 2]) AS vez)"""
 
 
 @query("stream_ledger_ingest", _FEED)
 def stream_ledger_ingest(spark, sf_dir):
-    """All movements land, are ingested, land again in full, and must not double."""
-    landing, path, checkpoint = _land_movements(spark, sf_dir), scratch_path(spark, "ledger"), scratch_path(spark, "ckpt")
-    movements.ledger_ingest(spark, landing, path, checkpoint)
-    raw = spark.read.options(header=True, sep=",").schema(", ".join(f"{n} string" for n in MOVEMENT.fieldNames())).csv(landing)
-    writers.sink_csv(raw, landing, sep=",", mode="append")
-    movements.ledger_ingest(spark, landing, path, checkpoint)
+    """Every movement twice in the feed: all must be kept. A second stream replays all files and must add nothing."""
+    landing, path = scratch_path(spark, "landing"), scratch_path(spark, "ledger")
+    moves = bindings.movements(spark, sf_dir).withColumn("data", F.date_format("data", "yyyy-MM-dd HH:mm:ss"))
+    twice = moves.withColumn("_vez", F.explode(F.array(F.lit(1), F.lit(2))))
+    writers.sink_csv(twice.select(*MOVEMENT.fieldNames()), landing, sep=",")
+    for _ in range(2):
+        movements.ledger_ingest(spark, landing, path, scratch_path(spark, "ckpt"))
     ledger = spark.read.parquet(path)
     return ledger.select(
         "fk_cliente", "fk_classe", "fk_subclasse", "natureza_operacao", F.col("valor").cast("double"),

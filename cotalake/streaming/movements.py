@@ -12,8 +12,11 @@ from cotalake.operators.joins import redemption_alert
 from cotalake.schemas import MOVEMENT
 
 
+ORIGIN = "arquivo"
+
+
 def typed_movements(raw: DataFrame) -> DataFrame:
-    """Text columns of the feed to their declared types; bad values become null."""
+    """Text columns of the feed to their declared types; bad values become null, the file's name stays where known."""
     types = {f.name: f.dataType for f in MOVEMENT.fields}
 
     def typed(name: str) -> Column:
@@ -21,16 +24,16 @@ def typed_movements(raw: DataFrame) -> DataFrame:
             return F.try_to_timestamp(F.col(name), F.lit("yyyy-MM-dd HH:mm:ss")).alias(name)
         return F.col(name).try_cast(types[name]).alias(name)
 
-    return raw.select(*[typed(name) for name in types])
+    return raw.select(*[typed(name) for name in types], *[c for c in raw.columns if c == ORIGIN])
 
 
 def read_movements(spark: SparkSession, landing: str, files_per_batch: int | None = None) -> DataFrame:
-    """Stream of the landing folder: comma-separated files with a header."""
+    """Stream of the landing folder: comma-separated files with a header. ``arquivo`` is each row's file."""
     schema = ", ".join(f"{name} string" for name in MOVEMENT.fieldNames())
     reader = spark.readStream.schema(schema).options(header=True, sep=",")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return typed_movements(reader.csv(landing))
+    return typed_movements(reader.csv(landing).select("*", F.col("_metadata.file_path").alias(ORIGIN)))
 
 
 def run_available(query_writer, checkpoint: str) -> None:
@@ -39,31 +42,40 @@ def run_available(query_writer, checkpoint: str) -> None:
 
 
 def _append_new(batch: DataFrame, path: str) -> None:
-    """Append the rows of a batch that the table does not hold yet.
+    """Append the movements of a batch whose file the table does not hold yet.
 
-    Compared with the touched days only, whose list is bounded by the calendar.
-    A replayed batch adds nothing, and a row is kept however late it arrives.
+    Two equal movements of one file are two movements. Equal rows of a file are counted (map-side first) and compared,
+    as one row, with what the table holds of that file; the count then unfolds again while writing. A file that comes
+    again, or half of which was written before a failure, so adds only what is missing. The table is read for the
+    touched days only, whose list is bounded by the calendar; a row is kept however late it arrives.
     """
     spark = batch.sparkSession
-    unique = batch.dropDuplicates().withColumn("dia", F.col("data").cast("date"))
-    days = [r["dia"] for r in unique.select("dia").distinct().collect()]
+    dated = batch.withColumn("dia", F.col("data").cast("date"))
+    columns = dated.columns
+    days = [r["dia"] for r in dated.select("dia").distinct().collect()]
     if not days:
         return
     same_day = F.col("dia").isin([d for d in days if d is not None])
-    held = spark.read.schema(unique.schema).parquet(path).filter(
+    held = spark.read.schema(dated.schema).parquet(path).filter(
         same_day | F.col("dia").isNull() if None in days else same_day
     )
-    match = None
-    for name in unique.columns:
-        equal = F.col(f"a.{name}").eqNullSafe(F.col(f"b.{name}"))
-        match = equal if match is None else match & equal
-    fresh = unique.alias("a").join(held.alias("b"), match, "left_anti")
-    fresh.hint("rebalance", "dia").write.mode("append").partitionBy("dia").parquet(path)
+    landed = dated.withColumn("_n", F.lit(1)).unionByName(held.withColumn("_n", F.lit(-1)))
+    counted = landed.groupBy(*columns).agg(
+        F.sum(F.when(F.col("_n") > 0, 1).otherwise(0)).alias("_new"), F.sum(F.when(F.col("_n") < 0, 1).otherwise(0)).alias("_held")
+    )
+    missing = counted.filter("_new > _held").select(
+        *columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_new") - F.col("_held"))).alias("_copy")
+    ).drop("_copy")
+    missing.hint("rebalance", "dia").write.mode("append").partitionBy("dia").parquet(path)
 
 
 def ledger_ingest(spark: SparkSession, landing: str, path: str, checkpoint: str, files_per_batch: int | None = None) -> None:
-    """Land every distinct movement once in a table partitioned by day."""
-    empty = spark.createDataFrame([], MOVEMENT).withColumn("dia", F.col("data").cast("date"))
+    """Land every movement of every file once in a table partitioned by day.
+
+    A movement is told apart by its file and its place among equal rows there, so files keep their names: a file
+    landed again under another name brings new movements.
+    """
+    empty = spark.createDataFrame([], MOVEMENT).withColumns({ORIGIN: F.lit(None).cast("string"), "dia": F.col("data").cast("date")})
     empty.write.mode("ignore").partitionBy("dia").parquet(path)
     writer = read_movements(spark, landing, files_per_batch).writeStream.foreachBatch(
         lambda batch, _id: _append_new(batch, path)

@@ -24,7 +24,7 @@ def feed(tmp_path):
     return str(landing), drop, str(tmp_path / "out"), str(tmp_path / "ckpt")
 
 
-def test_ledger_keeps_late_rows_and_drops_repeats(spark, feed, rows):
+def test_ledger_keeps_late_and_equal_rows_and_ignores_replays(spark, feed, rows, tmp_path):
     landing, drop, out, checkpoint = feed
     drop("1,1,1,A,10.50,2024-01-05 10:00:00", "1,1,1,A,10.50,2024-01-05 10:00:00", "2,1,2,R,x,2024-01-05 11:00:00")
     movements.ledger_ingest(spark, landing, out, checkpoint)
@@ -33,10 +33,11 @@ def test_ledger_keeps_late_rows_and_drops_repeats(spark, feed, rows):
     movements.ledger_ingest(spark, landing, out, checkpoint, files_per_batch=1)
     drop("4,,,A,1.00,ontem")
     movements.ledger_ingest(spark, landing, out, checkpoint)
+    movements.ledger_ingest(spark, landing, out, str(tmp_path / "lost_checkpoint"))
     got = rows(spark.read.parquet(out), "fk_cliente", "valor", "data")
     assert [(r[0], None if r[1] is None else float(r[1]), r[2]) for r in got] == [
-        (1, 10.5, dt.datetime(2024, 1, 5, 10)), (2, None, dt.datetime(2024, 1, 5, 11)),
-        (3, 7.0, dt.datetime(2019, 1, 1)), (4, 1.0, None),
+        *[(1, 10.5, dt.datetime(2024, 1, 5, 10))] * 3, (2, None, dt.datetime(2024, 1, 5, 11)),
+        (3, 7.0, dt.datetime(2019, 1, 1)), *[(4, 1.0, None)] * 3,
     ]
 
 

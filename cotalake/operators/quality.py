@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cotalake import schemas
 from cotalake.functions import dates, text
 from cotalake.functions.numbers import missing
+from cotalake.operators import joins
 from cotalake.operators.resolve import resolve_column
 
 
@@ -110,19 +111,47 @@ def dq_simulation_rules(
     )
 
 
-def report_losses(report: DataFrame) -> DataFrame:
-    """What the fact builder will not use of a daily report, each row under its first reason, in one pass."""
+def report_losses(report: DataFrame, dim: DataFrame | None = None, registry: DataFrame | None = None) -> DataFrame:
+    """What the fact builder will not use of a daily report, each row under its first reason.
+
+    With ``dim`` also rows whose CNPJ has no dimension row: ``chave_colidida`` if ``registry`` holds the CNPJ and it lost its
+    surrogate key to another, else ``sem_cadastro``. Rows are counted per CNPJ and reason before they are joined.
+    """
     cnpj = F.col(f"`{resolve_column(report.columns, schemas.REPORT_CNPJ_CLOUD)}`")
     name = resolve_column(report.columns, schemas.REPORT_DATE)
     day = F.col(f"`{name}`")
     parsed = dates.parse_report_date(day) if dict(report.dtypes)[name] == "string" else day.cast("date")
+    digits = text.normalize_cnpj(cnpj)
     reason = (
         F.when(cnpj.isNull(), "sem_cnpj")
-        .when(F.length(text.normalize_cnpj(cnpj)) == 0, "cnpj_sem_digitos")
+        .when(F.length(digits) == 0, "cnpj_sem_digitos")
         .when(parsed.isNull(), "data_invalida")
         .otherwise("aproveitados")
     )
-    kinds = ("sem_cnpj", "cnpj_sem_digitos", "data_invalida", "aproveitados")
-    return report.select(reason.alias("_reason")).agg(
-        F.count(F.lit(1)).alias("registros"), *[F.count_if(F.col("_reason") == k).alias(k) for k in kinds]
+    kinds = ["sem_cnpj", "cnpj_sem_digitos", "data_invalida"]
+    counted = report.select(reason.alias("_reason"), digits.alias("_cnpj"))
+    if dim is None:
+        counted = counted.withColumn("_n", F.lit(1))
+    else:
+        kinds += ["sem_cadastro", "chave_colidida"]
+        counted = counted.groupBy("_reason", "_cnpj").agg(F.count(F.lit(1)).alias("_n"))
+        kept = dim.select(F.col(joins.CNPJ).alias("_cnpj"), F.lit(True).alias("_kept")).distinct()
+        counted = counted.join(kept, "_cnpj", "left")
+        known = F.lit(False)
+        if registry is not None:
+            listed = F.col(f"`{resolve_column(registry.columns, schemas.CLASS_CNPJ)}`")
+            counted = counted.join(
+                registry.select(text.normalize_cnpj(listed).alias("_cnpj"), F.lit(True).alias("_known")).distinct(), "_cnpj", "left"
+            )
+            known = F.col("_known").isNotNull()
+        lost = (F.col("_reason") == "aproveitados") & F.col("_kept").isNull()
+        counted = counted.withColumn(
+            "_reason", F.when(lost & known, "chave_colidida").when(lost, "sem_cadastro").otherwise(F.col("_reason"))
+        )
+    return counted.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("registros"),
+        *[
+            F.coalesce(F.sum(F.when(F.col("_reason") == k, F.col("_n"))), F.lit(0)).cast("long").alias(k)
+            for k in (*kinds, "aproveitados")
+        ],
     )

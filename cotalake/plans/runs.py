@@ -15,6 +15,9 @@ from cotalake.sinks import writers
 from cotalake.sources import archives, delimited, objects
 
 DAILY = "inf_diario"
+ORIGIN = "origem"
+READ = "lidos"
+REJECTED = "rejeitada"
 
 
 def landing_layer(spark: SparkSession, source: str, target: str) -> DataFrame:
@@ -41,22 +44,31 @@ def silver_layer(
     """Clean the registries and the daily reports of ``source``. Returns the manifest.
 
     ``source`` holds CSV files, or (``unpacked``) what :func:`landing_layer`
-    wrote. A missing input is skipped; the run goes on with the others.
+    wrote. A missing input is skipped; the run goes on with the others. Rows
+    with more fields than their header are set aside, see :func:`rejected_rows`.
     """
     lines = spark.read.parquet(f"{source}/linhas") if unpacked else None
     produced: list[writers.Produced] = []
+
+    def readable(raw: DataFrame, kind: str) -> DataFrame:
+        """The rows as read, written once; those with too many fields stay apart, with file and raw line."""
+        path = f"{target}/{READ}/{kind}"
+        marked = raw.withColumn(REJECTED, F.col(delimited.BROKEN).isNotNull().cast("int"))
+        marked.write.mode("overwrite").partitionBy(REJECTED).parquet(path)
+        return spark.read.schema(marked.schema).parquet(path).filter(F.col(REJECTED) == 0).drop(REJECTED, delimited.BROKEN)
+
     for kind in silver.REGISTRY_FILTERS:
-        raw = _registry(spark, source, kind, encoding) if lines is None else archives.member_table(lines, kind)
+        raw = _registry(spark, source, kind, encoding) if lines is None else archives.member_table(lines, kind, file_name_as=ORIGIN)
         if raw is not None:
             path = f"{target}/{kind}_clean"
-            rows = writers.sink_csv(silver.clean_registry(raw, kind), path)
+            rows = writers.sink_csv(silver.clean_registry(readable(raw, kind).drop(ORIGIN), kind), path)
             produced.append(writers.Produced(f"{kind}_clean", path, rows))
     if lines is None:
         raw = _reports(spark, source, encoding)
     else:
-        raw = archives.member_table(lines, f"{DAILY}_fi", file_name_as="origem")
+        raw = archives.member_table(lines, f"{DAILY}_fi", file_name_as=ORIGIN)
     if raw is not None:
-        named = raw.withColumn("origem", F.regexp_replace("origem", r"(?i)\.csv$", "_clean.csv"))
+        named = readable(raw, DAILY).withColumn(ORIGIN, F.regexp_replace(ORIGIN, r"(?i)\.csv$", "_clean.csv"))
         path = f"{target}/{DAILY}"
         produced.append(writers.Produced(DAILY, path, writers.per_file_output(clean_reports(named), path)))
     if not produced:
@@ -66,19 +78,48 @@ def silver_layer(
 
 def _registry(spark: SparkSession, source: str, kind: str, encoding: str) -> DataFrame | None:
     found = objects.single_file_by_pattern(spark, source, kind).first()["caminho"]
-    return None if found is None else delimited.scan_delimited(spark, found, encoding=encoding)
+    return None if found is None else delimited.scan_union_by_name(
+        spark, found, encoding, file_name_as=ORIGIN, sep=";", keep_broken=True
+    )
 
 
 def _reports(spark: SparkSession, source: str, encoding: str) -> DataFrame | None:
     try:
-        return delimited.scan_union_by_name(spark, f"{source}/{DAILY}_fi*.csv", encoding, file_name_as="origem")
+        return delimited.scan_union_by_name(
+            spark, f"{source}/{DAILY}_fi*.csv", encoding, file_name_as=ORIGIN, keep_broken=True
+        )
     except (AnalysisException, FileNotFoundError):
         return None
 
 
+def rejected_rows(spark: SparkSession, silver_path: str) -> DataFrame:
+    """(tipo, origem, linha): rows that the silver run set aside because they have more fields than their header."""
+    rejects: DataFrame | None = None
+    for kind in (*silver.REGISTRY_FILTERS, DAILY):
+        try:
+            read = spark.read.parquet(f"{silver_path}/{READ}/{kind}")
+        except AnalysisException:
+            continue
+        part = read.filter(F.col(REJECTED) == 1).select(F.lit(kind).alias("tipo"), ORIGIN, F.col(delimited.BROKEN).alias("linha"))
+        rejects = part if rejects is None else rejects.unionByName(part)
+    return rejects
+
+
+def layer_losses(spark: SparkSession, silver_path: str, dim: DataFrame) -> DataFrame:
+    """Where every line of the daily reports went: ``lidas`` is the sum of all other columns."""
+    registry, report = read_silver(spark, silver_path)
+    read = spark.read.parquet(f"{silver_path}/{READ}/{DAILY}").agg(
+        F.count(F.lit(1)).alias("lidas"), F.count_if(F.col(REJECTED) == 1).alias("campos_demais")
+    )
+    later = quality.report_losses(report, dim, registry).withColumnRenamed("registros", "_limpas")
+    both = read.withColumn("_one", F.lit(1)).join(later.withColumn("_one", F.lit(1)), "_one")
+    repeated = F.col("lidas") - F.col("campos_demais") - F.col("_limpas")
+    return both.select("lidas", "campos_demais", repeated.alias("vazias_ou_repetidas"), *[c for c in later.columns if c != "_limpas"])
+
+
 def clean_reports(named: DataFrame) -> DataFrame:
     """Daily reports cleaned file by file: a row that holds nothing but its file's name is empty."""
-    content = [c for c in named.columns if c != "origem"]
+    content = [c for c in named.columns if c != ORIGIN]
     cleaned = (
         named.transform(cleaning.trim_text).transform(cleaning.coerce_daily_report).transform(cleaning.distinct_rows)
     )
@@ -90,25 +131,26 @@ def read_silver(spark: SparkSession, path: str, newest_only: bool = False) -> tu
     registry = delimited.scan_delimited(spark, f"{path}/registro_classe_clean", encoding="UTF-8")
     report = delimited.scan_delimited(spark, f"{path}/{DAILY}", encoding="UTF-8")
     if newest_only:
-        newest = report.agg(F.max("origem")).scalar()
-        report = report.filter(F.col("origem") == newest)
-    return registry, report.drop("origem")
+        newest = report.agg(F.max(ORIGIN)).scalar()
+        report = report.filter(F.col(ORIGIN) == newest)
+    return registry, report.drop(ORIGIN)
 
 
 def gold_layer(
     spark: SparkSession, source: str, target: str, variant: str = "local",
-    period_days: Sequence[int] = tuple(schemas.PERIODS), one_row_per_day: bool = False,
+    period_days: Sequence[int] = tuple(schemas.PERIODS), one_row_per_day: bool = False, key: str = "parity",
 ) -> tuple[DataFrame, DataFrame]:
     """Build and write the star schema and the period aggregate. Returns (manifest, quality status).
 
     The fact is written first and read back for everything that follows, so it
-    is computed once and survives the loss of executors. The cloud variant
-    reads the newest report file only and writes the facts as CSV as well as
+    is computed once and survives the loss of executors. The status shows what
+    became of the report lines, also written to ``perdas``. The cloud variant
+    reads the newest report file only (the loss report still counts all) and writes the facts as CSV as well as
     Parquet, like the local one.
     """
     registry, report = read_silver(spark, source, newest_only=variant == "cloud")
     dim_path = f"{target}/dim_fundo"
-    dim_rows = writers.sink_dual(spark, gold.dim_fundo(registry, variant), dim_path)
+    dim_rows = writers.sink_dual(spark, gold.dim_fundo(registry, variant, key=key), dim_path)
     dim = spark.read.parquet(f"{dim_path}/parquet")
 
     def write_facts(df: DataFrame, name: str, key: str) -> tuple[writers.Produced, DataFrame]:
@@ -118,7 +160,7 @@ def gold_layer(
         writers.sink_partitioned_month(written.drop("ano_mes"), f"{path}/csv", key, form="csv")
         return writers.Produced(name, path, rows), written
 
-    built = gold.fct_fundo_diario(report, dim, variant, one_row_per_day)
+    built = gold.fct_fundo_diario(report, dim, variant, one_row_per_day, key=key)
     fact_entry, fact = write_facts(built, "fct_fundo_diario", "sk_data")
     aggregate = periods.agg_fundo_periodo(fact, period_days, variant)
     agg_entry, aggregate = write_facts(aggregate, "agg_fundo_periodo", "data_referencia")
@@ -130,5 +172,11 @@ def gold_layer(
         fact_entry,
         agg_entry,
     ]
+    losses_path = f"{target}/perdas"
+    layer_losses(spark, source, dim).write.mode("overwrite").parquet(losses_path)
+    losses = spark.read.parquet(losses_path)
     checks = quality.fact_checks(fact).unionByName(quality.aggregate_checks(aggregate))
-    return writers.run_manifest(spark, produced), quality.dq_status(checks)
+    status = quality.dq_status(checks).withColumns(
+        {f"linhas_{c}": losses.agg(F.max(c)).scalar() for c in losses.columns}
+    )
+    return writers.run_manifest(spark, produced), status

@@ -91,36 +91,52 @@ def header_names(line: str, sep: str) -> list[str]:
 
 
 def scan_union_by_name(
-    spark: SparkSession, path: str | Sequence[str], encoding: str = LATIN1, skip_unreadable: bool = True,
-    file_name_as: str | None = None,
+    spark: SparkSession, path: str | Sequence[str], encoding: str = LATIN1, skip_unreadable: bool = False,
+    file_name_as: str | None = None, sep: str | None = None, keep_broken: bool = False,
 ) -> DataFrame:
-    """Files with their own separators and column orders, appended by column name.
+    """Files with their own separators (or all with ``sep``) and column orders, appended by column name.
 
-    One reader per distinct header. The driver handles file names only, as any
-    Spark file scan does; no data row passes through it.
+    One reader per distinct header. The driver handles file names only, as any Spark file scan does; no data row passes
+    through it. An unreadable file fails the job: Spark can skip it (``skip_unreadable``), but then keeps the rows read
+    before the fault and does not say so. ``keep_broken`` adds the raw line of each row with more fields than its header.
     """
     groups: dict[tuple[str, str], list[str]] = {}
     for row in sniff_separator(spark, path, encoding).collect():
-        groups.setdefault((row["linha"], row["separador"]), []).append(row["arquivo"])
+        groups.setdefault((row["linha"], sep or row["separador"]), []).append(row["arquivo"])
     if not groups:
         raise FileNotFoundError(f"no readable file under {path}")
     union: DataFrame | None = None
-    for (line, sep), files in sorted(groups.items()):
-        part = scan_delimited(spark, files, sep, encoding, header_names(line, sep), skip_unreadable, file_name_as)
+    for (line, own), files in sorted(groups.items()):
+        names = header_names(line, own)
+        if keep_broken:
+            part = scan_tolerant(spark, files, names, own, encoding, file_name_as)
+        else:
+            part = scan_delimited(spark, files, own, encoding, names, skip_unreadable, file_name_as)
         union = part if union is None else union.unionByName(part, allowMissingColumns=True)
     return union
 
 
+def _too_many_fields(line: Column, sep: str, count: int) -> Column:
+    """More fields than the header. A doubled quote inside a quoted field ends one quoted stretch and begins the next."""
+    unquoted = F.regexp_replace(line, '"[^"]*"', "")
+    return F.length(unquoted) - F.length(F.replace(unquoted, F.lit(sep), F.lit(""))) + 1 > count
+
+
 def parse_lines(lines: DataFrame, text: str, names: Sequence[str], sep: str, *keep: str) -> DataFrame:
-    """Whole lines to all-string columns; ``keep`` columns pass through."""
+    """Whole lines to all-string columns; ``keep`` columns pass through.
+
+    ``_linha_invalida`` is the raw line where it has more fields than the header, as in :func:`scan_tolerant`.
+    """
     places = [f"_c{i}" for i in range(len(names))]
     fields = F.from_csv(F.col(text), ", ".join(f"{c} string" for c in places), {"sep": sep, "quote": '"', "escape": '"'})
-    split = lines.select(*keep, fields.alias("_fields")).select(*keep, *[F.col(f"_fields.{c}") for c in places])
-    return split.toDF(*keep, *names).select(*keep, *[_or_null(n) for n in names])
+    broken = F.when(_too_many_fields(F.col(text), sep, len(names)), F.col(text)).alias(BROKEN)
+    split = lines.select(*keep, fields.alias("_fields"), broken).select(*keep, *[F.col(f"_fields.{c}") for c in places], BROKEN)
+    return split.toDF(*keep, *names, BROKEN).select(*keep, *[_or_null(n) for n in names], BROKEN)
 
 
 def scan_tolerant(
-    spark: SparkSession, path: str | Sequence[str], names: Sequence[str], sep: str = ";", encoding: str = LATIN1
+    spark: SparkSession, path: str | Sequence[str], names: Sequence[str], sep: str = ";", encoding: str = LATIN1,
+    file_name_as: str | None = None,
 ) -> DataFrame:
     """Every row, with the raw line in ``_linha_invalida`` where it has more fields than the header.
 
@@ -135,14 +151,11 @@ def scan_tolerant(
         )
         .csv(path if isinstance(path, str) else list(path))
     )
-    # A doubled quote inside a quoted field ends one quoted stretch and begins the next.
-    unquoted = F.regexp_replace(BROKEN, '"[^"]*"', "")
-    fields = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(sep), F.lit(""))) + 1
     # Spark refuses plans that read the raw line alone; looking at a data column as well keeps counts possible.
     looked_at = F.coalesce(F.length(F.col(f"`{names[0]}`")), F.lit(0)) >= 0
-    return rows.select(
-        *[_or_null(c) for c in names], F.when((fields > len(names)) & looked_at, F.col(BROKEN)).alias(BROKEN)
-    )
+    broken = F.when(_too_many_fields(F.col(BROKEN), sep, len(names)) & looked_at, F.col(BROKEN)).alias(BROKEN)
+    origin = [F.col("_metadata.file_name").alias(file_name_as)] if file_name_as else []
+    return rows.select(*[_or_null(c) for c in names], *origin, broken)
 
 
 def good_rows(scanned: DataFrame) -> DataFrame:

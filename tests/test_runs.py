@@ -3,7 +3,10 @@
 import io
 import zipfile
 
-from cotalake.plans import runs
+from pyspark.sql import functions as F
+
+from cotalake.operators import quality
+from cotalake.plans import gold, runs
 
 CLASSES = (
     "CNPJ_Classe;Denominacao_Social;Situacao;Classificacao;Forma_Condominio;Exclusivo\n"
@@ -78,3 +81,33 @@ def test_cloud_variant_reads_the_newest_file(spark, tmp_path, rows):
     assert status.first()["status"] == "success"
     aggregate = spark.read.parquet(f"{out}/agg_fundo_periodo/parquet")
     assert {(r["score_risco_fundo"], r["nivel_risco_fundo"]) for r in aggregate.collect()} == {(50.0, "medio")}
+
+
+def test_every_line_is_accounted_for(spark, tmp_path, rows):
+    """A line with a field too many reaches no fact row, and read = used + each loss."""
+    silver, out = str(tmp_path / "silver"), str(tmp_path / "gold")
+    folder = _landed(tmp_path)
+    broken = "191;2024-01-30;1;000;5;2;7"
+    bad = f"{broken}\n--;2024-01-30;1;1;1;1\n;2024-01-30;1;1;1;1\n"
+    (tmp_path / "bronze" / "inf_diario_fi_202401.csv").write_bytes((JANUARY + bad).encode("latin-1"))
+    (tmp_path / "bronze" / "registro_classe.csv").write_bytes((CLASSES + "194;a;b;c;d;e;f\n").encode("latin-1"))
+    runs.silver_layer(spark, folder, silver)
+    assert rows(runs.rejected_rows(spark, silver)) == [
+        ("inf_diario", "inf_diario_fi_202401.csv", broken), ("registro_classe", "registro_classe.csv", "194;a;b;c;d;e;f"),
+    ]
+    _, status = runs.gold_layer(spark, silver, out)
+    lost = spark.read.parquet(f"{out}/perdas").first().asDict()
+    assert lost == {
+        "lidas": 11, "campos_demais": 1, "vazias_ou_repetidas": 2, "sem_cnpj": 1, "cnpj_sem_digitos": 1, "data_invalida": 1,
+        "sem_cadastro": 1, "chave_colidida": 0, "aproveitados": 4,
+    }
+    assert lost.pop("lidas") == sum(lost.values())
+    assert spark.read.parquet(f"{out}/fct_fundo_diario/parquet").count() == status.first()["linhas_aproveitados"] == 4
+
+
+def test_collided_keys_are_reported_and_the_wide_key_has_none(spark, rows):
+    cnpjs = spark.range(20_000).select(F.lpad(F.col("id").cast("string"), 14, "0").alias("CNPJ_FUNDO_CLASSE"))
+    report = cnpjs.withColumn("DT_COMPTC", F.lit("2024-01-02"))
+    narrow, wide = (quality.report_losses(report, gold.dim_fundo(cnpjs, key=k), cnpjs).first() for k in ("parity", "wide"))
+    assert narrow["chave_colidida"] > 0 and narrow["chave_colidida"] + narrow["aproveitados"] == 20_000
+    assert (wide["chave_colidida"], wide["aproveitados"]) == (0, 20_000)

@@ -8,7 +8,9 @@ from cotalake.catalog import sql
 from cotalake.catalog.registry import query
 from cotalake.operators import periods, quality
 from cotalake.operators import relationship as rel
-from cotalake.plans import bindings
+from cotalake.plans import bindings, gold, runs
+from cotalake.session import scratch_path
+from cotalake.sources import delimited
 
 
 @query(
@@ -70,3 +72,35 @@ def dq_simulation_rules(spark, sf_dir):
     balance = bindings.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("sk_fundo"), F.col("c_acctbal").alias("patrimonio"))
     equity = held.select("sk_fundo", "sk_data").distinct().join(balance, "sk_fundo")
     return quality.dq_simulation_rules(held, risk, equity, scale=2.0, tolerance=0.5)
+
+
+@query(
+    "layer_losses",
+    f"""WITH {sql.DIM.replace("FROM supplier", "FROM supplier WHERE s_acctbal >= 0")},
+    cadastro AS (SELECT regexp_replace(s_name, '[^0-9]', '', 'g') AS c FROM supplier WHERE s_acctbal >= 0),
+    linhas AS (SELECT l_linenumber AS n, c.c IS NOT NULL AS conhecido, d.cnpj IS NOT NULL AS mantido FROM lineitem
+      LEFT JOIN cadastro c ON c.c = lpad(CAST(l_suppkey AS VARCHAR), 9, '0') LEFT JOIN dim d ON d.cnpj = lpad(CAST(l_suppkey AS VARCHAR), 9, '0'))
+    SELECT count(*) + count(*) FILTER (WHERE n = 5) AS lidas, count(*) FILTER (WHERE n = 1) AS campos_demais,
+      count(*) FILTER (WHERE n = 5) AS vazias_ou_repetidas, count(*) FILTER (WHERE n = 2) AS sem_cnpj,
+      count(*) FILTER (WHERE n = 3) AS cnpj_sem_digitos, count(*) FILTER (WHERE n = 4) AS data_invalida,
+      count(*) FILTER (WHERE n > 4 AND NOT conhecido) AS sem_cadastro, count(*) FILTER (WHERE n > 4 AND conhecido AND NOT mantido) AS chave_colidida,
+      count(*) FILTER (WHERE n > 4 AND mantido) AS aproveitados FROM linhas""",
+)
+def layer_losses(spark, sf_dir):
+    """Line items as the lines of daily reports, some spoiled by their line number; suppliers in credit as the registry."""
+    landed, silver = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    raw = {"header": True, "sep": delimited.NO_SEPARATOR, "quote": "", "encoding": delimited.LATIN1}
+    state = F.when(F.col("s_acctbal") >= 0, "Em Funcionamento Normal").otherwise("Cancelada")
+    registry = bindings.table(spark, sf_dir, "supplier").select(F.concat_ws(";", "s_name", "s_name", state))
+    registry.coalesce(1).toDF("CNPJ_Classe;Denominacao_Social;Situacao").write.options(**raw).csv(f"{landed}/registro_classe")
+    number = F.col("l_linenumber")
+    cnpj = F.when(number == 2, "").when(number == 3, "--").otherwise(F.lpad(F.col("l_suppkey").cast("string"), 9, "0"))
+    day = F.when(number == 4, "ontem").otherwise(F.col("l_shipdate").cast("date").cast("string"))
+    fields = [cnpj, day, "l_orderkey", "l_extendedprice", "l_partkey", "l_linenumber"]
+    line = F.when(number == 1, F.concat_ws(";", *fields, F.lit("sobra"))).otherwise(F.concat_ws(";", *fields))
+    repeats = F.explode(F.when(number == 5, F.array(line, line)).otherwise(F.array(line)))
+    report = bindings.table(spark, sf_dir, "lineitem").select(repeats)
+    header = "CNPJ_FUNDO_CLASSE;DT_COMPTC;VL_PATRIM_LIQ;CAPTC_DIA;RESG_DIA;NR_COTST"
+    report.toDF(header).write.options(**raw).csv(f"{landed}/inf_diario_fi_todos.csv")
+    runs.silver_layer(spark, landed, silver)
+    return runs.layer_losses(spark, silver, gold.dim_fundo(runs.read_silver(spark, silver)[0]))

@@ -11,11 +11,7 @@ SF = "/root/testdata/sf0.001"
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
-# One of each kind; tools/check.py compares all of them.
-COMPARED = [
-    "fct_fundo_diario", "agg_fundo_periodo", "kpi_trailing_period", "pct_change_pl", "client_risk_score", "dim_tempo",
-    "scan_tolerant", "basic_clean", "dim_fundo_scd2", "consolidate_sources",
-]
+COMPARED = sorted(set(entry_module.oracle_sql()) - set(entry_module.LLM_SQL))
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no supplied tables")
 

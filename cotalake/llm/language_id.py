@@ -40,7 +40,7 @@ _LETTER = np.where(T.LETTERS & ~((T.LOWER >= 0x30) & (T.LOWER <= 0x39)), T.LOWER
 def _triples(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """First row, triples per row, and their buckets. A triple is centred on a letter; other bytes count as one blank."""
     data, offsets = T.utf8(column)
-    for first, last in T.groups(offsets, T.CHUNK // 2):
+    for first, last in T.groups(offsets, T.CHUNK // 4):
         part, bounds = data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
         codes = np.zeros(len(part) + 2, np.uint32)
         codes[1:-1] = _LETTER[part]

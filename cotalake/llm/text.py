@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes handled at a time; a longer document is taken in pieces cut between words.
-CHUNK = 1 << 19
+CHUNK = 1 << 18
 
 _BYTES = np.arange(256)
 #: Lower-cased byte for each byte.

@@ -140,6 +140,46 @@ def test_items_in_blocks_give_the_same(spark, corpus, monkeypatch):
     assert pairs == {(200, 3), (201, 9), (202, 6)}
 
 
+def _subsequence(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before, row = row, [0] * (len(b) + 1)
+        for j, y in enumerate(b):
+            row[j + 1] = before[j] + 1 if x == y else max(before[j + 1], row[j])
+    return row[-1]
+
+
+def test_short_and_changed_excerpts_in_long_documents_match_brute_force(spark):
+    random = np.random.default_rng(31)
+    vocabulary = np.array([f"w{i}" for i in range(3000)])
+    chance = 1 / np.arange(3, 3003)
+    draw = lambda n: random.choice(vocabulary, n, p=chance / chance.sum()).tolist()
+    items = {i: draw(n) for i, n in enumerate([8, 8, 10, 10, 12, 12, 15, 15, 18, 18, 25, 32] * 3)}
+    docs = {}
+    for i, words in items.items():
+        for k, changed in enumerate((0.0, 0.2, 0.35)):
+            excerpt = [draw(1)[0] if random.random() < changed else w for w in words]
+            at = int(random.integers(0, 300))
+            text = draw(300)
+            docs[i * 10 + k] = text[:at] + excerpt + text[at:]
+    found = {
+        (r.doc_id, r.item_id)
+        for r in decontamination.find_leaks(
+            spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id long, text string"),
+            _bench(spark, [(i, " ".join(w)) for i, w in items.items()]),
+        ).collect()
+    }
+    copies = set()
+    for d, words in docs.items():
+        for left in range(-16, len(words) - 16, 16):
+            window = words[max(left, 0) : left + 64]
+            held = set(window)
+            for i, item in items.items():
+                if sum(w in held for w in item) >= 0.8 * len(item) and _subsequence(item, window) >= 0.8 * len(item):
+                    copies.add((d, i))
+    assert copies >= {(i * 10, i) for i in items} and copies <= found
+
+
 def test_common_subsequence_matches_dynamic_programming():
     random = np.random.default_rng(3)
     for _ in range(20):

@@ -10,7 +10,7 @@ candidates leave a task, and they are merged by partial top-k.
 
 Defined results: vectors that are null, empty, or hold a null or non-finite component take no part, nor do rows with a null id.
 Shorter vectors count as filled with zeros. Rows of one id are candidates and queries each, but never of their own id; equal
-(query, candidate, score) rows count once. Ties go to the smaller id. Scores beyond a long are cut to its range. Empty tables
+(query, candidate, score) rows count once, however many there are, before anything is cut to k. Ties go to the smaller id. Scores beyond a long are cut to its range. Empty tables
 give an empty result. Other columns are ignored.
 """
 
@@ -29,6 +29,8 @@ from cotalake.llm.common import written
 BLOCK, QUERY_BLOCK = 8192, 512
 #: Dimensions added before candidates are compacted again.
 DIMENSIONS = 16
+#: Range of a long.
+_LEAST, _MOST = -(1 << 63), (1 << 63) - 1
 
 
 def quantised(vector: Column, scale: int = 256) -> Column:
@@ -58,7 +60,7 @@ def _wide(queries: np.ndarray, candidates: np.ndarray) -> bool:
 
 
 def search(queries: np.ndarray, query_ids: np.ndarray, candidates: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[int, int, int]]:
-    """The k best (query, id, score) of this block of candidates for every query; ids are distinct from the query's own."""
+    """The k best distinct (query, id, score) of this block of candidates for every query; ids are distinct from the query's own."""
     wide = _wide(queries, candidates)
     size = max(queries.shape[1], candidates.shape[1])
     kind = object if wide else np.float64
@@ -68,6 +70,8 @@ def search(queries: np.ndarray, query_ids: np.ndarray, candidates: np.ndarray, i
     columns = np.zeros((size, len(candidates)), kind)
     columns[: candidates.shape[1]] = candidates.T
     squares = columns.astype(np.float64) ** 2
+    distinct, owner = np.unique(ids, return_inverse=True)
+    repeated = len(distinct) < len(ids)
     out = []
     for query, own in zip(q, query_ids.tolist()):
         mass = query.astype(np.float64) ** 2
@@ -89,11 +93,26 @@ def search(queries: np.ndarray, query_ids: np.ndarray, candidates: np.ndarray, i
             # A little more than the bound, for the rounding of the norms.
             reach = np.sqrt(query_rest * rest) * (1 + 1e-9) + 1e-6
             known = score.astype(np.float64)
-            floor = np.partition(known - reach, len(alive) - k)[len(alive) - k]
-            stay = known + reach >= floor - abs(floor) * 1e-12
+            lower = known - reach
+            if repeated:
+                # Of several rows of one id only the best counts: the others may have its score.
+                rows, lower = lower, np.full(len(distinct), -np.inf)
+                np.maximum.at(lower, owner[alive], rows)
+                if len(distinct) <= k:
+                    continue
+            floor = min(np.partition(lower, len(lower) - k)[len(lower) - k], float(_MOST))
+            if floor == -np.inf:
+                continue
+            stay = np.maximum(known + reach, float(_LEAST)) >= floor - abs(floor) * 1e-12
             alive, score, rest = alive[stay], score[stay], rest[stay]
-        best = np.lexsort((ids[alive], -score))[:k] if not wide else sorted(range(len(alive)), key=lambda i: (-score[i], ids[alive[i]]))[:k]
-        out.extend((own, int(ids[alive[i]]), max(-(1 << 63), min((1 << 63) - 1, int(score[i])))) for i in best)
+        if wide:
+            found = {(-max(_LEAST, min(_MOST, int(x))), int(i)) for x, i in zip(score, ids[alive])}
+            out.extend((own, i, -x) for x, i in sorted(found)[:k])
+        else:
+            best = np.lexsort((ids[alive], -score))
+            i, x = ids[alive[best]], score[best]
+            new = np.concatenate([[True], (i[1:] != i[:-1]) | (x[1:] != x[:-1])])
+            out.extend((own, int(a), int(b)) for a, b in zip(i[new][:k], x[new][:k]))
     return out
 
 
@@ -123,9 +142,10 @@ def _packed(rows: DataFrame, size: int, label: str) -> DataFrame:
 def top_k(rows: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k best other rows."""
     usable = rows.where(F.col(vec_id).isNotNull() & _usable(F.col(vector)))
-    ints = usable.select(F.col(vec_id).cast("long").alias("id"), quantised(F.col(vector)).alias("v"))
-    candidates = _packed(ints, BLOCK, "topk_candidates")
-    queries = _packed(usable.where(is_query).select(F.col(vec_id).cast("long").alias("id"), quantised(F.col(vector)).alias("v")), QUERY_BLOCK, "topk_queries")
+    # Equal rows are one, so that copies of a row neither fill a block's k places nor cost work.
+    ints = [F.col(vec_id).cast("long").alias("id"), quantised(F.col(vector)).alias("v")]
+    candidates = _packed(usable.select(*ints).distinct(), BLOCK, "topk_candidates")
+    queries = _packed(usable.where(is_query).select(*ints).distinct(), QUERY_BLOCK, "topk_queries")
     # Blocks are numbered from 0; only their numbers pass through one task, thousands of vectors stand behind each.
     marked = written(candidates.withColumn("mark", F.monotonically_increasing_id()), "topk_blocks")
     numbers = marked.select("mark", (F.row_number().over(Window.orderBy("mark")) - 1).alias("block"))

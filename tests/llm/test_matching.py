@@ -218,6 +218,21 @@ def test_top_k_matches_brute_force(spark, scale, monkeypatch):
     assert found == _best(ints, {i for i, _ in vectors if i % 10 == 0}, 5)
 
 
+def test_top_k_counts_repeated_rows_once(spark, monkeypatch):
+    monkeypatch.setattr(topk, "DIMENSIONS", 2)
+    random = np.random.default_rng(8)
+    vectors = [(i, [float(x) for x in random.integers(-3, 4, 6)]) for i in range(12)]
+    vectors += [(7, [9.0] * 6)] * 8  # one row many times
+    vectors += [(5, [9.0, 9.0, 9.0, 9.0, 9.0, 9.0][: 6 - z] + [0.0] * z) for z in range(6)]  # one id, several vectors
+    df = spark.createDataFrame([(i, v) for i, v in vectors] + [(0, [1.0, 1.0, 0.0, 0.0, 0.0, 0.0])], "vec_id long, embedding array<double>").coalesce(1)
+    ints = [(i, [int(256 * x) for x in v]) for i, v in [*vectors, (0, [1.0, 1.0, 0.0, 0.0, 0.0, 0.0])]]
+    found = {tuple(r) for r in topk.top_k(df, F.col("vec_id") == 0, 5).collect()}
+    scored = sorted({(-sum(x * y for x, y in zip(q, c)), i) for j, q in ints if j == 0 for i, c in ints if i != 0})[:5]
+    assert found == {(0, rank + 1, i, -s) for rank, (s, i) in enumerate(scored)}
+    copies = spark.createDataFrame([(7, [9.0, 9.0])] * 6 + [(i, [1.0, float(i)]) for i in range(4)], "vec_id long, embedding array<double>").coalesce(1)
+    assert topk.top_k(copies, F.col("vec_id") == 0, 5).count() == 4
+
+
 def test_top_k_of_few_and_none(spark):
     df = spark.createDataFrame([(0, [1.0]), (50, [2.0, 1.0]), (50, [2.0, 1.0])], "vec_id long, embedding array<double>")
     assert {tuple(r) for r in topk.top_k(df, F.col("vec_id") % 50 == 0).collect()} == {(0, 1, 50, 131072), (50, 1, 0, 131072)}

@@ -205,3 +205,31 @@ def test_trained_model_beats_subword_frequencies(monkeypatch):
     net = lm_scoring.fit(x[:-40], y[:-40])
     logs = net.log_probabilities(x[-40:], y[-40:])
     assert logs.sum() / (y[-40:] >= 0).sum() > -1.2  # ln 9 = 2.2 without context
+
+
+def test_subword_counts_of_all_training_text_reach_the_model(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "SAMPLE", 0)  # the counts alone
+    texts = {i: f"the cat {i} sat on the mat. " * 200 for i in range(12)} | {50: None, 51: ""}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in texts}
+    brute = np.zeros((lm_scoring.VOCABULARY, lm_scoring.VOCABULARY))
+    packed = []
+    for i, t in texts.items():
+        ids = lm_scoring.subwords(t or "", lm_scoring.TOKENIZER)
+        packed.append((bytearray(ids.astype(np.int16).tobytes()), held[i]))
+        np.add.at(brute, (np.append(lm_scoring.END, ids[:-1]), ids), 0 if held[i] else 1)
+    rows = spark.createDataFrame(packed, "ids binary, held_out boolean")
+    assert (lm_scoring.subword_pairs(rows.where("not held_out").select("ids")) == brute).all()
+    out = {r.doc_id: r for r in lm_scoring.score_documents(docs).collect()}
+    for i in range(12):
+        n = len(lm_scoring.subwords(texts[i], lm_scoring.TOKENIZER))
+        assert out[i].score / n > -1  # a uniform guess: -3
+    net = lm_scoring.Attention.start(brute.sum(axis=0), brute)
+    random = np.random.default_rng(1)
+    net.weights["lower_bias"] += random.standard_normal((lm_scoring.HALF, lm_scoring.HALF)).astype(np.float32)
+    x, y = lm_scoring.windows(random.integers(0, lm_scoring.END, 100).astype(np.int32))
+    assert np.allclose(net.log_probabilities(x, y), net.fold().log_probabilities(x, y), atol=1e-3)
+    inputs = np.repeat(x[1:2], lm_scoring.VOCABULARY, axis=0)
+    targets = np.full((lm_scoring.VOCABULARY, lm_scoring.STEP), -1, np.int32)
+    targets[:, 0] = np.arange(lm_scoring.VOCABULARY)
+    assert math.isclose(np.exp(net.log_probabilities(inputs, targets)[:, 0]).sum(), 1, rel_tol=1e-4)

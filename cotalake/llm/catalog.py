@@ -18,6 +18,7 @@ from cotalake.llm import (
     quality_rules,
     topk,
     toxicity,
+    vector_codes,
 )
 from cotalake.llm.common import table
 
@@ -64,11 +65,17 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_language_id, op2_source_mixing, op3_decontamination, op4_quality_rules, op5_license_scan,
         op6_minhash_near_dedup, op7_line_dedup, op8_toxicity, op9_exact_topk, op10_lm_scoring,
+        op11_vector_codes,
     )
 }
 
@@ -120,4 +127,28 @@ _TOPK = """WITH v AS (SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding]
     SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
 
 
-SQL: dict[str, str] = {"op2_source_mixing": _MIX, "op7_line_dedup": _LINES, "op9_exact_topk": _TOPK}
+
+# One round: the nearest entry of each part (ties to the lower one), then the floored means; unused entries stay.
+def _round(n: int) -> str:
+    return f"""a{n} AS (SELECT p.k, p.vec_id, any_value(p.c) AS c, min(256 * (list_inner_product(p.c, p.c) - 2 * list_inner_product(p.c, b.c) + list_inner_product(b.c, b.c))::BIGINT + b.entry) AS best
+      FROM p JOIN b{n} b USING (k) GROUP BY p.k, p.vec_id),
+    m{n} AS (SELECT k, best % 256 AS entry, i, floor(sum(c[i]) / count(*)) AS mean FROM a{n}, d GROUP BY k, best % 256, i),
+    b{n + 1} AS (SELECT b.k, b.entry, coalesce(n.c, b.c) AS c FROM b{n} b LEFT JOIN (SELECT k, entry, list(mean ORDER BY i) AS c FROM m{n} GROUP BY k, entry) n USING (k, entry))"""
+
+
+_CODES = f"""WITH v AS MATERIALIZED (SELECT vec_id, label, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS e FROM embeddings
+      WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+    size AS (SELECT max(len(e)) // 4 AS n FROM v),
+    d AS (SELECT unnest(range(1, n + 1)) AS i FROM size),
+    p AS MATERIALIZED (SELECT vec_id, r.k, e[r.k * n + 1:r.k * n + n] AS c FROM v, size, (SELECT unnest(range(4)) AS k) r),
+    o AS (SELECT k, (row_number() OVER (PARTITION BY k ORDER BY vec_id) - 1)::BIGINT AS entry, c FROM p),
+    b0 AS MATERIALIZED (SELECT k, entry, c FROM o WHERE entry < 256),
+    {_round(0)}, {_round(1)}, {_round(2)}, {_round(3)},
+    f AS (SELECT p.k, p.vec_id, min(256 * (list_inner_product(p.c, p.c) - 2 * list_inner_product(p.c, b.c) + list_inner_product(b.c, b.c))::BIGINT + b.entry) AS best
+      FROM p JOIN b4 b USING (k) GROUP BY p.k, p.vec_id),
+    coded AS (SELECT vec_id, string_agg(lower(lpad(to_hex(best % 256), 2, '0')), '' ORDER BY k) AS code, sum(best // 256)::BIGINT AS error FROM f GROUP BY vec_id),
+    books AS (SELECT sha256(string_agg(b.c[d.i]::BIGINT::VARCHAR, ',' ORDER BY b.k, b.entry, d.i)) AS codebooks_sha256 FROM b4 b, d)
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM coded JOIN v USING (vec_id), books"""
+
+
+SQL: dict[str, str] = {"op2_source_mixing": _MIX, "op7_line_dedup": _LINES, "op9_exact_topk": _TOPK, "op11_vector_codes": _CODES}

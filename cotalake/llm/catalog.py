@@ -16,6 +16,7 @@ from cotalake.llm import (
     mixing,
     near_dedup,
     quality_rules,
+    token_alignment,
     topk,
     toxicity,
     vector_codes,
@@ -70,12 +71,16 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_language_id, op2_source_mixing, op3_decontamination, op4_quality_rules, op5_license_scan,
         op6_minhash_near_dedup, op7_line_dedup, op8_toxicity, op9_exact_topk, op10_lm_scoring,
-        op11_vector_codes,
+        op11_vector_codes, op13_token_alignment,
     )
 }
 

@@ -16,6 +16,7 @@ from cotalake.llm import (
     mixing,
     near_dedup,
     quality_rules,
+    repeated_spans,
     token_alignment,
     topk,
     toxicity,
@@ -71,6 +72,11 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
 
 
+def op12_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = repeated_spans.remove_repeats(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.align_documents(table(spark, sf_dir, "documents"))
 
@@ -80,7 +86,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_language_id, op2_source_mixing, op3_decontamination, op4_quality_rules, op5_license_scan,
         op6_minhash_near_dedup, op7_line_dedup, op8_toxicity, op9_exact_topk, op10_lm_scoring,
-        op11_vector_codes, op13_token_alignment,
+        op11_vector_codes, op12_repeated_spans, op13_token_alignment,
     )
 }
 
@@ -156,4 +162,18 @@ _CODES = f"""WITH v AS MATERIALIZED (SELECT vec_id, label, [floor(1024 * x::DOUB
     SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM coded JOIN v USING (vec_id), books"""
 
 
-SQL: dict[str, str] = {"op2_source_mixing": _MIX, "op7_line_dedup": _LINES, "op9_exact_topk": _TOPK, "op11_vector_codes": _CODES}
+# Every string of 100 bytes by its hash; bytes as pairs of hexadecimal digits.
+_REPEATS = """WITH d AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents),
+    s AS (SELECT doc_id, unnest(range(0, len(h) // 2 - 99)) AS i, h FROM d WHERE len(h) >= 200),
+    w AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 200)) AS m FROM s),
+    again AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY m ORDER BY doc_id, i) AS r FROM w) WHERE r > 1),
+    runs AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run
+      FROM (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 100 THEN 0 ELSE 1 END AS new FROM again)),
+    gone AS (SELECT doc_id, run, min(i) AS a, max(i) + 100 AS b FROM runs GROUP BY doc_id, run),
+    cut AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM gone),
+    parts AS (SELECT doc_id, sum(b - a) AS removed, count(*) AS spans, max(b) AS tail, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS body
+      FROM cut JOIN d USING (doc_id) GROUP BY doc_id)
+    SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0) AS n_spans,
+      sha256(unhex(coalesce(body, '') || substr(h, 2 * coalesce(tail, 0) + 1))) AS kept_sha256 FROM d LEFT JOIN parts USING (doc_id)"""
+
+SQL: dict[str, str] = {"op2_source_mixing": _MIX, "op7_line_dedup": _LINES, "op9_exact_topk": _TOPK, "op11_vector_codes": _CODES, "op12_repeated_spans": _REPEATS}

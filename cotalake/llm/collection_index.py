@@ -19,7 +19,7 @@ from typing import BinaryIO
 import numpy as np
 
 #: Entries of the files handled at a time.
-BLOCK = 1 << 20
+BLOCK = 1 << 21
 #: Where no common prefix is known yet.
 _NONE = 255
 

@@ -46,7 +46,7 @@ LISTED = 1 << 16
 #: Different segments of one anchor that are indexed together at most.
 GATHERED = 1 << 14
 #: Bytes of segments in one collection.
-COLLECTION = 1 << 21
+COLLECTION = 1 << 20
 #: Places within a piece of text, in the low bits of a hash.
 _PLACE = np.uint64((1 << 20) - 1)
 _SALTS = (np.uint64(0x9FB21C651E98DF25), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -104,6 +104,33 @@ def strings_of(data: np.ndarray, first: np.ndarray, last: np.ndarray, length: in
     return sums.of(starts, starts + length, 1), sums.of(starts, starts + length), starts, owner
 
 
+def may_share(anchor: np.ndarray, data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> np.ndarray:
+    """Which segments can share a string with another one of their anchor.
+
+    The string holds the anchor and ``length - gram`` bytes around it, half of them before it or half of them behind it: so the anchor
+    with that many bytes on one side is shared too.
+    """
+    sums, n = Prefixes(data), len(anchor)
+    starts, ends = offsets[:-1], offsets[1:]
+    owner = np.repeat(np.arange(n), ends - starts)[: max(len(data) - gram + 1, 0)]
+    at = np.flatnonzero((sums.every(gram) == anchor[owner]) & (np.arange(len(owner)) + gram <= ends[owner]))
+    place = np.full(n, -1, np.int64)
+    place[owner[at][::-1]] = at[::-1]
+    half = (length - gram + 1) // 2
+    # Where an anchor is not found again, nothing is ruled out.
+    shared = place < 0
+    for before, behind in ((half, 0), (0, half)):
+        lo, hi = place - before, place + gram + behind
+        some = np.flatnonzero((place >= 0) & (lo >= starts) & (hi <= ends))
+        key = sums.of(lo[some], hi[some])
+        order = np.lexsort((key, anchor[some]))
+        a, k, rows = anchor[some][order], key[order], some[order]
+        same = (a[1:] == a[:-1]) & (k[1:] == k[:-1])
+        shared[rows[1:][same]] = True
+        shared[rows[:-1][same]] = True
+    return shared
+
+
 def merged(doc: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Spans as maximal runs per document."""
     order = np.lexsort((start, doc))
@@ -284,10 +311,13 @@ def single_strings(texts: DataFrame, length: int) -> DataFrame:
     return texts.select("doc", "place", "cell").mapInArrow(run, _ROWS)
 
 
-def indexed_repeats(texts: DataFrame, length: int) -> DataFrame:
+def indexed_repeats(texts: DataFrame, length: int, gram: int) -> DataFrame:
     """Spans of repeats among the segments of each anchor, by the index of collections of whole groups."""
 
     def search(group: pa.Table) -> pa.RecordBatch:
+        data, offsets = _cells(group, "cell")
+        shared = may_share(group.column("a").to_numpy().view(np.uint64), data, offsets, length, gram)
+        group = group.filter(pa.array(shared)).combine_chunks()
         data, offsets = _cells(group, "cell")
         doc, place = group.column("doc").to_numpy(), group.column("place").to_numpy()
         index = Collection(data, offsets, length)
@@ -365,7 +395,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     large = several.groupBy("a").count().where(F.col("count") > GATHERED).select("a", F.lit(True).alias("large"))
     several = several.join(large, "a", "left").withColumn("large", F.coalesce("large", F.lit(False)))
     texts = written(segment_texts(docs, several), "repeats_texts")
-    spans = spans.unionByName(written(indexed_repeats(texts.where("not large"), length), "repeats_indexed"))
+    spans = spans.unionByName(written(indexed_repeats(texts.where("not large"), length, gram), "repeats_indexed"))
     apart = texts.where("large")
     if not apart.isEmpty():
         spans = spans.unionByName(repeats(single_strings(apart, length), length).where("a is null").select("doc", "place", "stop"))

@@ -3,10 +3,11 @@
 Four kinds of evidence are added as logarithms: the text's likelihood under each language's model of byte triples, the
 declared markup language, the suffix of the address, and a prior of the host. The model and all priors come from grouped
 aggregation over all rows. A host's prior is smoothed towards its parent domain's, that towards its suffix's, and that
-towards the whole corpus.
+towards the whole corpus. A row's own text is taken out of the counts of its host, domain and suffix, as it is evidence already.
 
 Defined results: null and empty texts, and texts without letters, have no text evidence; their language follows from the
-rest and they are not accepted. A null declaration, host or label is no evidence. Repeated rows each count. Empty tables
+rest and they are not accepted. A null declaration, host or label is no evidence, and labels of white space or ``und`` are none. Labels count in lower
+case; of more than ``MAX_LANGUAGES`` the ones with fewest rows are one language, ``other``. Repeated rows each count. Empty tables
 give an empty result; with no labelled text every row is ``und``. Other columns are kept; helper columns have names of
 their own. Equal posteriors go to the language that comes first by name.
 """
@@ -31,8 +32,11 @@ EFFECTIVE = 40.0
 UNKNOWN = 0.01
 #: Pseudo-counts with which each level of hosts leans on the one above.
 LEAN = 5.0
+#: Languages told apart.
 MAX_LANGUAGES = 400
-UNDETERMINED = "und"
+UNDETERMINED, REST = "und", "other"
+#: Declarations of no known language, and none at all; labels have no white space around them.
+_FOREIGN, _NOTHING = " other", ""
 
 _LETTER = np.where(T.LETTERS & ~((T.LOWER >= 0x30) & (T.LOWER <= 0x39)), T.LOWER, 0).astype(np.uint32)
 
@@ -79,13 +83,13 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> TextMo
             at = np.flatnonzero(found)
             yield pa.RecordBatch.from_arrays([pa.array([label] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(found[at], pa.int64())], ["lang", "bucket", "n"])
 
-    rows = labelled.where(F.col(lang).isNotNull()).select(F.col(text), F.col(lang).cast("string").alias("lang"))
+    label = _label(F.col(lang))
+    known = [r["lang"] for r in labelled.select(label.alias("lang")).where("lang is not null").groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(MAX_LANGUAGES + 1).collect()]
+    if len(known) > MAX_LANGUAGES:
+        label = F.when(label.isNotNull() & ~label.isin(known[: MAX_LANGUAGES - 1]), REST).otherwise(label)
+    rows = labelled.select(F.col(text), label.alias("lang")).where("lang is not null")
     counts = rows.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    # A row per language: the bound is checked before the counts are fetched.
-    per_lang = counts.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("cells"))
-    found = per_lang.orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
-    if len(found) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages are declared")
+    found = counts.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("cells")).orderBy("lang").collect()
     table = np.full((len(found) + 1, BUCKETS), 0.5)
     for row, counted in zip(table, found):
         for bucket, n in counted["cells"]:
@@ -94,6 +98,12 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> TextMo
     return TextModel(tuple(r["lang"] for r in found), logs)
 
 
+def _label(lang: Column) -> Column:
+    """A label in lower case; null where it says nothing."""
+    plain = F.lower(F.trim(lang.cast("string")))
+    return F.when(~plain.isin("", UNDETERMINED), plain)
+
+
 def text_evidence(model: TextModel) -> object:
     """A function of a text column: the number of triples, then each language's log-likelihood (undetermined last)."""
     logs, width = np.ascontiguousarray(model.logs.T), len(model.logs)
@@ -150,8 +160,9 @@ def identify(df: DataFrame, model: TextModel, text: Column, declared: Column, ho
     width = len(model.languages) + 1
     evidence = text_evidence(model)
     names = F.array(*[F.lit(n) for n in (*model.languages, UNDETERMINED)])
-    known = F.lower(declared).isin(*model.languages) if model.languages else F.lit(False)
-    clean = F.when(known, F.lower(declared)).when(F.coalesce(declared, F.lit("")) == "", F.lit("")).otherwise(F.lit("other"))
+    mark = _label(declared)
+    known = mark.isin(*model.languages) if model.languages else F.lit(False)
+    clean = F.when(mark.isNull(), _NOTHING).when(known, mark).otherwise(F.lit(_FOREIGN))
 
     def posterior(logs: Column) -> Column:
         top = F.array_max(logs)
@@ -177,38 +188,39 @@ def identify(df: DataFrame, model: TextModel, text: Column, declared: Column, ho
 
     # P(declared | language): at most one row per language, and two more.
     marks = {r["declared"]: np.array([r[c] for c in cells]) for r in level(grouped, "declared").collect()}
-    keys = [*model.languages, "other", ""]
+    keys = [*model.languages, _FOREIGN, _NOTHING]
     given = np.array([marks.get(k, np.zeros(width)) for k in keys]) + np.array([[3.0 if k == n else 0.3 for n in (*model.languages, UNDETERMINED)] for k in keys])
     given = np.log(given / given.sum(axis=0, keepdims=True))
     given[-1] = 0.0  # nothing declared
     mark_logs = F.create_map(*[x for k, row in zip(keys, given) for x in (F.lit(k), F.array(*[F.lit(float(v)) for v in row]))])
 
-    def smoothed(counts: DataFrame, key: str, above: Column | list[Column]) -> DataFrame:
-        total = sum((F.col(c) for c in cells), F.lit(0.0)) + F.lit(LEAN)
-        return counts.select(*[x for x in counts.columns if x not in cells and not x.startswith("above")], *[((F.col(c) + F.lit(LEAN) * a) / total).alias(c) for c, a in zip(cells, above)])
-
-    def leaning(counts: DataFrame, key: str, parents: DataFrame, parent: str) -> DataFrame:
-        renamed = parents.select(parent, *[F.col(c).alias(f"above{i}") for i, c in enumerate(cells)])
-        return smoothed(counts.join(renamed, parent, "left"), key, [F.coalesce(F.col(f"above{i}"), F.lit(float(p))) for i, p in enumerate(corpus)])
-
+    # Counts of a host, and of the domain and the suffix it belongs to.
     hosts = hosts.withColumn("domain", parent_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host")))
-    suffixes = smoothed(level(hosts, "suffix"), "suffix", [F.lit(float(p)) for p in corpus])
-    domains = hosts.groupBy("domain", "suffix").agg(*[F.sum(c).alias(c) for c in cells])
-    domains = leaning(domains, "domain", suffixes, "suffix").drop("suffix")
-    priors = leaning(hosts, "host", domains, "domain")
-    # The suffix is evidence of its own for hosts without rows enough; for them the prior is mostly the suffix's.
-    priors = priors.select(F.col("host").alias("__llm_host"), F.array(*[F.log(c) for c in cells]).alias("__llm_prior"))
-    priors = written(priors, "language_priors")
-
-    flat = F.array(*[F.lit(float(np.log(p))) for p in corpus])
+    packed = F.array(*cells)
+    domains = level(hosts, "domain").select("domain", packed.alias("__llm_domain"))
+    suffixes = level(hosts, "suffix").select("suffix", packed.alias("__llm_suffix"))
+    counted = hosts.select(F.col("host").alias("__llm_host"), "domain", "suffix", packed.alias("__llm_counts")).join(domains, "domain").join(suffixes, "suffix")
+    counted = written(counted.select("__llm_host", "__llm_counts", "__llm_domain", "__llm_suffix"), "language_priors")
+
+    def leaning(counts: Column, above: Column) -> Column:
+        """Shares by the counts without the row's own, and ``LEAN`` more spread as the level above."""
+        others = F.zip_with(counts, F.col("__llm_own"), lambda c, p: F.greatest(c - p, F.lit(0.0)))
+        mixed = F.zip_with(others, above, lambda c, a: c + LEAN * a)
+        return F.when(counts.isNull(), above).otherwise(F.transform(mixed, lambda x: x / F.aggregate(mixed, F.lit(0.0), lambda a, b: a + b)))
+
+    flat = F.array(*[F.lit(float(p)) for p in corpus])
     rows = df.withColumn("__llm_host", F.coalesce(F.lower(host), F.lit(""))).withColumn("__llm_mark", clean)
-    rows = rows.join(priors, "__llm_host", "left").withColumn("__llm_ev", evidence(text))
+    rows = rows.join(counted, "__llm_host", "left").withColumn("__llm_ev", evidence(text))
+    rows = rows.withColumn("__llm_text", text_only(F.col("__llm_ev")))
+    rows = rows.withColumn("__llm_own", F.when(F.col("__llm_ev")[0] > 0, F.col("__llm_text")).otherwise(F.array(*[F.lit(0.0)] * width)))
+    for name, above in (("__llm_suffix", flat), ("__llm_domain", F.col("__llm_suffix")), ("__llm_counts", F.col("__llm_domain"))):
+        rows = rows.withColumn(name, leaning(F.col(name), above))
     logs = F.zip_with(
-        F.zip_with(F.slice("__llm_ev", 2, width), F.coalesce("__llm_prior", flat), lambda a, b: a + b),
+        F.zip_with(F.slice("__llm_ev", 2, width), F.col("__llm_counts"), lambda a, b: a + F.log(b)),
         F.element_at(mark_logs, F.col("__llm_mark")),
         lambda a, b: a + b,
     )
-    rows = rows.withColumn("__llm_text", text_only(F.col("__llm_ev"))).withColumn("__llm_post", posterior(logs))
+    rows = rows.withColumn("__llm_post", posterior(logs))
 
     def best(p: Column) -> Column:
         return F.element_at(names, F.array_position(p, F.array_max(p)).cast("int"))
@@ -220,7 +232,7 @@ def identify(df: DataFrame, model: TextModel, text: Column, declared: Column, ho
         lang.alias("lang"),
         confidence.alias("confidence"),
         F.when(triples > 0, best(F.col("__llm_text"))).alias("text_lang"),
-        F.nullif(F.col("__llm_mark"), F.lit("")).alias("declared"),
+        F.nullif(F.trim("__llm_mark"), F.lit(_NOTHING)).alias("declared"),
         F.nullif(F.col("__llm_host"), F.lit("")).alias("host"),
         F.nullif(suffix_of(F.col("__llm_host")), F.lit("")).alias("suffix"),
         triples.cast("long").alias("n_triples"),

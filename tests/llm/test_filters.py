@@ -2,6 +2,8 @@
 
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,6 +66,67 @@ def test_language_of_empty_tables(spark, bilingual):
     assert {r.language.lang for r in found.collect()} == {"und"}
 
 
+def test_odd_labels(spark, bilingual, monkeypatch):
+    marks = [(200 + i, ENGLISH if i % 2 else GERMAN, m, "c", 0) for i, m in enumerate(["", "other", " ", "und", "UND", " EN ", "De", "xx"] * 2)]
+    kept = language_id.keep_identified(bilingual.unionByName(_docs(spark, marks)))
+    assert {r.lang for r in kept.where("doc_id < 200").collect()} == {"en", "de"} and kept.count() > 60
+    # The rarest of too many languages are one, whatever else is called so.
+    monkeypatch.setattr(language_id, "MAX_LANGUAGES", 4)
+    many = [(300 + i, f"w{i} " * 20, f"l{i:03}", "d", 0) for i in range(500)] + [(900, "qq zz " * 30, "other", "d", 0), (901, "qq zz " * 30, "other", "d", 0)]
+    model = language_id.train(bilingual.unionByName(_docs(spark, many)))
+    assert model.languages == ("de", "en", "other") or model.languages == ("de", "en", "l000", "other")
+    found = language_id.identify(_docs(spark, many), model, F.col("text"), F.col("lang"), F.col("source"))
+    assert found.count() == 502
+
+
+def test_fusion_matches_brute_force(spark, bilingual):
+    """Posterior of each row from the model's table alone: priors without the row's own text, level by level."""
+    model = language_id.train(bilingual)
+    rows = [(1, ENGLISH, "en", "a.one.example", 0), (2, GERMAN, "de", "a.one.example", 0), (3, "das haus", None, "b.one.example", 0), (4, "of the", "fr", "alone.test", 0),
+            (5, "die", "other", "a.one.example", 0), (6, "", "de", "empty.one.example", 0), (7, "und die und", "", None, 0), (7, "und die und", "", None, 0)]
+    docs = _docs(spark, rows)
+    found = {r.doc_id: r.language for r in language_id.identify(docs, model, F.col("text"), F.col("lang"), F.col("source")).collect()}
+    width = len(model.languages) + 1
+    texts = [r[1] for r in rows]
+    logs, sizes = np.zeros((len(rows), width)), np.zeros(len(rows))
+    for first, n, buckets in language_id._triples(pa.array(texts)):
+        for k, own in enumerate(np.split(buckets, np.cumsum(n)[:-1])):
+            logs[first + k] = model.logs[:, own].astype(float).sum(axis=1) * min(1, language_id.EFFECTIVE / max(len(own), 1))
+            sizes[first + k] = len(own)
+    soft = lambda x: np.exp(x - x.max()) / np.exp(x - x.max()).sum()
+    prior = np.zeros(width)
+    prior[-1] = np.log(language_id.UNKNOWN)
+    own = np.array([soft(x + prior) if n else np.zeros(width) for x, n in zip(logs, sizes)])
+    hosts = [(r[3] or "").lower() for r in rows]
+    levels = [[".".join(h.split(".")[-1:]) for h in hosts], [".".join(h.split(".")[-2:]) for h in hosts], hosts]
+    corpus = own.sum(axis=0) + 1
+    corpus = corpus / corpus.sum()
+    marks = [(r[2] if r[2] in model.languages else " other") if r[2] else "" for r in rows]
+    keys = [*model.languages, " other", ""]
+    given = np.array([sum((p for p, m in zip(own, marks) if m == k), np.zeros(width)) + [3.0 if k == n else 0.3 for n in (*model.languages, "und")] for k in keys])
+    given = given / given.sum(axis=0)
+    known = {h for h, n in zip(hosts, sizes) if n}
+    for k, (doc_id, *_) in enumerate(rows):
+        share = corpus
+        for level in levels:
+            if hosts[k] in known:
+                others = np.maximum(sum((p for p, name in zip(own, level) if name == level[k]), np.zeros(width)) - own[k], 0) + language_id.LEAN * share
+                share = others / others.sum()
+        total = soft(logs[k] + np.log(share) + (np.log(given[keys.index(marks[k])]) if marks[k] else 0))
+        names = [*model.languages, "und"]
+        assert found[doc_id].lang == names[int(total.argmax())]
+        assert abs(found[doc_id].confidence - total.max()) < 1e-6
+    # A host's only page is judged by its text and the levels above, not by itself once more.
+    assert found[4].host == "alone.test" and found[4].declared == "other"
+
+
+def test_language_of_very_long_text(spark, bilingual):
+    model = language_id.train(bilingual)
+    long = (ENGLISH + " ") * 20_000
+    found = language_id.identify(_docs(spark, [(1, long, None, None, 0)]), model, F.col("text"), F.col("lang"), F.col("source")).first().language
+    assert found.lang == "en" and found.n_triples > 1_000_000
+
+
 def test_parts_of_pages(spark):
     html = '<html lang="de-AT"><head><style>p{}</style><script>var x="<p>";</script></head><body><!-- no --><p>Guten&nbsp;Tag</p></body></html>'
     row = spark.createDataFrame([(html, "HTTPS://user@Blog.Example.Co.UK:8080/a?b#c")], "html string, url string").select(

@@ -131,6 +131,19 @@ _LINES = r"""WITH line AS (SELECT doc_id, source, unnest(string_split(text, chr(
     SELECT doc_id, CASE WHEN text = '' THEN 0 ELSE n END AS n_lines, CASE WHEN all_boilerplate THEN 0 ELSE removed END AS n_removed,
       all_boilerplate, CASE WHEN all_boilerplate OR removed = 0 THEN text ELSE cleaned END AS text FROM documents JOIN doc USING (doc_id)"""
 
+# Sets of four-word shingles, links by all shared shingles, and everything reachable.
+_NEAR = r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    g AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+      ELSE list_distinct([array_to_string(ws[i:i + 3], ' ') FOR i IN range(1, len(ws) - 2)]) END AS items FROM w),
+    s AS (SELECT doc_id, unnest(items) AS item FROM g),
+    p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.item = b.item AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+    l AS (SELECT a, b FROM p JOIN g x ON x.doc_id = a JOIN g y ON y.doc_id = b WHERE 100 * shared >= 80 * (len(x.items) + len(y.items) - shared)),
+    e AS (SELECT a, b FROM l UNION ALL SELECT b AS a, a AS b FROM l),
+    r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+    c AS (SELECT a, min(b) AS b FROM r GROUP BY a)
+    SELECT doc_id, len(items)::BIGINT AS n_shingles, least(doc_id, coalesce(c.b, doc_id)) AS component_id, doc_id <= coalesce(c.b, doc_id) AS kept
+    FROM g LEFT JOIN c ON c.a = doc_id"""
+
 _TOPK = """WITH v AS (SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS e FROM embeddings
       WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
     s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
@@ -176,4 +189,4 @@ _REPEATS = """WITH d AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) A
     SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0) AS n_spans,
       sha256(unhex(coalesce(body, '') || substr(h, 2 * coalesce(tail, 0) + 1))) AS kept_sha256 FROM d LEFT JOIN parts USING (doc_id)"""
 
-SQL: dict[str, str] = {"op2_source_mixing": _MIX, "op7_line_dedup": _LINES, "op9_exact_topk": _TOPK, "op11_vector_codes": _CODES, "op12_repeated_spans": _REPEATS}
+SQL: dict[str, str] = {"op2_source_mixing": _MIX, "op6_minhash_near_dedup": _NEAR, "op7_line_dedup": _LINES, "op9_exact_topk": _TOPK, "op11_vector_codes": _CODES, "op12_repeated_spans": _REPEATS}

@@ -11,7 +11,7 @@ of different components; the nodes of larger ones by prefix filtering: two sets
 shingles, so only nodes with a rare shingle in common are compared. No bucket is capped and no pair of a bucket is left open.
 
 Defined results: null and empty texts, and texts of white space, have no shingles, are linked with nothing and are kept. Rows of
-one id are one document, linked by each row's set. A row with null id takes no part: no component, kept. Empty tables give an
+one id are one document, linked by the set of each of its rows. A row with null id takes no part: no component, kept. Empty tables give an
 empty result. Other columns are ignored.
 """
 
@@ -66,15 +66,12 @@ def signatures(docs: DataFrame, width: int, text: str = "text") -> DataFrame:
             ids = batch.column(0).cast(pa.int64())
             for first, counts, hashes in T.words(batch.column(1), T.VISIBLE):
                 sets = T.shingles(hashes, counts, width)
-                n = np.array([len(s) for s in sets], np.int64)
+                n, f1, f2 = _sums(sets)
                 used = np.flatnonzero(n)
-                f1, f2 = np.zeros(len(n), np.uint64), np.zeros(len(n), np.uint64)
                 bits = np.zeros((len(n), PACKED), np.uint64)
                 bands = np.zeros((len(n), BANDS), np.uint64)
                 if len(used):
                     some = [sets[i] for i in used]
-                    f1[used] = [s.sum(dtype=np.uint64) for s in some]
-                    f2[used] = [T.mix(s.copy()).sum(dtype=np.uint64) for s in some]
                     minima = _minima(some)
                     low = (minima >> np.uint64(20)) & np.uint64((1 << BITS) - 1)
                     shifts = np.arange(HASHES // PACKED, dtype=np.uint64) * np.uint64(BITS)
@@ -91,17 +88,31 @@ def signatures(docs: DataFrame, width: int, text: str = "text") -> DataFrame:
     return docs.select("doc_id", text).mapInArrow(sign, schema)
 
 
+def _sums(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Size and two sums of each set: what tells sets apart."""
+    n = np.array([len(s) for s in sets], np.int64)
+    f1, f2 = np.zeros(len(n), np.uint64), np.zeros(len(n), np.uint64)
+    for k in np.flatnonzero(n):
+        f1[k], f2[k] = sets[k].sum(dtype=np.uint64), T.mix(sets[k].copy()).sum(dtype=np.uint64)
+    return n, f1, f2
+
+
 def _sets(docs: DataFrame, width: int, text: str) -> DataFrame:
+    """(node, items) of texts that come with a node and its sums (node, n, f1, f2); a text with other sums is not the node's."""
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).cast(pa.int64())
-            for first, counts, hashes in T.words(batch.column(1), T.VISIBLE):
+            node, *wanted = (batch.column(k).to_numpy() for k in range(1, 5))
+            for first, counts, hashes in T.words(batch.column(0), T.VISIBLE):
                 sets = T.shingles(hashes, counts, width)
-                ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-                joined = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays([ids.slice(first, len(sets)), pa.ListArray.from_arrays(ends, pa.array(joined))], ["node", "items"])
+                rows = slice(first, first + len(sets))
+                n, f1, f2 = _sums(sets)
+                own = np.flatnonzero((n == wanted[0][rows]) & (f1.view(np.int64) == wanted[1][rows]) & (f2.view(np.int64) == wanted[2][rows]))
+                ends = np.concatenate([[0], np.cumsum(n[own])]).astype(np.int32)
+                joined = np.concatenate([sets[k] for k in own]).view(np.int64) if len(own) else np.zeros(0, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(node[rows][own]), pa.ListArray.from_arrays(ends, pa.array(joined))], ["node", "items"])
 
-    return docs.select("doc_id", text).mapInArrow(cut, "node long, items array<long>")
+    return docs.select(text, "node", "n", "f1", "f2").mapInArrow(cut, "node long, items array<long>")
 
 
 def estimate(a: str, b: str) -> Column:
@@ -171,10 +182,10 @@ def near_duplicates(docs: DataFrame, width: int, text: str = "text", percent: in
     signed = written(signatures(rows, width, text), "near_signatures")
     packed = [f"s{i}" for i in range(PACKED)]
     usable = signed.where("n > 0 and doc_id is not null")
-    classes = usable.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("node"))
-    nodes = written(classes, "near_classes")
-    # One row of each class stands for it.
-    signature = usable.join(nodes.select("node", "n", "f1", "f2"), ["n", "f1", "f2"]).where("doc_id = node")
+    # Equal sets are one node, numbered once and for all when written; its first document stands for it.
+    classes = usable.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("first"))
+    nodes = written(classes.withColumn("node", F.monotonically_increasing_id()), "near_classes")
+    signature = usable.join(nodes, ["n", "f1", "f2"]).where("doc_id = first")
     signature = written(signature.groupBy("node", "n", "f1", "f2").agg(*[F.min(p).alias(p) for p in packed], F.min("bands").alias("bands")), "near_nodes")
     cells = signature.select("node", F.explode("bands").alias("bucket"))
     buckets = cells.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
@@ -191,14 +202,10 @@ def near_duplicates(docs: DataFrame, width: int, text: str = "text", percent: in
     repeated = bool(usable.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k")).where("k > 1").limit(1).count())
 
     # The shingles of all nodes that share a bucket, read again from their texts; the only time that texts are shuffled.
-    wanted = written(members.select("node").distinct().join(nodes, "node"), "near_wanted")
-    ids = wanted.select(F.col("node").alias("doc_id")).distinct().hint("merge")
-    sets = _sets(rows.join(ids, "doc_id", "left_semi"), width, text)
+    wanted = written(members.select("node").distinct().join(nodes, "node").withColumnRenamed("first", "doc_id"), "near_wanted")
+    sets = _sets(rows.join(wanted.hint("merge"), "doc_id"), width, text)
     if repeated:
-        # A node's id may have other rows; its set is the one of the node's size and sum.
-        total = F.aggregate("items", F.lit(0).cast("decimal(38,0)"), lambda s, x: (s + x).cast("decimal(38,0)"))
-        sets = sets.withColumns({"n": F.size("items").cast("long"), "f1": _wrapped(total)}).join(wanted.select("node", "n", "f1"), ["node", "n", "f1"])
-        sets = sets.dropDuplicates(["node"]).select("node", "items")
+        sets = sets.dropDuplicates(["node"])
     sets = written(sets, "near_sets")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
@@ -232,19 +239,15 @@ def near_duplicates(docs: DataFrame, width: int, text: str = "text", percent: in
         links = written(links.unionByName(confirmed(more[0].unionByName(more[1]))), "near_links")
         joined = components(links)
 
-    belongs = nodes.join(joined, "node", "left").select("n", "f1", "f2", F.coalesce("component", "node").alias("component"))
+    # A component is named after the first of all its documents.
+    named = joined.join(nodes.select("node", "first"), "node").groupBy("component").agg(F.min("first").alias("name"))
+    named = joined.join(named, "component").select("node", "name")
+    belongs = nodes.join(named, "node", "left").select("n", "f1", "f2", F.coalesce("name", "first").alias("component"))
     out = signed.select("doc_id", "n", "f1", "f2").join(belongs, ["n", "f1", "f2"], "left")
     own = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")))
     return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"), F.coalesce(own == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
-def _wrapped(total: Column) -> Column:
-    """A sum of longs as it overflows in 64 bits."""
-    span = F.lit(str(1 << 64)).cast("decimal(38,0)")
-    rest = F.pmod(total, span)
-    return F.when(rest >= F.lit(str(1 << 63)).cast("decimal(38,0)"), rest - span).otherwise(rest).cast("long")
-
-
 def drop_near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     """Documents that stand for their group, with all their columns."""
     gone = written(near_duplicates(docs, width).where("not kept").select(F.col("doc_id").alias("__llm_gone")).distinct(), "near_gone")

@@ -73,6 +73,14 @@ def test_a_common_passage_does_not_link(spark):
     assert found == _groups(texts, 4)
 
 
+def test_near_copies_of_any_text_of_an_id_are_linked(spark):
+    a = " ".join(f"a{i}" for i in range(40))
+    b = " ".join(f"b{i}" for i in range(40))
+    docs = spark.createDataFrame([(5, a), (5, b), (6, b + " more"), (7, "more " + a), (8, b), (9, "c d e f g h")], "doc_id long, text string")
+    found = {(r.doc_id, r.component_id, r.kept) for r in near_dedup.near_duplicates(docs, 4).collect()}
+    assert found == {(5, 5, True), (6, 5, False), (7, 5, False), (8, 5, False), (9, 9, True)}
+
+
 def test_repeated_and_null_ids(spark):
     a, b, c = ("a b c d e f g h", "q r s t u v w x", "k l m n o p a b")
     docs = spark.createDataFrame([(5, a), (5, b), (6, b), (7, a), (8, c), (8, c), (None, a)], "doc_id long, text string")

@@ -170,6 +170,31 @@ def test_attention_is_causal_and_a_distribution():
     assert math.isclose(np.exp(net.log_probabilities(inputs, targets)[:, 0]).sum(), 1, rel_tol=1e-4)
 
 
+@pytest.mark.parametrize("scale", [1, 30])
+def test_scorer_with_tables_agrees_with_the_layer(scale):
+    random = np.random.default_rng(4)
+    pairs = random.integers(0, 5, (lm_scoring.VOCABULARY, lm_scoring.VOCABULARY)).astype(float)
+    net = lm_scoring.Attention.start(pairs.sum(axis=0), pairs)
+    for name in net.weights:
+        net.weights[name] = (net.weights[name] * scale).astype(np.float32)
+    net = net.fold()
+    texts = [np.append(random.integers(0, lm_scoring.END, n), lm_scoring.END).astype(np.int32) for n in (0, 1, 7, 8, 15, 16, 17, 400, 3)]
+    scorer = lm_scoring.Scorer(net)
+    assert scorer.calm == (scale == 1)
+    plain = [net.log_probabilities(*lm_scoring.windows(t)).sum() / math.log(10) for t in texts]
+    assert np.allclose(lm_scoring._score(scorer, texts), plain, rtol=1e-5)
+    assert np.allclose(lm_scoring._score(net, texts), plain, rtol=1e-9)
+    assert len(lm_scoring._score(scorer, [])) == 0
+
+
+def test_sample_takes_the_same_text_of_a_repeated_id(spark):
+    docs = spark.createDataFrame([(1, "b" * 40), (1, "a" * 40), (1, None), (2, None)], "doc_id long, text string")
+    there, back = (lm_scoring.sample_windows(d, lm_scoring.TOKENIZER) for d in (docs, docs.orderBy(F.col("text").desc())))
+    assert all((x == y).all() for x, y in zip(there, back))
+    expected = [lm_scoring.windows(lm_scoring.subwords(t, lm_scoring.TOKENIZER)) for t in ("a" * 40, "")]
+    assert (there[0] == np.concatenate([x for x, _ in expected])).all()
+
+
 def test_every_id_is_scored_once():
     for n in (1, 15, 16, 17, 100):
         _, targets = lm_scoring.windows(np.arange(n, dtype=np.int32))

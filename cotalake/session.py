@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "cotalake", cores: str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -46,3 +46,10 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never reused path below the shared folder."""
     return f"{shared_dir(spark)}/cotalake/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+    """Write to the shared folder, in folders ``by`` a column, and read back: later uses neither recompute nor depend on executors."""
+    path = scratch_path(df.sparkSession, label)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

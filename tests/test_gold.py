@@ -155,6 +155,64 @@ def test_hot_month_is_cut_into_slices(spark):
     assert [r["count"] for r in whole.collect()] == [4000]
 
 
+def test_chunks_are_few_and_bounded(spark):
+    """One day of 300,000 rows and a hundred small days: n / max_rows chunks and one for some of the days."""
+    day = F.when(F.col("id") < 300_000, F.lit(50)).otherwise(F.col("id") % 100)
+    df = spark.range(310_000).select(
+        F.lit(1).alias("k"), F.date_add(F.lit("2024-01-01").cast("date"), day.cast("int")).alias("d"), text.row_order("id").alias("tie"), F.col("id").alias("v")
+    )
+    sizes = ordered.mark_chunks(df, "k", "d", "tie", max_rows=10_000).groupBy("_chunk_day", "_chunk_slice").count()
+    chunks, largest, rows = sizes.agg(F.count(F.lit(1)), F.max("count"), F.sum("count")).first()
+    assert chunks <= 31 + 100 and largest <= 10_000 and rows == 310_000
+
+
+def test_equal_rows_are_one_in_the_window(spark):
+    """Equal rows of a fund and day beyond any chunk: the first copy changes, the others do not."""
+    start = dt.date(2024, 1, 1)
+    days = [(1, start, 4.0, 1), (2, start, 1.0, 1)]
+    df = spark.createDataFrame(days, "k int, d date, v double, tie bigint")
+    copies = spark.range(5_000).select(
+        F.lit(1).alias("k"), F.lit("2024-01-02").cast("date").alias("d"), F.when(F.col("id") < 4_990, 5.0).alias("v"),
+        F.when(F.col("id") < 4_990, 7).otherwise(8).cast("long").alias("tie"),
+    )
+    later = spark.createDataFrame([(1, dt.date(2024, 1, 3), 10.0, 3)], "k int, d date, v double, tie bigint")
+    got = ordered.padded_change_split(df.unionByName(copies).unionByName(later), "k", "d", "tie", {"v": "o"}, max_rows=100)
+    counts = {(r["k"], r["d"].day, r["v"], r["o"]): r["n"] for r in got.groupBy("k", "d", "v", "o").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert counts == {(1, 1, 4.0, None): 1, (2, 1, 1.0, None): 1, (1, 2, 5.0, 25.0): 1, (1, 2, 5.0, 0.0): 4_989, (1, 2, None, 0.0): 10, (1, 3, 10.0, 100.0): 1}
+    assert got.columns == ["k", "d", "v", "tie", "o"]
+
+
+@pytest.mark.parametrize("max_rows", [1_000_000, 3])
+def test_history_between_the_rows(spark, max_rows):
+    """Known values of months that the rows lack stand where they belong."""
+    rows = [(1, dt.date(2024, 2, d), 10.0 if d == 1 else None, d) for d in range(1, 8)] + [(1, dt.date(2024, 5, 1), 30.0, 1), (2, dt.date(2024, 5, 1), 1.0, 1)]
+    history = spark.createDataFrame([(1, dt.date(2024, 1, 1), 5.0), (1, dt.date(2024, 4, 1), 20.0), (1, dt.date(2024, 6, 1), 99.0)], "k int, _chunk_day date, v double")
+    df = spark.createDataFrame(rows, "k int, d date, v double, tie bigint")
+    got = ordered.padded_change_split(df, "k", "d", "tie", {"v": "o"}, max_rows=max_rows, history=history)
+    found = {(r["k"], r["d"]): r["o"] for r in got.collect()}
+    assert len(found) == 9 and found[1, dt.date(2024, 2, 1)] == 100.0 and found[1, dt.date(2024, 5, 1)] == 50.0 and found[2, dt.date(2024, 5, 1)] is None
+    assert all(found[1, dt.date(2024, 2, d)] == 0.0 for d in range(2, 8))
+
+
+def test_the_input_is_read_twice(spark, tmp_path):
+    """However many keys are large: once to count, once to order."""
+    path = str(tmp_path / "t")
+    spark.range(3_000).select(
+        (F.col("id") % 3).alias("k"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 5).cast("int")).alias("d"),
+        text.row_order("id").alias("tie"), F.col("id").cast("double").alias("v"),
+    ).write.parquet(path)
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    df = spark.read.parquet(path)
+    got = ordered.padded_change_split(df.mapInArrow(counted, df.schema), "k", "d", "tie", {"v": "o"}, max_rows=100)
+    assert got.count() == 3_000 and reads.value <= 6_000
+
+
 def test_row_order_is_a_32_bit_number(spark):
     bounds = spark.range(5000).select(text.row_order("id").alias("a"), text.number_order("id").alias("b"))
     low, high, n, m = bounds.agg(

@@ -80,11 +80,11 @@ def dq_simulation_rules(spark, sf_dir):
     cadastro AS (SELECT regexp_replace(s_name, '[^0-9]', '', 'g') AS c FROM supplier WHERE s_acctbal >= 0),
     linhas AS (SELECT l_linenumber AS n, c.c IS NOT NULL AS conhecido, d.cnpj IS NOT NULL AS mantido FROM lineitem
       LEFT JOIN cadastro c ON c.c = lpad(CAST(l_suppkey AS VARCHAR), 9, '0') LEFT JOIN dim d ON d.cnpj = lpad(CAST(l_suppkey AS VARCHAR), 9, '0'))
-    SELECT count(*) + count(*) FILTER (WHERE n = 5) AS lidas, count(*) FILTER (WHERE n = 1) AS campos_demais,
-      count(*) FILTER (WHERE n = 5) AS vazias_ou_repetidas, count(*) FILTER (WHERE n = 2) AS sem_cnpj,
+    SELECT count(*) + count(*) FILTER (WHERE n IN (5, 6)) AS lidas, count(*) FILTER (WHERE n = 1) AS campos_demais,
+      count(*) FILTER (WHERE n = 6) AS vazias, count(*) FILTER (WHERE n = 5) AS repetidas, count(*) FILTER (WHERE n = 2) AS sem_cnpj,
       count(*) FILTER (WHERE n = 3) AS cnpj_sem_digitos, count(*) FILTER (WHERE n = 4) AS data_invalida,
       count(*) FILTER (WHERE n > 4 AND NOT conhecido) AS sem_cadastro, count(*) FILTER (WHERE n > 4 AND conhecido AND NOT mantido) AS chave_colidida,
-      count(*) FILTER (WHERE n > 4 AND mantido) AS aproveitados FROM linhas""",
+      count(*) FILTER (WHERE n > 4 AND mantido) AS aproveitados, 0 AS sem_explicacao FROM linhas""",
 )
 def layer_losses(spark, sf_dir):
     """Line items as the lines of daily reports, some spoiled by their line number; suppliers in credit as the registry."""
@@ -98,7 +98,8 @@ def layer_losses(spark, sf_dir):
     day = F.when(number == 4, "ontem").otherwise(F.col("l_shipdate").cast("date").cast("string"))
     fields = [cnpj, day, "l_orderkey", "l_extendedprice", "l_partkey", "l_linenumber"]
     line = F.when(number == 1, F.concat_ws(";", *fields, F.lit("sobra"))).otherwise(F.concat_ws(";", *fields))
-    repeats = F.explode(F.when(number == 5, F.array(line, line)).otherwise(F.array(line)))
+    blank = F.lit(";;;;;")
+    repeats = F.explode(F.when(number == 5, F.array(line, line)).when(number == 6, F.array(line, blank)).otherwise(F.array(line)))
     report = bindings.table(spark, sf_dir, "lineitem").select(repeats)
     header = "CNPJ_FUNDO_CLASSE;DT_COMPTC;VL_PATRIM_LIQ;CAPTC_DIA;RESG_DIA;NR_COTST"
     report.toDF(header).write.options(**raw).csv(f"{landed}/inf_diario_fi_todos.csv")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cotalake import schemas
@@ -18,6 +19,10 @@ DAILY = "inf_diario"
 ORIGIN = "origem"
 READ = "lidos"
 REJECTED = "rejeitada"
+INPUTS = "entradas"
+COUNTED = "contagens"
+#: What Spark says of a folder or pattern without any file; every other fault ends a run.
+NO_SUCH_PATH = "PATH_NOT_FOUND"
 
 
 def landing_layer(spark: SparkSession, source: str, target: str) -> DataFrame:
@@ -44,11 +49,17 @@ def silver_layer(
     """Clean the registries and the daily reports of ``source``. Returns the manifest.
 
     ``source`` holds CSV files, or (``unpacked``) what :func:`landing_layer`
-    wrote. A missing input is skipped; the run goes on with the others. Rows
+    wrote. A missing input is skipped and the run goes on with the others;
+    ``entradas`` names every input, used or missing. An input that is there and cannot be read ends the run. Rows
     with more fields than their header are set aside, see :func:`rejected_rows`.
     """
     lines = spark.read.parquet(f"{source}/linhas") if unpacked else None
     produced: list[writers.Produced] = []
+    inputs: list[tuple[str, str, str]] = []
+
+    def noted(raw: DataFrame | None, kind: str) -> DataFrame | None:
+        inputs.append((kind, source, "ausente" if raw is None else "usada"))
+        return raw
 
     def readable(raw: DataFrame, kind: str) -> DataFrame:
         """The rows as read, written once; those with too many fields stay apart, with file and raw line."""
@@ -59,7 +70,7 @@ def silver_layer(
 
     for kind in silver.REGISTRY_FILTERS:
         raw = _registry(spark, source, kind, encoding) if lines is None else archives.member_table(lines, kind, file_name_as=ORIGIN)
-        if raw is not None:
+        if noted(raw, kind) is not None:
             path = f"{target}/{kind}_clean"
             rows = writers.sink_csv(silver.clean_registry(readable(raw, kind).drop(ORIGIN), kind), path)
             produced.append(writers.Produced(f"{kind}_clean", path, rows))
@@ -67,10 +78,14 @@ def silver_layer(
         raw = _reports(spark, source, encoding)
     else:
         raw = archives.member_table(lines, f"{DAILY}_fi", file_name_as=ORIGIN)
-    if raw is not None:
+    if noted(raw, DAILY) is not None:
         named = readable(raw, DAILY).withColumn(ORIGIN, F.regexp_replace(ORIGIN, r"(?i)\.csv$", "_clean.csv"))
         path = f"{target}/{DAILY}"
-        produced.append(writers.Produced(DAILY, path, writers.per_file_output(clean_reports(named), path)))
+        cleaned, watch = clean_reports(named)
+        produced.append(writers.Produced(DAILY, path, writers.per_file_output(cleaned, path)))
+        counted = [(DAILY, watch.get["vazias"], watch.get["repetidas"])]
+        spark.createDataFrame(counted, "tipo string, vazias long, repetidas long").write.mode("overwrite").parquet(f"{target}/{COUNTED}")
+    spark.createDataFrame(inputs, "tipo string, caminho string, situacao string").write.mode("overwrite").parquet(f"{target}/{INPUTS}")
     if not produced:
         raise FileNotFoundError(f"no registry and no daily report under {source}")
     return writers.run_manifest(spark, produced)
@@ -88,17 +103,28 @@ def _reports(spark: SparkSession, source: str, encoding: str) -> DataFrame | Non
         return delimited.scan_union_by_name(
             spark, f"{source}/{DAILY}_fi*.csv", encoding, file_name_as=ORIGIN, keep_broken=True
         )
-    except (AnalysisException, FileNotFoundError):
+    except FileNotFoundError:
+        return None
+    except AnalysisException as fault:
+        if fault.getCondition() != NO_SUCH_PATH:
+            raise
         return None
 
 
+def skipped_inputs(spark: SparkSession, silver_path: str) -> DataFrame:
+    """(tipo, caminho): inputs that a silver run looked for and did not find."""
+    return spark.read.parquet(f"{silver_path}/{INPUTS}").filter("situacao = 'ausente'").select("tipo", "caminho")
+
+
 def rejected_rows(spark: SparkSession, silver_path: str) -> DataFrame:
     """(tipo, origem, linha): rows that the silver run set aside because they have more fields than their header."""
     rejects: DataFrame | None = None
     for kind in (*silver.REGISTRY_FILTERS, DAILY):
         try:
             read = spark.read.parquet(f"{silver_path}/{READ}/{kind}")
-        except AnalysisException:
+        except AnalysisException as fault:
+            if fault.getCondition() != NO_SUCH_PATH:
+                raise
             continue
         part = read.filter(F.col(REJECTED) == 1).select(F.lit(kind).alias("tipo"), ORIGIN, F.col(delimited.BROKEN).alias("linha"))
         rejects = part if rejects is None else rejects.unionByName(part)
@@ -106,24 +132,44 @@ def rejected_rows(spark: SparkSession, silver_path: str) -> DataFrame:
 
 
 def layer_losses(spark: SparkSession, silver_path: str, dim: DataFrame) -> DataFrame:
-    """Where every line of the daily reports went: ``lidas`` is the sum of all other columns."""
+    """Where every line of the daily reports went.
+
+    Each count is taken where the line goes: blank and repeated lines by the cleaning step, those with too many fields by the reader, the
+    others from the cleaned table. ``sem_explicacao`` is what is left of ``lidas``, and 0 unless lines were lost some other way.
+    """
     registry, report = read_silver(spark, silver_path)
     read = spark.read.parquet(f"{silver_path}/{READ}/{DAILY}").agg(
         F.count(F.lit(1)).alias("lidas"), F.count_if(F.col(REJECTED) == 1).alias("campos_demais")
     )
-    later = quality.report_losses(report, dim, registry).withColumnRenamed("registros", "_limpas")
-    both = read.withColumn("_one", F.lit(1)).join(later.withColumn("_one", F.lit(1)), "_one")
-    repeated = F.col("lidas") - F.col("campos_demais") - F.col("_limpas")
-    return both.select("lidas", "campos_demais", repeated.alias("vazias_ou_repetidas"), *[c for c in later.columns if c != "_limpas"])
+    dropped = spark.read.parquet(f"{silver_path}/{COUNTED}").filter(F.col("tipo") == DAILY).agg(
+        F.coalesce(F.sum("vazias"), F.lit(0)).alias("vazias"), F.coalesce(F.sum("repetidas"), F.lit(0)).alias("repetidas")
+    )
+    later = quality.report_losses(report, dim, registry).drop("registros")
+    joined = read.withColumn("_one", F.lit(1))
+    for part in (dropped, later):
+        joined = joined.join(part.withColumn("_one", F.lit(1)), "_one")
+    joined = joined.drop("_one")
+    known = [F.col(c) for c in joined.columns if c != "lidas"]
+    return joined.withColumn("sem_explicacao", F.col("lidas") - sum(known[1:], known[0]))
 
 
-def clean_reports(named: DataFrame) -> DataFrame:
-    """Daily reports cleaned file by file: a row that holds nothing but its file's name is empty."""
+def clean_reports(named: DataFrame) -> tuple[DataFrame, Observation]:
+    """Daily reports cleaned file by file, and how many blank and repeated lines go (known when the result is written).
+
+    A row that holds nothing but its file's name is blank.
+    """
     content = [c for c in named.columns if c != ORIGIN]
-    cleaned = (
-        named.transform(cleaning.trim_text).transform(cleaning.coerce_daily_report).transform(cleaning.distinct_rows)
+    coerced = named.transform(cleaning.trim_text).transform(cleaning.coerce_daily_report)
+    distinct = coerced.groupBy(*[F.col(f"`{c}`") for c in coerced.columns]).agg(F.count(F.lit(1)).alias("_vezes"))
+    blank = F.forall(F.array(*[F.col(f"`{c}`").isNull() for c in content]), lambda x: x) if content else F.lit(True)
+    marked = distinct.withColumn("_vazia", blank)
+    watch = Observation(f"limpeza-{uuid.uuid4().hex}")
+    watched = marked.observe(
+        watch,
+        F.coalesce(F.sum(F.when(F.col("_vazia"), F.col("_vezes"))), F.lit(0)).alias("vazias"),
+        F.coalesce(F.sum(F.when(~F.col("_vazia"), F.col("_vezes") - 1)), F.lit(0)).alias("repetidas"),
     )
-    return cleaned.na.drop("all", subset=content)
+    return watched.filter(~F.col("_vazia")).drop("_vezes", "_vazia"), watch
 
 
 def read_silver(spark: SparkSession, path: str, newest_only: bool = False) -> tuple[DataFrame, DataFrame]:

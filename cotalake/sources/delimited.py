@@ -82,11 +82,20 @@ def sniff_separator(spark: SparkSession, path: str | Sequence[str], encoding: st
 
 
 def header_names(line: str, sep: str) -> list[str]:
-    """Column names of a header line; a repeated name gets a numbered suffix."""
+    """Column names of a header line; a repeated name gets a numbered suffix.
+
+    Of names that differ in case only, the last keeps its name, as the lookup of columns finds that one, and the others get a suffix.
+    """
     names: list[str] = []
     for name in next(csv.reader([line], delimiter=sep)):
         copies = sum(1 for n in names if n == name or n.rsplit(".", 1)[0] == name and n.rsplit(".", 1)[-1].isdigit())
         names.append(f"{name}.{copies}" if copies else name)
+    taken = {n.lower() for n in names}
+    for place, name in enumerate(names):
+        if any(n.lower() == name.lower() for n in names[place + 1 :]):
+            number = next(k for k in range(1, len(names) + 1) if f"{name}.{k}".lower() not in taken)
+            names[place] = f"{name}.{number}"
+            taken.add(names[place].lower())
     return names
 
 

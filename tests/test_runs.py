@@ -3,6 +3,8 @@
 import io
 import zipfile
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from cotalake.operators import quality
@@ -98,13 +100,56 @@ def test_every_line_is_accounted_for(spark, tmp_path, rows):
     _, status = runs.gold_layer(spark, silver, out)
     lost = spark.read.parquet(f"{out}/perdas").first().asDict()
     assert lost == {
-        "lidas": 11, "campos_demais": 1, "vazias_ou_repetidas": 2, "sem_cnpj": 1, "cnpj_sem_digitos": 1, "data_invalida": 1,
-        "sem_cadastro": 1, "chave_colidida": 0, "aproveitados": 4,
+        "lidas": 11, "campos_demais": 1, "vazias": 1, "repetidas": 1, "sem_cnpj": 1, "cnpj_sem_digitos": 1, "data_invalida": 1,
+        "sem_cadastro": 1, "chave_colidida": 0, "aproveitados": 4, "sem_explicacao": 0,
     }
     assert lost.pop("lidas") == sum(lost.values())
     assert spark.read.parquet(f"{out}/fct_fundo_diario/parquet").count() == status.first()["linhas_aproveitados"] == 4
 
 
+def test_lost_lines_show_in_the_account(spark, tmp_path):
+    """A line that vanishes after cleaning is not passed off as blank or repeated."""
+    silver = str(tmp_path / "silver")
+    runs.silver_layer(spark, _landed(tmp_path), silver)
+    registry, _ = runs.read_silver(spark, silver)
+    dim = gold.dim_fundo(registry)
+    assert runs.layer_losses(spark, silver, dim).first()["sem_explicacao"] == 0
+    for name in ("inf_diario_fi_202402_clean.csv",):
+        for part in (tmp_path / "silver" / "inf_diario" / f"origem={name}").iterdir():
+            part.unlink()
+    assert runs.layer_losses(spark, silver, dim).first()["sem_explicacao"] == 1
+
+
+def test_headers_that_differ_in_case_only(spark, tmp_path, rows):
+    """Both columns are read, the last one counts, and no report is dropped without a word."""
+    silver = str(tmp_path / "silver")
+    folder = _landed(tmp_path)
+    twice = "CNPJ_FUNDO_CLASSE;DT_COMPTC;dt_comptc;VL_PATRIM_LIQ;CAPTC_DIA;RESG_DIA;NR_COTST\n191;x;2024-03-01;90;0;0;14\n"
+    (tmp_path / "bronze" / "inf_diario_fi_202403.csv").write_bytes(twice.encode("latin-1"))
+    manifest = runs.silver_layer(spark, folder, silver)
+    assert ("inf_diario", 7) in rows(manifest, "nome", "quantidade_registros")
+    registry, report = runs.read_silver(spark, silver)
+    fact = gold.fct_fundo_diario(report, gold.dim_fundo(registry))
+    assert (20240301, 90.0) in rows(fact, "sk_data", "patrimonio_liquido_dia")
+
+
+def test_inputs_are_named_and_faults_end_a_run(spark, tmp_path, rows, monkeypatch):
+    silver = str(tmp_path / "silver")
+    folder = _landed(tmp_path)
+    for name in ("inf_diario_fi_202401.csv", "inf_diario_fi_202402.csv"):
+        (tmp_path / "bronze" / name).unlink()
+    runs.silver_layer(spark, folder, silver)
+    assert rows(runs.skipped_inputs(spark, silver), "tipo") == [("inf_diario",), ("registro_fundo",), ("registro_subclasse",)]
+    (tmp_path / "bronze" / "inf_diario_fi_202403.csv").write_text("A;B\n1;2\n")
+
+    def broken(*args, **kwargs):
+        return spark.range(1).select("nothing")
+
+    monkeypatch.setattr(runs.delimited, "scan_union_by_name", broken)
+    with pytest.raises(AnalysisException):
+        runs._reports(spark, folder, "ISO-8859-1")
+
+
 def test_collided_keys_are_reported_and_the_wide_key_has_none(spark, rows):
     cnpjs = spark.range(20_000).select(F.lpad(F.col("id").cast("string"), 14, "0").alias("CNPJ_FUNDO_CLASSE"))
     report = cnpjs.withColumn("DT_COMPTC", F.lit("2024-01-02"))

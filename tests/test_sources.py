@@ -42,6 +42,7 @@ def test_mixed_headers_and_separators(spark, tmp_path, rows):
 
 def test_header_names():
     assert delimited.header_names('a;"b;c";a;a', ";") == ["a", "b;c", "a.1", "a.2"]
+    assert delimited.header_names("DT;v;dt;Dt;DT.1", ";") == ["DT.2", "v", "dt.3", "Dt", "DT.1"]
 
 
 def test_ragged_rows(spark, tmp_path, rows):

@@ -13,7 +13,6 @@ from cotalake.catalog.registry import query
 from cotalake.functions import dates, text
 from cotalake.operators import cleaning, joins, periods
 from cotalake.plans import bindings
-from cotalake.schemas import OPERATIONAL_TABLES
 from cotalake.session import scratch_path
 from cotalake.sinks import writers
 from cotalake.sources import archives, delimited, listing, objects, operational
@@ -177,11 +176,11 @@ ligacoes AS (
 links AS (
   SELECT pagina, posicao, regexp_extract(base, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || href AS url,
          regexp_extract(regexp_replace(href, '[?#].*$', ''), '([^/]*)$', 1) AS nome
-  FROM ligacoes WHERE href NOT LIKE '%/' AND href LIKE '/%'
-    AND (lower(href) LIKE '%e' OR lower(href) LIKE '%n' OR lower(href) LIKE '%s' OR lower(href) LIKE '%.'))"""
+  FROM ligacoes WHERE href NOT LIKE '%/')"""
+_SUFFIX_SQL = "lower(url) LIKE '%e' OR lower(url) LIKE '%n' OR lower(url) LIKE '%s' OR lower(url) LIKE '%.'"
 
 
-@query("extract_listing_links", f"WITH {_LINKS_SQL} SELECT DISTINCT url, nome FROM links")
+@query("extract_listing_links", f"WITH {_LINKS_SQL} SELECT DISTINCT url, nome FROM links WHERE {_SUFFIX_SQL}")
 def extract_listing_links(spark, sf_dir):
     pages = bindings.table(spark, sf_dir, "pages")
     return listing.extract_listing_links(pages, pattern=listing.PLAIN_LINK, suffixes=PAGE_SUFFIXES).select("url", "nome")
@@ -189,7 +188,7 @@ def extract_listing_links(spark, sf_dir):
 
 def _page_links(spark, sf_dir):
     pages = bindings.table(spark, sf_dir, "pages")
-    return listing.find_links(pages, "page_id", "url", "html", listing.PLAIN_LINK, PAGE_SUFFIXES)
+    return listing.find_links(pages, "page_id", "url", "html", listing.PLAIN_LINK, None)
 
 
 @query(
@@ -315,6 +314,11 @@ def _operational(spark, sf_dir):
     }
 
 
+# Columns of each operational table, as its definition lists them.
+_OP_COLUMNS = {
+    "segmento": 2, "cliente": 7, "gerente": 4, "cliente_gerente": 5, "fundo": 15, "gestor_fundo": 3, "usuario": 5, "classe": 13,
+    "subclasse": 8, "informe_diario": 12, "fundo_cotista": 6, "parametro_alerta": 5, "aplicacao_resgate": 7,
+}
 _OP_COUNTS = {
     "segmento": "SELECT count(DISTINCT c_mktsegment) AS n FROM customer", "cliente": "SELECT count(*) FROM customer",
     "gerente": "SELECT count(*) FROM nation", "cliente_gerente": "SELECT count(*) FROM customer",
@@ -329,7 +333,7 @@ _OP_COUNTS = {
 @query(
     "op_schema",
     " UNION ALL ".join(
-        f"SELECT '{t}' AS tabela, {len(OPERATIONAL_TABLES[t].fields)} AS colunas, ({c}) AS registros, ({c}) AS chaves"
+        f"SELECT '{t}' AS tabela, {_OP_COLUMNS[t]} AS colunas, ({c}) AS registros, ({c}) AS chaves"
         for t, c in _OP_COUNTS.items()
     ),
 )

@@ -61,11 +61,11 @@ def url_path(url: Column) -> Column:
 
 def find_links(
     pages: DataFrame, page: str, base: str, html: str,
-    pattern: str = DATED_LINK, suffixes: Sequence[str] = FILE_SUFFIXES,
+    pattern: str = DATED_LINK, suffixes: Sequence[str] | None = FILE_SUFFIXES,
 ) -> DataFrame:
     """Every wanted link, repeated ones included: (pagina, posicao, url, nome, modificado).
 
-    Pages unfold row by row with no shuffle. Folder links and other suffixes go.
+    Pages unfold row by row with no shuffle. Folder links and other suffixes go; without ``suffixes`` all others stay.
     """
     entries = F.posexplode(F.regexp_extract_all(html, F.lit(pattern), 0)).alias("posicao", "_entry")
     found = pages.select(F.col(page).alias("pagina"), F.col(base).alias("_base"), entries)
@@ -79,8 +79,8 @@ def find_links(
         F.try_to_timestamp(F.initcap(when), F.lit("dd-MMM-yyyy HH:mm")).alias("modificado"),
     )
     path = url_path(F.col("url"))
-    wanted = F.lit(False)
-    for suffix in suffixes:
+    wanted = F.lit(suffixes is None)
+    for suffix in suffixes or ():
         wanted = wanted | F.endswith(F.lower(path), F.lit(suffix))
     return linked.filter(wanted).withColumn("nome", text.last_path_segment(path))
 

@@ -1,16 +1,22 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Documents and benchmark items are cut into passages. What holds a given share of an item passage's words holds some of its rarest
-ones; every document passage with enough of those is a candidate, so none that can be a copy or paraphrase is left out. For
-candidates the longest common subsequence of words is computed exactly, and paraphrases must also hold the item's answer words.
+Documents and benchmark items are cut into passages. A randomised singular value decomposition of the passages' TF-IDF matrix over
+hashed words gives a latent space: term frequencies and the matrix sketch are summed over all documents by grouped aggregation.
+Every document passage that holds enough words of the items is compared with all item passages, and those near by cosine are
+candidates.
 
-A randomised singular value decomposition of the passages' TF-IDF matrix over hashed words gives a latent space: term frequencies
-and the matrix sketch are summed over all documents by grouped aggregation. The frequencies say which words are rare; the cosine
-in the space is reported and chooses among passages that hold equal shares. It admits and excludes nothing.
+The cosine of short or changed excerpts within other text can be low. So there is a second route beside it: what holds a given share
+of an item passage's words holds some of its rarest ones, and every passage with enough of those is a candidate too; no copy or
+paraphrase is left out. For all candidates the longest common subsequence of words is computed exactly, and paraphrases must also hold
+the item's answer words. ``route`` says which of the two found a pair: ``cosine``, ``words`` or ``both``.
 
-Defined results: null and empty texts hold nothing and match nothing; items without ``LEAST_WORDS`` words are too short to tell
-and match nothing; items with equal words are all reported; repeated documents are reported each. Empty tables give an empty
+Items below ``LEAST_WORDS`` words are searched word for word (``verbatim``; no cosine), those below ``LEAST_BYTES`` bytes of text are too
+short to tell. A character of a script without spaces is a word.
+
+Defined results: null and empty texts hold nothing and match nothing; an item without id is an item, reported with a null id; rows of one
+id are one item; items with equal words are all reported; repeated documents are reported each (once for an item so long that it takes several blocks). Empty tables give an empty
 result. Letters of every script are lower-cased first. Other columns are ignored. Ties of the best passage go to the earlier one.
+Texts of any length are read whole; an item longer than a block is searched part by part, and its best part counts.
 """
 
 from __future__ import annotations
@@ -41,17 +47,24 @@ COPY, PARAPHRASE = 0.8, 0.55
 SHARED = 3
 #: Rarest words of an item passage that count as its answer, and how many of them a paraphrase must hold.
 ANSWER_WORDS, ANSWER_NEEDED = 4, 2
-#: Items handled at a time, so that what executors hold is bounded whatever the benchmark's size.
+#: Cosine from which a passage is a candidate.
+NEAR = 0.45
+#: Bytes of words that a short item must have.
+LEAST_BYTES = 16
+#: Item passages handled at a time, so that what executors hold is bounded whatever the benchmark's size and the items' length.
 ITEM_BLOCK = 4096
+#: Pairs verified, and passages compared, at a time.
+PAIRS, WINDOWS = 1 << 13, 1 << 12
 SEED = 20
 
 
 @dataclass(frozen=True)
 class Items:
-    """Item passages: item of each, word hashes, hashed terms."""
+    """Item passages: number of the item of each, word hashes. Short items, whole, apart from the others."""
 
     item: np.ndarray
     words: list[np.ndarray]
+    short: dict[int, list[np.ndarray]]
 
     def terms(self) -> list[np.ndarray]:
         return [_terms(w) for w in self.words]
@@ -69,18 +82,20 @@ def _terms(words: np.ndarray) -> np.ndarray:
     return (words >> np.uint64(51)).astype(np.int64)
 
 
-def cut_items(ids: list[int], texts: list[str | None]) -> Items:
-    item, found = [], []
-    for first, counts, hashes in T.words(pa.array(texts, pa.string()), T.LETTERS):
+def cut_items(texts: list[str | None]) -> Items:
+    item, found, short = [], [], {}
+    for first, counts, hashes in T.words(pa.array(texts, pa.string()), T.LETTERS, apart=True):
         at = 0
         for k, n in enumerate(counts.tolist()):
+            own = hashes[at : at + n]
             if n >= LEAST_WORDS:
-                parts = -(-n // ITEM_PASSAGE)
-                for piece in np.array_split(hashes[at : at + n], parts):
-                    item.append(ids[first + k])
+                for piece in np.array_split(own, -(-n // ITEM_PASSAGE)):
+                    item.append(first + k)
                     found.append(piece)
+            elif n and int(T.LETTERS[np.frombuffer(texts[first + k].encode(), np.uint8)].sum()) >= LEAST_BYTES:
+                short.setdefault(first + k, []).append(own)
             at += n
-    return Items(np.array(item, np.int64), found)
+    return Items(np.array(item, np.int64), found, short)
 
 
 def _blocks(counts: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -114,7 +129,7 @@ def latent_space(docs: DataFrame, guess: np.ndarray, text: str = "text") -> Spac
         total = np.zeros((RANK, TERMS + 1))
         held = np.zeros(TERMS + 1, np.int64)
         for batch in batches:
-            for _, counts, hashes in T.words(batch.column(0), T.LETTERS):
+            for _, counts, hashes in T.words(batch.column(0), T.LETTERS, apart=True):
                 blocks, _ = _blocks(counts, _terms(hashes))
                 held[TERMS] += len(blocks)
                 for k in range(STEP):
@@ -161,24 +176,53 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
 
 
-def _common(masks: np.ndarray, items: np.ndarray, windows: np.ndarray) -> np.ndarray:
-    """Longest common subsequence of each item passage (as bit masks per term) and window of terms, all pairs at once."""
-    open_bits = np.full(len(items), ~np.uint64(0), np.uint64)
-    for column in windows.T:
-        match = masks[items, column]
+@dataclass(frozen=True)
+class Places:
+    """Where the words of each item passage stand in it, as bits, and which of them are answers; one row per passage and distinct word."""
+
+    words: int
+    keys: np.ndarray
+    bits: np.ndarray
+    answers: np.ndarray
+
+    @classmethod
+    def of(cls, codes: list[np.ndarray], rarity: list[np.ndarray], words: int) -> Places:
+        lengths = [len(c) for c in codes]
+        owner = np.repeat(np.arange(len(codes)), lengths)
+        places = np.concatenate([np.arange(n) for n in lengths]).astype(np.uint64)
+        keys, back = np.unique(owner * words + np.concatenate(codes), return_inverse=True)
+        bits, answers = np.zeros(len(keys), np.uint64), np.zeros(len(keys), np.uint8)
+        np.bitwise_or.at(bits, back, np.uint64(1) << places)
+        for k, (own, rare) in enumerate(zip(codes, rarity)):
+            chosen = list(dict.fromkeys(own[np.argsort(-rare, kind="stable")].tolist()))[:ANSWER_WORDS]
+            answers[np.searchsorted(keys, k * words + np.array(chosen))] = 1 << np.arange(len(chosen))
+        return cls(words, keys, bits, answers)
+
+    def found(self, items: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per pair of item passage and window of codes: the places of each word of the window, and which answers it holds.
+
+        The last code stands for words of no item.
+        """
+        bits = np.zeros(windows.shape, np.uint64)
+        held = np.zeros(windows.shape, np.uint8)
+        row, column = np.nonzero(windows < self.words - 1)
+        wanted = items[row] * self.words + windows[row, column]
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        hit = self.keys[at] == wanted
+        row, column, at = row[hit], column[hit], at[hit]
+        bits[row, column], held[row, column] = self.bits[at], self.answers[at]
+        return bits, np.bitwise_or.reduce(held, axis=1)
+
+
+def _common(bits: np.ndarray) -> np.ndarray:
+    """Longest common subsequence of item passages and windows, given the places of each word of a window; all pairs at once."""
+    open_bits = np.full(len(bits), ~np.uint64(0), np.uint64)
+    for match in bits.T:
         hit = open_bits & match
         open_bits = (open_bits + hit) | (open_bits & ~match)
     return np.bitwise_count(~open_bits).astype(np.int64)
 
 
-def _any_order(masks: np.ndarray, items: np.ndarray, windows: np.ndarray) -> np.ndarray:
-    """Places of each item passage whose term stands anywhere in the window."""
-    found = np.zeros(len(items), np.uint64)
-    for column in windows.T:
-        found |= masks[items, column]
-    return found
-
-
 @dataclass(frozen=True)
 class RarePlaces:
     """The rarest places of each item passage, by word.
@@ -233,116 +277,201 @@ def _added(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[starts], np.add.reduceat(values, starts) if len(keys) else values
 
 
+_FOUND = "doc_id long, item_id long, cosine double, common double, answers double, route string"
+
+
+def _item_blocks(benchmark: DataFrame) -> Iterator[tuple[list[int | None], list[str], bool]]:
+    """Ids and texts of items, in blocks of about ``ITEM_BLOCK`` passages; the last value tells whether an id goes on in another block."""
+    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.lower("text").alias("text")).orderBy("item_id", "text")
+    ids: list[int | None] = []
+    texts: list[str] = []
+    # A word has a byte and a blank at least, or is a character.
+    size, most = 0, 2 * ITEM_BLOCK * ITEM_PASSAGE
+    goes_on = False
+    for row in rows.toLocalIterator():
+        text, own = row["text"] or "", row["item_id"]
+        for at in range(0, max(len(text), 1), most):
+            # The parts of a long item overlap by a passage of long words.
+            part = text[at : at + most + 16 * ITEM_PASSAGE]
+            if size and size + len(part) > most:
+                same = at > 0 or own is not None and ids[-1] == own
+                yield ids, texts, goes_on or same
+                ids, texts, size, goes_on = [], [], 0, same
+            ids.append(own)
+            texts.append(part)
+            size += len(part)
+    if ids:
+        yield ids, texts, goes_on
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """Pairs (doc_id, item_id, cosine, common, answers) of documents that hold a copy or paraphrase of an item passage.
+    """Pairs (doc_id, item_id, cosine, common, answers, route) of documents that hold a copy or paraphrase of an item passage.
 
     ``common`` is the share of the passage's words found in order, ``answers`` the share of its rarest words found there.
     Documents are read in any number of tasks; each holds the space and one block of item passages.
     """
     spark = docs.sparkSession
-    space = None
-    blocks = benchmark.select(F.col("item_id").cast("long"), F.lower("text").alias("text")).where("item_id is not null")
-    found = None
-    ordered = blocks.orderBy("item_id", "text")
-    last = None
-    while True:
-        rows = (ordered if last is None else ordered.where(F.col("item_id") > last)).limit(ITEM_BLOCK).collect()
-        if len(rows) == ITEM_BLOCK and rows[0][0] != rows[-1][0]:
-            rows = [r for r in rows if r[0] != rows[-1][0]]  # an id's rows stay together
-        if not rows:
-            break
-        last = rows[-1][0]
-        items = cut_items([r[0] for r in rows], [r[1] for r in rows])
+    space = found = parts = None
+    for ids, texts, goes_on in _item_blocks(benchmark):
+        items = cut_items(texts)
+        if not len(items.words) and not items.short:
+            continue
         if len(items.words):
             space = space or latent_space(docs, _frequencies_guess(items), text)
-            part = _search(docs.select("doc_id", F.lower(text)), items, space)
+        part = _search(docs.select("doc_id", F.lower(text)), items, ids, space)
+        if goes_on:
+            parts = part if parts is None else parts.unionByName(part)
+        else:
             found = part if found is None else found.unionByName(part)
-    schema = "doc_id long, item_id long, cosine double, common double, answers double"
-    return found if found is not None else spark.createDataFrame([], schema)
-
-
-def _search(docs: DataFrame, items: Items, space: Space) -> DataFrame:
-    terms = items.terms()
-    lengths = np.array([len(t) for t in terms])
-    latent = _unit(T.sums(space.basis[np.concatenate(terms)], lengths)).astype(np.float32)
-    idf = space.idf
-    # One more term for words that no item has: a window's words become places in the items' own vocabulary.
-    vocabulary, coded = np.unique(np.concatenate(items.words), return_inverse=True)
-    by_dimension = np.ascontiguousarray(np.vstack([space.basis, np.zeros((1, RANK), np.float32)]).T)
-    masks = np.zeros((len(terms), len(vocabulary) + 1), np.uint64)
-    answers = np.zeros_like(masks, bool)
-    at = 0
-    for k, n in enumerate(lengths.tolist()):
-        codes = coded[at : at + n]
-        np.bitwise_or.at(masks[k], codes, np.uint64(1) << np.arange(n, dtype=np.uint64))
-        rare = np.argsort(-idf[terms[k]], kind="stable")
-        chosen = list(dict.fromkeys(codes[rare].tolist()))[:ANSWER_WORDS]
-        answers[k, chosen] = True
-        at += n
-    each = np.split(coded, np.cumsum(lengths)[:-1])
-    rare_places = RarePlaces.of(each, [idf[t] for t in terms], len(vocabulary) + 1)
-    wanted = np.maximum(answers.sum(axis=1), 1)
-    item_ids = items.item
-    none = len(vocabulary)
+    if parts is not None:
+        # The best passage of items whose id is in several blocks.
+        best = F.max(F.struct("common", F.coalesce("cosine", F.lit(-1.0)).alias("order"), "cosine", "answers", "route")).alias("best")
+        parts = parts.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.cosine", "best.common", "best.answers", "best.route")
+        found = parts if found is None else found.unionByName(parts)
+    return found if found is not None else spark.createDataFrame([], _FOUND)
+
+
+def _sequences(hashes: np.ndarray, width: int) -> np.ndarray:
+    """A hash of every run of so many words."""
+    total = np.full(max(len(hashes) - width + 1, 0), width, np.uint64)
+    for k in range(width):
+        total += T.mix(hashes[k : k + len(total)] + np.uint64(k))
+    return T.mix(total)
+
+
+class _Latent:
+    """Both routes to candidates, and the check of candidates, for one block of item passages."""
+
+    def __init__(self, items: Items, space: Space):
+        terms = items.terms()
+        self.item, self.idf = items.item, space.idf
+        self.lengths = np.array([len(t) for t in terms])
+        self.latent = _unit(T.sums(space.basis[np.concatenate(terms)], self.lengths)).astype(np.float32)
+        # One more term for words that no item has: a window's words become places in the items' own vocabulary.
+        self.vocabulary, coded = np.unique(np.concatenate(items.words), return_inverse=True)
+        self.none = len(self.vocabulary)
+        self.by_dimension = np.ascontiguousarray(np.vstack([space.basis, np.zeros((1, RANK), np.float32)]).T)
+        each = np.split(coded, np.cumsum(self.lengths)[:-1])
+        rarity = [self.idf[t] for t in terms]
+        self.places = Places.of(each, rarity, self.none + 1)
+        self.rare = RarePlaces.of(each, rarity, self.none + 1)
+        self.wanted = np.minimum(np.array([len(np.unique(c)) for c in each]), ANSWER_WORDS)
+        self.least = int(np.ceil(PARAPHRASE * self.lengths - 1e-9).min())
+
+    def passages(self, cut: np.ndarray, runs_of: np.ndarray, windows: np.ndarray) -> np.ndarray:
+        """Unit vectors of the blocks ``windows`` and those after them in the same text."""
+        out = _project(cut[windows], self.by_dimension)
+        after = np.minimum(windows + 1, len(cut) - 1)
+        joins = np.flatnonzero((after > windows) & (runs_of[after] == runs_of[windows]))
+        out[joins] += _project(cut[after[joins]], self.by_dimension)
+        return _unit(out)
+
+    def near(self, cut: np.ndarray, codes: np.ndarray, run_of_word: np.ndarray, runs_of: np.ndarray) -> np.ndarray:
+        """Keys (window, item) by cosine, of windows that hold as many words of the items as the shortest paraphrase calls for."""
+        held = np.bincount(run_of_word[codes < self.none], minlength=len(runs_of))
+        around = held.copy()
+        for shift in (-1, 1, 2):
+            other = np.arange(len(held)) + shift
+            inside = (other >= 0) & (other < len(held))
+            inside[inside] = runs_of[other[inside]] == runs_of[inside]
+            around[inside] += held[other[inside]]
+        windows = np.flatnonzero(around >= self.least)
+        keys = [np.zeros(0, np.int64)]
+        for lo in range(0, len(windows), WINDOWS):
+            some = windows[lo : lo + WINDOWS]
+            near = self.passages(cut, runs_of, some) @ self.latent.T >= NEAR
+            row, item = np.nonzero(near)
+            keys.append(some[row] * len(self.lengths) + item)
+        return np.concatenate(keys)
+
+    def search(self, counts: np.ndarray, hashes: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """Row, item, cosine, share in order, share of answers and route of passages that are copies or paraphrases."""
+        cut, runs = _blocks(counts, _terms(hashes))
+        runs_of = np.repeat(np.arange(len(counts)), runs)
+        at = np.minimum(np.searchsorted(self.vocabulary, hashes), self.none - 1)
+        codes = np.where(self.vocabulary[at] == hashes, at, self.none)
+        # The passage and the step before and after it, within its own document.
+        starts = np.cumsum(counts) - counts
+        run_of_word = np.repeat(np.cumsum(runs) - runs, counts) + (np.arange(len(codes)) - np.repeat(starts, counts)) // STEP
+        by_words = self.rare.candidates(codes, run_of_word, runs_of)
+        by_cosine = self.near(cut, codes, run_of_word, runs_of)
+        keys = np.union1d(by_words, by_cosine)
+        window, item = np.divmod(keys, len(self.lengths))
+        route = np.isin(keys, by_words, assume_unique=True) + 2 * np.isin(keys, by_cosine, assume_unique=True)
+        run_no = np.arange(len(runs_of)) - (np.cumsum(runs) - runs)[runs_of]
+        left = starts[runs_of] + run_no * STEP - STEP
+        for lo in range(0, len(window), PAIRS):
+            w, i, r = (x[lo : lo + PAIRS] for x in (window, item, route))
+            span = left[w][:, None] + np.arange(PASSAGE + 2 * STEP)
+            own = runs_of[w]
+            outside = (span < starts[own][:, None]) | (span >= (starts + counts)[own][:, None])
+            spread = np.where(outside, self.none, codes[np.clip(span, 0, len(codes) - 1)])
+            bits, held = self.places.found(i, spread)
+            # The words in common, in any order, bound the subsequence from above.
+            able = np.flatnonzero(np.bitwise_count(np.bitwise_or.reduce(bits, axis=1)) >= PARAPHRASE * self.lengths[i])
+            share = _common(bits[able]) / self.lengths[i[able]]
+            good = able[share >= PARAPHRASE]
+            if not len(good):
+                continue
+            share = share[share >= PARAPHRASE]
+            w, i, r, held = w[good], i[good], r[good], np.bitwise_count(held[good])
+            leak = (share >= COPY) | (held >= np.minimum(ANSWER_NEEDED, self.wanted[i]))
+            w, i, r, held, share = w[leak], i[leak], r[leak], held[leak], share[leak]
+            if len(w):
+                cosine = (self.passages(cut, runs_of, w) * self.latent[i]).sum(axis=1)
+                yield runs_of[w], self.item[i], cosine, share, held / self.wanted[i], r
+
+
+_ROUTES = ("", "words", "cosine", "both", "verbatim")
+
+
+def _search(docs: DataFrame, items: Items, ids: list[int | None], space: Space | None) -> DataFrame:
+    latent = _Latent(items, space) if len(items.words) else None
+    first_of: dict[int, int] = {}
+    one_item = np.array([k if i is None else first_of.setdefault(i, k) for k, i in enumerate(ids)])
+    by_width: dict[int, tuple[list[int], list[int]]] = {}
+    for number, texts in items.short.items():
+        for words in texts:
+            value, owner = by_width.setdefault(len(words), ([], []))
+            value.append(int(_sequences(words, len(words))[0]))
+            owner.append(number)
+    short = {n: (np.sort(np.array(v, np.uint64)), np.array(o)[np.argsort(np.array(v, np.uint64), kind="stable")]) for n, (v, o) in by_width.items()}
+    item_ids = pa.array(ids, pa.int64())
+
+    def verbatim(counts: np.ndarray, hashes: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        owner = np.repeat(np.arange(len(counts)), counts)
+        for width, (values, numbers) in short.items():
+            every = _sequences(hashes, width)
+            whole = owner[: len(every)] == owner[width - 1 :][: len(every)]
+            lo, hi = np.searchsorted(values, every, "left"), np.searchsorted(values, every, "right")
+            at = np.flatnonzero(whole & (hi > lo))
+            for p in at.tolist():
+                found = numbers[lo[p] : hi[p]]
+                one = np.ones(len(found))
+                yield np.full(len(found), owner[p]), found, one * np.nan, one, one, np.full(len(found), 4)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple] = []
-            for first, counts, hashes in T.words(batch.column(1), T.LETTERS):
+            best: dict[tuple[int, int], tuple[float, float, float, int]] = {}
+            for first, counts, hashes in T.words(batch.column(1), T.LETTERS, apart=True):
                 if not len(hashes):
                     continue
-                cut, runs = _blocks(counts, _terms(hashes))
-                runs_of = np.repeat(np.arange(len(counts)), runs)
-                places = np.minimum(np.searchsorted(vocabulary, hashes), none - 1)
-                codes = np.where(vocabulary[places] == hashes, places, none)
-                # The passage and the step before and after it, within its own document.
-                starts = np.cumsum(counts) - counts
-                run_of_word = np.repeat(np.cumsum(runs) - runs, counts) + (np.arange(len(codes)) - np.repeat(starts, counts)) // STEP
-                by_words = rare_places.candidates(codes, run_of_word, runs_of)
-                window, item = np.divmod(by_words, len(lengths))
-                if not len(window):
-                    continue
-                run_no = np.arange(len(runs_of)) - (np.cumsum(runs) - runs)[runs_of]
-                left = starts[runs_of] + run_no * STEP - STEP
-                span = left[:, None] + np.arange(PASSAGE + 2 * STEP)
-                outside = (span < starts[runs_of][:, None]) | (span >= (starts + counts)[runs_of][:, None])
-                held = np.unique(window)
-                spread = np.where(outside[held], none, codes[np.clip(span[held], 0, len(codes) - 1)])
-                row = np.searchsorted(held, window)
-                passages = _project(cut[held], by_dimension)
-                after = np.minimum(held + 1, len(cut) - 1)
-                joins = np.flatnonzero((after > held) & (runs_of[after] == runs_of[held]))
-                passages[joins] += _project(cut[after[joins]], by_dimension)
-                passages = _unit(passages)
-                for lo in range(0, len(window), 1 << 18):
-                    hi = lo + (1 << 18)
-                    w, i = row[lo:hi], item[lo:hi]
-                    # The words in common, in any order, bound the subsequence from above.
-                    able = np.bitwise_count(_any_order(masks, i, spread[w])) >= PARAPHRASE * lengths[i]
-                    w, i = w[able], i[able]
-                    share = _common(masks, i, spread[w]) / lengths[i]
-                    good = np.flatnonzero(share >= PARAPHRASE)
-                    if not len(good):
-                        continue
-                    w, i, share = w[good], i[good], share[good]
-                    kept = answers[i[:, None], spread[w]]
-                    distinct = np.array([len(set(s[k].tolist())) for s, k in zip(spread[w], kept)])
-                    answered = distinct / wanted[i]
-                    leak = (share >= COPY) | (distinct >= np.minimum(ANSWER_NEEDED, wanted[i]))
-                    owner = first + runs_of[held[w]]
-                    cosine = (passages[w] * latent[i]).sum(axis=1)
-                    out.extend(zip(owner[leak].tolist(), item_ids[i[leak]].tolist(), cosine[leak].tolist(), share[leak].tolist(), answered[leak].tolist()))
-            if out:
-                best: dict[tuple, tuple] = {}
-                for row_no, item_id, cosine, share, answered in out:
-                    key = (row_no, item_id)
-                    if key not in best or (share, cosine) > (best[key][1], best[key][0]):
-                        best[key] = (cosine, share, answered)
-                ids = batch.column(0).take(pa.array([k[0] for k in best], pa.int64())).cast(pa.int64())
-                columns = list(zip(*best.values()))
-                yield pa.RecordBatch.from_arrays([ids, pa.array([k[1] for k in best], pa.int64()), *[pa.array(c, pa.float64()) for c in columns]], ["doc_id", "item_id", "cosine", "common", "answers"])
-
-    return docs.mapInArrow(search, "doc_id long, item_id long, cosine double, common double, answers double")
+                routes = [verbatim(counts, hashes)] if short else []
+                routes += [latent.search(counts, hashes)] if latent else []
+                for found in (x for route in routes for x in route):
+                    for row, number, cosine, share, answered, route in zip(found[0].tolist(), one_item[found[1]].tolist(), *(c.tolist() for c in found[2:])):
+                        key, old = (first + row, number), best.get((first + row, number))
+                        if old is None or (share, cosine) > (old[1], old[0]):
+                            best[key] = (cosine, share, answered, route | (old[3] if old else 0) if route < 4 else route)
+                        elif route < 4:
+                            best[key] = (*old[:3], old[3] | route)
+            if best:
+                rows, numbers = (pa.array(x, pa.int64()) for x in zip(*best))
+                cosine, share, answered, route = zip(*best.values())
+                values = [pa.array([None if c != c else c for c in cosine], pa.float64()), pa.array(share, pa.float64()), pa.array(answered, pa.float64()), pa.array([_ROUTES[r] for r in route])]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(rows).cast(pa.int64()), item_ids.take(numbers), *values], ["doc_id", "item_id", "cosine", "common", "answers", "route"])
+
+    return docs.mapInArrow(search, _FOUND)
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

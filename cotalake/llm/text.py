@@ -66,8 +66,20 @@ def _powers_to(n: int) -> None:
         _powers, _inverses = np.multiply.accumulate(base), np.multiply.accumulate(inverse)
 
 
-def spans(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and end of each word; no word crosses a row's bounds."""
+def _unspaced(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last bytes of characters that scripts without spaces write: CJK, Thai, Lao, Burmese, Khmer."""
+    second = np.append(data[1:], 0) if len(data) else data
+    three = (data >= 0xE3) & (data <= 0xE9) | (data == 0xE0) & (second >= 0xB8) & (second <= 0xBB)
+    three |= (data == 0xE1) & ((second >= 0x80) & (second <= 0x82) | (second == 0x9E) | (second == 0x9F))
+    four = (data == 0xF0) & (second >= 0xA0) & (second <= 0xAF)
+    first, last = three | four, np.zeros(len(data), bool)
+    for mark, size in ((three, 3), (four, 4)):
+        last[np.minimum(np.flatnonzero(mark) + size - 1, len(data) - 1)] = True
+    return first, last
+
+
+def spans(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, apart: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of each word; no word crosses a row's bounds. With ``apart``, a character of an unspaced script is a word."""
     inside = table[data]
     cut = np.zeros(len(data) + 1, bool)
     cut[offsets] = True
@@ -75,7 +87,14 @@ def spans(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.
     if len(inside):
         before[0], before[1:] = False, inside[:-1]
         after[-1], after[:-1] = False, inside[1:]
-    return np.flatnonzero(inside & (cut[:-1] | ~before)), np.flatnonzero(inside & (cut[1:] | ~after)) + 1
+    opens, closes = cut[:-1] | ~before, cut[1:] | ~after
+    if apart and len(data) and int(data.max()) >= 0xE0:
+        first, last = _unspaced(data)
+        opens[first] = True
+        opens[1:] |= last[:-1]
+        closes[last] = True
+        closes[:-1] |= first[1:]
+    return np.flatnonzero(inside & opens), np.flatnonzero(inside & closes) + 1
 
 
 def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -100,7 +119,7 @@ def _pieces(data: np.ndarray, table: np.ndarray) -> Iterator[np.ndarray]:
         at = stop
 
 
-def words(column: pa.Array, table: np.ndarray, size: int = CHUNK, heads: tuple[int, ...] = ()) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def words(column: pa.Array, table: np.ndarray, size: int = CHUNK, heads: tuple[int, ...] = (), apart: bool = False) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For groups of whole rows: the first row, the number of words of each row, and the hashes of all their words.
 
     With ``heads``, a row of hashes per word: of the word, and of its first bytes, as many as each head says.
@@ -112,11 +131,11 @@ def words(column: pa.Array, table: np.ndarray, size: int = CHUNK, heads: tuple[i
         if last - first == 1 and len(part) > CHUNK:
             found = []
             for piece in _pieces(part, table):
-                found.append(one(piece, *spans(piece, np.array([0, len(piece)]), table)))
+                found.append(one(piece, *spans(piece, np.array([0, len(piece)]), table, apart)))
             hashes = np.concatenate(found)
             yield first, np.array([len(hashes)]), hashes
         else:
-            starts, ends = spans(part, bounds, table)
+            starts, ends = spans(part, bounds, table, apart)
             yield first, np.diff(np.searchsorted(starts, bounds)), one(part, starts, ends)
 
 

@@ -140,6 +140,48 @@ def test_leaks_are_found_and_clean_documents_left(spark, corpus):
     assert decontamination.find_leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_items_without_id_short_items_and_scripts_without_spaces(spark, corpus):
+    texts, items = corpus
+    chinese = "机器学习模型需要大量高质量的训练数据才能取得良好的效果"
+    short = "what is the capital of france"
+    docs = [*texts.items(), (300, "so " + items[1] + " it is"), (301, "先前" * 30 + chinese + "之后" * 30), (302, f"quiz: What is\nthe capital of France? {texts[0]}"), (303, "the capital of france is what is")]
+    bench = [(None, items[1]), (None, items[4]), (60, chinese), (61, short), (62, "of france"), (63, short)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {(r.doc_id, r.item_id): r for r in decontamination.find_leaks(frame, _bench(spark, bench)).collect()}
+    assert set(found) == {(300, None), (301, 60), (302, 61), (302, 63)}
+    assert found[302, 61].route == "verbatim" and found[302, 61].cosine is None and found[300, None].route in ("both", "words", "cosine")
+    assert decontamination.drop_leaks(frame, _bench(spark, bench)).count() == len(docs) - 3
+
+
+def test_rows_of_one_item_beyond_a_block(spark, corpus, monkeypatch):
+    texts, items = corpus
+    monkeypatch.setattr(decontamination, "ITEM_BLOCK", 4)
+    rows = [(7, items[k]) for k in range(12)] + [(None, items[k]) for k in (3, 6)]
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = sorted((r.doc_id, r.item_id or 0) for r in decontamination.find_leaks(frame, _bench(spark, rows)).collect())
+    assert found == [(200, 0), (200, 7), (201, 7), (202, 0), (202, 7)]
+    long = " ".join(f"q{i}" for i in range(3000))
+    part = " ".join(f"q{i}" for i in range(2000, 2040))
+    frame = spark.createDataFrame([(1, part), (1, "else")], "doc_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in decontamination.find_leaks(frame, _bench(spark, [(5, long)])).collect()] == [(1, 5)]
+
+
+def test_both_routes_find_close_copies(spark, corpus):
+    """Whole items within other text are near by cosine; each route alone finds them too."""
+    texts, items = corpus
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r.doc_id: r for r in decontamination.find_leaks(frame, _bench(spark, list(items.items()))).collect()}
+    assert {found[d].route for d in (200, 201)} == {"both"} and found[201].cosine > decontamination.NEAR
+
+
+def test_very_long_document_holds_a_leak(spark, corpus):
+    texts, items = corpus
+    long = " ".join(list(texts.values()) * 40)
+    frame = spark.createDataFrame([(1, long + " " + items[5] + " " + long), (2, long)], "doc_id long, text string")
+    leak = {(r.doc_id, r.item_id) for r in decontamination.find_leaks(frame, _bench(spark, [(5, items[5])])).collect()}
+    assert leak == {(1, 5)}
+
+
 def test_items_in_blocks_give_the_same(spark, corpus, monkeypatch):
     texts, items = corpus
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
@@ -196,9 +238,11 @@ def test_common_subsequence_matches_dynamic_programming():
         for i in range(20):
             for j in range(30):
                 table[i + 1, j + 1] = table[i, j] + 1 if a[i] == b[j] else max(table[i, j + 1], table[i + 1, j])
-        masks = np.zeros((1, 7), np.uint64)
-        np.bitwise_or.at(masks[0], a, np.uint64(1) << np.arange(20, dtype=np.uint64))
-        assert decontamination._common(masks, np.array([0]), b[None, :])[0] == table[-1, -1]
+        places = decontamination.Places.of([np.array([1, 2]), a], [np.ones(2), np.arange(20.0)], 8)
+        bits, held = places.found(np.array([1]), b[None, :])
+        assert decontamination._common(bits)[0] == table[-1, -1]
+        rarest = list(dict.fromkeys(a[::-1].tolist()))[:4]
+        assert np.bitwise_count(held)[0] == len(set(rarest) & set(b.tolist()))
 
 
 def _best(rows, queries, k):

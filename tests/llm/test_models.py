@@ -35,6 +35,15 @@ def test_words_match_regular_expressions(table, pattern):
     assert len(set(seen.values())) == len(seen)
 
 
+def test_characters_of_unspaced_scripts_are_words():
+    texts = ["日本 abc日本x", "ภาษา is", "日本", "é日", "𠀀a", "", "日"]
+    (_, counts, hashes), = T.words(pa.array(texts), T.LETTERS, apart=True)
+    assert counts.tolist() == [6, 5, 2, 2, 2, 0, 1]
+    (_, _, plain), = T.words(pa.array(["日", "本", "abc", "x"]), T.LETTERS)
+    assert hashes[:6].tolist() == [plain[0], plain[1], plain[2], plain[0], plain[1], plain[3]]
+    assert hashes[11] == hashes[0] and next(T.words(pa.array(texts), T.LETTERS))[1].tolist() == [2, 2, 1, 1, 1, 0, 1]
+
+
 def test_long_texts_are_cut_between_words(monkeypatch):
     long = " ".join(f"w{i % 9}" for i in range(400)) + " " + "z" * 300 + " end"
     whole = next(T.words(pa.array([long]), T.VISIBLE))

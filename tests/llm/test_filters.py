@@ -213,6 +213,41 @@ def test_mixture_of_odd_rows(spark):
     assert _mixture(spark, rows, weights={"lang": {"en": 0, "": 0}}).count() == 0
 
 
+def test_rows_without_id_spread_over_the_ranges_of_a_leaf(spark, monkeypatch):
+    """Equal seeded keys are told apart by text, so the documents sorted at the cut are few."""
+    rows = [(None, f"w{i} x y", "en", "s0", 0) for i in range(3000)] + [(None, "same one here", "en", "s0", 0)] * 500
+    docs = _docs(spark, rows)
+    out = mixing.mix(docs, mixing.domain_of(F.col("source")), budget_share=(1, 3), max_epochs=1, with_text=True).collect()
+    assert sum(r.taken for r in out) == 3500 * 3 // 3 and all(1 <= r.taken <= 3 for r in out)
+    assert all(len(r.text.split()) == r.taken for r in out) and sum(r.taken < 3 for r in out) <= 1
+    counted = mixing.written(mixing._rows(docs, F.lit("d")), "t")
+    plan = counted.select("domain", "lang", "source").distinct().withColumns({"whole": F.lit(0).cast("long"), "part": F.lit(3500).cast("long")})
+    ordered = mixing._ordered(counted, plan, "mix")
+    prefix, before = mixing._cuts(ordered).select("prefix", "before").first()
+    at_cut = ordered.where(F.startswith("place", F.lit(prefix)))
+    assert at_cut.count() <= 510 and at_cut.select("place").distinct().count() <= 5 and before <= 3500
+
+
+def test_mixture_yields_its_tokens(spark):
+    rows = [(i, f"Tok{i}  b{i}\tc{i}\n d{i}", "en", "s0", 0) for i in range(7)] + [(9, "", "en", "s0", 0), (10, None, "en", "s0", 0)]
+    plain = _mixture(spark, rows, budget_share=(5, 14)).drop("text")
+    out = _mixture(spark, rows, budget_share=(5, 14), with_text=True)
+    assert sorted(map(tuple, out.drop("text").collect())) == sorted(map(tuple, plain.collect()))
+    texts = {i: t for i, t, *_ in rows}
+    taken = out.collect()
+    assert sum(r.taken for r in taken) == 10 and sorted(r.taken for r in taken) == [2, 4, 4]
+    for r in taken:
+        assert r.text == texts[r.doc_id] if r.taken == 4 else r.text.split() == texts[r.doc_id].split()[: r.taken]
+
+
+def test_equal_rows_at_the_cut_count_each(spark):
+    rows = [(1, "a b c", "en", "s0", 0)] * 5
+    out = _mixture(spark, rows, budget_share=(7, 15), max_epochs=1).collect()
+    assert sorted(r.taken for r in out) == [1, 3, 3] and {r.epoch for r in out} == {1}
+    out = _mixture(spark, rows, budget_share=(20, 15), max_epochs=2).collect()
+    assert sorted((r.epoch, r.taken) for r in out) == [(1, 3)] * 5 + [(2, 2), (2, 3)]
+
+
 def _scan(spark, texts):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     return {r.doc_id: r for r in license_scan.scan_documents(docs).collect()}

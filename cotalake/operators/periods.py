@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from cotalake import schemas
 from cotalake.functions import dates, numbers
+from cotalake.operators import ranking
+from cotalake.session import stored
 
 # Score weights, band edges and labels of the two variants.
 RISK_LABELS = ["baixo", "medio", "alto"]
@@ -79,7 +81,8 @@ def with_cutoffs(fact: DataFrame, periods: Sequence[int]) -> DataFrame:
     A row is within N days of its fund's last date if its key exceeds the
     fund's N-day cut-off. The cut-offs are worked out per fund, so that rows
     only compare integers. They hold one row per fund; Spark broadcasts them if their size allows it.
-    The lowest cut-off of all prunes the months of a partitioned fact.
+    Of a fact partitioned by month only the months that some fund's periods touch are read: a fund closed long ago adds its own
+    months, not those since. Their number is bounded by the calendar.
     """
     # The explicit null filter makes both uses of this aggregate the same plan, so that it runs once.
     last = (
@@ -91,13 +94,22 @@ def with_cutoffs(fact: DataFrame, periods: Sequence[int]) -> DataFrame:
         .drop("_reference")
     )
     longest = _cut(max(periods))
-    lowest = last.agg(F.min(longest)).scalar()
-    recent = fact.filter(F.col("sk_data") > lowest)
     if "ano_mes" in fact.columns:
-        recent = recent.filter(F.col("ano_mes") >= F.floor(lowest / F.lit(100)).cast("int"))
+        recent = fact.filter(F.col("ano_mes").isin(_touched_months(last, longest)))
+    else:
+        recent = fact.filter(F.col("sk_data") > last.agg(F.min(longest)).scalar())
     return recent.join(last, "sk_fundo").filter(F.col("sk_data") > F.col(longest))
 
 
+def _touched_months(last: DataFrame, longest: str) -> list[int]:
+    """Months from a fund's longest cut-off to its last date, of all funds; few spans differ, so they are grouped first."""
+    month = lambda key: F.floor(F.col(key) / F.lit(100))
+    spans = last.select(month(longest).alias("a"), month("data_referencia").alias("b")).distinct()
+    first, final = (F.make_date(F.floor(F.col(c) / 100).cast("int"), (F.col(c) % 100).cast("int"), F.lit(1)) for c in ("a", "b"))
+    months = spans.select(F.explode(F.sequence(first, final, F.expr("interval 1 month"))).alias("d")).select(dates.month_key(dates.date_key(F.col("d"))).alias("m"))
+    return sorted(r["m"] for r in months.distinct().collect())
+
+
 def _within(days: int, value: Column) -> Column:
     return F.when(F.col("sk_data") > F.col(_cut(days)), value)
 
@@ -191,23 +203,25 @@ def rolling_daily_kpi(fact: DataFrame, periods: Sequence[int] = tuple(schemas.PE
     upto = ordered.rowsBetween(Window.unboundedPreceding, 0)
     sources = {"captacao_dia": "captacao", "resgate_dia": "resgate", "fluxo_liquido_dia": "fluxo_liquido"}
     zero = F.lit(0).cast("decimal(38,6)")
-    running = {}
-    for source, name in sources.items():
-        running[f"_sum_{name}"] = F.coalesce(F.sum(source).over(upto), zero)
-        running[f"_n_{name}"] = F.count(source).over(upto)
-        running[f"_up_{name}"] = F.sum(f"{source}_acima").over(upto)
-        running[f"_down_{name}"] = F.sum(f"{source}_abaixo").over(upto)
-    totals = daily.withColumns(running).withColumn("_total", F.struct(*running))
+    # Days with a finite, a plus and a minus infinite amount, the three flows of a kind side by side in one number: a calendar has
+    # fewer than 2^20 days.
+    marks = {"_n_": lambda c: F.col(c).isNotNull(), "_up_": lambda c: F.col(f"{c}_acima") > 0, "_down_": lambda c: F.col(f"{c}_abaixo") > 0}
+    days = {kind: sum((F.when(mark(c), F.lit(1 << (20 * k))).otherwise(F.lit(0)).cast("long") for k, c in enumerate(sources)), F.lit(0).cast("long")) for kind, mark in marks.items()}
+    running = {f"_sum_{name}": F.coalesce(F.sum(source).over(upto), zero) for source, name in sources.items()}
+    running |= {kind: F.sum(kind).over(upto) for kind in days}
+    totals = daily.withColumns(days).withColumns(running).withColumn("_total", F.struct(*running))
     earlier = {
         f"_before_{p}": F.last("_total").over(ordered.rangeBetween(Window.unboundedPreceding, -int(p))) for p in periods
     }
     compared = totals.withColumns(earlier)
+    place = {name: 20 * k for k, name in enumerate(sources.values())}
 
     def trailing(name: str, p: int) -> Column:
         before = F.col(f"_before_{p}")
 
-        def more(count: str) -> Column:
-            return F.col(f"{count}{name}") > F.coalesce(before[f"{count}{name}"], F.lit(0))
+        def more(kind: str) -> Column:
+            since = F.col(kind) - F.coalesce(before[kind], F.lit(0).cast("long"))
+            return F.shiftright(since, place[name]).bitwiseAND(F.lit((1 << 20) - 1)) > 0
 
         change = F.col(f"_sum_{name}") - F.coalesce(before[f"_sum_{name}"], zero)
         return (
@@ -224,13 +238,9 @@ def rolling_daily_kpi(fact: DataFrame, periods: Sequence[int] = tuple(schemas.PE
 def rank_funds(kpis: DataFrame, levels: DataFrame) -> DataFrame:
     """Rank by net flow within each period, with the fund's risk level.
 
-    The input has one row per period and ``sk_fundo``, and ``sk_fundo`` lies in
-    [0, 1,000,000): a period's window group is bounded by the key space.
+    A period has one row per fund, any number under the wide key: ranks come from ranges of the flow, not from one window.
     """
-    order = Window.partitionBy("periodo").orderBy(F.desc("fluxo_liquido_periodo"))
-    ranked = kpis.select(
-        "periodo", "sk_fundo", "fluxo_liquido_periodo", F.rank().over(order).alias("posicao")
-    )
+    ranked = ranking.ranked(kpis.select("periodo", "sk_fundo", "fluxo_liquido_periodo"), "periodo", "fluxo_liquido_periodo", "posicao")
     return ranked.join(levels.select("sk_fundo", "periodo", "nivel_risco_fundo"), ["sk_fundo", "periodo"], "left")
 
 
@@ -263,30 +273,12 @@ def period_profile(fact: DataFrame, periods: Sequence[int] = tuple(schemas.PERIO
 def describe_flow_by_period(aggregate: DataFrame) -> DataFrame:
     """Count, mean, deviation, extremes and quartiles of net flow per period.
 
-    Reads one row per fund and period; ``sk_fundo`` lies in [0, 1,000,000),
-    which bounds what the exact percentile holds per period.
+    Quartiles are exact and come from ranges of the flow, so no task holds a period.
     """
+    rows = stored(aggregate.select("periodo", "fluxo_liquido_periodo"), "period_flows")
     flow = F.col("fluxo_liquido_periodo")
-    quartiles = F.percentile(flow, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return (
-        aggregate.groupBy("periodo")
-        .agg(
-            F.count(flow).alias("count"),
-            F.avg(flow).alias("mean"),
-            F.stddev_samp(flow).alias("std"),
-            F.min(flow).alias("min"),
-            quartiles.alias("_q"),
-            F.max(flow).alias("max"),
-        )
-        .select(
-            "periodo",
-            "count",
-            "mean",
-            "std",
-            "min",
-            F.col("_q")[0].alias("p25"),
-            F.col("_q")[1].alias("p50"),
-            F.col("_q")[2].alias("p75"),
-            "max",
-        )
+    moments = rows.groupBy("periodo").agg(
+        F.count(flow).alias("count"), F.avg(flow).alias("mean"), F.stddev_samp(flow).alias("std"), F.min(flow).alias("min"), F.max(flow).alias("max")
     )
+    quartiles = ranking.quantiles(rows, "periodo", "fluxo_liquido_periodo", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+    return moments.join(quartiles, "periodo", "left").select("periodo", "count", "mean", "std", "min", "p25", "p50", "p75", "max")

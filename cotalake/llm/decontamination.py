@@ -7,8 +7,8 @@ candidates.
 
 The cosine of short or changed excerpts within other text can be low. So there is a second route beside it: what holds a given share
 of an item passage's words holds some of its rarest ones, and every passage with enough of those is a candidate too; no copy or
-paraphrase is left out. For all candidates the longest common subsequence of words is computed exactly, and paraphrases must also hold
-the item's answer words. ``route`` says which of the two found a pair: ``cosine``, ``words`` or ``both``.
+paraphrase is left out. The same bound rules out near passages that hold too few. For all others the longest common subsequence of words is
+computed exactly, and paraphrases must also hold the item's answer words. ``route`` says what found a pair: ``both``, or ``words`` where the cosine is low.
 
 Items below ``LEAST_WORDS`` words are searched word for word (``verbatim``; no cosine), those below ``LEAST_BYTES`` bytes of text are too
 short to tell. A character of a script without spaces is a word.
@@ -393,11 +393,11 @@ class _Latent:
         # The passage and the step before and after it, within its own document.
         starts = np.cumsum(counts) - counts
         run_of_word = np.repeat(np.cumsum(runs) - runs, counts) + (np.arange(len(codes)) - np.repeat(starts, counts)) // STEP
-        by_words = self.rare.candidates(codes, run_of_word, runs_of)
         by_cosine = self.near(cut, codes, run_of_word, runs_of)
-        keys = np.union1d(by_words, by_cosine)
+        # What lacks the rare places fails the subsequence check for certain, near or not: the bound spares it the check.
+        keys = self.rare.candidates(codes, run_of_word, runs_of)
         window, item = np.divmod(keys, len(self.lengths))
-        route = np.isin(keys, by_words, assume_unique=True) + 2 * np.isin(keys, by_cosine, assume_unique=True)
+        route = 1 + 2 * np.isin(keys, by_cosine)
         run_no = np.arange(len(runs_of)) - (np.cumsum(runs) - runs)[runs_of]
         left = starts[runs_of] + run_no * STEP - STEP
         for lo in range(0, len(window), PAIRS):
@@ -422,7 +422,7 @@ class _Latent:
                 yield runs_of[w], self.item[i], cosine, share, held / self.wanted[i], r
 
 
-_ROUTES = ("", "words", "cosine", "both", "verbatim")
+_ROUTES = ("", "words", "", "both", "verbatim")
 
 
 def _search(docs: DataFrame, items: Items, ids: list[int | None], space: Space | None) -> DataFrame:

@@ -19,6 +19,7 @@ DAILY = "inf_diario"
 ORIGIN = "origem"
 READ = "lidos"
 REJECTED = "rejeitada"
+LANDED = "arquivo string, linha_no bigint, texto string, membro string"
 INPUTS = "entradas"
 COUNTED = "contagens"
 #: What Spark says of a folder or pattern without any file; every other fault ends a run.
@@ -28,18 +29,18 @@ NO_SUCH_PATH = "PATH_NOT_FOUND"
 def landing_layer(spark: SparkSession, source: str, target: str) -> DataFrame:
     """Unpack every archive below ``source`` into a table of lines at ``target``. Returns the counters.
 
-    The table (arquivo, membro, linha_no, texto) keeps each line's place, so a
-    large member can be spread over many files. Two members of one name are
-    told apart by their archive; the one of the last archive counts.
+    The table (arquivo, membro, linha_no, texto) has a folder per member and
+    keeps each line's place, so a large member can be spread over many files and
+    a later step reads the members it wants. Two members of one name are
+    told apart by their archive; the one of the last archive counts. Archives
+    are opened once: the counters come from what was written.
     """
     expanded = archives.expand_archives(archives.read_archives(spark, source), encoding="latin-1")
     name = F.regexp_extract("membro", r"([^/]*)$", 1)
     lines = archives.csv_lines(expanded).withColumn("membro", name)
-    lines.write.mode("overwrite").partitionBy("arquivo").parquet(f"{target}/todas")
-    written = spark.read.parquet(f"{target}/todas")
-    last = written.filter("linha_no = 0").groupBy("membro").agg(F.max("arquivo").alias("arquivo"))
-    current = written.join(last, ["membro", "arquivo"], "left_semi")
-    current.hint("rebalance").write.mode("overwrite").parquet(f"{target}/linhas")
+    last = lines.filter("linha_no = 0").groupBy("membro").agg(F.max("arquivo").alias("arquivo"))
+    current = lines.join(last, ["membro", "arquivo"], "left_semi").hint("rebalance", "membro")
+    current.write.mode("overwrite").partitionBy("membro").parquet(f"{target}/linhas")
     return archives.archive_counters(expanded)
 
 
@@ -53,7 +54,7 @@ def silver_layer(
     ``entradas`` names every input, used or missing. An input that is there and cannot be read ends the run. Rows
     with more fields than their header are set aside, see :func:`rejected_rows`.
     """
-    lines = spark.read.parquet(f"{source}/linhas") if unpacked else None
+    lines = spark.read.schema(LANDED).parquet(f"{source}/linhas") if unpacked else None
     produced: list[writers.Produced] = []
     inputs: list[tuple[str, str, str]] = []
 

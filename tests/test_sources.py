@@ -173,3 +173,50 @@ def test_manifest(spark, tmp_path, rows):
 def test_scratch_follows_the_session(spark):
     assert scratch_path(spark, "x").startswith(shared_dir(spark) + "/")
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def _zip(members, method=zipfile.ZIP_DEFLATED):
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", method) as z:
+        for name, content in members.items():
+            z.writestr(name, content)
+    return buffer.getvalue()
+
+
+def _lines_of(expanded):
+    found = {}
+    for r in archives.csv_lines(expanded).collect():
+        found.setdefault((r["arquivo"], r["membro"]), {})[r["linha_no"]] = r["texto"]
+    return {k: [v[n] for n in sorted(v)] for k, v in found.items()}
+
+
+@pytest.mark.parametrize("method", [zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2])
+def test_members_are_inflated_apart(spark, monkeypatch, method):
+    """Each member in its own task, whatever its method, also lines longer than a piece and an end without a line break."""
+    contents = {f"p/{i}.csv": f"linha {i};ação\r\n{'x' * 700_000}\n\nfim {i}".encode("latin-1") for i in range(30)}
+    packed = spark.createDataFrame([("a.zip", _zip({**contents, "vazio.csv": b"", "leia.txt": b"x"}, method))], "path string, content binary")
+    expanded = archives.expand_archives(packed)
+    lines = _lines_of(expanded)
+    assert lines == {("a.zip", f"p/{i}.csv"): [f"linha {i};ação", "x" * 700_000, "", f"fim {i}"] for i in range(30)}
+    assert tuple(archives.archive_counters(expanded).first()) == (1, 0, 1)
+    members = archives.archive_members(packed)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tasks = archives.inflate_members(members.repartition(1)).select(F.spark_partition_id().alias("t"), "membro").distinct()
+        assert tasks.select("t").distinct().count() > 1 and tasks.count() == 30
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_a_damaged_member_takes_its_archive(spark):
+    good = _zip({"a.csv": b"1\n2\n", "b.csv": b"3\n"})
+    body = b"\n".join(b"%d" % (i * i) for i in range(5000))
+    whole = _zip({"c.csv": b"4\n", "d.csv": body})
+    at = whole.index(b"d.csv") + 2000
+    damaged = whole[:at] + bytes([whole[at] ^ 0xFF]) + whole[at + 1 :]
+    packed = spark.createDataFrame([("g.zip", good), ("d.zip", damaged), ("t.zip", good[:40]), ("e.zip", b"")], "path string, content binary")
+    expanded = archives.expand_archives(packed)
+    assert _lines_of(expanded) == {("g.zip", "a.csv"): ["1", "2"], ("g.zip", "b.csv"): ["3"]}
+    assert tuple(archives.archive_counters(expanded).first()) == (1, 3, 0)
+    errors = {r["arquivo"]: r["erro"] for r in expanded.filter("tipo = 'erro'").collect()}
+    assert set(errors) == {"d.zip", "t.zip", "e.zip"} and "d.csv" in errors["d.zip"]

@@ -37,8 +37,8 @@ from cotalake.llm.common import written
 
 #: Bytes of a string that counts as repeated, and of the grams that are its anchors.
 LENGTH, GRAM = 100, 40
-#: Text whose equal segments are settled together, before the shuffle.
-TOGETHER = 1 << 24
+#: Text, and rows, whose equal segments are settled together, before the shuffle.
+TOGETHER, ROWS = 1 << 23, 1 << 19
 #: Share of the documents read for anchors with many different segments, and how many segments there make an anchor one of these.
 SAMPLED, MANY = 64, 24
 #: Such anchors that travel with the tasks; the others are found by counting.
@@ -189,9 +189,10 @@ def segment_rows(docs: DataFrame, many: np.ndarray, length: int, gram: int) -> D
                         a, d, f, l, own, base = a[~hot], d[~hot], f[~hot], l[~hot], own[~hot], base[~hot]
                 waiting.append((a, d, ids[rows[own]], f + base, l - f + 1))
                 size += len(data)
-            if size >= TOGETHER:
-                yield from settle(waiting)
-                waiting, size = [], 0
+                # Strings of their own, a row each, may be many times the segments.
+                if size >= TOGETHER or sum(len(w[0]) for w in waiting) >= ROWS:
+                    yield from settle(waiting)
+                    waiting, size = [], 0
         yield from settle(waiting)
 
     def settle(waiting: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:

@@ -116,9 +116,52 @@ def text_evidence(model: TextModel) -> object:
             scale = np.minimum(1.0, EFFECTIVE / np.maximum(sizes, 1))
             out[first : first + len(sizes), 1:] = total * scale[:, None]
             out[first : first + len(sizes), 0] = sizes
-        return pa.ListArray.from_arrays(np.arange(len(out) + 1, dtype=np.int32) * (width + 1), pa.array(out.ravel()))
+        return _lists(out)
 
-    return evidence
+    # Costly to repeat: so marked, no filter or later column evaluates it again.
+    return evidence.asNondeterministic()
+
+
+def _lists(rows: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1], pa.array(rows.ravel()))
+
+
+def _softmax(logs: np.ndarray) -> np.ndarray:
+    raised = np.exp(logs - logs.max(axis=1, keepdims=True))
+    return raised / raised.sum(axis=1, keepdims=True)
+
+
+def _text_only(logs: np.ndarray) -> np.ndarray:
+    """Posterior by the text and the weight of unknown languages alone."""
+    logs = logs.copy()
+    logs[:, -1] += np.log(UNKNOWN)
+    return _softmax(logs)
+
+
+def fusion(corpus: np.ndarray, marks: dict[str, np.ndarray]) -> object:
+    """A function of text evidence, the counts of suffix, domain and host, and the declaration: the fused posterior, then the text's own.
+
+    From the suffix to the host, counts without the row's own are mixed with ``LEAN`` more spread as the level above.
+    """
+    keys = sorted(marks)
+    table = np.array([marks[k] for k in keys])
+    width = len(corpus)
+
+    @F.arrow_udf("array<double>")
+    def fused(evidence: pa.Array, suffix: pa.Array, domain: pa.Array, host: pa.Array, declared: pa.Array) -> pa.Array:
+        seen = evidence.flatten().to_numpy().reshape(-1, width + 1)
+        text = _text_only(seen[:, 1:])
+        own = np.where(seen[:, :1] > 0, text, 0.0)
+        share = np.repeat(corpus[None, :], len(seen), axis=0)
+        for level in (suffix, domain, host):
+            known = ~level.is_null().to_numpy(zero_copy_only=False)
+            counts = level.flatten().to_numpy().reshape(-1, width)
+            mixed = np.maximum(counts - own[known], 0.0) + LEAN * share[known]
+            share[known] = mixed / mixed.sum(axis=1, keepdims=True)
+        given = table[np.searchsorted(keys, np.array(declared.to_pylist(), object).astype(str))] if len(seen) else np.zeros((0, width))
+        return _lists(np.hstack([_softmax(seen[:, 1:] + np.log(share) + given), text]))
+
+    return fused.asNondeterministic()
 
 
 def host_of(url: Column) -> Column:
@@ -164,14 +207,9 @@ def identify(df: DataFrame, model: TextModel, text: Column, declared: Column, ho
     known = mark.isin(*model.languages) if model.languages else F.lit(False)
     clean = F.when(mark.isNull(), _NOTHING).when(known, mark).otherwise(F.lit(_FOREIGN))
 
-    def posterior(logs: Column) -> Column:
-        top = F.array_max(logs)
-        raised = F.transform(logs, lambda x: F.exp(x - top))
-        return F.transform(raised, lambda x: x / F.aggregate(raised, F.lit(0.0), lambda a, b: a + b))
-
-    def text_only(ev: Column) -> Column:
-        logs = F.slice(ev, 2, width)
-        return posterior(F.transform(logs, lambda x, i: x + F.when(i == width - 1, F.lit(float(np.log(UNKNOWN)))).otherwise(F.lit(0.0))))
+    @F.arrow_udf("array<double>")
+    def text_only(column: pa.Array) -> pa.Array:
+        return _lists(_text_only(column.flatten().to_numpy().reshape(-1, width + 1)[:, 1:]))
 
     seen = df.select(evidence(text).alias("ev"), clean.alias("declared"), F.coalesce(F.lower(host), F.lit("")).alias("host")).where(F.col("ev")[0] > 0)
     sums = [F.sum(F.col("p")[i]).alias(f"c{i}") for i in range(width)]
@@ -192,7 +230,6 @@ def identify(df: DataFrame, model: TextModel, text: Column, declared: Column, ho
     given = np.array([marks.get(k, np.zeros(width)) for k in keys]) + np.array([[3.0 if k == n else 0.3 for n in (*model.languages, UNDETERMINED)] for k in keys])
     given = np.log(given / given.sum(axis=0, keepdims=True))
     given[-1] = 0.0  # nothing declared
-    mark_logs = F.create_map(*[x for k, row in zip(keys, given) for x in (F.lit(k), F.array(*[F.lit(float(v)) for v in row]))])
 
     # Counts of a host, and of the domain and the suffix it belongs to.
     hosts = hosts.withColumn("domain", parent_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host")))
@@ -202,25 +239,11 @@ def identify(df: DataFrame, model: TextModel, text: Column, declared: Column, ho
     counted = hosts.select(F.col("host").alias("__llm_host"), "domain", "suffix", packed.alias("__llm_counts")).join(domains, "domain").join(suffixes, "suffix")
     counted = written(counted.select("__llm_host", "__llm_counts", "__llm_domain", "__llm_suffix"), "language_priors")
 
-    def leaning(counts: Column, above: Column) -> Column:
-        """Shares by the counts without the row's own, and ``LEAN`` more spread as the level above."""
-        others = F.zip_with(counts, F.col("__llm_own"), lambda c, p: F.greatest(c - p, F.lit(0.0)))
-        mixed = F.zip_with(others, above, lambda c, a: c + LEAN * a)
-        return F.when(counts.isNull(), above).otherwise(F.transform(mixed, lambda x: x / F.aggregate(mixed, F.lit(0.0), lambda a, b: a + b)))
-
-    flat = F.array(*[F.lit(float(p)) for p in corpus])
     rows = df.withColumn("__llm_host", F.coalesce(F.lower(host), F.lit(""))).withColumn("__llm_mark", clean)
     rows = rows.join(counted, "__llm_host", "left").withColumn("__llm_ev", evidence(text))
-    rows = rows.withColumn("__llm_text", text_only(F.col("__llm_ev")))
-    rows = rows.withColumn("__llm_own", F.when(F.col("__llm_ev")[0] > 0, F.col("__llm_text")).otherwise(F.array(*[F.lit(0.0)] * width)))
-    for name, above in (("__llm_suffix", flat), ("__llm_domain", F.col("__llm_suffix")), ("__llm_counts", F.col("__llm_domain"))):
-        rows = rows.withColumn(name, leaning(F.col(name), above))
-    logs = F.zip_with(
-        F.zip_with(F.slice("__llm_ev", 2, width), F.col("__llm_counts"), lambda a, b: a + F.log(b)),
-        F.element_at(mark_logs, F.col("__llm_mark")),
-        lambda a, b: a + b,
-    )
-    rows = rows.withColumn("__llm_post", posterior(logs))
+    fused = fusion(corpus, dict(zip(keys, given)))
+    rows = rows.withColumn("__llm_both", fused("__llm_ev", "__llm_suffix", "__llm_domain", "__llm_counts", "__llm_mark"))
+    rows = rows.withColumns({"__llm_post": F.slice("__llm_both", 1, width), "__llm_text": F.slice("__llm_both", width + 1, width)})
 
     def best(p: Column) -> Column:
         return F.element_at(names, F.array_position(p, F.array_max(p)).cast("int"))

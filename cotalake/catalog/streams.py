@@ -36,7 +36,7 @@ def stream_ledger_ingest(spark, sf_dir):
     writers.sink_csv(twice.select(*MOVEMENT.fieldNames()), landing, sep=",")
     for _ in range(2):
         movements.ledger_ingest(spark, landing, path, scratch_path(spark, "ckpt"))
-    ledger = spark.read.parquet(path)
+    ledger = movements.read_ledger(spark, path)
     return ledger.select(
         "fk_cliente", "fk_classe", "fk_subclasse", "natureza_operacao", F.col("valor").cast("double"),
         F.date_format("data", "yyyy-MM-dd HH:mm:ss").alias("momento"),

@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from cotalake.plans import gold
@@ -41,6 +42,49 @@ def test_ledger_keeps_late_and_equal_rows_and_ignores_replays(spark, feed, rows,
     ]
 
 
+def test_a_killed_ledger_batch_neither_doubles_nor_loses(spark, feed, rows, tmp_path, monkeypatch):
+    landing, drop, out, checkpoint = feed
+    drop("1,1,1,A,1.00,2024-01-05 10:00:00", "1,1,1,A,1.00,2024-01-05 10:00:00")
+    movements.ledger_ingest(spark, landing, out, checkpoint)
+    drop("2,1,1,A,2.00,2024-01-05 10:00:00", "3,1,1,A,3.00,2024-01-06 10:00:00")
+
+    def killed(*_):
+        raise RuntimeError("killed before the commit")
+
+    monkeypatch.setattr(movements, "_commit", killed)
+    with pytest.raises(StreamingQueryException):
+        movements.ledger_ingest(spark, landing, out, checkpoint)
+    monkeypatch.undo()
+
+    def clients():
+        return [r[0] for r in rows(movements.read_ledger(spark, out), "fk_cliente")]
+
+    assert len(list(tmp_path.glob("out/lote=*"))) == 2 and clients() == [1, 1]
+    # Another checkpoint leaves the folder of the killed batch aside; the old one then finds nothing new.
+    movements.ledger_ingest(spark, landing, out, str(tmp_path / "other"))
+    assert clients() == [1, 1, 2, 3]
+    movements.ledger_ingest(spark, landing, out, checkpoint)
+    assert clients() == [1, 1, 2, 3]
+    assert movements.changed_files(spark, out).count() == 0
+
+
+def test_a_ledger_file_that_changed_is_named(spark, feed, rows, tmp_path):
+    landing, drop, out, checkpoint = feed
+    drop("1,1,1,A,1.00,2024-01-05 10:00:00")
+    movements.ledger_ingest(spark, landing, out, checkpoint)
+    name = next((tmp_path / "simulacoes").iterdir())
+    name.write_text(HEADER + "1,1,1,A,1.00,2024-01-05 10:00:00\n9,1,1,A,1.00,2024-01-05 10:00:00\n")
+    movements.ledger_ingest(spark, landing, out, str(tmp_path / "other"))
+    assert rows(movements.read_ledger(spark, out), "fk_cliente") == [(1,)]
+    assert [(r["arquivo"].endswith(name.name), r["linhas"]) for r in movements.changed_files(spark, out).collect()] == [(True, 2)]
+
+
+def test_an_empty_ledger_has_its_columns(spark, feed, tmp_path):
+    landing, _, out, checkpoint = feed
+    movements.ledger_ingest(spark, landing, out, checkpoint)
+    assert movements.read_ledger(spark, out).columns[-2:] == ["arquivo", "dia"] and movements.read_ledger(spark, out).count() == 0
+
+
 def test_daily_flow_closes_days_behind_the_watermark(spark, feed, rows):
     landing, drop, out, checkpoint = feed
     drop("1,7,1,A,10.00,2024-01-01 10:00:00", "1,7,1,R,4.00,2024-01-01 23:59:59", "1,8,1,A,1.00,2024-01-02 00:00:00")

@@ -11,7 +11,7 @@ from cotalake.plans import bindings
 from cotalake.schemas import MOVEMENT
 from cotalake.session import scratch_path
 from cotalake.sinks import writers
-from cotalake.streaming import incremental, movements
+from cotalake.streaming import incremental, movements, positions
 
 
 def _land_movements(spark, sf_dir) -> str:
@@ -84,3 +84,22 @@ def stream_incremental_gold(spark, sf_dir):
         "sk_data", "sk_fundo", joins.CNPJ, "patrimonio_liquido_dia", "captacao_dia", "resgate_dia", "cotistas_dia",
         "fluxo_liquido_dia", "variacao_pl_dia_pct", "variacao_cotistas_dia_pct", "flag_base_real",
     )
+
+
+@query(
+    "client_position_refresh",
+    f"""WITH {sql.FUND_POSITION} SELECT sk_cliente, sk_fundo, sk_data, aporte_dia, resgate_dia, saldo_dia, valor_investido,
+    dias_sem_movimentacao FROM pos WHERE dias_sem_movimentacao IS NOT NULL""",
+)
+def client_position_refresh(spark, sf_dir):
+    """The movements of one week arrive last; the stored positions then equal those of all movements at once."""
+    path, keys = scratch_path(spark, "positions"), ["sk_cliente", "sk_fundo"]
+    moves = bindings.movements(spark, sf_dir).withColumnsRenamed({"fk_cliente": "sk_cliente", "fk_classe": "sk_fundo"})
+    week = F.trunc(F.col("data"), "week")
+    late = moves.agg(F.trunc(F.min("data") + F.expr("INTERVAL 14 DAYS"), "week")).first()[0]
+    positions.refresh_positions(spark, moves.filter(week != F.lit(late)), path, keys, every="week")
+    positions.refresh_positions(spark, moves, path, keys, since=late, every="week")
+    amounts = ["aporte_dia", "resgate_dia", "saldo_dia", "valor_investido"]
+    return positions.read_positions(spark, path).select(
+        *keys, "sk_data", *[F.col(c).cast("double").alias(c) for c in amounts], "dias_sem_movimentacao"
+    )

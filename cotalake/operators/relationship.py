@@ -84,6 +84,61 @@ def client_daily_position(movements: DataFrame, keys: Sequence[str] = ("sk_clien
     )
 
 
+def position_after(
+    movements: DataFrame, opening: DataFrame, first_day: Column, last_day: Column, keys: Sequence[str] = ("sk_cliente",)
+) -> DataFrame:
+    """Positions of ``first_day`` to ``last_day`` from the balances of the evening before.
+
+    ``opening`` has one row per key: saldo_dia, valor_investido and ultimo_mov, the day of the last movement. Movements of
+    other days are not looked at. A key's rows begin with its first movement; from there on they equal those of
+    :func:`client_daily_position` over all movements. A key without movements costs one row before it unfolds.
+    """
+    zero = F.lit(0).cast("decimal(19,2)")
+    day = F.col("data").cast("date")
+    flows = daily_flows(movements.filter(day.between(first_day, last_day)), keys).withColumns(
+        {"_saldo": F.col("aporte_dia") - F.col("resgate_dia"), "_investido": F.col("aporte_dia"), "_mov": F.col("dia")}
+    )
+    carried = opening.select(
+        *keys,
+        F.date_sub(first_day, 1).alias("dia"),
+        zero.alias("aporte_dia"),
+        zero.alias("resgate_dia"),
+        F.col("saldo_dia").alias("_saldo"),
+        F.col("valor_investido").alias("_investido"),
+        F.col("ultimo_mov").alias("_mov"),
+    )
+    ordered = Window.partitionBy(*keys).orderBy("dia")
+    upto = ordered.rowsBetween(Window.unboundedPreceding, 0)
+    moved = flows.unionByName(carried).withColumns(
+        {
+            "saldo_dia": F.sum("_saldo").over(upto),
+            "valor_investido": F.sum("_investido").over(upto),
+            "_from": F.greatest(F.col("dia"), first_day),
+            "_until": F.date_sub(F.coalesce(F.lead("dia").over(ordered), F.date_add(last_day, 1)), 1),
+        }
+    )
+    unfolded = moved.filter("_until >= _from").withColumn("data", F.explode(F.sequence("_from", "_until")))
+    same = F.col("data") == F.col("dia")
+    return unfolded.select(
+        *keys,
+        "data",
+        dates.date_key(F.col("data")).alias("sk_data"),
+        F.when(same, F.col("aporte_dia")).otherwise(zero).alias("aporte_dia"),
+        F.when(same, F.col("resgate_dia")).otherwise(zero).alias("resgate_dia"),
+        "saldo_dia",
+        "valor_investido",
+        F.datediff("data", "_mov").alias("dias_sem_movimentacao"),
+        F.lit(False).alias("flag_base_real"),
+    )
+
+
+def closing_balances(position: DataFrame, keys: Sequence[str] = ("sk_cliente",)) -> DataFrame:
+    """What :func:`position_after` needs of a day, from that day's rows."""
+    return position.select(
+        *keys, "saldo_dia", "valor_investido", F.date_sub("data", F.col("dias_sem_movimentacao")).alias("ultimo_mov")
+    )
+
+
 def with_history(position: DataFrame, keys: Sequence[str] = ("sk_cliente",), days: int = 30) -> DataFrame:
     """Adds the 30-day balance change, redemption share and flow deviation.
 

@@ -4,10 +4,12 @@ import datetime as dt
 import math
 import random
 import statistics
+from decimal import Decimal
 
 import pytest
 
 from cotalake.operators import relationship as rel
+from cotalake.streaming import positions
 
 MOVES = "sk_cliente bigint, data timestamp, natureza_operacao string, valor double"
 
@@ -122,3 +124,45 @@ def test_relationship_reports(spark, rows):
     assert summary == [("a", 2, 2, 1, 30.0), ("b", 1, 0, 0, 0.0), ("sem_segmento", 1, 1, 0, 20.0)]
     assert rows(rel.risk_distribution(risk)) == [(20240101, "atencao", 2), (20240101, "critico", 1), (20240101, "estavel", 1)]
     assert [r["sk_cliente"] for r in rel.top_clients_at_risk(risk, 3).collect()] == [3, 2, 4]
+
+
+@pytest.mark.parametrize("every", ["month", "week"])
+def test_refreshed_positions_equal_all_at_once(spark, tmp_path, rows, every):
+    """Movements that come later, earlier than anything stored, after quiet months, of new clients and of no client."""
+    path, draw = str(tmp_path / "loja"), random.Random(7)
+    start = dt.date(2024, 1, 10)
+    days = [start + dt.timedelta(days=draw.randrange(40)) for _ in range(60)] + [dt.date(2024, 6, 3), dt.date(2023, 11, 2), dt.date(2024, 2, 1), dt.date(2024, 8, 15)]
+    moves = [
+        (draw.choice([1, 2, 3, None]), draw.choice(["A", "R", None]), Decimal(draw.randrange(10_000)) / 100, dt.datetime(d.year, d.month, d.day, 12))
+        for d in days
+    ]
+    moves += [(9, "A", Decimal("5.00"), dt.datetime(2024, 8, 15, 1)), (1, "A", Decimal("1.00"), None)]
+    schema = "sk_cliente long, natureza_operacao string, valor decimal(19,2), data timestamp"
+    seen = []
+    for wave in (moves[:60], moves[60:61], moves[61:63], moves[63:]):
+        seen += wave
+        since = min(m[3].date() for m in wave if m[3])
+        for _ in range(2):
+            positions.refresh_positions(spark, spark.createDataFrame(seen, schema), path, since=since, every=every)
+    dated = spark.createDataFrame([m for m in seen if m[3]], schema)
+    whole = rel.client_daily_position(dated).filter("dias_sem_movimentacao IS NOT NULL")
+    got = positions.read_positions(spark, path)
+    assert got.columns == whole.columns and rows(got) == rows(whole)
+
+
+def test_a_refresh_reads_only_days_from_its_period_on(spark, tmp_path, rows):
+    path, schema = str(tmp_path / "loja"), "sk_cliente long, natureza_operacao string, valor decimal(19,2), data timestamp"
+    old = [(1, "A", Decimal("10.00"), dt.datetime(2024, 1, 5)), (1, "R", Decimal("4.00"), dt.datetime(2024, 2, 5))]
+    positions.refresh_positions(spark, spark.createDataFrame(old, schema), path)
+    january = {p: p.stat().st_mtime_ns for p in (tmp_path / "loja").rglob("inicio=2024-01-01/*.parquet")}
+    new = spark.createDataFrame([old[1], (1, "A", Decimal("1.00"), dt.datetime(2024, 2, 7))], schema)
+    assert positions.refresh_positions(spark, new, path, since=dt.date(2024, 2, 7)) == dt.date(2024, 2, 1)
+    got = rows(positions.read_positions(spark, path).filter("sk_data >= 20240204"), "sk_data", "saldo_dia", "valor_investido")
+    assert [(k, float(b), float(v)) for k, b, v in got] == [(20240204, 10, 10), (20240205, 6, 10), (20240206, 6, 10), (20240207, 7, 11)]
+    assert january == {p: p.stat().st_mtime_ns for p in (tmp_path / "loja").rglob("inicio=2024-01-01/*.parquet")}
+
+
+def test_no_dated_movement_stores_nothing(spark, tmp_path):
+    none = spark.createDataFrame([(1, "A", Decimal("1.00"), None)], "sk_cliente long, natureza_operacao string, valor decimal(19,2), data timestamp")
+    assert positions.refresh_positions(spark, none, str(tmp_path / "loja")) is None
+    assert positions.read_balances(spark, str(tmp_path / "loja")) is None

@@ -14,7 +14,7 @@ from cotalake.functions import dates, text
 from cotalake.operators import cleaning, joins, periods
 from cotalake.plans import bindings
 from cotalake.session import scratch_path
-from cotalake.sinks import writers
+from cotalake.sinks import publish, writers
 from cotalake.sources import archives, delimited, listing, objects, operational
 
 ORDER_TEXT = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "dia", "o_orderpriority"]
@@ -404,12 +404,13 @@ def sink_partitioned_month(spark, sf_dir):
 
 @query("overwrite_full_load", ORDERS_SQL)
 def overwrite_full_load(spark, sf_dir):
-    """The first load is larger and must leave nothing behind."""
+    """The first load is larger and must leave nothing behind; the last reads the table that it replaces."""
     path = scratch_path(spark, "full")
     orders = orders_as_text(spark, sf_dir)
-    writers.overwrite_full_load(orders.unionByName(orders), path)
-    writers.overwrite_full_load(orders, path)
-    return _typed(spark.read.parquet(path).withColumn("dia", F.col("dia").cast("string")))
+    publish.publish_table(orders.unionByName(orders), path)
+    publish.publish_table(orders, path)
+    publish.publish_table(publish.published_table(spark, path), path)
+    return _typed(publish.published_table(spark, path).withColumn("dia", F.col("dia").cast("string")))
 
 
 @query(

@@ -6,13 +6,13 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cotalake import schemas
-from cotalake.operators import cleaning, periods, quality
+from cotalake.operators import cleaning, periods, quality, relationship
 from cotalake.plans import gold, silver
-from cotalake.sinks import writers
+from cotalake.sinks import publish, writers
 from cotalake.sources import archives, delimited, objects
 
 DAILY = "inf_diario"
@@ -193,32 +193,36 @@ def gold_layer(
     is computed once and survives the loss of executors. The status shows what
     became of the report lines, also written to ``perdas``. The cloud variant
     reads the newest report file only (the loss report still counts all) and writes the facts as CSV as well as
-    Parquet, like the local one.
+    Parquet, like the local one. Tables are replaced one by one; :func:`publish_gold` replaces them at once.
     """
-    registry, report = read_silver(spark, source, newest_only=variant == "cloud")
-    dim_path = f"{target}/dim_fundo"
-    dim_rows = writers.sink_dual(spark, gold.dim_fundo(registry, variant, key=key), dim_path)
-    dim = spark.read.parquet(f"{dim_path}/parquet")
+    produced, status = _star(spark, source, target, variant, period_days, one_row_per_day, key)
+    return writers.run_manifest(spark, produced), status
+
+
+def _by_month(spark: SparkSession, df: DataFrame, target: str, name: str, key: str) -> tuple[writers.Produced, DataFrame]:
+    """Written as Parquet and, from there, as CSV, a folder per month each."""
+    path = f"{target}/{name}"
+    rows = writers.sink_partitioned_month(df, f"{path}/parquet", key)
+    written = spark.read.parquet(f"{path}/parquet")
+    writers.sink_partitioned_month(written.drop("ano_mes"), f"{path}/csv", key, form="csv")
+    return writers.Produced(name, path, rows), written
 
-    def write_facts(df: DataFrame, name: str, key: str) -> tuple[writers.Produced, DataFrame]:
-        path = f"{target}/{name}"
-        rows = writers.sink_partitioned_month(df, f"{path}/parquet", key)
-        written = spark.read.parquet(f"{path}/parquet")
-        writers.sink_partitioned_month(written.drop("ano_mes"), f"{path}/csv", key, form="csv")
-        return writers.Produced(name, path, rows), written
 
+def _whole(spark: SparkSession, df: DataFrame, target: str, name: str) -> tuple[writers.Produced, DataFrame]:
+    path = f"{target}/{name}"
+    return writers.Produced(name, path, writers.sink_dual(spark, df, path)), spark.read.parquet(f"{path}/parquet")
+
+
+def _star(
+    spark: SparkSession, source: str, target: str, variant: str, period_days: Sequence[int], one_row_per_day: bool, key: str
+) -> tuple[list[writers.Produced], DataFrame]:
+    registry, report = read_silver(spark, source, newest_only=variant == "cloud")
+    dim_entry, dim = _whole(spark, gold.dim_fundo(registry, variant, key=key), target, "dim_fundo")
     built = gold.fct_fundo_diario(report, dim, variant, one_row_per_day, key=key)
-    fact_entry, fact = write_facts(built, "fct_fundo_diario", "sk_data")
+    fact_entry, fact = _by_month(spark, built, target, "fct_fundo_diario", "sk_data")
     aggregate = periods.agg_fundo_periodo(fact, period_days, variant)
-    agg_entry, aggregate = write_facts(aggregate, "agg_fundo_periodo", "data_referencia")
-    calendar_path = f"{target}/dim_tempo"
-    calendar_rows = writers.sink_dual(spark, gold.dim_tempo(gold.fact_bounds(fact)), calendar_path)
-    produced = [
-        writers.Produced("dim_tempo", calendar_path, calendar_rows),
-        writers.Produced("dim_fundo", dim_path, dim_rows),
-        fact_entry,
-        agg_entry,
-    ]
+    agg_entry, aggregate = _by_month(spark, aggregate, target, "agg_fundo_periodo", "data_referencia")
+    calendar_entry, _ = _whole(spark, gold.dim_tempo(gold.fact_bounds(fact)), target, "dim_tempo")
     losses_path = f"{target}/perdas"
     layer_losses(spark, source, dim).write.mode("overwrite").parquet(losses_path)
     losses = spark.read.parquet(losses_path)
@@ -226,4 +230,62 @@ def gold_layer(
     status = quality.dq_status(checks).withColumns(
         {f"linhas_{c}": losses.agg(F.max(c)).scalar() for c in losses.columns}
     )
+    return [calendar_entry, dim_entry, fact_entry, agg_entry], status
+
+
+def kpi_layer(
+    spark: SparkSession, target: str, period_days: Sequence[int] = tuple(schemas.PERIODS)
+) -> list[writers.Produced]:
+    """KPI tables from the facts at ``target``: flows and changes by trailing period, their ranking, and flows by fund and day."""
+    fact = spark.read.parquet(f"{target}/fct_fundo_diario/parquet")
+    levels = spark.read.parquet(f"{target}/agg_fundo_periodo/parquet")
+    both = ["sk_fundo", "periodo"]
+    flows = periods.kpi_trailing_period(fact, period_days)
+    equity = periods.kpi_var_patrimonio(fact, period_days).drop("valor_inicial", "valor_final")
+    holders = periods.kpi_var_cotistas(fact, period_days).drop("valor_inicial", "valor_final")
+    kpi_entry, kpis = _whole(spark, flows.join(equity, both, "left").join(holders, both, "left"), target, "kpi_fundo_periodo")
+    rank_entry, _ = _whole(spark, periods.rank_funds(kpis, levels), target, "ranking_fundo_periodo")
+    daily_entry, _ = _by_month(spark, periods.rolling_daily_kpi(fact, period_days), target, "kpi_fundo_diario", "sk_data")
+    return [kpi_entry, rank_entry, daily_entry]
+
+
+def relationship_layer(
+    spark: SparkSession, movements: DataFrame, clients: DataFrame, reference: Column, target: str
+) -> list[writers.Produced]:
+    """Client tables. ``movements`` has the feed's columns, ``clients`` those of :func:`gold.dim_cliente`.
+
+    Positions are per client and fund, risk per client over all funds. Movements without a day have no position.
+    """
+    dated = movements.filter(F.col("data").isNotNull()).withColumnsRenamed({"fk_cliente": "sk_cliente", "fk_classe": "sk_fundo"})
+    dim_entry, dim = _whole(spark, gold.dim_cliente(clients, reference), target, "dim_cliente_simulado")
+    position = relationship.client_daily_position(dated, ["sk_cliente", "sk_fundo"])
+    position_entry, _ = _by_month(spark, position, target, "fct_cliente_posicao_diaria_simulada", "sk_data")
+    risk = relationship.client_risk(relationship.with_history(relationship.client_daily_position(dated)))
+    risk_entry, risk = _by_month(spark, risk, target, "fct_cliente_risco_diario_simulada", "sk_data")
+    summary = relationship.relationship_summary(risk, dim.select("sk_cliente", "segmento"))
+    summary_entry, _ = _by_month(spark, summary, target, "agg_relacionamento_periodo_simulada", "data_referencia")
+    return [dim_entry, position_entry, risk_entry, summary_entry]
+
+
+def publish_gold(
+    spark: SparkSession, source: str, target: str, variant: str = "local",
+    period_days: Sequence[int] = tuple(schemas.PERIODS), one_row_per_day: bool = False, key: str = "parity",
+    movements: DataFrame | None = None, clients: DataFrame | None = None, reference: Column | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Star schema, KPI tables and, given movements and clients, the client tables, replaced all at once. Returns (manifest, status).
+
+    Readers find the tables below ``publish.current_path(spark, target)``. A run that fails or is killed leaves the
+    last publication as it was, also where it fails half way through its tables. ``reference`` is the day of the clients' ages (default: today).
+    """
+    if (movements is None) != (clients is None):
+        raise ValueError("the client tables need both movements and clients")
+
+    def write(folder: str) -> tuple[list[writers.Produced], DataFrame]:
+        produced, status = _star(spark, source, folder, variant, period_days, one_row_per_day, key)
+        produced += kpi_layer(spark, folder, period_days)
+        if movements is not None:
+            produced += relationship_layer(spark, movements, clients, F.current_date() if reference is None else reference, folder)
+        return produced, status
+
+    produced, status = publish.publish(spark, target, write, lambda done: sum(p.rows for p in done[0]))
     return writers.run_manifest(spark, produced), status

@@ -1,5 +1,6 @@
 """From landed archives to the quality report."""
 
+import datetime as dt
 import io
 import zipfile
 
@@ -9,6 +10,9 @@ from pyspark.sql import functions as F
 
 from cotalake.operators import quality
 from cotalake.plans import gold, runs
+from cotalake.schemas import MOVEMENT
+from cotalake.sinks import publish
+from cotalake.streaming.movements import typed_movements
 
 CLASSES = (
     "CNPJ_Classe;Denominacao_Social;Situacao;Classificacao;Forma_Condominio;Exclusivo\n"
@@ -156,3 +160,35 @@ def test_collided_keys_are_reported_and_the_wide_key_has_none(spark, rows):
     narrow, wide = (quality.report_losses(report, gold.dim_fundo(cnpjs, key=k), cnpjs).first() for k in ("parity", "wide"))
     assert narrow["chave_colidida"] > 0 and narrow["chave_colidida"] + narrow["aproveitados"] == 20_000
     assert (wide["chave_colidida"], wide["aproveitados"]) == (0, 20_000)
+
+
+def test_gold_is_published_at_once(spark, tmp_path, rows, monkeypatch):
+    silver, out = str(tmp_path / "silver"), str(tmp_path / "gold")
+    runs.silver_layer(spark, _landed(tmp_path), silver)
+    moves = [(1, 191, 1, "A", "100", "2024-01-30 10:00:00"), (1, 191, 1, "R", "40", "2024-02-01 10:00:00"), (2, 192, 1, "A", "5", None)]
+    feed = typed_movements(spark.createDataFrame(moves, ", ".join(f"{c} string" for c in MOVEMENT.fieldNames())))
+    clients = spark.createDataFrame([(1, "Ana", dt.date(1990, 1, 1), "varejo")], "sk_cliente bigint, nome_cliente string, data_nascimento date, segmento string")
+    given = {"movements": feed, "clients": clients, "reference": F.lit(dt.date(2024, 2, 1))}
+    manifest, status = runs.publish_gold(spark, silver, out, **given)
+    assert rows(manifest, "nome", "quantidade_registros") == [
+        ("agg_fundo_periodo", 8), ("agg_relacionamento_periodo_simulada", 3), ("dim_cliente_simulado", 1), ("dim_fundo", 2), ("dim_tempo", 3),
+        ("fct_cliente_posicao_diaria_simulada", 3), ("fct_cliente_risco_diario_simulada", 3), ("fct_fundo_diario", 4),
+        ("kpi_fundo_diario", 4), ("kpi_fundo_periodo", 8), ("ranking_fundo_periodo", 8), ("total", 47),
+    ]
+    assert status.first()["status"] == "partial"
+    folder = publish.current_path(spark, out)
+    kpis = spark.read.parquet(f"{folder}/kpi_fundo_periodo/parquet").filter("periodo = 7")
+    assert rows(kpis, "sk_fundo", "captacao_periodo", "var_patrimonio_periodo")[-1] == (898300, 20.0, pytest.approx(0.21))
+    summary = spark.read.parquet(f"{folder}/agg_relacionamento_periodo_simulada/parquet")
+    assert rows(summary, "segmento", "total_clientes") == [("varejo", 1)] * 3
+    before = rows(spark.read.parquet(f"{folder}/dim_fundo/parquet"))
+
+    def killed(*_):
+        raise RuntimeError("killed after the star schema")
+
+    monkeypatch.setattr(runs, "kpi_layer", killed)
+    with pytest.raises(RuntimeError):
+        runs.publish_gold(spark, silver, out, key="wide")
+    assert publish.current_path(spark, out) == folder and rows(spark.read.parquet(f"{folder}/dim_fundo/parquet")) == before
+    with pytest.raises(ValueError):
+        runs.publish_gold(spark, silver, out, movements=feed)

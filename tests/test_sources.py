@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cotalake.operators.cleaning import basic_clean
 from cotalake.session import scratch_path, shared_dir
-from cotalake.sinks import writers
+from cotalake.sinks import publish, writers
 from cotalake.sources import archives, delimited, listing, objects
 
 
@@ -135,6 +135,24 @@ def test_sinks_round_trip(spark, tmp_path, rows):
     assert spark.read.parquet(str(tmp_path / "m")).count() == 1
 
 
+def test_a_failed_publication_leaves_the_table_readable(spark, tmp_path):
+    path = str(tmp_path / "t")
+    with pytest.raises(FileNotFoundError):
+        publish.published_table(spark, path)
+    assert publish.publish_table(spark.range(5), path) == 5
+    held = publish.published_table(spark, path)
+    breaks = spark.range(4).select(F.when(F.col("id") < 3, F.col("id")).otherwise(F.raise_error(F.lit("lost")).cast("long")).alias("id"))
+    for _ in range(2):
+        with pytest.raises(Exception, match="lost"):
+            publish.publish_table(breaks, path)
+        assert publish.published_table(spark, path).count() == 5
+    # A table made of itself; who opened the one before still reads it.
+    assert publish.publish_table(publish.published_table(spark, path).filter("id > 1"), path) == 3
+    assert (publish.published_table(spark, path).count(), held.count()) == (3, 5)
+    assert publish.publish_table(spark.range(0), path) == 0 and publish.published_table(spark, path).count() == 0
+    assert [r["registros"] for r in publish.commits(spark, path).orderBy("versao").collect()] == [5, 3, 0]
+
+
 def test_large_month_is_written_by_several_tasks(spark, tmp_path):
     """A third of all rows in one month, and far more of it than one task should write."""
     df = spark.range(400_000).select(

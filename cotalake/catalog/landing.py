@@ -15,7 +15,7 @@ from cotalake.operators import cleaning, joins, periods
 from cotalake.plans import bindings
 from cotalake.session import scratch_path
 from cotalake.sinks import publish, writers
-from cotalake.sources import archives, delimited, listing, objects, operational
+from cotalake.sources import archives, delimited, listing, objects, operational, quoted
 
 ORDER_TEXT = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "dia", "o_orderpriority"]
 
@@ -54,6 +54,21 @@ def scan_delimited(spark, sf_dir):
     return _typed(delimited.scan_delimited(spark, path))
 
 
+@query(
+    "scan_quoted",
+    f"""SELECT o.*, n.linhas, n.tamanho FROM ({ORDERS_SQL}) o JOIN (SELECT o_orderkey AS k, 3 AS linhas,
+    length(o_clerk) + length(o_comment) + 8 AS tamanho FROM (SELECT *, o_orderpriority AS o_clerk, o_orderstatus AS o_comment FROM orders)) n
+    ON k = o_orderkey""",
+)
+def scan_quoted(spark, sf_dir):
+    """Orders with a field of three lines, a quoted word and separators in it."""
+    path = scratch_path(spark, "quoted")
+    note = F.concat_ws("\n", F.concat(F.lit('"'), F.col("o_orderpriority"), F.lit('"')), F.lit(";;"), F.concat(F.col("o_orderstatus"), F.lit('""')))
+    writers.sink_csv(orders_as_text(spark, sf_dir).withColumn("nota", note), path)
+    read = quoted.scan_quoted(spark, path, [*ORDER_TEXT, "nota"], encoding="UTF-8")
+    return _typed(read, (F.regexp_count("nota", F.lit("\n")) + 1).alias("linhas"), F.length("nota").alias("tamanho"))
+
+
 @query(
     "sniff_separator",
     "SELECT o_orderstatus, CASE o_orderstatus WHEN 'F' THEN ';' ELSE ',' END AS separador FROM orders GROUP BY 1",

@@ -1,5 +1,6 @@
 """Files, listings, archives and sinks."""
 
+import random
 import datetime as dt
 import io
 import zipfile
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from cotalake.operators.cleaning import basic_clean
 from cotalake.session import scratch_path, shared_dir
 from cotalake.sinks import publish, writers
-from cotalake.sources import archives, delimited, listing, objects
+from cotalake.sources import archives, delimited, listing, objects, quoted
 
 
 def test_line_breaks_inside_fields(spark, tmp_path, rows):
@@ -19,6 +20,41 @@ def test_line_breaks_inside_fields(spark, tmp_path, rows):
     assert rows(delimited.scan_delimited(spark, str(tmp_path / "x"), encoding="UTF-8", multiline=True)) == rows(df)
 
 
+def test_line_breaks_inside_fields_read_by_many_tasks(spark, tmp_path, rows):
+    """Two files cut every 1,000 bytes: fields of many lines and blocks, quotes, empty lines, both line ends, equal rows."""
+    draw = random.Random(3)
+    pieces = ["a", ";", '""', "\n", "\r\n", "ção", " ", "\n\n"]
+    folder = tmp_path / "q"
+    folder.mkdir()
+    for name, end in (("um.csv", "\n"), ("dois +.csv", "\r\n")):
+        lines = ["nome;v;w"]
+        for i in range(300):
+            field = "".join(draw.choice(pieces) for _ in range(draw.choice([1, 3, 40 if i % 50 else 400])))
+            lines.append(f'"{field}";{i % 7};"x{i}"' if draw.random() < 0.6 else f"simples;{i % 7};")
+            lines += [""] * (i % 9 == 0)
+        (folder / name).write_bytes((end.join(lines) + (end if end == "\n" else "")).encode("latin-1"))
+    (folder / "vazio.csv").write_bytes(b"nome;v;w\n")
+    names = ["nome", "v", "w"]
+    whole = delimited.scan_delimited(spark, str(folder), names=names, multiline=True, file_name_as="origem")
+    sizes = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for setting in sizes:
+            spark.conf.set(setting, "1000" if setting.endswith("PartitionBytes") else "0")
+        blocks = quoted.records(spark, str(folder)).select(quoted.BLOCK).distinct().count()
+        got = rows(quoted.scan_quoted(spark, str(folder), names, file_name_as="origem"))
+    finally:
+        for setting, value in sizes.items():
+            spark.conf.set(setting, value)
+    assert blocks > 5 and len(got) == 600
+
+    def plain(found):
+        return sorted(tuple(None if c is None else c.replace("\r\n", "\n") for c in r) for r in found)
+
+    assert plain([[c or "" for c in r] for r in got]) == plain([[c or "" for c in r] for r in rows(whole)])
+    # The one-task reader writes the breaks of a file with CRLF as LF; here they stand as in the file.
+    assert any("\r\n" in (r[0] or "") for r in got if r[3].startswith("dois"))
+
+
 @pytest.mark.parametrize("line, sep", [("A;B", ";"), ("A,B", ","), ("A", ","), ("A;B,C", ","), ("", ","), (None, ",")])
 def test_separator(spark, line, sep):
     df = spark.createDataFrame([(line,)], "l string")

@@ -52,24 +52,37 @@ def _quotes(line: Column) -> Column:
     return F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
 
 
-def records(spark: SparkSession, path: str | Sequence[str], encoding: str = delimited.LATIN1) -> DataFrame:
+def records(
+    spark: SparkSession, path: str | Sequence[str], encoding: str = delimited.LATIN1, header: bool = False
+) -> DataFrame:
     """(_arquivo, _bloco, _lugar, _texto): one row per record, its line breaks kept; block and place order a file's records.
 
+    With ``header`` the record that starts on a file's first line with any text is left out.
+
     Quotes stand around fields, and twice inside them. The files are read once and their lines written, so that all that
     follows sees the same blocks. Lines are not shuffled to be counted, as a task holds its blocks in order; they are joined
     with one row per block, which Spark broadcasts while that is small. A quote that is never closed makes the rest of
     its file one record, as it does for a reader that goes through the file in order.
     """
     lines = stored(_lines(spark, path, encoding), "quoted")
-    blocks = lines.groupBy(FILE, BLOCK).agg(F.sum("_aspas").alias("_total"))
+    filled = F.when(~F.col(TEXT).isin("", "\r"), F.struct(BLOCK, PLACE))
+    blocks = lines.groupBy(FILE, BLOCK).agg(F.sum("_aspas").alias("_total"), F.min(filled).alias("_cheia"))
     # One row per block from here to the join.
     of_file = Window.partitionBy(FILE).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    opened = blocks.select(FILE, BLOCK, F.coalesce(F.sum("_total").over(of_file), F.lit(0)).alias("_fora"))
-    placed = lines.join(opened, [FILE, BLOCK]).withColumn("_inicio", (F.col("_antes") + F.col("_fora")) % 2 == 0)
+    opened = blocks.select(
+        FILE, BLOCK, F.coalesce(F.sum("_total").over(of_file), F.lit(0)).alias("_fora"),
+        F.min("_cheia").over(Window.partitionBy(FILE)).alias("_cheia"),
+    )
+    placed = lines.join(opened, [FILE, BLOCK]).withColumns(
+        {
+            "_inicio": (F.col("_antes") + F.col("_fora")) % 2 == 0,
+            "_titulo": F.lit(header) & F.coalesce(F.struct(BLOCK, PLACE) == F.col("_cheia"), F.lit(False)),
+        }
+    )
     even = F.col("_aspas") % 2 == 0
-    single = placed.filter(F.col("_inicio") & even).select(FILE, BLOCK, PLACE, TEXT)
+    single = placed.filter(F.col("_inicio") & even & ~F.col("_titulo")).select(FILE, BLOCK, PLACE, TEXT)
     # A record of several lines opens with an odd line, goes on over even ones and closes with an odd one.
-    parts = stored(placed.filter(~(F.col("_inicio") & even)).select(FILE, BLOCK, PLACE, TEXT, "_inicio"), "quoted")
+    parts = stored(placed.filter(~(F.col("_inicio") & even)).select(FILE, BLOCK, PLACE, TEXT, "_inicio", "_titulo"), "quoted")
     start = F.when(F.col("_inicio"), F.struct(BLOCK, PLACE))
     within = Window.partitionBy(FILE, BLOCK).orderBy(PLACE).rowsBetween(Window.unboundedPreceding, 0)
     own = parts.withColumn("_registro", F.last(start, ignorenulls=True).over(within))
@@ -77,9 +90,9 @@ def records(spark: SparkSession, path: str | Sequence[str], encoding: str = deli
     carried = last.select(FILE, BLOCK, F.last("_ultimo", ignorenulls=True).over(of_file).alias("_anterior"))
     joined = own.join(carried, [FILE, BLOCK]).withColumn("_registro", F.coalesce("_registro", "_anterior"))
     whole = joined.groupBy(FILE, "_registro").agg(
-        F.array_sort(F.collect_list(F.struct(BLOCK, PLACE, TEXT))).alias("_linhas")
+        F.array_sort(F.collect_list(F.struct(BLOCK, PLACE, TEXT))).alias("_linhas"), F.bool_or("_titulo").alias("_titulo")
     )
-    several = whole.select(
+    several = whole.filter(~F.col("_titulo")).select(
         FILE, F.col(f"_registro.{BLOCK}").alias(BLOCK), F.col(f"_registro.{PLACE}").alias(PLACE),
         F.array_join(F.transform("_linhas", lambda line: line[TEXT]), "\n").alias(TEXT),
     )
@@ -97,9 +110,7 @@ def scan_quoted(
     fields stand as in the file, where that one turns CRLF into LF in files whose lines end so. Empty lines between
     records are skipped, records with more fields than the header keep the first ones.
     """
-    all_records = records(spark, path, encoding)
-    first = all_records.groupBy(FILE).agg(F.min(F.struct(BLOCK, PLACE)).alias("_cabecalho"))
-    body = all_records.join(first, FILE).filter(F.struct(BLOCK, PLACE) > F.col("_cabecalho")).filter(F.col(TEXT) != "")
+    body = records(spark, path, encoding, header=True).filter(F.col(TEXT) != "")
     origin = "_origem" if file_name_as is None else file_name_as
     named = body.withColumn(origin, texts.last_path_segment(F.col(FILE)))
     fields = delimited.parse_lines(named, TEXT, names, sep, *([origin] if file_name_as else []))

@@ -8,7 +8,9 @@ candidates.
 The cosine of short or changed excerpts within other text can be low. So there is a second route beside it: what holds a given share
 of an item passage's words holds some of its rarest ones, and every passage with enough of those is a candidate too; no copy or
 paraphrase is left out. The same bound rules out near passages that hold too few. For all others the longest common subsequence of words is
-computed exactly, and paraphrases must also hold the item's answer words. ``route`` says what found a pair: ``both``, or ``words`` where the cosine is low.
+computed exactly, and paraphrases must also hold the item's answer words. Words in another order say little by themselves: a passage that holds
+a copy's share of words, and all answer words, in any order is a leak only where the latent space finds it near. ``route`` says what found a pair:
+``both``, ``words`` where the cosine is low, or ``cosine`` for words in another order.
 
 Items below ``LEAST_WORDS`` words are searched word for word (``verbatim``; no cosine), those below ``LEAST_BYTES`` bytes of text are too
 short to tell. A character of a script without spaces is a word.
@@ -307,7 +309,7 @@ def _item_blocks(benchmark: DataFrame) -> Iterator[tuple[list[int | None], list[
 def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """Pairs (doc_id, item_id, cosine, common, answers, route) of documents that hold a copy or paraphrase of an item passage.
 
-    ``common`` is the share of the passage's words found in order, ``answers`` the share of its rarest words found there.
+    ``common`` is the share of the passage's words found in order (small where ``route`` is ``cosine``), ``answers`` the share of its rarest words found there.
     Documents are read in any number of tasks; each holds the space and one block of item passages.
     """
     spark = docs.sparkSession
@@ -408,21 +410,24 @@ class _Latent:
             spread = np.where(outside, self.none, codes[np.clip(span, 0, len(codes) - 1)])
             bits, held = self.places.found(i, spread)
             # The words in common, in any order, bound the subsequence from above.
-            able = np.flatnonzero(np.bitwise_count(np.bitwise_or.reduce(bits, axis=1)) >= PARAPHRASE * self.lengths[i])
-            share = _common(bits[able]) / self.lengths[i[able]]
-            good = able[share >= PARAPHRASE]
-            if not len(good):
+            some = np.bitwise_count(np.bitwise_or.reduce(bits, axis=1))
+            able = np.flatnonzero(some >= PARAPHRASE * self.lengths[i])
+            if not len(able):
                 continue
-            share = share[share >= PARAPHRASE]
-            w, i, r, held = w[good], i[good], r[good], np.bitwise_count(held[good])
-            leak = (share >= COPY) | (held >= np.minimum(ANSWER_NEEDED, self.wanted[i]))
+            w, i, r, held, some = w[able], i[able], r[able], np.bitwise_count(held[able]), some[able]
+            share = _common(bits[able]) / self.lengths[i]
+            in_order = (share >= COPY) | (share >= PARAPHRASE) & (held >= np.minimum(ANSWER_NEEDED, self.wanted[i]))
+            # Nearness decides about words in another order.
+            near = (r == 3) & (some >= COPY * self.lengths[i]) & (held >= self.wanted[i])
+            leak = in_order | near
+            r = np.where(in_order, r, 2)
             w, i, r, held, share = w[leak], i[leak], r[leak], held[leak], share[leak]
             if len(w):
                 cosine = (self.passages(cut, runs_of, w) * self.latent[i]).sum(axis=1)
                 yield runs_of[w], self.item[i], cosine, share, held / self.wanted[i], r
 
 
-_ROUTES = ("", "words", "", "both", "verbatim")
+_ROUTES = ("", "words", "cosine", "both", "verbatim")
 
 
 def _search(docs: DataFrame, items: Items, ids: list[int | None], space: Space | None) -> DataFrame:
@@ -475,6 +480,6 @@ def _search(docs: DataFrame, items: Items, ids: list[int | None], space: Space |
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents that hold no benchmark passage, with all their columns; rows of a leaking id all go, a null id stays."""
+    """Documents that hold no benchmark passage, in order or near by cosine, with all their columns; rows of a leaking id all go, a null id stays."""
     leaks = written(find_leaks(docs, benchmark).select("doc_id").distinct(), "leaks")
     return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)

@@ -174,6 +174,16 @@ def test_both_routes_find_close_copies(spark, corpus):
     assert {found[d].route for d in (200, 201)} == {"both"} and found[201].cosine > decontamination.NEAR
 
 
+def test_nearness_decides_about_words_in_another_order(spark, corpus):
+    texts, items = corpus
+    frame = spark.createDataFrame([*texts.items(), (210, " ".join(reversed(items[7].split())))], "doc_id long, text string")
+    bench = _bench(spark, list(items.items()))
+    found = {(r.doc_id, r.item_id): r for r in decontamination.find_leaks(frame, bench).collect()}
+    assert set(found) == {(200, 3), (201, 9), (202, 6), (210, 7)}
+    assert found[210, 7].route == "cosine" and found[210, 7].common < decontamination.PARAPHRASE and found[210, 7].cosine > decontamination.NEAR
+    assert 210 not in {r.doc_id for r in decontamination.drop_leaks(frame, bench).collect()}
+
+
 def test_very_long_document_holds_a_leak(spark, corpus):
     texts, items = corpus
     long = " ".join(list(texts.values()) * 40)

@@ -134,6 +134,36 @@ def test_toxicity_finds_planted_words(spark):
     assert scored[5000].predicted == 1  # deep inside a long text, across pieces
 
 
+def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
+    random = np.random.default_rng(5)
+    common = [f"w{i}" for i in range(200)]
+    texts = [" ".join(random.choice(common, 2100 if i < 4 else 30)) + (" vile" if i % 2 else "") for i in range(120)]
+    docs, labels = _labelled(spark, "toxic", [(i, t, i % 2) for i, t in enumerate(texts)])
+    rows = toxicity.labelled_rows(docs, labels, 4, 2).collect()
+    known = {i for i in range(120) if zlib.crc32(str(i).encode()) % 4 != 2}
+    assert {r.doc_id for r in rows} == known and {len(r.ids) // 2 // toxicity.PARTS for r in rows} >= {30, 31, 2100 + (min(known & {0, 1, 2, 3}) % 2)}
+    seen = []
+    monkeypatch.setattr(toxicity, "PART_ROWS", 16)  # several parts
+    monkeypatch.setattr(toxicity, "_epoch", lambda net, rows, epoch, run=toxicity._epoch: (seen.append(rows.select("doc_id", "part").collect()), run(net, rows, epoch)))
+    net = toxicity.train(docs, labels, 4, 2)
+    kept = {r.doc_id for r in rows if r.kept}
+    assert len(seen) == toxicity.EPOCHS and all(sorted(r.doc_id for r in part) == sorted(known - kept) for part in seen)
+    assert len({r.part for r in seen[0]}) > 3
+    again = toxicity.train(docs.repartition(7), labels, 4, 2)
+    assert (net.embedding == again.embedding).all() and (net.scale, net.shift, net.bias) == (again.scale, again.shift, again.bias)
+    scores = {r.doc_id: r.score for r in toxicity.score_documents(docs, labels).collect()}
+    assert min(scores[i] for i in scores if i % 2) > max(scores[i] for i in scores if not i % 2)
+
+
+def test_filters_of_long_texts_find_their_place_across_pieces(monkeypatch):
+    random = np.random.default_rng(6)
+    net = toxicity.start(np.zeros(toxicity.BUCKETS), 1, 2)
+    texts = [random.integers(0, 1000, (n, toxicity.PARTS)).astype(np.int32) for n in (40, 3, 0, 17)]
+    whole = toxicity._tops(net, texts)
+    top, _ = net.pooled(*toxicity._flat(texts))
+    assert np.allclose(whole[0], top, atol=1e-5) and (whole[1][0, 0, 0] == texts[0]).all(axis=1).any()
+
+
 def test_pooling_matches_row_by_row():
     net = toxicity.fit([np.full((3, toxicity.PARTS), 7, np.int32)], np.array([1.0]), ["en"])
     random = np.random.default_rng(2)

@@ -11,8 +11,9 @@ most frequent words (a bounded number) are looked up where the text is read, all
 The network stands on bigrams: how often each id follows each other one, counted over every id of all training texts by grouped
 aggregation, gives its output biases (smoothed by the unigram counts), and the network learns what to add to them.
 
-Only that fit is bounded: ``SAMPLE`` training rows, chosen by a hash of their id, with at most ``SAMPLE_WINDOWS``
-windows each, drawn from all over the text.
+It learns from every window of all training texts. It starts from a sample (``SAMPLE`` training rows, chosen by a hash of their id, with at most
+``SAMPLE_WINDOWS`` windows each, drawn from all over the text); from there parts of ``PART`` windows are learned side by side, each from the same weights, and
+the weights move by the mean of what the parts changed, added up in whole numbers.
 
 Defined results: null and empty texts consist of the end alone. A null id belongs to the remainder of the empty text. Repeated
 rows count and are scored each. Without training rows the counts are 0, all ids are as likely, and the network keeps its first, random weights. Empty
@@ -47,6 +48,8 @@ WINDOW = CONTEXT + STEP
 SIZE = 16
 SAMPLE, SAMPLE_WINDOWS = 4_000, 24
 EPOCHS, BATCH, RATE = 4, 128, 0.01
+#: Windows of all training text that are learned together, and the fraction in whole numbers of which their changes are added.
+PART, FRACTION = 96_000, 2.0**20
 #: Windows scored at a time: their intermediate values stay in a core's cache.
 TOGETHER = 192
 #: Ids of texts whose windows are laid out together.
@@ -204,7 +207,7 @@ class Attention:
                 out["upper_bias"] = p.sum(axis=0)
             else:
                 out["lower_bias"] = np.zeros_like(w["lower_bias"])
-                np.add.at(out["lower_bias"], flat // HALF, p)
+                _add_rows(out["lower_bias"], flat // HALF, p)
             d_hidden += p @ w[half].T
         d_sum = (d_hidden * (1 - hidden**2)).reshape(n, STEP, SIZE)
         out["mixed"] = f["seen"].reshape(-1, SIZE).T @ d_sum.reshape(-1, SIZE)
@@ -220,11 +223,19 @@ class Attention:
         d_x[:, CONTEXT:] += d_sum + d_q @ w["query"].T
         out["place"] = d_x.sum(axis=0)
         out["embed"] = np.zeros_like(w["embed"])
-        np.add.at(out["embed"], inputs.ravel(), d_x.reshape(-1, SIZE))
+        _add_rows(out["embed"], inputs.ravel(), d_x.reshape(-1, SIZE))
         out["embed"][VOCABULARY] = 0
         return out
 
 
+def _add_rows(to: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """Add rows to those of a matrix; several may go to one."""
+    order = np.argsort(at, kind="stable")
+    at = at[order]
+    starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    to[at[starts]] += np.add.reduceat(rows[order], starts, axis=0)
+
+
 class Scorer:
     """The model's log probabilities with what depends on an id or a place alone worked out beforehand.
 
@@ -297,21 +308,73 @@ def bigrams(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def fit(inputs: np.ndarray, targets: np.ndarray, pairs: np.ndarray | None = None) -> Attention:
     """Adam on windows, in a seeded order; ``pairs`` counts how often each id follows each other one."""
     net = Attention.start(np.bincount(targets[targets >= 0].ravel(), minlength=VOCABULARY).astype(float), pairs)
+    descend(net, inputs, targets, EPOCHS, RATE)
+    return net
+
+
+def descend(net: Attention, inputs: np.ndarray, targets: np.ndarray, epochs: int, most: float) -> None:
+    """Adam on windows, in place; rates fall from ``most`` to a tenth of it."""
     first = {k: np.zeros_like(v) for k, v in net.weights.items()}
     second = {k: np.zeros_like(v) for k, v in net.weights.items()}
     random, turn = np.random.default_rng(SEED), 0
-    steps = max(EPOCHS * -(-len(inputs) // BATCH), 1)
-    for _ in range(EPOCHS):
+    steps = max(epochs * -(-len(inputs) // BATCH), 1)
+    for _ in range(epochs):
         order = random.permutation(len(inputs))
         for lo in range(0, len(order), BATCH):
             part = order[lo : lo + BATCH]
             turn += 1
-            rate = RATE * (1 - 0.9 * turn / steps)
+            rate = most * (1 - 0.9 * turn / steps)
             for name, gradient in net.gradients(inputs[part], targets[part]).items():
                 first[name] += 0.1 * (gradient - first[name])
                 second[name] += 0.01 * (gradient**2 - second[name])
                 net.weights[name] -= (rate * (first[name] / (1 - 0.9**turn)) / (np.sqrt(second[name] / (1 - 0.99**turn)) + 1e-8)).astype(np.float32)
-    return net
+
+
+def learned(net: Attention, ids: DataFrame) -> Attention:
+    """The network after one pass over every window of all texts, given by (doc_id, ids) with packed ids.
+
+    Parts are dealt by a hash and ordered, so neither files nor tasks change the result.
+    """
+    total = ids.agg(F.sum(F.octet_length("ids"))).first()[0]
+    if not total:
+        return net
+    parts = F.lit(total // (2 * STEP * PART) + 1)
+    placed = ids.select(F.pmod(F.xxhash64(F.lit(SEED), "doc_id", "ids"), parts).alias("part"), "doc_id", "ids")
+    placed = placed.repartition("part").sortWithinPartitions("part", "doc_id", "ids")
+
+    def trained(cells: np.ndarray) -> pa.RecordBatch:
+        own = Attention({k: v.copy() for k, v in net.weights.items()}, net.prior)
+        descend(own, cells[:, :WINDOW], cells[:, WINDOW:], 1, RATE / 4)
+        change = np.concatenate([(own.weights[k] - v).ravel() for k, v in net.weights.items()]).astype(float)
+        whole = np.rint(change * FRACTION).astype(np.int64)
+        # What a part does not hold, it says nothing of.
+        at = np.flatnonzero(whole)
+        n = len(cells)
+        return pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(whole[at] * n), pa.array(np.full(len(at), n, np.int64))], ["at", "moved", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, size, now = [], 0, None
+        for batch in batches:
+            for part, cell in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if size and part != now:
+                    yield trained(np.concatenate(waiting))
+                    waiting, size = [], 0
+                now = part
+                inputs, targets = windows(np.frombuffer(cell.as_buffer(), np.int16).astype(np.int32))
+                for lo in range(0, len(inputs), PART):
+                    waiting.append(np.concatenate([inputs[lo : lo + PART], targets[lo : lo + PART]], axis=1))
+                    size += len(waiting[-1])
+                    if size >= PART:
+                        yield trained(np.concatenate(waiting))
+                        waiting, size = [], 0
+        if size:
+            yield trained(np.concatenate(waiting))
+
+    moved = placed.select("part", "ids").mapInArrow(run, "at int, moved long, n long").groupBy("at").agg(F.sum("moved").alias("moved"), F.sum("n").alias("n")).toArrow()
+    change = np.zeros(sum(w.size for w in net.weights.values()))
+    change[moved.column("at").to_numpy()] = moved.column("moved").to_numpy() / moved.column("n").to_numpy() / FRACTION
+    bounds = np.cumsum([w.size for w in net.weights.values()])[:-1]
+    return Attention({k: (w + c.reshape(w.shape)).astype(w.dtype) for (k, w), c in zip(net.weights.items(), np.split(change, bounds))}, net.prior)
 
 
 def sample_windows(docs: DataFrame, path: str) -> tuple[np.ndarray, np.ndarray]:
@@ -498,8 +561,9 @@ def score_documents(docs: DataFrame, divisor: int = 7, held: int = 2, path: str
     least = int(frequent.counts.min()) if len(top) == FREQUENT else 0
 
     read = written(_read(rows, frequent, path), "lm_read")
-    pairs = subword_pairs(read.where("not held_out").select("ids"))
-    net = fit(*sample_windows(train, path), pairs).fold()
+    texts = read.where("not held_out").select("doc_id", "ids")
+    pairs = subword_pairs(texts.select("ids"))
+    net = learned(fit(*sample_windows(train, path), pairs), texts).fold()
     scored = written(_scored(read, net), "lm_scored")
     rest = read.select("row", F.explode(F.arrays_zip("rest", "times")).alias("x")).select("row", F.col("x.rest").alias("word"), F.col("x.times").alias("times"))
     # Words above the least frequent of the travelling ones are never asked for here.

@@ -258,6 +258,24 @@ def test_unigram_scores_match_brute_force(spark, monkeypatch, frequent):
     assert lm_scoring.score_documents(docs.limit(0)).count() == 0
 
 
+def test_network_learns_from_all_training_windows(spark):
+    random = np.random.default_rng(7)
+    phrases = ["red green blue", "one two three", "cat dog bird"]
+    texts = [" ".join(random.choice(phrases, 150)) for _ in range(30)]
+    ids = [lm_scoring.subwords(t, lm_scoring.TOKENIZER) for t in texts]
+    frame = spark.createDataFrame([(i, bytearray(x.astype(np.int16).tobytes())) for i, x in enumerate(ids)], "doc_id long, ids binary")
+    start = lm_scoring.Attention.start(np.ones(lm_scoring.VOCABULARY))
+    net = lm_scoring.learned(start, frame)
+    score = lambda n: lm_scoring._score(n, ids).sum()
+    assert score(net) > score(start)
+    again = lm_scoring.learned(start, frame.repartition(5))
+    assert all((net.weights[k] == again.weights[k]).all() for k in net.weights)
+    # Texts beyond the sample, and windows beyond those drawn, change the weights.
+    more = lm_scoring.learned(start, frame.union(spark.createDataFrame([(99, bytearray(ids[0][:17].astype(np.int16).tobytes()))], "doc_id long, ids binary")))
+    assert (more.weights["query"] != net.weights["query"]).any()
+    assert lm_scoring.learned(start, frame.limit(0)) is start
+
+
 def test_trained_model_beats_subword_frequencies(monkeypatch):
     monkeypatch.setattr(lm_scoring, "BATCH", 16)
     monkeypatch.setattr(lm_scoring, "EPOCHS", 10)

@@ -322,7 +322,7 @@ def _rolling_sql() -> str:
 
 @query("rolling_daily_kpi", _rolling_sql())
 def rolling_daily_kpi(spark, sf_dir):
-    return periods.rolling_daily_kpi(bindings.fact(spark, sf_dir))
+    return periods.rolling_daily_kpi(bindings.fact(spark, sf_dir), one_row_per_day=True)
 
 
 @query(

@@ -190,45 +190,50 @@ def daily_totals(fact: DataFrame) -> DataFrame:
     )
 
 
-def rolling_daily_kpi(fact: DataFrame, periods: Sequence[int] = tuple(schemas.PERIODS)) -> DataFrame:
+def rolling_daily_kpi(
+    fact: DataFrame, periods: Sequence[int] = tuple(schemas.PERIODS), one_row_per_day: bool = False
+) -> DataFrame:
     """Trailing sums for every fund and day. One shuffle by fund serves all periods.
 
     A window's sum is the running total minus the running total before the
     window. Both are exact, and both frames only grow, so the work per
     row does not depend on the length of the period. Infinite amounts are
     counted, not added, so that they leave the window again; one of each sign gives NaN.
+
+    ``one_row_per_day`` promises about one fact row per fund and day: rows then go to their fund at once. Without that promise
+    days are added up first, so that a large fund is spread.
     """
-    daily = daily_totals(fact).withColumn("_day", F.unix_date(dates.key_to_date(F.col("sk_data"))))
+    daily = daily_totals(fact.repartition("sk_fundo") if one_row_per_day else fact).withColumn("_day", F.unix_date(dates.key_to_date(F.col("sk_data"))))
     ordered = Window.partitionBy("sk_fundo").orderBy("_day")
     upto = ordered.rowsBetween(Window.unboundedPreceding, 0)
     sources = {"captacao_dia": "captacao", "resgate_dia": "resgate", "fluxo_liquido_dia": "fluxo_liquido"}
     zero = F.lit(0).cast("decimal(38,6)")
-    # Days with a finite, a plus and a minus infinite amount, the three flows of a kind side by side in one number: a calendar has
-    # fewer than 2^20 days.
-    marks = {"_n_": lambda c: F.col(c).isNotNull(), "_up_": lambda c: F.col(f"{c}_acima") > 0, "_down_": lambda c: F.col(f"{c}_abaixo") > 0}
-    days = {kind: sum((F.when(mark(c), F.lit(1 << (20 * k))).otherwise(F.lit(0)).cast("long") for k, c in enumerate(sources)), F.lit(0).cast("long")) for kind, mark in marks.items()}
+    # Days with a finite, a plus and a minus infinite amount of a flow, side by side in one number: a calendar has fewer than 2^20 days.
+    up, down = 1 << 20, 1 << 40
+
+    def days(c: str) -> Column:
+        marks = ((F.col(c).isNotNull(), 1), (F.col(f"{c}_acima") > 0, up), (F.col(f"{c}_abaixo") > 0, down))
+        return sum((F.when(mark, F.lit(unit)).otherwise(F.lit(0)).cast("long") for mark, unit in marks), F.lit(0).cast("long"))
+
+    counted = {f"_days_{name}": days(source) for source, name in sources.items()}
     running = {f"_sum_{name}": F.coalesce(F.sum(source).over(upto), zero) for source, name in sources.items()}
-    running |= {kind: F.sum(kind).over(upto) for kind in days}
-    totals = daily.withColumns(days).withColumns(running).withColumn("_total", F.struct(*running))
+    running |= {name: F.sum(name).over(upto) for name in counted}
+    totals = daily.withColumns(counted).withColumns(running).withColumn("_total", F.struct(*running))
     earlier = {
         f"_before_{p}": F.last("_total").over(ordered.rangeBetween(Window.unboundedPreceding, -int(p))) for p in periods
     }
     compared = totals.withColumns(earlier)
-    place = {name: 20 * k for k, name in enumerate(sources.values())}
 
+    # All of these become one generated method; the JVM only interprets one of more than 8,000 bytes, so few steps each.
     def trailing(name: str, p: int) -> Column:
         before = F.col(f"_before_{p}")
-
-        def more(kind: str) -> Column:
-            since = F.col(kind) - F.coalesce(before[kind], F.lit(0).cast("long"))
-            return F.shiftright(since, place[name]).bitwiseAND(F.lit((1 << 20) - 1)) > 0
-
+        since = F.col(f"_days_{name}") - F.coalesce(before[f"_days_{name}"], F.lit(0).cast("long"))
         change = F.col(f"_sum_{name}") - F.coalesce(before[f"_sum_{name}"], zero)
         return (
-            F.when(more("_up_") & more("_down_"), F.lit(float("nan")))
-            .when(more("_up_"), F.lit(numbers.INFINITY))
-            .when(more("_down_"), F.lit(-numbers.INFINITY))
-            .when(more("_n_"), change.cast("double"))
+            F.when(since < up, F.when(since > 0, change.cast("double")))
+            .when(since < down, F.lit(numbers.INFINITY))
+            .when(since.bitwiseAND(F.lit(down - 1)) < up, F.lit(-numbers.INFINITY))
+            .otherwise(F.lit(float("nan")))
             .alias(f"{name}_{p}d")
         )
 

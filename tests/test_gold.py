@@ -1,8 +1,11 @@
 """Star schema, variations, period aggregates."""
 
+import contextlib
 import datetime as dt
+import io
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -285,6 +288,40 @@ def test_rolling_sum_of_nothing_is_null(spark):
     assert (r["captacao_7d"], r["resgate_7d"], r["fluxo_liquido_7d"]) == (None, 1.0, None)
 
 
+def test_rolling_sums_run_as_compiled_code(spark):
+    """The JVM only interprets a generated method of more than 8,000 bytes."""
+    fact = spark.createDataFrame([(1, 20240101, None, 1.0, None, 1.0, 1.0, 1.0)], FACT)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        with contextlib.redirect_stdout(io.StringIO()) as shown:
+            periods.rolling_daily_kpi(fact).explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    found = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", shown.getvalue())]
+    assert found and max(found) <= 8_000
+
+
+def test_rolling_sums_by_promise_shuffle_once(spark, trailing, rows):
+    """Rows that are one per fund and day go to their fund at once; the result is the same, also where days repeat."""
+    _, fact = trailing
+    several = fact.unionByName(fact)
+    assert rows(periods.rolling_daily_kpi(several, one_row_per_day=True)) == rows(periods.rolling_daily_kpi(several))
+    with contextlib.redirect_stdout(io.StringIO()) as shown:
+        periods.rolling_daily_kpi(fact, one_row_per_day=True).explain()
+    assert shown.getvalue().count("Exchange hashpartitioning") == 1
+
+
+def test_rolling_sums_of_infinite_days(spark):
+    """Each kind of infinite amount alone and both together, beside finite and missing ones; 8 days later they are gone."""
+    inf = float("inf")
+    days = [(20240101, inf, -inf, 1.0), (20240102, -inf, 2.0, None), (20240103, 5.0, None, None), (20240110, 7.0, None, -inf)]
+    fact = spark.createDataFrame([(1, d, a, b, c, None, None, None) for d, a, b, c in days], FACT)
+    got = periods.rolling_daily_kpi(fact, [7]).orderBy("sk_data").select("captacao_7d", "resgate_7d", "fluxo_liquido_7d").collect()
+    found = [tuple("nan" if v is not None and v != v else v for v in r) for r in got]
+    assert found == [(inf, -inf, 1.0), ("nan", -inf, 1.0), ("nan", -inf, 1.0), (7.0, None, -inf)]
+
+
 def test_describe_matches_pandas(spark):
     import pandas as pd
 

@@ -56,6 +56,24 @@ def test_line_breaks_inside_fields_read_by_many_tasks(spark, tmp_path, rows):
     assert any("\r\n" in (r[0] or "") for r in got if r[3].startswith("dois"))
 
 
+def test_quoted_records_across_runs_of_lines(spark, tmp_path, rows, monkeypatch):
+    """A block is held in runs: records over several runs, over all of them, and the header's own are put together all the same."""
+    monkeypatch.setattr(quoted, "RUN_BITS", 2)
+    draw = random.Random(5)
+    lines = ['"no', 'me";v']
+    for i in range(200):
+        breaks = "\n" * draw.choice([0, 1, 2, 3, 9, 30])
+        lines.append(f'"a{breaks}""{i}""";{i}' if draw.random() < 0.7 else f"s;{i}")
+    folder = tmp_path / "q"
+    folder.mkdir()
+    (folder / "a.csv").write_text("\n".join(lines) + "\n")
+    runs = quoted._lines(spark, str(folder), "UTF-8").groupBy(quoted.FILE, quoted.BLOCK, quoted.RUN).count()
+    assert runs.agg(F.max("count")).first()[0] == 4
+    whole = delimited.scan_delimited(spark, str(folder), names=["nome", "v"], encoding="UTF-8", multiline=True)
+    got = rows(quoted.scan_quoted(spark, str(folder), ["nome", "v"], encoding="UTF-8"))
+    assert len(got) == 200 and got == rows(whole)
+
+
 @pytest.mark.parametrize("line, sep", [("A;B", ";"), ("A,B", ","), ("A", ","), ("A;B,C", ","), ("", ","), (None, ",")])
 def test_separator(spark, line, sep):
     df = spark.createDataFrame([(line,)], "l string")

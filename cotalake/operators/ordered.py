@@ -163,20 +163,22 @@ def padded_change_split(
     scale: float = 100.0,
     max_rows: int = MAX_CHUNK_ROWS,
     history: DataFrame | None = None,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """The same change for rows of any distribution.
 
     ``tie`` is a hash in [0, 2^32) that orders rows of one key and day.
     ``history`` may bring the last known values (key, ``_chunk_day``, values)
     of spans of days that ``df`` does not hold; they take part as rows do.
+    ``sizes`` (key, ``_n``) may bring the rows per key, history included, where they are known; else the rows are read once more to be counted.
     """
     rows = df.withColumn("_known", F.lit(True))
     if history is not None:
         spans = history.select(key, F.col("_chunk_day").alias(day), F.lit(0).cast("long").alias(tie), *values, F.lit(False).alias("_known"))
         rows = rows.unionByName(spans, allowMissingColumns=True)
     rows = rows.withColumn("_order", chunk_order(F.col(day), F.col(tie)))
-    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows)
-    large = stored(sizes.select(key, F.lit(True).alias("_hot")), "large_keys")
+    counted = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")) if sizes is None else sizes
+    large = stored(counted.filter(F.col("_n") > max_rows).select(key, F.lit(True).alias("_hot")), "large_keys")
     window = Window.partitionBy(key).orderBy("_order")
     if large.isEmpty():
         changed = _change(rows, window, values, scale)

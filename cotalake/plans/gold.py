@@ -185,12 +185,13 @@ def fct_fundo_diario(
     max_chunk_rows: int = ordered.MAX_CHUNK_ROWS,
     history: DataFrame | None = None,
     key: str = "parity",
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Daily fact. ``dim`` is what :func:`dim_fundo` returns for this ``key``; one of parity keys is bounded and broadcast.
 
     ``one_row_per_day`` promises at most one report row per fund and day.
     Without that promise, rows of one fund and day are ordered by their values
-    and a large fund is spread over many tasks.
+    and a large fund is spread over many tasks. ``sizes`` may bring their number per fund (``sk_fundo``, ``_n``).
     """
     rows = joins.join_fact_dim(report_rows(report, variant), dim, unique_fund_key=key == "parity")
     if one_row_per_day:
@@ -199,7 +200,7 @@ def fct_fundo_diario(
         values = [CNPJ, "patrimonio_liquido_dia", "captacao_dia", "resgate_dia", "cotistas_dia"]
         tied = rows.withColumn("_tie", text.row_order(*values))
         changed = ordered.padded_change_split(
-            tied, "sk_fundo", "data", "_tie", VARIATIONS, max_rows=max_chunk_rows, history=history
+            tied, "sk_fundo", "data", "_tie", VARIATIONS, max_rows=max_chunk_rows, history=history, sizes=sizes
         )
     flag = F.lit(1) if variant == "cloud" else F.lit(True)
     return changed.withColumns(

@@ -12,6 +12,7 @@ from cotalake.sinks.writers import sink_partitioned_month
 from cotalake.streaming.movements import run_available
 
 VALUES = list(gold.VARIATIONS)
+ROWS = "linhas"
 
 
 def _months(silver: DataFrame, months: list[int]) -> DataFrame:
@@ -19,12 +20,13 @@ def _months(silver: DataFrame, months: list[int]) -> DataFrame:
 
 
 def month_summary(report: DataFrame, dim: DataFrame, key: str = "parity") -> DataFrame:
-    """(sk_fundo, ano_mes, last known values): what later months need to know of a month."""
+    """(sk_fundo, ano_mes, last known values, rows): what later months need to know of a month, and how large it is."""
     rows = joins.join_fact_dim(gold.report_rows(report), dim, unique_fund_key=key == "parity")
     tie = text.row_order(joins.CNPJ, "patrimonio_liquido_dia", "captacao_dia", "resgate_dia", "cotistas_dia")
     ordered_rows = rows.withColumn("_order", ordered.chunk_order(F.col("data"), tie))
     return ordered_rows.groupBy("sk_fundo", F.trunc("data", "month").alias("_month")).agg(
-        *[F.max_by(v, F.when(F.col(v).isNotNull(), F.col("_order"))).alias(v) for v in VALUES]
+        *[F.max_by(v, F.when(F.col(v).isNotNull(), F.col("_order"))).alias(v) for v in VALUES],
+        F.count(F.lit(1)).alias(ROWS),
     ).withColumn("_key", dates.date_key(F.col("_month")))
 
 
@@ -60,7 +62,10 @@ def refresh_fact(
         F.lit(0).cast("long").alias("_chunk_slice"),
         *VALUES,
     )
-    fact = gold.fct_fundo_diario(_months(silver, months), dim, history=history, key=key)
+    # A summary of an earlier version has no rows; then they are counted.
+    size = F.when(F.col("ano_mes").isin(months), F.col(ROWS)).otherwise(F.lit(1)) if ROWS in summary.columns else None
+    sizes = None if size is None else summary.groupBy("sk_fundo").agg(F.sum(F.coalesce(size, F.lit(ordered.MAX_CHUNK_ROWS + 1))).alias("_n"))
+    fact = gold.fct_fundo_diario(_months(silver, months), dim, history=history, key=key, sizes=sizes)
     sink_partitioned_month(fact, gold_path, only_touched=True)
 
 

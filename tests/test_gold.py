@@ -216,6 +216,29 @@ def test_the_input_is_read_twice(spark, tmp_path):
     assert got.count() == 3_000 and reads.value <= 6_000
 
 
+def test_known_sizes_save_the_count(spark, tmp_path):
+    """With the rows per key at hand the input is read once; large keys are still cut, and the result is the same."""
+    path, schema = str(tmp_path / "t"), "k bigint, d date, tie bigint, v double"
+    spark.range(900).select(
+        (F.col("id") % 3).alias("k"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 5).cast("int")).alias("d"),
+        text.row_order("id").alias("tie"), F.col("id").cast("double").alias("v"),
+    ).write.parquet(path)
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    df = spark.read.parquet(path)
+    plain = sorted(map(tuple, ordered.padded_change_split(df, "k", "d", "tie", {"v": "o"}, max_rows=1000).collect()))
+    for size, most in ((300, 900), (2000, 1800)):
+        sizes = spark.range(3).select(F.col("id").alias("k"), F.lit(size).cast("long").alias("_n"))
+        reads.value = 0
+        got = ordered.padded_change_split(df.mapInArrow(counted, schema), "k", "d", "tie", {"v": "o"}, max_rows=1000, sizes=sizes)
+        assert sorted(map(tuple, got.collect())) == plain and reads.value <= most
+
+
 def test_row_order_is_a_32_bit_number(spark):
     bounds = spark.range(5000).select(text.row_order("id").alias("a"), text.number_order("id").alias("b"))
     low, high, n, m = bounds.agg(

@@ -22,8 +22,14 @@ def month_key(key: Column) -> Column:
 
 
 def parse_report_date(text: Column) -> Column:
-    """``yyyy-M-d`` only; other shapes, including a trailing time, become null."""
-    return F.try_to_timestamp(text.cast("string"), F.lit("yyyy-M-d")).cast("date")
+    """``yyyy-M-d`` only; other shapes, including a trailing time, become null.
+
+    Full ten-digit dates, the usual case, take the plain cast. Only texts with the shape of a date reach the pattern, which raises
+    and drops an exception for each text that it refuses.
+    """
+    value = text.cast("string")
+    by_pattern = F.try_to_timestamp(value, F.lit("yyyy-M-d")).cast("date")
+    return F.when(value.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"), value.try_cast("date")).when(value.rlike(r"(?s)[0-9].*-.*[0-9].*-.*[0-9]"), by_pattern)
 
 
 def age_in_years(birth: Column, reference: Column) -> Column:

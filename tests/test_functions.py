@@ -57,6 +57,15 @@ def test_date_coercion(spark):
     assert got == [dt.date(2024, 1, 1), None, None, dt.date(2024, 1, 3), None, None, None]
 
 
+def test_plain_dates_do_not_take_the_pattern(spark):
+    """Ten-digit dates are cast; others give what the pattern alone gives."""
+    values = ["2024-12-31", "0000-01-01", "2024-13-01", "2023-02-29", "2024-01-01\n", " 2024-01-01", "2024-1-03", "02024-1-1", "+2024-1-1",
+              "12024-01-01", "+12024-01-01", "-2024-01-01", "2024--1-1", "2024-001-1", "24-1-1", "ontem", "", "1-2", "٢٠٢٤-01-01", "a2024-01-01", "2024-01-01-1"]
+    got = column(spark, values, "string", lambda c: dates.parse_report_date(c).cast("string"))
+    assert got == column(spark, values, "string", lambda c: F.try_to_timestamp(c, F.lit("yyyy-M-d")).cast("date").cast("string"))
+    assert "TRY_CAST" in str(dates.parse_report_date(F.col("x"))).upper()
+
+
 def test_date_keys(spark):
     assert column(spark, [dt.date(2024, 2, 9)], "date", dates.date_key) == [20240209]
     assert column(spark, [20240229, 20230229, 20241301], "int", dates.key_to_date) == [dt.date(2024, 2, 29), None, None]

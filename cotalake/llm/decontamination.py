@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from cotalake.llm import text as T
 from cotalake.llm.common import written
 
-#: Hashed vocabulary of the matrix, and dimensions of the latent space.
+#: Hashed vocabulary of the matrix (numbers of 16 bits), and dimensions of the latent space.
 TERMS = 1 << 13
 RANK = 64
 #: Words of a document passage, and of the step to the next one.
@@ -57,6 +57,10 @@ LEAST_BYTES = 16
 ITEM_BLOCK = 4096
 #: Pairs verified, and passages compared, at a time.
 PAIRS, WINDOWS = 1 << 13, 1 << 12
+#: Blocks projected at a time: their sums stay in a core's cache.
+TOGETHER = 512
+#: Bits of a word's hash looked up before it is searched.
+FIRST_BITS = 18
 SEED = 20
 
 
@@ -105,15 +109,38 @@ def _blocks(counts: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarr
     runs = -(-counts // STEP)
     first = np.cumsum(runs) - runs
     starts = np.cumsum(counts) - counts
-    out = np.full(int(runs.sum()) * STEP, TERMS, np.int64)
+    out = np.full(int(runs.sum()) * STEP, TERMS, np.int16)
     out[np.arange(len(terms)) + np.repeat(first * STEP - starts, counts)] = terms
     return out.reshape(-1, STEP), runs
 
 
-def _project(blocks: np.ndarray, columns: np.ndarray) -> np.ndarray:
-    """Sum of each block's rows of a matrix given by columns (one entry more than terms, 0 for the filling)."""
-    flat = blocks.ravel()
-    return np.stack([column[flat].reshape(-1, STEP).sum(axis=1) for column in columns], axis=1)
+def _project(blocks: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Sum of each block's rows of a matrix (one row more than terms, 0 for the filling), added up in pairs."""
+    out = np.empty((len(blocks), rows.shape[1]), rows.dtype)
+    for lo in range(0, len(blocks), TOGETHER):
+        terms = blocks[lo : lo + TOGETHER].T.astype(np.intp)
+        parts = [np.take(rows, terms[k], axis=0, mode="clip") for k in range(STEP // 2)]
+        for k, part in enumerate(parts):
+            part += np.take(rows, terms[k + STEP // 2], axis=0, mode="clip")
+        while len(parts) > 1:
+            parts = [np.add(one, other, out=one) for one, other in zip(parts[::2], parts[1::2])]
+        out[lo : lo + TOGETHER] = parts[0]
+    return out
+
+
+def _add_products(total: np.ndarray, held: np.ndarray, blocks: np.ndarray, probe: np.ndarray) -> None:
+    """Add to each term's column of ``total`` the projections of its places' blocks, and to ``held`` the blocks that hold it.
+
+    The last entry of ``held`` counts all blocks.
+    """
+    ordered = np.sort(blocks, axis=1)
+    new = ordered < TERMS
+    new[:, 1:] &= ordered[:, 1:] != ordered[:, :-1]
+    held[:TERMS] += np.bincount(ordered[new], minlength=TERMS)
+    held[TERMS] += len(blocks)
+    flat = blocks.ravel().astype(np.intp)
+    for own, sums in zip(total, np.ascontiguousarray(_project(blocks, probe).T, float)):
+        own += np.bincount(flat, np.repeat(sums, STEP), TERMS + 1)
 
 
 def latent_space(docs: DataFrame, guess: np.ndarray, text: str = "text") -> Space:
@@ -124,7 +151,7 @@ def latent_space(docs: DataFrame, guess: np.ndarray, text: str = "text") -> Spac
     ``guess`` scales the random matrix; it changes how well the range is found, not what is counted.
     """
     random = np.random.default_rng(SEED).standard_normal((TERMS, RANK)) * guess[:, None]
-    probe = np.ascontiguousarray(np.vstack([random, np.zeros((1, RANK))]).T.astype(np.float32))
+    probe = np.vstack([random, np.zeros((1, RANK))]).astype(np.float32)
     names = [f"c{i}" for i in range(RANK)]
 
     def product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,16 +160,7 @@ def latent_space(docs: DataFrame, guess: np.ndarray, text: str = "text") -> Spac
         for batch in batches:
             for _, counts, hashes in T.words(batch.column(0), T.LETTERS, apart=True):
                 blocks, _ = _blocks(counts, _terms(hashes))
-                held[TERMS] += len(blocks)
-                for k in range(STEP):
-                    new = blocks[:, k] < TERMS
-                    for before in range(k):
-                        new &= blocks[:, before] != blocks[:, k]
-                    held[:TERMS] += np.bincount(blocks[new, k], minlength=TERMS)
-                flat = blocks.ravel()
-                for i, column in enumerate(probe):
-                    sums = column[flat].reshape(-1, STEP).sum(axis=1)
-                    total[i] += np.bincount(flat, np.repeat(sums, STEP), TERMS + 1)
+                _add_products(total, held, blocks, probe)
         at = np.flatnonzero(held)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(held[at]), *[pa.array(total[i, at]) for i in range(RANK)]], ["term", "n", *names])
 
@@ -207,12 +225,13 @@ class Places:
         """
         bits = np.zeros(windows.shape, np.uint64)
         held = np.zeros(windows.shape, np.uint8)
-        row, column = np.nonzero(windows < self.words - 1)
-        wanted = items[row] * self.words + windows[row, column]
+        flat = windows.ravel()
+        place = np.flatnonzero(flat < self.words - 1)
+        wanted = items[place // windows.shape[1]] * self.words + flat[place]
         at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
         hit = self.keys[at] == wanted
-        row, column, at = row[hit], column[hit], at[hit]
-        bits[row, column], held[row, column] = self.bits[at], self.answers[at]
+        place, at = place[hit], at[hit]
+        bits.ravel()[place], held.ravel()[place] = self.bits[at], self.answers[at]
         return bits, np.bitwise_or.reduce(held, axis=1)
 
 
@@ -352,7 +371,10 @@ class _Latent:
         # One more term for words that no item has: a window's words become places in the items' own vocabulary.
         self.vocabulary, coded = np.unique(np.concatenate(items.words), return_inverse=True)
         self.none = len(self.vocabulary)
-        self.by_dimension = np.ascontiguousarray(np.vstack([space.basis, np.zeros((1, RANK), np.float32)]).T)
+        self.rows = np.vstack([space.basis, np.zeros((1, RANK), np.float32)])
+        # The first bits of the vocabulary's hashes: most other words are told apart without a search.
+        self.first_bits = np.zeros(1 << FIRST_BITS, bool)
+        self.first_bits[(self.vocabulary >> np.uint64(64 - FIRST_BITS)).astype(np.intp)] = True
         each = np.split(coded, np.cumsum(self.lengths)[:-1])
         rarity = [self.idf[t] for t in terms]
         self.places = Places.of(each, rarity, self.none + 1)
@@ -360,12 +382,22 @@ class _Latent:
         self.wanted = np.minimum(np.array([len(np.unique(c)) for c in each]), ANSWER_WORDS)
         self.least = int(np.ceil(PARAPHRASE * self.lengths - 1e-9).min())
 
+    def codes(self, hashes: np.ndarray) -> np.ndarray:
+        """Place of each word in the items' vocabulary; ``none`` for words of no item."""
+        codes = np.full(len(hashes), self.none)
+        maybe = np.flatnonzero(np.take(self.first_bits, (hashes >> np.uint64(64 - FIRST_BITS)).view(np.int64)))
+        wanted = hashes[maybe]
+        at = np.minimum(np.searchsorted(self.vocabulary, wanted), self.none - 1)
+        hit = self.vocabulary[at] == wanted
+        codes[maybe[hit]] = at[hit]
+        return codes
+
     def passages(self, cut: np.ndarray, runs_of: np.ndarray, windows: np.ndarray) -> np.ndarray:
         """Unit vectors of the blocks ``windows`` and those after them in the same text."""
-        out = _project(cut[windows], self.by_dimension)
+        out = _project(cut[windows], self.rows)
         after = np.minimum(windows + 1, len(cut) - 1)
         joins = np.flatnonzero((after > windows) & (runs_of[after] == runs_of[windows]))
-        out[joins] += _project(cut[after[joins]], self.by_dimension)
+        out[joins] += _project(cut[after[joins]], self.rows)
         return _unit(out)
 
     def near(self, cut: np.ndarray, codes: np.ndarray, run_of_word: np.ndarray, runs_of: np.ndarray) -> np.ndarray:
@@ -382,7 +414,7 @@ class _Latent:
         for lo in range(0, len(windows), WINDOWS):
             some = windows[lo : lo + WINDOWS]
             near = self.passages(cut, runs_of, some) @ self.latent.T >= NEAR
-            row, item = np.nonzero(near)
+            row, item = np.divmod(np.flatnonzero(near), len(self.lengths))
             keys.append(some[row] * len(self.lengths) + item)
         return np.concatenate(keys)
 
@@ -390,8 +422,7 @@ class _Latent:
         """Row, item, cosine, share in order, share of answers and route of passages that are copies or paraphrases."""
         cut, runs = _blocks(counts, _terms(hashes))
         runs_of = np.repeat(np.arange(len(counts)), runs)
-        at = np.minimum(np.searchsorted(self.vocabulary, hashes), self.none - 1)
-        codes = np.where(self.vocabulary[at] == hashes, at, self.none)
+        codes = self.codes(hashes)
         # The passage and the step before and after it, within its own document.
         starts = np.cumsum(counts) - counts
         run_of_word = np.repeat(np.cumsum(runs) - runs, counts) + (np.arange(len(codes)) - np.repeat(starts, counts)) // STEP

@@ -240,6 +240,37 @@ def test_short_and_changed_excerpts_in_long_documents_match_brute_force(spark):
     assert copies >= {(i * 10, i) for i in items} and copies <= found
 
 
+def test_block_sums_and_word_codes_match_brute_force(monkeypatch):
+    random = np.random.default_rng(5)
+    terms, counts = random.integers(0, 40, 700) * 37, np.array([0, 1, 15, 16, 17, 600, 0, 51])
+    probe = np.vstack([random.integers(-9, 9, (decontamination.TERMS, decontamination.RANK)), np.zeros((1, decontamination.RANK))]).astype(np.float32)
+    monkeypatch.setattr(decontamination, "TOGETHER", 7)
+    blocks, runs = decontamination._blocks(counts, terms)
+    cut = [own[at : at + decontamination.STEP] for own in np.split(terms, np.cumsum(counts)[:-1]) for at in range(0, len(own), decontamination.STEP)]
+    assert runs.sum() == len(cut)
+    assert (decontamination._project(blocks, probe) == [probe[c].sum(axis=0) for c in cut]).all()
+    total, held = np.zeros((decontamination.RANK, decontamination.TERMS + 1)), np.zeros(decontamination.TERMS + 1, np.int64)
+    expected, blocks_with = np.zeros((decontamination.TERMS, decontamination.RANK)), np.zeros(decontamination.TERMS, np.int64)
+    for c in cut:
+        np.add.at(expected, c, probe[c].sum(axis=0))
+        blocks_with[np.unique(c)] += 1
+    decontamination._add_products(total, held, blocks, probe)
+    assert (total.T[:-1] == expected).all() and (held[:-1] == blocks_with).all() and held[-1] == len(cut)
+
+    # Words that share their first bits with one of an item are searched, all others are not.
+    items = decontamination.cut_items(["one two three four five six seven eight nine ten"])
+    space = decontamination.Space(np.ones(decontamination.TERMS, np.float32), probe[:-1])
+    latent = decontamination._Latent(items, space)
+    own = np.concatenate(items.words)
+    hashes = np.concatenate([own, own + np.uint64(1), own - np.uint64(1), random.integers(0, 2**63, 5000).astype(np.uint64) * np.uint64(2), np.array([0, 2**64 - 1], np.uint64)])
+    place = {h: i for i, h in enumerate(latent.vocabulary.tolist())}
+    assert latent.codes(hashes).tolist() == [place.get(h, latent.none) for h in hashes.tolist()]
+    searched = []
+    monkeypatch.setattr(np, "searchsorted", lambda a, v, find=np.searchsorted: searched.append(len(v)) or find(a, v))
+    latent.codes(hashes)
+    assert sum(searched) < 100
+
+
 def test_common_subsequence_matches_dynamic_programming():
     random = np.random.default_rng(3)
     for _ in range(20):

@@ -51,13 +51,16 @@ EPOCHS, BATCH, RATE = 4, 128, 0.01
 #: Windows of all training text that are learned together, and the fraction in whole numbers of which their changes are added.
 PART, FRACTION = 96_000, 2.0**20
 #: Windows scored at a time: their intermediate values stay in a core's cache.
-TOGETHER = 192
+TOGETHER = 384
 #: Ids of texts whose windows are laid out together.
 SPREAD = 1 << 18
 #: Words whose counts travel with the task; all others are joined.
 FREQUENT = 1 << 16
 SEED = 10
 
+#: 1 where a scored place may look: itself and earlier places.
+_CAUSAL = (np.arange(WINDOW)[None, :] <= np.arange(CONTEXT, WINDOW)[:, None]).astype(np.float32)
+
 _encoders: dict[str, object] = {}
 
 
@@ -142,24 +145,35 @@ class Attention:
             return w["upper_bias"], w["lower_bias"][upper]
         before = inputs[:, CONTEXT:].ravel()
         first, second = (np.take(p, at, axis=0, mode="clip") for p, at in zip(self.prior, (before, before * HALF + upper)))
-        return (first, second) if self.folded else (first + w["upper_bias"], second + w["lower_bias"][upper])
-
-    @staticmethod
-    def _mask(inputs: np.ndarray) -> np.ndarray:
-        """1 where a scored place may look: itself and earlier places that hold an id."""
-        causal = np.arange(WINDOW)[None, :] <= np.arange(CONTEXT, WINDOW)[:, None]
-        return (causal[None] & (inputs < VOCABULARY)[:, None, :]).astype(np.float32)
+        if not self.folded:
+            first += w["upper_bias"]
+            second += np.take(w["lower_bias"], upper, axis=0)
+        return first, second
 
     def forward(self, inputs: np.ndarray) -> dict[str, np.ndarray]:
         w = self.weights
-        x = w["embed"][inputs] + w["place"]
+        x = np.take(w["embed"], inputs, axis=0)
+        x += w["place"]
         own = x[:, CONTEXT:]
-        q, k, v = own @ w["query"], x @ w["key"], x @ w["value"]
-        heat = np.exp(np.clip(q @ k.transpose(0, 2, 1) * np.float32(SIZE**-0.5), -40, 40)) * self._mask(inputs)
-        share = heat / np.maximum(heat.sum(axis=2, keepdims=True), 1e-30)
+        # One product of large matrices for each projection, not one per window.
+        flat, flat_own = x.reshape(-1, SIZE), own.reshape(-1, SIZE)
+        q = (flat_own @ w["query"]).reshape(own.shape)
+        k, v = (flat @ w["key"]).reshape(x.shape), (flat @ w["value"]).reshape(x.shape)
+        share = q @ k.transpose(0, 2, 1)
+        share *= np.float32(SIZE**-0.5)
+        np.clip(share, -40, 40, out=share)
+        np.exp(share, out=share)
+        # A scored place looks at itself and earlier places that hold an id.
+        share *= _CAUSAL
+        empty = inputs == VOCABULARY
+        if empty.any():
+            share *= ~empty[:, None, :]
+        share /= np.maximum(share.sum(axis=2, keepdims=True), 1e-30)
         seen = share @ v
-        hidden = np.tanh(own + seen @ w["mixed"])
-        return {"x": x, "own": own, "q": q, "k": k, "v": v, "share": share, "seen": seen, "hidden": hidden}
+        hidden = (seen.reshape(-1, SIZE) @ w["mixed"]).reshape(own.shape)
+        hidden += own
+        np.tanh(hidden, out=hidden)
+        return {"x": x, "own": flat_own, "q": q, "k": k, "v": v, "share": share, "seen": seen, "hidden": hidden}
 
     def tame(self) -> bool:
         """Whether exponentials need no shift: hidden values lie within 1, so weights bound the logits."""
@@ -192,15 +206,17 @@ class Attention:
         hidden = f["hidden"].reshape(-1, SIZE)
         flat = np.maximum(targets.ravel(), 0)
         live = (targets.ravel() >= 0).astype(np.float32)[:, None] / max(int((targets >= 0).sum()), 1)
-        rows = np.arange(len(flat))
+        rows = np.arange(len(flat)) * HALF
         out: dict[str, np.ndarray] = {}
-        d_hidden = np.zeros_like(hidden)
+        d_hidden = None
         biases = self._biases(inputs, flat // HALF)
         for half, place, bias in (("upper", flat // HALF, biases[0]), ("lower", flat % HALF, biases[1])):
-            logits = hidden @ w[half] + bias
-            p = np.exp(logits - logits.max(axis=1, keepdims=True))
+            p = hidden @ w[half]
+            p += bias
+            p -= p.max(axis=1, keepdims=True)
+            np.exp(p, out=p)
             p /= p.sum(axis=1, keepdims=True)
-            p[rows, place] -= 1
+            p.ravel()[rows + place] -= 1
             p *= live
             out[half] = hidden.T @ p
             if half == "upper":
@@ -208,19 +224,30 @@ class Attention:
             else:
                 out["lower_bias"] = np.zeros_like(w["lower_bias"])
                 _add_rows(out["lower_bias"], flat // HALF, p)
-            d_hidden += p @ w[half].T
-        d_sum = (d_hidden * (1 - hidden**2)).reshape(n, STEP, SIZE)
-        out["mixed"] = f["seen"].reshape(-1, SIZE).T @ d_sum.reshape(-1, SIZE)
-        d_seen = d_sum @ w["mixed"].T
-        d_v = f["share"].transpose(0, 2, 1) @ d_seen
-        d_share = d_seen @ f["v"].transpose(0, 2, 1)
-        d_heat = f["share"] * (d_share - (d_share * f["share"]).sum(axis=2, keepdims=True)) * np.float32(SIZE**-0.5)
-        d_q, d_k = d_heat @ f["k"], d_heat.transpose(0, 2, 1) @ f["q"]
-        out["query"] = f["own"].reshape(-1, SIZE).T @ d_q.reshape(-1, SIZE)
+            back = p @ w[half].T
+            d_hidden = back if d_hidden is None else np.add(d_hidden, back, out=back)
+        np.multiply(hidden, hidden, out=hidden)
+        np.subtract(1, hidden, out=hidden)
+        d_hidden *= hidden
+        out["mixed"] = f["seen"].reshape(-1, SIZE).T @ d_hidden
+        d_seen = (d_hidden @ w["mixed"].T).reshape(n, STEP, SIZE)
+        share = f["share"]
+        d_v = share.transpose(0, 2, 1) @ d_seen
+        d_heat = d_seen @ f["v"].transpose(0, 2, 1)
+        d_heat -= (d_heat * share).sum(axis=2, keepdims=True)
+        d_heat *= share
+        d_heat *= np.float32(SIZE**-0.5)
+        d_q = (d_heat @ f["k"]).reshape(-1, SIZE)
+        d_k, d_v = (d_heat.transpose(0, 2, 1) @ f["q"]).reshape(-1, SIZE), d_v.reshape(-1, SIZE)
+        out["query"] = f["own"].T @ d_q
         flat_x = f["x"].reshape(-1, SIZE).T
-        out["key"], out["value"] = flat_x @ d_k.reshape(-1, SIZE), flat_x @ d_v.reshape(-1, SIZE)
-        d_x = d_k @ w["key"].T + d_v @ w["value"].T
-        d_x[:, CONTEXT:] += d_sum + d_q @ w["query"].T
+        out["key"], out["value"] = flat_x @ d_k, flat_x @ d_v
+        d_x = d_k @ w["key"].T
+        d_x += d_v @ w["value"].T
+        d_x = d_x.reshape(f["x"].shape)
+        d_own = d_q @ w["query"].T
+        d_own += d_hidden
+        d_x[:, CONTEXT:] += d_own.reshape(n, STEP, SIZE)
         out["place"] = d_x.sum(axis=0)
         out["embed"] = np.zeros_like(w["embed"])
         _add_rows(out["embed"], inputs.ravel(), d_x.reshape(-1, SIZE))
@@ -230,10 +257,12 @@ class Attention:
 
 def _add_rows(to: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
     """Add rows to those of a matrix; several may go to one."""
+    # Short whole numbers are sorted by digits, in time that grows with their number alone.
+    at = at.astype(np.int16)
     order = np.argsort(at, kind="stable")
     at = at[order]
     starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    to[at[starts]] += np.add.reduceat(rows[order], starts, axis=0)
+    to[at[starts]] += np.add.reduceat(np.take(rows, order, axis=0), starts, axis=0)
 
 
 class Scorer:
@@ -250,7 +279,6 @@ class Scorer:
         one = lambda rows, x: np.hstack([rows, np.full((len(rows), 1), x, np.float32)])
         self.net, self.mixed = net, w["mixed"]
         self.own, self.queries, self.keys, self.values = (embed, own), (embed @ query, own @ query), (embed @ w["key"], place @ w["key"]), (one(embed @ w["value"], 1), one(place @ w["value"], 0))
-        self.causal = (np.arange(WINDOW)[None, :] <= np.arange(CONTEXT, WINDOW)[:, None]).astype(np.float32)
         self.heads = w["upper"], w["lower"]
         self.ones = np.ones(HALF, np.float32)
         # Within these bounds no exponential leaves the numbers of its kind.
@@ -270,7 +298,7 @@ class Scorer:
             v.reshape(-1, SIZE + 1)[empty] = 0
         heat = q @ k.transpose(0, 2, 1)
         np.exp(heat, out=heat)
-        heat *= self.causal
+        heat *= _CAUSAL
         seen = (heat @ v).reshape(-1, SIZE + 1)
         hidden = (seen[:, :SIZE] / np.maximum(seen[:, SIZE:], np.float32(1e-30))) @ self.mixed
         hidden += x
@@ -314,8 +342,12 @@ def fit(inputs: np.ndarray, targets: np.ndarray, pairs: np.ndarray | None = None
 
 def descend(net: Attention, inputs: np.ndarray, targets: np.ndarray, epochs: int, most: float) -> None:
     """Adam on windows, in place; rates fall from ``most`` to a tenth of it."""
-    first = {k: np.zeros_like(v) for k, v in net.weights.items()}
-    second = {k: np.zeros_like(v) for k, v in net.weights.items()}
+    names, shapes = list(net.weights), [w.shape for w in net.weights.values()]
+    bounds = np.cumsum([0, *(w.size for w in net.weights.values())])
+    # All weights in one row: a step takes as many array operations as one matrix would.
+    flat = np.concatenate([w.ravel() for w in net.weights.values()])
+    net.weights = {name: flat[a:b].reshape(shape) for name, a, b, shape in zip(names, bounds, bounds[1:], shapes)}
+    first, second, gradient, step = np.zeros_like(flat), np.zeros_like(flat), np.empty_like(flat), np.empty_like(flat)
     random, turn = np.random.default_rng(SEED), 0
     steps = max(epochs * -(-len(inputs) // BATCH), 1)
     for _ in range(epochs):
@@ -324,10 +356,22 @@ def descend(net: Attention, inputs: np.ndarray, targets: np.ndarray, epochs: int
             part = order[lo : lo + BATCH]
             turn += 1
             rate = most * (1 - 0.9 * turn / steps)
-            for name, gradient in net.gradients(inputs[part], targets[part]).items():
-                first[name] += 0.1 * (gradient - first[name])
-                second[name] += 0.01 * (gradient**2 - second[name])
-                net.weights[name] -= (rate * (first[name] / (1 - 0.9**turn)) / (np.sqrt(second[name] / (1 - 0.99**turn)) + 1e-8)).astype(np.float32)
+            found = net.gradients(inputs[part], targets[part])
+            np.concatenate([found[name].ravel() for name in names], out=gradient)
+            np.subtract(gradient, first, out=step)
+            step *= 0.1
+            first += step
+            np.multiply(gradient, gradient, out=gradient)
+            gradient -= second
+            gradient *= 0.01
+            second += gradient
+            np.divide(second, 1 - 0.99**turn, out=gradient)
+            np.sqrt(gradient, out=gradient)
+            gradient += 1e-8
+            np.divide(first, 1 - 0.9**turn, out=step)
+            step *= rate
+            step /= gradient
+            flat -= step
 
 
 def learned(net: Attention, ids: DataFrame) -> Attention:

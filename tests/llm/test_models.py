@@ -226,6 +226,31 @@ def test_scorer_with_tables_agrees_with_the_layer(scale):
     assert len(lm_scoring._score(scorer, [])) == 0
 
 
+def test_descent_agrees_with_plain_adam_in_few_operations(monkeypatch):
+    random = np.random.default_rng(6)
+    cells = [lm_scoring.windows(np.append(random.integers(0, lm_scoring.END, n), lm_scoring.END).astype(np.int32)) for n in (0, 5, 300, 90, 16)]
+    inputs, targets = (np.concatenate(c) for c in zip(*cells))
+    pairs = random.integers(0, 5, (lm_scoring.VOCABULARY, lm_scoring.VOCABULARY)).astype(float)
+    monkeypatch.setattr(lm_scoring, "BATCH", 8)
+    plain, net = (lm_scoring.Attention.start(pairs.sum(axis=0), pairs) for _ in range(2))
+    first, second = ({k: np.zeros_like(v) for k, v in plain.weights.items()} for _ in range(2))
+    order, turn = np.random.default_rng(lm_scoring.SEED).permutation(len(inputs)), 0
+    steps = -(-len(inputs) // 8)
+    for lo in range(0, len(order), 8):
+        turn += 1
+        part, rate = order[lo : lo + 8], 0.01 * (1 - 0.9 * turn / steps)
+        for k, gradient in plain.gradients(inputs[part], targets[part]).items():
+            first[k] += 0.1 * (gradient - first[k])
+            second[k] += 0.01 * (gradient**2 - second[k])
+            plain.weights[k] -= (rate * (first[k] / (1 - 0.9**turn)) / (np.sqrt(second[k] / (1 - 0.99**turn)) + 1e-8)).astype(np.float32)
+    roots = []
+    monkeypatch.setattr(np, "sqrt", lambda *a, root=np.sqrt, **named: roots.append(1) or root(*a, **named))
+    lm_scoring.descend(net, inputs, targets, 1, 0.01)
+    assert all(np.allclose(net.weights[k], plain.weights[k], rtol=1e-6, atol=1e-7) for k in plain.weights)
+    # All weights move together, not one matrix after the other.
+    assert len(roots) == steps
+
+
 def test_sample_takes_the_same_text_of_a_repeated_id(spark):
     docs = spark.createDataFrame([(1, "b" * 40), (1, "a" * 40), (1, None), (2, None)], "doc_id long, text string")
     there, back = (lm_scoring.sample_windows(d, lm_scoring.TOKENIZER) for d in (docs, docs.orderBy(F.col("text").desc())))

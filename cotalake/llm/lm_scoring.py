@@ -150,17 +150,20 @@ class Attention:
             second += np.take(w["lower_bias"], upper, axis=0)
         return first, second
 
-    def forward(self, inputs: np.ndarray) -> dict[str, np.ndarray]:
+    def products(self) -> tuple[np.ndarray, np.ndarray]:
+        """Queries times keys, scaled, and values times what mixes them: all that the layer needs of its four square matrices."""
         w = self.weights
+        return (w["query"] @ w["key"].T) * np.float32(SIZE**-0.5), w["value"] @ w["mixed"]
+
+    def forward(self, inputs: np.ndarray) -> dict[str, np.ndarray]:
+        w, (heated, mixed) = self.weights, self.products()
         x = np.take(w["embed"], inputs, axis=0)
         x += w["place"]
         own = x[:, CONTEXT:]
-        # One product of large matrices for each projection, not one per window.
-        flat, flat_own = x.reshape(-1, SIZE), own.reshape(-1, SIZE)
-        q = (flat_own @ w["query"]).reshape(own.shape)
-        k, v = (flat @ w["key"]).reshape(x.shape), (flat @ w["value"]).reshape(x.shape)
-        share = q @ k.transpose(0, 2, 1)
-        share *= np.float32(SIZE**-0.5)
+        # One product of large matrices for all windows; keys and values are the places' own rows, the products hold the rest.
+        flat_own = own.reshape(-1, SIZE)
+        q = (flat_own @ heated).reshape(own.shape)
+        share = q @ x.transpose(0, 2, 1)
         np.clip(share, -40, 40, out=share)
         np.exp(share, out=share)
         # A scored place looks at itself and earlier places that hold an id.
@@ -168,12 +171,12 @@ class Attention:
         empty = inputs == VOCABULARY
         if empty.any():
             share *= ~empty[:, None, :]
-        share /= np.maximum(share.sum(axis=2, keepdims=True), 1e-30)
-        seen = share @ v
-        hidden = (seen.reshape(-1, SIZE) @ w["mixed"]).reshape(own.shape)
-        hidden += own
+        share /= np.maximum(share @ np.ones(WINDOW, share.dtype), 1e-30)[:, :, None]
+        seen = (share @ x).reshape(-1, SIZE)
+        hidden = seen @ mixed
+        hidden += flat_own
         np.tanh(hidden, out=hidden)
-        return {"x": x, "own": flat_own, "q": q, "k": k, "v": v, "share": share, "seen": seen, "hidden": hidden}
+        return {"heated": heated, "mixed": mixed, "x": x, "own": flat_own, "q": q, "share": share, "seen": seen, "hidden": hidden}
 
     def tame(self) -> bool:
         """Whether exponentials need no shift: hidden values lie within 1, so weights bound the logits."""
@@ -183,7 +186,7 @@ class Attention:
     def log_probabilities(self, inputs: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural logarithm of each target's probability; 0 beyond the end."""
         w = self.weights
-        hidden = self.forward(inputs)["hidden"].reshape(-1, SIZE)
+        hidden = self.forward(inputs)["hidden"]
         flat = np.maximum(targets.ravel(), 0)
         rows, total = np.arange(len(flat)), np.zeros(len(flat))
         tame = self.tame()
@@ -202,50 +205,47 @@ class Attention:
 
     def gradients(self, inputs: np.ndarray, targets: np.ndarray) -> dict[str, np.ndarray]:
         w, f = self.weights, self.forward(inputs)
-        n = len(inputs)
-        hidden = f["hidden"].reshape(-1, SIZE)
+        n, hidden, x, share = len(inputs), f["hidden"], f["x"], f["share"]
         flat = np.maximum(targets.ravel(), 0)
-        live = (targets.ravel() >= 0).astype(np.float32)[:, None] / max(int((targets >= 0).sum()), 1)
+        live = (targets.ravel() >= 0).astype(hidden.dtype) / max(int((targets >= 0).sum()), 1)
         rows = np.arange(len(flat)) * HALF
+        ones = np.ones(HALF, hidden.dtype)
         out: dict[str, np.ndarray] = {}
         d_hidden = None
+        tame = self.tame()
         biases = self._biases(inputs, flat // HALF)
         for half, place, bias in (("upper", flat // HALF, biases[0]), ("lower", flat % HALF, biases[1])):
             p = hidden @ w[half]
             p += bias
-            p -= p.max(axis=1, keepdims=True)
+            if not tame:
+                p -= p.max(axis=1, keepdims=True)
             np.exp(p, out=p)
-            p /= p.sum(axis=1, keepdims=True)
-            p.ravel()[rows + place] -= 1
-            p *= live
+            p *= (live / (p @ ones))[:, None]
+            p.ravel()[rows + place] -= live
             out[half] = hidden.T @ p
             if half == "upper":
                 out["upper_bias"] = p.sum(axis=0)
             else:
-                out["lower_bias"] = np.zeros_like(w["lower_bias"])
-                _add_rows(out["lower_bias"], flat // HALF, p)
+                out["lower_bias"] = np.take(np.eye(HALF, dtype=p.dtype), flat // HALF, axis=0).T @ p
             back = p @ w[half].T
             d_hidden = back if d_hidden is None else np.add(d_hidden, back, out=back)
         np.multiply(hidden, hidden, out=hidden)
         np.subtract(1, hidden, out=hidden)
         d_hidden *= hidden
-        out["mixed"] = f["seen"].reshape(-1, SIZE).T @ d_hidden
-        d_seen = (d_hidden @ w["mixed"].T).reshape(n, STEP, SIZE)
-        share = f["share"]
-        d_v = share.transpose(0, 2, 1) @ d_seen
-        d_heat = d_seen @ f["v"].transpose(0, 2, 1)
-        d_heat -= (d_heat * share).sum(axis=2, keepdims=True)
+        # Of the two products first, then of their factors.
+        d_mixed = f["seen"].T @ d_hidden
+        out["value"], out["mixed"] = d_mixed @ w["mixed"].T, w["value"].T @ d_mixed
+        d_seen = d_hidden @ f["mixed"].T
+        d_heat = d_seen.reshape(n, STEP, SIZE) @ x.transpose(0, 2, 1)
+        # What all of a place's shares lose together is its row's product with what it saw.
+        d_heat -= ((d_seen * f["seen"]) @ ones[:SIZE]).reshape(n, STEP, 1)
         d_heat *= share
-        d_heat *= np.float32(SIZE**-0.5)
-        d_q = (d_heat @ f["k"]).reshape(-1, SIZE)
-        d_k, d_v = (d_heat.transpose(0, 2, 1) @ f["q"]).reshape(-1, SIZE), d_v.reshape(-1, SIZE)
-        out["query"] = f["own"].T @ d_q
-        flat_x = f["x"].reshape(-1, SIZE).T
-        out["key"], out["value"] = flat_x @ d_k, flat_x @ d_v
-        d_x = d_k @ w["key"].T
-        d_x += d_v @ w["value"].T
-        d_x = d_x.reshape(f["x"].shape)
-        d_own = d_q @ w["query"].T
+        d_q = (d_heat @ x).reshape(-1, SIZE)
+        d_heated = (f["own"].T @ d_q) * np.float32(SIZE**-0.5)
+        out["query"], out["key"] = d_heated @ w["key"], d_heated.T @ w["query"]
+        d_x = d_heat.transpose(0, 2, 1) @ f["q"]
+        d_x += share.transpose(0, 2, 1) @ d_seen.reshape(n, STEP, SIZE)
+        d_own = d_q @ f["heated"].T
         d_own += d_hidden
         d_x[:, CONTEXT:] += d_own.reshape(n, STEP, SIZE)
         out["place"] = d_x.sum(axis=0)
@@ -268,22 +268,23 @@ def _add_rows(to: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
 class Scorer:
     """The model's log probabilities with what depends on an id or a place alone worked out beforehand.
 
-    Queries, keys and values are sums of a row per id and a row per place. Values carry a 1 that the same product adds up to the
-    attention's denominator, and are 0 where nothing stands, so such places need no mask.
+    Queries, and the rows that are keys and values at once, are sums of a row per id and a row per place. The latter carry a 1 that
+    the same product adds up to the attention's denominator, and are 0 where nothing stands, so such places need no mask.
     """
 
     def __init__(self, net: Attention):
         w = net.weights
         embed, place, own = w["embed"], w["place"], w["place"][CONTEXT:]
-        query = w["query"] * np.float32(SIZE**-0.5)
+        heated, self.mixed = net.products()
         one = lambda rows, x: np.hstack([rows, np.full((len(rows), 1), x, np.float32)])
-        self.net, self.mixed = net, w["mixed"]
-        self.own, self.queries, self.keys, self.values = (embed, own), (embed @ query, own @ query), (embed @ w["key"], place @ w["key"]), (one(embed @ w["value"], 1), one(place @ w["value"], 0))
+        self.net = net
+        self.queries, self.places = (embed @ heated, own @ heated), (one(embed, 1), one(place, 0))
         self.heads = w["upper"], w["lower"]
         self.ones = np.ones(HALF, np.float32)
         # Within these bounds no exponential leaves the numbers of its kind.
-        longest = lambda rows: float(np.linalg.norm(rows[0], axis=1).max() + np.linalg.norm(rows[1], axis=1).max())
-        self.calm = longest(self.queries) * longest(self.keys) < 40 and net.tame()
+        longest = lambda *rows: float(sum(np.linalg.norm(r, axis=1).max() for r in rows))
+        apart = longest(embed @ w["query"], own @ w["query"]) * longest(embed @ w["key"], place @ w["key"]) * SIZE**-0.5
+        self.calm = min(longest(*self.queries) * longest(embed, place), apart) < 40 and net.tame()
 
     def log_probabilities(self, inputs: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural logarithm of each target's probability; 0 beyond the end."""
@@ -291,17 +292,16 @@ class Scorer:
             return self.net.log_probabilities(inputs, targets)
         n = len(inputs)
         every, before = inputs.ravel(), inputs[:, CONTEXT:].ravel()
-        q, x = self._rows(self.queries, before, n), self._rows(self.own, before, n).reshape(-1, SIZE)
-        k, v = self._rows(self.keys, every, n), self._rows(self.values, every, n)
+        q, x = self._rows(self.queries, before, n), self._rows(self.places, every, n)
         empty = every == VOCABULARY
         if empty.any():
-            v.reshape(-1, SIZE + 1)[empty] = 0
-        heat = q @ k.transpose(0, 2, 1)
+            x.reshape(-1, SIZE + 1)[empty] = 0
+        heat = q @ x[:, :, :SIZE].transpose(0, 2, 1)
         np.exp(heat, out=heat)
         heat *= _CAUSAL
-        seen = (heat @ v).reshape(-1, SIZE + 1)
+        seen = (heat @ x).reshape(-1, SIZE + 1)
         hidden = (seen[:, :SIZE] / np.maximum(seen[:, SIZE:], np.float32(1e-30))) @ self.mixed
-        hidden += x
+        hidden.reshape(n, STEP, SIZE)[:] += x[:, CONTEXT:, :SIZE]
         np.tanh(hidden, out=hidden)
         flat = np.maximum(targets.ravel(), 0)
         upper, lower = flat // HALF, flat % HALF

@@ -194,6 +194,32 @@ def test_attention_gradients():
             assert math.isclose((up - down) / (2 * step), gradients[name].ravel()[i], rel_tol=2e-2, abs_tol=1e-6), name
 
 
+def test_attention_needs_no_keys_and_values_of_its_own(monkeypatch):
+    random = np.random.default_rng(8)
+    ids = [np.append(random.integers(0, lm_scoring.END, n), lm_scoring.END).astype(np.int32) for n in (0, 1, 15, 16, 60)]
+    inputs, targets = (np.concatenate(c) for c in zip(*map(lm_scoring.windows, ids)))
+    pairs = random.integers(0, 5, (lm_scoring.VOCABULARY, lm_scoring.VOCABULARY)).astype(float)
+    net = lm_scoring.Attention.start(pairs.sum(axis=0), pairs)
+    net.weights = {k: v.astype(np.float64) for k, v in net.weights.items()}
+    w, found = net.weights, net.forward(inputs)
+    assert not {"k", "v"} & set(found)
+    x = w["embed"][inputs] + w["place"]
+    for n in range(len(inputs)):
+        q, k, v = x[n, lm_scoring.CONTEXT :] @ w["query"], x[n] @ w["key"], x[n] @ w["value"]
+        for i in range(lm_scoring.STEP):
+            at = lm_scoring.CONTEXT + i
+            seen = [j for j in range(at + 1) if inputs[n, j] != lm_scoring.VOCABULARY]
+            share = np.exp(k[seen] @ q[i] / math.sqrt(lm_scoring.SIZE))
+            hidden = np.tanh(share / max(share.sum(), 1e-30) @ v[seen] @ w["mixed"] + x[n, at])
+            assert np.allclose(found["hidden"].reshape(-1, lm_scoring.STEP, lm_scoring.SIZE)[n, i], hidden, rtol=1e-6)
+    # Bounded logits need no shift; the gradient is the same with one.
+    assert net.tame()
+    bounded = net.gradients(inputs, targets)
+    monkeypatch.setattr(lm_scoring.Attention, "tame", lambda self: False)
+    shifted = net.gradients(inputs, targets)
+    assert all(np.allclose(bounded[k], shifted[k], rtol=1e-9, atol=1e-12) for k in w)
+
+
 def test_attention_is_causal_and_a_distribution():
     net = lm_scoring.Attention.start(np.ones(lm_scoring.VOCABULARY))
     ids = np.arange(1, 60, dtype=np.int32)

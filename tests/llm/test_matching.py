@@ -333,6 +333,64 @@ def test_top_k_of_few_and_none(spark):
     assert topk.top_k(df, F.lit(False)).count() == 0
 
 
+def test_top_k_broadcasts_no_vectors(spark, monkeypatch):
+    """Queries were copied once per block of candidates before a join that Spark took for small and broadcast."""
+    monkeypatch.setattr(topk, "BLOCK", 32)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 32)
+    random = np.random.default_rng(12)
+    vectors = [(i, [float(x) for x in random.integers(-2, 3, 32)]) for i in range(1200)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").repartition(3)
+    name = "spark.sql.maxBroadcastTableSize"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "4m")
+    try:
+        found = {tuple(r) for r in topk.top_k(df, F.lit(True), 3).collect()}
+    finally:
+        spark.conf.set(name, before)
+    assert len(found) == 3600
+    ints = [(i, [int(256 * x) for x in v]) for i, v in vectors]
+    assert {r for r in found if r[0] % 100 == 0} == _best(ints, set(range(0, 1200, 100)), 3)
+
+
+@pytest.mark.parametrize("kinds", ["few", "wide"])
+def test_top_k_in_groups_and_slices(spark, kinds, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 8)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 4)
+    monkeypatch.setattr(topk, "BLOCK_VALUES", 40)
+    monkeypatch.setattr(topk, "GROUP_VALUES", 100)
+    random = np.random.default_rng(13)
+    scales = [1.0] if kinds == "few" else [1.0, 300.0, 1e9, 1e14]
+    vectors = [(i // 2, [float(x) for x in random.integers(-3, 4, 1 + i % 9) * scales[i % len(scales)]]) for i in range(90)]
+    vectors += [(500, [1.0] * 300)]  # longer than a block
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").repartition(2)
+    found = {tuple(r) for r in topk.top_k(df, F.col("vec_id") % 3 != 0, 4).collect()}
+    least, most = -(1 << 63), (1 << 63) - 1
+    ints = [(i, [int(256 * x) for x in v]) for i, v in vectors]
+    expected = set()
+    for q in {i for i, _ in ints if i % 3}:
+        scored = {(-max(least, min(most, sum(x * y for x, y in zip(v, c)))), i) for j, v in ints if j == q for i, c in ints if i != q}
+        expected |= {(q, rank + 1, i, -s) for rank, (s, i) in enumerate(sorted(scored)[:4])}
+    assert found == expected
+
+
+def test_top_k_bounds_drop_no_result(monkeypatch):
+    """Blocks pass one after another; survivors of two dimensions are finished one by one."""
+    monkeypatch.setattr(topk, "DIMENSIONS", 2)
+    monkeypatch.setattr(topk, "FEW", 1.0)
+    monkeypatch.setattr(topk, "TILE", 3)
+    random = np.random.default_rng(14)
+    for scale in (5, 3000, 1 << 30, 1 << 45):
+        rows = [(int(i), [int(x) for x in random.integers(-scale, scale + 1, 11) // [1, 1, 1, *[4] * 8]]) for i in random.integers(0, 90, 300)]
+        matrix = np.array([v for _, v in rows])
+        ids = np.array([i for i, _ in rows])
+        group = topk.Group(ids[:8], matrix[:8], 4)
+        for lo in range(0, 300, 70):
+            group.search(ids[lo : lo + 70], np.ascontiguousarray(matrix[lo : lo + 70].T))
+        for row in range(8):
+            scored = {(-max(-(1 << 63), min((1 << 63) - 1, sum(x * int(y) for x, y in zip(c, group.vectors[row])))), i) for i, c in rows if i != group.ids[row]}
+            assert list(zip((-x for x in group.scores[row].tolist()), group.found[row].tolist())) == sorted(scored)[:4]
+
+
 def test_words_hash_to_what_the_operators_see():
     assert T.hash_word("abc") == T.hash_word("ABC") != T.hash_word("abd")
 

@@ -30,8 +30,8 @@ from cotalake.llm.common import written
 
 #: Candidates and queries in a block, and values in it (a block of one vector may hold more).
 BLOCK, QUERY_BLOCK, BLOCK_VALUES = 8192, 512, 1 << 22
-#: Values in a group of queries.
-GROUP_VALUES = 1 << 23
+#: Values in a group of queries; blocks of candidates in a slice, at least.
+GROUP_VALUES, SLICE = 1 << 23, 4
 #: Dimensions added before candidates are looked at again.
 DIMENSIONS = 16
 #: Queries and candidates whose scores are held at once.
@@ -73,7 +73,7 @@ class Group:
         self.ids, self.vectors, self.k = ids[order], vectors[order], k
         n = len(ids)
         self.scores, self.found, self.held = np.full((n, k), _LEAST), np.zeros((n, k), np.int64), np.zeros(n, np.int64)
-        self.top, self.norms, self.seen = _top(vectors), np.zeros(n), 0
+        self.top, self.norms, self.seen, self.room = _top(vectors), np.zeros(n), 0, None
         for lo in range(0, n, TILE):
             self.norms[lo : lo + TILE] = np.sqrt((self.vectors[lo : lo + TILE].astype(np.float64) ** 2).sum(axis=1))
 
@@ -144,8 +144,7 @@ class Group:
                 depth = self._depth(queries[:, order], columns[:, :: max(1, len(ids) // TRIED)][order], rests, floors)
             places = np.arange(alive.start, alive.stop) if isinstance(alive, slice) else alive
             if depth == len(columns):
-                scores = queries @ columns[:, alive]
-                at = np.flatnonzero(_reaches(scores, None, floors[:, None]))
+                scores, at = self._dense(queries, columns[:, alive], floors[:, None])
                 self._end(rows, at // len(places), places[at % len(places)], scores.ravel()[at], ids)
                 continue
             some = columns[:, alive][order]
@@ -161,6 +160,23 @@ class Group:
                 row, column, score = row[stay], column[stay], score[stay]
             self._end(rows, row, places[column], score, ids)
 
+    def _dense(self, queries: np.ndarray, columns: np.ndarray, floors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Scores over all dimensions, and the flat places of those that reach the floor."""
+        if queries.dtype == object:
+            scores = queries @ columns
+            return scores, np.flatnonzero(_reaches(scores, None, floors))
+        # Memory for a tile's scores is taken once, and eight answers are looked at together.
+        n = len(queries) * columns.shape[1]
+        if self.room is None or self.room[0].dtype != queries.dtype or len(self.room[0]) < n:
+            self.room = np.empty(n, queries.dtype), np.zeros(-(-n // 8) * 8, bool)
+        shape = len(queries), columns.shape[1]
+        scores = np.matmul(queries, columns, out=self.room[0][:n].reshape(shape))
+        np.greater_equal(scores, floors.astype(queries.dtype), out=self.room[1][:n].reshape(shape))
+        self.room[1][n:] = False
+        some = np.flatnonzero(self.room[1].view(np.uint64))
+        at = (some[:, None] * 8 + np.arange(8)).ravel()
+        return scores, at[self.room[1][at]]
+
     def _depth(self, queries: np.ndarray, tried: np.ndarray, rests: np.ndarray, floors: np.ndarray) -> int:
         """After how many dimensions few enough of the tried candidates are left; all dimensions if that is never so."""
         rest, score = _rests(tried.astype(np.float64)), 0
@@ -206,8 +222,6 @@ def _rests(columns: np.ndarray) -> np.ndarray:
 def _reaches(scores: np.ndarray, rests: tuple[np.ndarray, np.ndarray] | None, floors: np.ndarray) -> np.ndarray:
     """Whether scores can reach the floor with what two norms may still add; a little more than the bound, for rounding."""
     if scores.dtype != object:
-        if rests is None:
-            return scores >= floors.astype(scores.dtype)
         mine, theirs = ((x * (1 + 1e-5)).astype(scores.dtype) for x in rests)
         upper = mine * theirs
         upper += scores
@@ -275,8 +289,9 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id",
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     queries = queries.withColumn("group", F.floor(F.col("before") / GROUP_VALUES).cast("int"))
     groups = queries.agg(F.max("group")).first()[0] + 1
-    # So many slices that all copies of the queries weigh about as much as the candidates.
-    slices = min(blocks, max(-(-n // m), groups))
+    # So many slices that all copies of the queries weigh about as much as the candidates. Each slice finds its k-th best anew,
+    # which costs about as much as two more blocks.
+    slices = min(-(-blocks // SLICE), max(-(-n // m), groups))
     sent = ["cell", "side", "block", "n", "width", "item", "ids", "columns"]
     asked = queries.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))).withColumn("side", F.lit(0))
     passing = candidates.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).withColumn("slice", F.col("block") % slices).withColumn("side", F.lit(1))

@@ -356,6 +356,7 @@ def test_top_k_broadcasts_no_vectors(spark, monkeypatch):
 def test_top_k_in_groups_and_slices(spark, kinds, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK", 8)
     monkeypatch.setattr(topk, "QUERY_BLOCK", 4)
+    monkeypatch.setattr(topk, "SLICE", 1)
     monkeypatch.setattr(topk, "BLOCK_VALUES", 40)
     monkeypatch.setattr(topk, "GROUP_VALUES", 100)
     random = np.random.default_rng(13)
